@@ -24,7 +24,7 @@ from lakeshift.queries import fixtures as fx
 from lakeshift.queries.fixtures import Tables
 from lakeshift.session import list_files, new_work_dir
 from lakeshift.sinks import snapshot as K
-from lakeshift.sources.catalog import catalog_from_schema, column_classes
+from lakeshift.sources.catalog import classes_from_schema, column_classes
 from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import key_bounds, plan_key_ranges, read_key_ranges
 from lakeshift.streaming.ingest import apply_available, ingest_available
@@ -103,8 +103,8 @@ def q_cdc_timestamps(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- P1-P3 -------
-def _classes_for(spark, df: DataFrame, table: str, key: str | None = None):
-    return column_classes(catalog_from_schema(spark, SOURCE_DB, table, df.schema, key))[(SOURCE_DB, table)]
+def _classes_for(spark, df: DataFrame, table: str):
+    return classes_from_schema(SOURCE_DB, table, df.schema)
 
 
 @register(
@@ -399,11 +399,7 @@ def _parquet_reader(spark, sf_dir):
 
 def _migrate_driver_tables(spark, sf_dir, tables):
     t = Tables(spark, sf_dir)
-    catalog = None
-    for n in tables:
-        c = catalog_from_schema(spark, SOURCE_DB, n, getattr(t, n).schema)
-        catalog = c if catalog is None else catalog.unionByName(c)
-    classes = column_classes(catalog)
+    classes = {(SOURCE_DB, n): classes_from_schema(SOURCE_DB, n, getattr(t, n).schema) for n in tables}
     root = new_work_dir(spark, "migrated")
     status = migrate_tables(
         spark, [(SOURCE_DB, n) for n in tables], classes, _parquet_reader(spark, sf_dir), root,

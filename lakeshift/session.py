@@ -83,3 +83,9 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isFile())
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file (parents included)."""
+    fs, p = hadoop_fs(spark, path)
+    fs.create(p, True).close()

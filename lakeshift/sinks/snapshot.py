@@ -84,7 +84,7 @@ def ensure_database(spark: SparkSession, database: str) -> None:
 
 def table_exists(spark: SparkSession, database: str | None, table: str) -> bool:
     """Catalog lookup, no listing collected by hand."""
-    return spark.catalog.tableExists(table, database) if database else spark.catalog.tableExists(table)
+    return spark.catalog.tableExists(f"{quote_ident(database)}.{quote_ident(table)}" if database else table)
 
 
 def register_table(

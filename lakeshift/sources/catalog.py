@@ -174,3 +174,21 @@ def column_classes(catalog: DataFrame) -> dict[tuple[str, str], ColumnClasses]:
             list(r["tinyint_cols"]),
         )
     return out
+
+
+def classes_from_schema(schema_name: str, table: str, schema: T.StructType) -> ColumnClasses:
+    """A6 for a table whose catalogue is its own DataFrame schema: the same
+    classes :func:`column_classes` would give for :func:`catalog_from_schema`,
+    computed on the driver because no data is involved."""
+    cls = ColumnClasses(schema_name, table, [f.name for f in schema.fields])
+    for f in schema.fields:
+        data_type, _ = mysql_type_name(f.dataType)
+        if data_type in DATETIME_TYPES:
+            cls.datetime.append(f.name)
+        elif data_type in DATE_TYPES:
+            cls.date.append(f.name)
+        elif data_type in TIME_TYPES:
+            cls.time.append(f.name)
+        elif data_type in TINYINT_TYPES:
+            cls.tinyint.append(f.name)
+    return cls

@@ -9,12 +9,14 @@ change the result.
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_latest
+from lakeshift.session import path_exists, touch
 from lakeshift.sinks.snapshot import VersionedTable
 
 
@@ -71,25 +73,29 @@ def cdc_batch_applier(
     key: str | Iterable[str],
     order_by: Iterable[str | Column],
     *,
+    stream_id: str,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """ST2: a ``foreachBatch`` function applying each batch with J4.
 
-    Version ``batch_id + 1`` of ``table`` is the result of batch ``batch_id``
-    (version 0 is the initial load). A batch whose version already exists was
-    applied before a crash and is skipped.
+    Each applied batch leaves a marker ``<table root>/_applied/<stream_id>/<batch_id>``
+    written after the new version is committed; a replayed batch with a marker
+    is skipped. A crash between commit and marker re-applies the batch on top
+    of its own result, which J4 leaves unchanged (apply is idempotent).
     """
     order_by = list(order_by)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if table.has(version):
+        marker = f"{table.root}/_applied/{stream_id}/{batch_id:012d}"
+        if path_exists(table.spark, marker):
             return
         feed = prepare(batch) if prepare else batch
         current = table.read()
-        table.commit(apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols), version)
+        cur = table.current_version()
+        table.commit(apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols), cur + 1)
+        touch(table.spark, marker)
 
     return apply
 
@@ -106,7 +112,9 @@ def apply_available(
 ) -> None:
     """ST2: apply every newly landed change file to ``table``, batch by batch."""
     stream = file_stream(spark, source, schema)
-    writer = stream.writeStream.foreachBatch(cdc_batch_applier(table, key, order_by, **kw)).option(
+    stream_id = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
+    applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id, **kw)
+    writer = stream.writeStream.foreachBatch(applier).option(
         "checkpointLocation", checkpoint
     )
     run_available(writer)
