@@ -7,9 +7,10 @@ snapshot (parquet tables cannot be rewritten in place while being read).
 Scale notes
 -----------
 * The target is never shuffled when the changed key set is small: the key set
-  is counted first (an action over the change batch only) and broadcast when it
-  is below ``broadcast_max_keys``; above that the anti-join is a sort-merge
-  join planned by Catalyst/AQE.
+  is counted first (an action over the change batch only) and broadcast only
+  when ``keys x estimated key width`` is within ``broadcast_max_bytes``
+  (default 64 MiB, session conf ``lakeshift.cdc.broadcastMaxBytes``); above
+  that the anti-join is a shuffle join planned by Catalyst/AQE.
 * "Latest change per key" is an aggregate (``max_by`` over the ordering), not a
   window: Spark pre-aggregates it on the map side, so one key that carries a
   third of all changes still leaves each map task as a single row.
@@ -32,7 +33,13 @@ CHANGE_TS_COLUMN = "update_ts_dms"
 APPLIED_TS_COLUMN = "last_applied_date"
 # ------------------------------------------------------------------------------
 
-DEFAULT_BROADCAST_MAX_KEYS = 4_000_000
+BROADCAST_CONF = "lakeshift.cdc.broadcastMaxBytes"
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# bytes per key value in a broadcast hash relation, by type (strings: a guess
+# for short business keys; the row overhead is added per key)
+_KEY_WIDTH = {"bigint": 8, "int": 4, "smallint": 2, "tinyint": 1, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+_STRING_WIDTH = 48
+_ROW_OVERHEAD = 16
 
 
 class DuplicateKeyError(ValueError):
@@ -82,13 +89,28 @@ def conform(rows: DataFrame, target: DataFrame) -> DataFrame:
     return rows.select([F.col(c).cast(t).alias(c) for c, t in target.dtypes])
 
 
-def _sized_keys(keys: DataFrame, n_keys: int, broadcast_max_keys: int) -> DataFrame:
+def key_set_bytes(keys: DataFrame, n_keys: int) -> int:
+    """Upper-end size estimate of a broadcast hash relation over ``n_keys`` keys."""
+    width = _ROW_OVERHEAD
+    for _, t in keys.dtypes:
+        width += _KEY_WIDTH.get(t, 16 if t.startswith("decimal") else _STRING_WIDTH)
+    return n_keys * width
+
+
+def _limit(keys: DataFrame, broadcast_max_bytes: int | None) -> int:
+    if broadcast_max_bytes is not None:
+        return broadcast_max_bytes
+    conf = keys.sparkSession.conf.get(BROADCAST_CONF, None)
+    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
+
+
+def _sized_keys(keys: DataFrame, n_keys: int, broadcast_max_bytes: int | None) -> DataFrame:
     """Broadcast the key set only when its counted size is within bounds."""
-    return F.broadcast(keys) if n_keys <= broadcast_max_keys else keys
+    return F.broadcast(keys) if key_set_bytes(keys, n_keys) <= _limit(keys, broadcast_max_bytes) else keys
 
 
-def _remove_keys(target: DataFrame, keys: DataFrame, key: list[str], n_keys: int, broadcast_max_keys: int) -> DataFrame:
-    return target.join(_sized_keys(keys, n_keys, broadcast_max_keys), on=key, how="left_anti")
+def _remove_keys(target: DataFrame, keys: DataFrame, key: list[str], n_keys: int, broadcast_max_bytes: int | None) -> DataFrame:
+    return target.join(_sized_keys(keys, n_keys, broadcast_max_bytes), on=key, how="left_anti")
 
 
 def upsert(
@@ -97,7 +119,7 @@ def upsert(
     key: str | Iterable[str],
     *,
     n_keys: int | None = None,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Matched keys take the new row whole, unmatched keys are inserted.
 
@@ -108,7 +130,7 @@ def upsert(
     keys = rows.select(*key)
     if n_keys is None:
         n_keys = keys.count()
-    return _remove_keys(target, keys, key, n_keys, broadcast_max_keys).unionByName(rows)
+    return _remove_keys(target, keys, key, n_keys, broadcast_max_bytes).unionByName(rows)
 
 
 def delete(
@@ -117,14 +139,14 @@ def delete(
     key: str | Iterable[str],
     *,
     n_keys: int | None = None,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Remove target rows whose key appears in ``deletes``."""
     key = _keys(key)
     keys = deletes.select(*key)
     if n_keys is None:
         n_keys = keys.count()
-    return _remove_keys(target, keys, key, n_keys, broadcast_max_keys)
+    return _remove_keys(target, keys, key, n_keys, broadcast_max_bytes)
 
 
 def _check_unique(upserts: DataFrame, key: list[str]) -> int:
@@ -151,7 +173,7 @@ def apply_changes(
     *,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """All upserts (op != D) merged first, then all deletes; each skipped when empty.
 
@@ -166,11 +188,11 @@ def apply_changes(
     out = target
     n_ups = _check_unique(ups, key)
     if n_ups > 0:
-        out = upsert(out, ups, key, n_keys=n_ups, broadcast_max_keys=broadcast_max_keys)
+        out = upsert(out, ups, key, n_keys=n_ups, broadcast_max_bytes=broadcast_max_bytes)
     del_keys = dels.select(*key).distinct()
     n_dels = del_keys.count()
     if n_dels > 0:
-        out = delete(out, del_keys, key, n_keys=n_dels, broadcast_max_keys=broadcast_max_keys)
+        out = delete(out, del_keys, key, n_keys=n_dels, broadcast_max_bytes=broadcast_max_bytes)
     return out
 
 
@@ -202,7 +224,7 @@ def apply_latest(
     *,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
-    broadcast_max_keys: int = DEFAULT_BROADCAST_MAX_KEYS,
+    broadcast_max_bytes: int | None = None,
 ) -> DataFrame:
     """Reduce the batch to the last change per key, then apply it once.
 
@@ -216,6 +238,6 @@ def apply_latest(
     n_keys = last.count()
     if n_keys == 0:
         return target
-    kept = _remove_keys(target, last.select(*key), key, n_keys, broadcast_max_keys)
+    kept = _remove_keys(target, last.select(*key), key, n_keys, broadcast_max_bytes)
     rows = last.filter(F.col(op_col) != OP_DELETE).drop(*drop_cols)
     return kept.unionByName(conform(rows, target))

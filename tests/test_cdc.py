@@ -77,11 +77,12 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     f = spark.range(0, 500, 7).selectExpr(
         "CASE WHEN id % 2 = 0 THEN 'D' ELSE 'U' END AS Op", "'s' AS schema_name", "'t' AS table_name",
         "id AS k", "'new' AS v")
-    a = cdc.apply_changes(target, f, "k", broadcast_max_keys=10**9)
-    b = cdc.apply_changes(target, f, "k", broadcast_max_keys=0)
+    a = cdc.apply_changes(target, f, "k", broadcast_max_bytes=10**9)
+    b = cdc.apply_changes(target, f, "k", broadcast_max_bytes=0)
     assert _rows(a) == _rows(b)
-    plan_b = b._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan_b or "AdaptiveSparkPlan" in plan_b
+    assert "ResolvedHint (strategy=broadcast)" in a._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in b._jdf.queryExecution().analyzed().toString()
+    assert cdc.key_set_bytes(target.select("k"), 1000) == 1000 * 24
 
 
 def test_latest_is_partially_aggregated(spark):

@@ -85,3 +85,21 @@ def test_cdc_stream_replay_is_harmless(spark, workdir):
     apply_available(spark, f"{workdir}/land/*", feed_schema, t, "k", ["seq"], f"{workdir}/ck", drop_cols=["Op", "seq"])
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, "A"), (3, "c")]
     assert t.versions() == [0, 1, 2]
+
+
+def test_merge_sql_text_and_parquet_refusal(spark, workdir):
+    from lakeshift.sinks import merge as M
+
+    sql = M.latest_merge_sql("db.t", "src", ["k"], ["k", "v"])
+    assert sql == (
+        "MERGE INTO db.t t USING src s ON t.`k` = s.`k` WHEN MATCHED AND s.`Op` = 'D' THEN DELETE "
+        "WHEN MATCHED THEN UPDATE SET `v` = s.`v` "
+        "WHEN NOT MATCHED AND s.`Op` <> 'D' THEN INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)"
+    )
+    assert M.delete_merge_sql("db.t", "d", ["a", "b"]).endswith("ON t.`a` = s.`a` AND t.`b` = s.`b` WHEN MATCHED THEN DELETE")
+    K.write_snapshot(spark.range(2).selectExpr("id AS k", "'x' AS v"), workdir)
+    name = K.register_table(spark, "lakeshift_t", "merge_target", workdir)
+    assert M.table_provider(spark, name) == "parquet"
+    feed = spark.createDataFrame([("U", 1, "y")], "Op string, k bigint, v string")
+    with pytest.raises(ValueError):
+        M.merge_latest(spark, name, feed, "k", ["k"])
