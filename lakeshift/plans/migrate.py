@@ -51,10 +51,22 @@ def migrate_table(
     *,
     target_database: str | None = None,
     num_files: int | None = None,
+    rebalance: bool = True,
 ) -> TableStatus:
-    """M4: one table end to end; never raises, reports instead (M2)."""
+    """M4: one table end to end; never raises, reports instead (M2).
+
+    ``rebalance`` (default) inserts a REBALANCE right after the read: JDBC key
+    ranges over gappy or skewed keys give very uneven partitions, and AQE then
+    splits the big ones and merges the small ones, so the per-row repair and
+    the write run on even partitions and produce evenly sized files.
+    ``num_files`` instead forces an exact partition (file) count.
+    """
     try:
         df = reader(database, table, classes)
+        if num_files:
+            df = df.repartition(num_files)
+        elif rebalance:
+            df = df.hint("rebalance")
         types = dict(df.dtypes)
         obs = Observation(f"migrate_{database}_{table}_{uuid.uuid4().hex[:8]}")
         repaired = repair_observed(
@@ -64,8 +76,6 @@ def migrate_table(
             datetime_cols=[c for c in classes.datetime if types.get(c) == "string"],
             tinyint_cols=[c for c in classes.tinyint if c in types],
         )
-        if num_files:
-            repaired = repaired.repartition(num_files)
         refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table)
         m = obs.get
         return TableStatus(database, table, "ok", int(m["rows"]), int(m["nulled"]), None)
@@ -84,6 +94,7 @@ def migrate_tables(
     target_database: str | None = None,
     parallel_tables: int = 4,
     num_files: int | None = None,
+    rebalance: bool = True,
 ) -> DataFrame:
     """M1 + M2: migrate every listed table; returns one status row per table.
 
@@ -96,7 +107,8 @@ def migrate_tables(
         if cls is None:
             return TableStatus(db, tb, "failed", None, None, f"no catalogue entry for {db}.{tb}")
         return migrate_table(
-            spark, db, tb, cls, reader, target_root, target_database=target_database, num_files=num_files
+            spark, db, tb, cls, reader, target_root,
+            target_database=target_database, num_files=num_files, rebalance=rebalance,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:

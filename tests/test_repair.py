@@ -86,3 +86,18 @@ def test_schema_ddl_nested_and_quoted(spark):
     assert "`a b` BIGINT" in ddl
     again = spark.createDataFrame([], ddl)
     assert again.schema == df.schema
+
+
+def test_datetime_repair_equals_strict_pattern_parse(spark):
+    vals = ["2024-01-05 10:11:12", "2024-01-05 10:11:12.5", "2024-01-05", "2024-00-05 10:11:12",
+            "2024-02-30 10:00:00", "2024-02-29 23:59:59", "2023-02-29 00:00:00", "2024-01-05 24:00:00",
+            "2024-01-05 23:60:00", "2024-01-05 23:59:60", "12345-01-01 00:00:00", "0000-00-00 00:00:00",
+            " 2024-01-05 10:11:12", "2024-01-05T10:11:12", "2024-1-05 10:11:12", "2024-01-05 1:11:12",
+            "0001-01-01 00:00:00", "9999-12-31 23:59:59", "2024-13-01 00:00:00", "2024-01-05 10:11:12 ",
+            "abc", None, "1900-01-01 00:00:00", "-024-01-01 00:00:00"]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    strict = F.try_to_timestamp(
+        F.replace("t", F.lit(R.ZERO_DATETIME), F.lit(R.ZERO_DATETIME_REPLACEMENT)), F.lit(R.DATETIME_FORMAT)
+    ).cast("timestamp_ntz")  # session zone is UTC here, so the cast is exact
+    rows = df.select(R.repair_zero_datetime("t").alias("a"), strict.alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
