@@ -103,3 +103,8 @@ def test_merge_sql_text_and_parquet_refusal(spark, workdir):
     feed = spark.createDataFrame([("U", 1, "y")], "Op string, k bigint, v string")
     with pytest.raises(ValueError):
         M.merge_latest(spark, name, feed, "k", ["k"])
+
+
+def test_num_files_sets_output_file_count(spark, workdir):
+    K.write_snapshot(spark.range(1000), workdir, num_files=5)
+    assert len([f for f in list_files(spark, workdir) if "/part-" in f]) == 5

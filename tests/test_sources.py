@@ -97,3 +97,14 @@ def test_read_control_csvs(spark, workdir):
     cat = C.read_column_catalog(spark, f"{workdir}/cat")
     assert cat.columns == C.CATALOG_COLUMNS and cat.filter("ORDINAL_POSITION IS NOT NULL").count() == 0
     assert "table_schema = 'x''y'" in C.catalog_query_sql("x'y")
+
+
+def test_schema_probe_empty_and_emptiness(spark):
+    from lakeshift.operators import basic as B
+    from lakeshift.operators.projection import empty_like
+
+    df = spark.range(10).selectExpr("id", "CAST(id AS STRING) AS s")
+    e = empty_like(df)
+    assert e.schema == df.schema and e.count() == 0
+    assert B.is_empty(e) and not B.is_empty(df)
+    assert B.preview(df, 3).collect() == B.preview(df.orderBy(df.id.desc()), 3).collect()
