@@ -150,20 +150,36 @@ def delete(
 
 
 def _check_unique(upserts: DataFrame, key: list[str]) -> int:
-    """Rows in the batch; raises if a key repeats or is null. One aggregate job."""
+    """Rows in an upsert batch; raises if a key repeats or is null. One aggregate job."""
     stats = upserts.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct(*[F.col(k) for k in key]).alias("nd"),
     ).first()
-    if stats["n"] != stats["nd"]:
-        dup = (
-            upserts.groupBy(*key).count().filter("count > 1").limit(5).collect()
-        )
+    _raise_if_repeated(upserts, key, stats["n"], stats["nd"])
+    return stats["n"]
+
+
+def _raise_if_repeated(upserts: DataFrame, key: list[str], n: int, nd: int) -> None:
+    if n != nd:
+        dup = upserts.groupBy(*key).count().filter("count > 1").limit(5).collect()
         raise DuplicateKeyError(
-            f"upsert batch has {stats['n'] - stats['nd']} repeated or null key rows, e.g. {dup}; "
+            f"upsert batch has {n - nd} repeated or null key rows, e.g. {dup}; "
             "use apply_latest to resolve several changes per key"
         )
-    return stats["n"]
+
+
+def _batch_stats(feed: DataFrame, key: list[str], op_col: str) -> tuple[int, int, int]:
+    """(upsert rows, distinct upsert keys, distinct delete keys) in one pass over the batch."""
+    op = F.col(op_col)
+    k = F.struct(*[F.col(c) for c in key]) if len(key) > 1 else F.col(key[0])
+    nullkey = F.lit(None).cast(feed.select(k.alias("k")).schema["k"].dataType)
+    is_up = op.isNotNull() & (op != OP_DELETE)
+    r = feed.agg(
+        F.count(F.when(is_up, F.lit(1))).alias("n_up"),
+        F.count_distinct(F.when(is_up, k).otherwise(nullkey)).alias("nd_up"),
+        F.count_distinct(F.when(op == OP_DELETE, k).otherwise(nullkey)).alias("nd_del"),
+    ).first()
+    return r["n_up"], r["nd_up"], r["nd_del"]
 
 
 def apply_changes(
@@ -186,11 +202,11 @@ def apply_changes(
     ups = ups.drop(*drop_cols)
     dels = dels.drop(*drop_cols)
     out = target
-    n_ups = _check_unique(ups, key)
+    n_ups, nd_ups, n_dels = _batch_stats(feed, key, op_col)
+    _raise_if_repeated(ups, key, n_ups, nd_ups)
     if n_ups > 0:
         out = upsert(out, ups, key, n_keys=n_ups, broadcast_max_bytes=broadcast_max_bytes)
     del_keys = dels.select(*key).distinct()
-    n_dels = del_keys.count()
     if n_dels > 0:
         out = delete(out, del_keys, key, n_keys=n_dels, broadcast_max_bytes=broadcast_max_bytes)
     return out

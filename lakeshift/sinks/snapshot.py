@@ -117,6 +117,20 @@ def register_table(
     return name
 
 
+def repoint_table(spark: SparkSession, database: str, table: str, path: str, *, fmt: str = "parquet", schema=None) -> str:
+    """Swap an existing table to a new snapshot folder in one catalog update
+    (``ALTER TABLE .. SET LOCATION``), so readers never find the table missing.
+    Falls back to drop-and-create when the table is absent or its schema changed."""
+    name = qualified(database, table)
+    if table_exists(spark, database, table):
+        new_schema = schema if schema is not None else spark.read.format(fmt).load(path).schema
+        if spark.table(name).schema == new_schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"REFRESH TABLE {name}")
+            return name
+    return register_table(spark, database, table, path, fmt=fmt, schema=schema)
+
+
 def create_partitioned_table(
     spark: SparkSession,
     df: DataFrame,
@@ -208,7 +222,7 @@ class VersionedTable:
         if cur is not None and version <= cur:
             raise ValueError(f"version {version} is not after current version {cur}")
         write_snapshot(df, self.path(version), fmt=self.fmt)
-        register_table(self.spark, self.database, self.table, self.path(version), fmt=self.fmt)
+        repoint_table(self.spark, self.database, self.table, self.path(version), fmt=self.fmt)
         return True
 
     def name(self) -> str:
@@ -231,6 +245,7 @@ __all__ = [
     "ensure_database",
     "table_exists",
     "register_table",
+    "repoint_table",
     "create_partitioned_table",
     "write_manifest",
     "read_manifest",
