@@ -187,8 +187,17 @@ class VersionedTable:
     replaying a stream batch is harmless.
     """
 
-    def __init__(self, spark: SparkSession, root: str, database: str, table: str, fmt: str = "parquet"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        database: str,
+        table: str,
+        fmt: str = "parquet",
+        partition_by: list[str] | None = None,
+    ):
         self.spark, self.root, self.database, self.table, self.fmt = spark, root.rstrip("/"), database, table, fmt
+        self.partition_by = list(partition_by or [])
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:09d}"
@@ -221,8 +230,14 @@ class VersionedTable:
         cur = self.current_version()
         if cur is not None and version <= cur:
             raise ValueError(f"version {version} is not after current version {cur}")
-        write_snapshot(df, self.path(version), fmt=self.fmt)
-        repoint_table(self.spark, self.database, self.table, self.path(version), fmt=self.fmt)
+        write_snapshot(df, self.path(version), fmt=self.fmt, partition_by=self.partition_by or None)
+        if self.partition_by:
+            register_table(
+                self.spark, self.database, self.table, self.path(version), fmt=self.fmt,
+                schema=df.schema, partition_by=self.partition_by,
+            )
+        else:
+            repoint_table(self.spark, self.database, self.table, self.path(version), fmt=self.fmt)
         return True
 
     def name(self) -> str:

@@ -15,14 +15,24 @@ from typing import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_latest
+from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_changes, apply_latest, op_counts
 from lakeshift.session import path_exists, touch
 from lakeshift.sinks.snapshot import VersionedTable
 
 
-def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming read of the files under ``path`` (a folder or glob)."""
+def file_stream(
+    spark: SparkSession,
+    path: str,
+    schema,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    recursive: bool = False,
+) -> DataFrame:
+    """Streaming read of the files under ``path`` (a folder or glob; with
+    ``recursive`` also every sub-folder)."""
     r = spark.readStream.format(fmt).schema(schema)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.load(path)
@@ -71,21 +81,26 @@ def ingest_available(
 def cdc_batch_applier(
     table: VersionedTable,
     key: str | Iterable[str],
-    order_by: Iterable[str | Column],
+    order_by: Iterable[str | Column] | None = None,
     *,
     stream_id: str,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    on_batch: Callable[[int, dict], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """ST2: a ``foreachBatch`` function applying each batch with J4.
+    """ST2: a ``foreachBatch`` function applying each batch to ``table``.
+
+    With ``order_by`` the batch is applied with J4 (last change per key wins);
+    without, with J3 (all upserts, then all deletes - the source jobs' order).
 
     Each applied batch leaves a marker ``<table root>/_applied/<stream_id>/<batch_id>``
     written after the new version is committed; a replayed batch with a marker
     is skipped. A crash between commit and marker re-applies the batch on top
-    of its own result, which J4 leaves unchanged (apply is idempotent).
+    of its own result, which both J3 and J4 leave unchanged (apply is idempotent).
+    ``on_batch`` receives the batch id and its per-op row counts.
     """
-    order_by = list(order_by)
+    order_by = list(order_by) if order_by is not None else None
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         marker = f"{table.root}/_applied/{stream_id}/{batch_id:012d}"
@@ -94,29 +109,37 @@ def cdc_batch_applier(
         feed = prepare(batch) if prepare else batch
         current = table.read()
         cur = table.current_version()
-        table.commit(apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols), cur + 1)
+        if order_by is None:
+            new = apply_changes(current, feed, key, op_col=op_col, drop_cols=drop_cols)
+        else:
+            new = apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols)
+        table.commit(new, cur + 1)
         touch(table.spark, marker)
+        if on_batch is not None:
+            counts = {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}
+            on_batch(batch_id, {"version": cur + 1, "ops": counts})
 
     return apply
 
 
+def stream_id_for(checkpoint: str) -> str:
+    return hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
+
+
 def apply_available(
     spark: SparkSession,
     source: str,
     schema,
     table: VersionedTable,
     key: str | Iterable[str],
-    order_by: Iterable[str | Column],
+    order_by: Iterable[str | Column] | None,
     checkpoint: str,
+    *,
+    recursive: bool = False,
     **kw,
 ) -> None:
     """ST2: apply every newly landed change file to ``table``, batch by batch."""
-    stream = file_stream(spark, source, schema)
-    stream_id = hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
-    applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id, **kw)
-    writer = stream.writeStream.foreachBatch(applier).option(
-        "checkpointLocation", checkpoint
-    )
+    stream = file_stream(spark, source, schema, recursive=recursive)
+    applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id_for(checkpoint), **kw)
+    writer = stream.writeStream.foreachBatch(applier).option("checkpointLocation", checkpoint)
     run_available(writer)
-
-
