@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeshift.functions import repair as R
 from lakeshift.sources.catalog import ColumnClasses
@@ -84,7 +83,3 @@ def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty frame with ``df``'s schema (no 'limit 1' probe query needed)."""
     return df.limit(0)
-
-
-def is_numeric_key(df: DataFrame, key: str) -> bool:
-    return isinstance(df.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType))

@@ -89,6 +89,16 @@ def plan_key_ranges(lo: int, hi: int, *, num_partitions: int | None = None, stri
     return [(s, min(s + stride, hi + 1)) for s in range(lo, hi + 1, stride)]
 
 
+def integer_bounds(key: str, lo, hi) -> tuple[int, int]:
+    """Key bounds as integers; a non-numeric key is rejected with a clear message."""
+    import decimal
+
+    for v in (lo, hi):
+        if isinstance(v, bool) or not isinstance(v, (int, decimal.Decimal)) or int(v) != v:
+            raise TypeError(f"range reads need an integer key; {key!r} has bound {v!r}")
+    return int(lo), int(hi)
+
+
 def range_predicates(key: str, ranges: list[tuple[int, int]]) -> list[str]:
     """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``."""
     return [f"{key} >= {a} AND {key} < {b}" for a, b in ranges]
@@ -121,7 +131,7 @@ def read_partitioned(
         b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
         if b is None or b["lo"] is None:
             return read_query(spark, src, query).limit(0)
-        bounds = (int(b["lo"]), int(b["hi"]))
+        bounds = integer_bounds(key, b["lo"], b["hi"])
     lo, hi = bounds
     return spark.read.format("jdbc").options(**partitioned_options(src, query, key, lo, hi, num_partitions)).load()
 
@@ -162,7 +172,8 @@ def read_table_typed(
         b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
         if b is None or b["lo"] is None:
             return read_query(spark, src, query).limit(0)
-        return read_by_ranges(spark, src, query, key, plan_key_ranges(int(b["lo"]), int(b["hi"]), stride=stride))
+        lo, hi = integer_bounds(key, b["lo"], b["hi"])
+        return read_by_ranges(spark, src, query, key, plan_key_ranges(lo, hi, stride=stride))
     if key and num_partitions > 1:
         return read_partitioned(spark, src, query, key, num_partitions=num_partitions)
     return read_query(spark, src, query)

@@ -13,7 +13,6 @@ import hashlib
 from typing import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_changes, apply_latest, op_counts
 from lakeshift.session import path_exists, touch

@@ -24,6 +24,13 @@ def test_ranges_by_stride_and_empty():
     with pytest.raises(TypeError):
         J.plan_key_ranges("a", "z", num_partitions=2)
     assert J.range_predicates("k", [(0, 10)]) == ["k >= 0 AND k < 10"]
+    import decimal
+
+    assert J.integer_bounds("k", decimal.Decimal(3), 9) == (3, 9)
+    with pytest.raises(TypeError):
+        J.integer_bounds("name", "a", "z")
+    with pytest.raises(TypeError):
+        J.integer_bounds("k", decimal.Decimal("1.5"), 2)
 
 
 def test_chunked_read_equals_plain_read_under_gaps(spark):
