@@ -14,12 +14,17 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.functions.ddl import quote_ident, schema_ddl
-from lakeshift.session import list_dirs, list_files, path_exists
+from lakeshift.session import hadoop_fs, list_dirs, list_files, path_exists
 
 SUCCESS_MARKER = "_SUCCESS"
 _VERSION_RE = re.compile(r"^v=(\d+)$")
 
 
+def sql_string(value: str) -> str:
+    """A single-quoted SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def qualified(database: str | None, table: str) -> str:
     return f"{quote_ident(database)}.{quote_ident(table)}" if database else quote_ident(table)
 
@@ -111,7 +116,7 @@ def register_table(
     parts = ""
     if partition_by:
         parts = " PARTITIONED BY (" + ", ".join(quote_ident(c) for c in partition_by) + ")"
-    spark.sql(f"CREATE TABLE {name}{cols} USING {fmt}{parts} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name}{cols} USING {fmt}{parts} LOCATION {sql_string(path)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
@@ -125,7 +130,7 @@ def repoint_table(spark: SparkSession, database: str, table: str, path: str, *,
     if table_exists(spark, database, table):
         new_schema = schema if schema is not None else spark.read.format(fmt).load(path).schema
         if spark.table(name).schema == new_schema:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_string(path)}")
             spark.sql(f"REFRESH TABLE {name}")
             return name
     return register_table(spark, database, table, path, fmt=fmt, schema=schema)
@@ -202,17 +207,36 @@ class VersionedTable:
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:09d}"
 
+    def _numbered(self) -> list[int]:
+        nums = (_VERSION_RE.match(n) for n in list_dirs(self.spark, self.root))
+        return sorted(int(m.group(1)) for m in nums if m)
+
     def versions(self) -> list[int]:
-        out = []
-        for name in list_dirs(self.spark, self.root):
-            m = _VERSION_RE.match(name)
-            if m and path_exists(self.spark, f"{self.root}/{name}/{SUCCESS_MARKER}"):
-                out.append(int(m.group(1)))
-        return sorted(out)
+        """All complete versions, oldest first."""
+        return [v for v in self._numbered() if self.has(v)]
 
     def current_version(self) -> int | None:
-        v = self.versions()
-        return v[-1] if v else None
+        """The newest complete version (checks newest first; one listing)."""
+        for v in reversed(self._numbered()):
+            if self.has(v):
+                return v
+        return None
+
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` complete versions (and any
+        incomplete folder older than them). Returns the versions removed.
+        Readers still scanning a removed version will fail, so keep >= 2."""
+        if keep < 1:
+            raise ValueError("keep at least the current version")
+        done = self.versions()
+        if len(done) <= keep:
+            return []
+        cutoff = done[-keep]
+        removed = [v for v in self._numbered() if v < cutoff]
+        for v in removed:
+            fs, p = hadoop_fs(self.spark, self.path(v))
+            fs.delete(p, True)
+        return removed
 
     def has(self, version: int) -> bool:
         return path_exists(self.spark, f"{self.path(version)}/{SUCCESS_MARKER}")

@@ -41,6 +41,9 @@ def test_versioned_table_skips_replayed_version(spark, workdir):
     assert t.read().count() == 5 and spark.table(t.name()).count() == 5
     with pytest.raises(ValueError):
         t.commit(spark.range(1), -1)  # older than the current version
+    t.commit(spark.range(7), 2)
+    assert t.vacuum(keep=2) == [0]
+    assert t.versions() == [1, 2] and t.read().count() == 7
 
 
 def test_manifest_lists_data_files(spark, workdir):
