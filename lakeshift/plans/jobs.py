@@ -30,6 +30,20 @@ from lakeshift.sources.jdbc import JdbcSource, read_table_typed
 from lakeshift.streaming.ingest import apply_available
 
 
+# --- Fixed values: the marts' business day is the calendar day in Seoul. -------
+MART_TIME_ZONE = "Asia/Seoul"
+# ------------------------------------------------------------------------------
+
+
+def business_midnight(now: datetime | None = None, tz: str = MART_TIME_ZONE) -> str:
+    """Midnight of the current day in the marts' time zone, as text (the mart
+    refresh parameter)."""
+    from zoneinfo import ZoneInfo
+
+    now = now.astimezone(ZoneInfo(tz)) if now else datetime.now(ZoneInfo(tz))
+    return now.strftime("%Y-%m-%d 00:00:00")
+
+
 class TableMissing(RuntimeError):
     """The change target has not been loaded yet."""
 
@@ -106,6 +120,13 @@ def cdc_job(
     return reports
 
 
+def catalog_extract_job(spark: SparkSession, *, jdbc: JdbcSource, schema_name: str, out_path: str) -> int:
+    """S8 + K3: extract the source schema's column catalogue as one parquet file."""
+    from lakeshift.sources.jdbc import read_catalog
+
+    return export_single_file(read_catalog(spark, jdbc, schema_name), out_path, max_rows=10_000_000)
+
+
 def jdbc_reader(spark: SparkSession, src: JdbcSource, keys: dict[tuple[str, str], str | None], *,
                 num_partitions: int = 1, stride: int | None = None) -> Reader:
     """Reader for :func:`migrate_tables`: typed projection pushed to the source,
@@ -200,7 +221,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
     k.add_argument("--source-database", required=True)
     k.add_argument("--warehouse", required=True)
     k.add_argument("--database", required=True)
-    k.add_argument("--today", required=True)
+    k.add_argument("--today", help="cutoff, default: midnight today in the marts' time zone")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
@@ -224,7 +245,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
         res = status_summary(status).first().asDict()
     else:
         res = marts_job(spark, tables=CatalogTables(spark, args.source_database), warehouse=args.warehouse,
-                        database=args.database, today=args.today)
+                        database=args.database, today=args.today or business_midnight())
     print(json.dumps(res, default=str))
 
 

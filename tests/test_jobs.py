@@ -76,3 +76,11 @@ def test_marts_job_from_catalog_tables(spark, workdir):
                          only=["user_information"])
     assert out == {"user_information": "lakeshift_jobs.bi_user_information"}
     assert spark.table(out["user_information"]).count() == t.customer.count()
+
+
+def test_business_midnight_is_seoul_day():
+    import datetime as dt
+
+    utc = dt.timezone.utc
+    assert jobs.business_midnight(dt.datetime(2024, 1, 1, 16, 0, tzinfo=utc)) == "2024-01-02 00:00:00"
+    assert jobs.business_midnight(dt.datetime(2024, 1, 1, 14, 59, tzinfo=utc)) == "2024-01-01 00:00:00"
