@@ -403,7 +403,7 @@ def _migrate_driver_tables(spark, sf_dir, tables):
     root = new_work_dir(spark, "migrated")
     status = migrate_tables(
         spark, [(SOURCE_DB, n) for n in tables], classes, _parquet_reader(spark, sf_dir), root,
-        target_database=CHECK_DB + "_" + root.rsplit("-", 1)[-1],
+        target_database=CHECK_DB + "_" + root.rsplit("-", 1)[-1], parallel_tables=8,
     )
     return status, CHECK_DB + "_" + root.rsplit("-", 1)[-1]
 
