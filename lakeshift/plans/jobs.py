@@ -92,6 +92,7 @@ def cdc_job(
     checkpoint: str | None = None,
     order_by: list[str] | None = None,
     run_ts: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> list[dict]:
     """ST1 + ST2: apply every change file landed since the last run.
 
@@ -114,6 +115,7 @@ def cdc_job(
         order_by,
         checkpoint or f"{t.root}/_checkpoint",
         recursive=True,
+        max_files_per_trigger=max_files_per_trigger,
         prepare=lambda b: stamp_changes(b, stamp_at),
         on_batch=lambda bid, info: reports.append({"batch": bid, **info}),
     )
@@ -208,6 +210,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
             s.add_argument("--primary-key", required=True)
             s.add_argument("--checkpoint")
             s.add_argument("--order-by", help="comma-separated change-order columns (enables latest-wins)")
+            s.add_argument("--max-files-per-batch", type=int)
     m = sub.add_parser("migrate")
     for a in ("--table-list", "--column-catalog", "--warehouse", "--status-path", "--jdbc-url"):
         m.add_argument(a, required=True)
@@ -232,7 +235,8 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
         res = cdc_job(spark, raw_path=args.raw_path, warehouse=args.warehouse, database=args.database,
                       table_name=args.table_name, primary_key=args.primary_key, partition_key=args.partition_key,
                       checkpoint=args.checkpoint, run_ts=args.run_ts,
-                      order_by=args.order_by.split(",") if args.order_by else None)
+                      order_by=args.order_by.split(",") if args.order_by else None,
+                      max_files_per_trigger=args.max_files_per_batch)
     elif args.job == "migrate":
         import os
 

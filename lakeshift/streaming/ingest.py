@@ -58,6 +58,7 @@ def ingest_available(
     *,
     fmt: str = "parquet",
     batch_column: str | None = "intake_batch",
+    max_files_per_trigger: int | None = None,
 ) -> None:
     """ST1: copy every not-yet-seen file's rows to ``sink``.
 
@@ -65,7 +66,7 @@ def ingest_available(
     (overwritten on replay, so idempotent) and the id is readable as a column;
     without it the exactly-once parquet file sink is used.
     """
-    stream = file_stream(spark, source, schema, fmt)
+    stream = file_stream(spark, source, schema, fmt, max_files_per_trigger=max_files_per_trigger)
     if batch_column is None:
         writer = stream.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     else:
@@ -135,10 +136,16 @@ def apply_available(
     checkpoint: str,
     *,
     recursive: bool = False,
+    max_files_per_trigger: int | None = None,
     **kw,
 ) -> None:
-    """ST2: apply every newly landed change file to ``table``, batch by batch."""
-    stream = file_stream(spark, source, schema, recursive=recursive)
+    """ST2: apply every newly landed change file to ``table``, batch by batch.
+
+    ``max_files_per_trigger`` bounds each micro-batch, so a large backlog
+    (first run, or after an outage) is applied as several bounded batches in
+    landing order instead of one huge one.
+    """
+    stream = file_stream(spark, source, schema, recursive=recursive, max_files_per_trigger=max_files_per_trigger)
     applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id_for(checkpoint), **kw)
     writer = stream.writeStream.foreachBatch(applier).option("checkpointLocation", checkpoint)
     run_available(writer)

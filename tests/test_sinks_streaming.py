@@ -111,3 +111,18 @@ def test_merge_sql_text_and_parquet_refusal(spark, workdir):
 def test_num_files_sets_output_file_count(spark, workdir):
     K.write_snapshot(spark.range(1000), workdir, num_files=5)
     assert len([f for f in list_files(spark, workdir) if "/part-" in f]) == 5
+
+
+def test_backlog_is_applied_in_bounded_batches_in_landing_order(spark, workdir):
+    import time
+
+    t = K.VersionedTable(spark, f"{workdir}/tbl", "lakeshift_t", "backlog")
+    t.commit(spark.createDataFrame([(1, "a")], "k bigint, v string"), 0)
+    schema = "Op string, k bigint, v string, seq bigint"
+    for i, rows in enumerate([[("U", 1, "b", 1)], [("D", 1, None, 2)], [("I", 1, "c", 3), ("I", 2, "d", 4)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{workdir}/land/f{i}")
+        time.sleep(1.1)  # distinct modification times: landing order is file order
+    apply_available(spark, f"{workdir}/land/*", schema, t, "k", ["seq"], f"{workdir}/ck",
+                    max_files_per_trigger=1, drop_cols=["Op", "seq"])
+    assert t.versions() == [0, 1, 2, 3]
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "c"), (2, "d")]
