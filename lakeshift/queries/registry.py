@@ -26,7 +26,7 @@ from lakeshift.session import list_files, new_work_dir
 from lakeshift.sinks import snapshot as K
 from lakeshift.sources.catalog import classes_from_schema, column_classes
 from lakeshift.sources.files import read_recursive
-from lakeshift.sources.jdbc import key_bounds, plan_key_ranges, read_key_ranges
+from lakeshift.sources.jdbc import key_bounds, plan_balanced, read_key_ranges
 from lakeshift.streaming.ingest import apply_available, ingest_available
 
 CHECK_DB = "lakeshift_checks"
@@ -261,7 +261,7 @@ def q_table_preview(spark, sf_dir):
 def q_union_all_chunks(spark, sf_dir):
     src = fx.gapped_keys(Tables(spark, sf_dir))
     b = key_bounds(src, "o_orderkey")
-    ranges = plan_key_ranges(int(b[0]), int(b[1]), num_partitions=8) if b else []
+    ranges = plan_balanced(src, "o_orderkey", int(b[0]), int(b[1]), num_partitions=8) if b else []
     return read_key_ranges(src, "o_orderkey", ranges)
 
 

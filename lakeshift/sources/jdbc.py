@@ -89,6 +89,90 @@ def plan_key_ranges(lo: int, hi: int, *, num_partitions: int | None = None, stri
     return [(s, min(s + stride, hi + 1)) for s in range(lo, hi + 1, stride)]
 
 
+def bucket_width(lo: int, hi: int, buckets: int) -> int:
+    return max(1, math.ceil((hi - lo + 1) / max(1, buckets)))
+
+
+def histogram_sql(table_sql: str, key: str, lo: int, width: int, hi_excl: int | None = None) -> str:
+    """Rows per fixed-width key bucket, counted by the source (one row per bucket)."""
+    b = f"FLOOR(({key} - {lo}) / {width})"
+    where = f"{key} IS NOT NULL" if hi_excl is None else f"{key} >= {lo} AND {key} < {hi_excl}"
+    return f"SELECT {b} AS bucket, COUNT(*) AS n FROM {table_sql} WHERE {where} GROUP BY {b}"
+
+
+def key_histogram(df: DataFrame, key: str, lo: int, width: int, hi_excl: int | None = None) -> DataFrame:
+    """The same histogram for a DataFrame source (partially aggregated; one row per bucket)."""
+    k = F.col(key)
+    cond = k.isNotNull() if hi_excl is None else (k >= lo) & (k < hi_excl)
+    # exact integer division (keys are >= lo here); floating division would
+    # misplace large bigint keys
+    bucket = F.expr(f"(`{key}` - {lo}) div {width}")
+    return df.filter(cond).groupBy(bucket.cast("bigint").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+Segment = tuple  # (start, end_exclusive, rows)
+Histogram = "Callable[[int, int, int], dict[int, int]]"  # (lo, hi_excl, width) -> {bucket: rows}
+
+
+def _segments(lo: int, hi_excl: int, width: int, counts: dict[int, int]) -> list[Segment]:
+    return sorted((lo + b * width, min(lo + (b + 1) * width, hi_excl), n) for b, n in counts.items() if n > 0)
+
+
+def balanced_segments(lo: int, hi: int, histogram, num_partitions: int, buckets: int = 1024) -> list[Segment]:
+    """Non-empty key segments with row counts: one histogram over ``lo..hi``,
+    then one finer histogram inside each bucket that alone holds more than a
+    partition's share (at most ``num_partitions`` of them)."""
+    width = bucket_width(lo, hi, buckets)
+    segs = _segments(lo, hi + 1, width, histogram(lo, hi + 1, width))
+    share = sum(n for _, _, n in segs) / max(1, num_partitions)
+    out: list[Segment] = []
+    for a, b, n in segs:
+        if n > share and b - a > 1:
+            sub_w = bucket_width(a, b - 1, buckets)
+            out.extend(_segments(a, b, sub_w, histogram(a, b, sub_w)))
+        else:
+            out.append((a, b, n))
+    return out
+
+
+def ranges_from_segments(lo: int, hi: int, segments: list[Segment], num_partitions: int) -> list[tuple[int, int]]:
+    """Half-open ranges covering ``lo..hi`` with about equal row counts.
+
+    Segments are merged in key order and a range is closed once it holds its
+    share, so empty key stretches cost nothing and dense ones get more ranges.
+    """
+    if hi < lo:
+        return []
+    parts = max(1, int(num_partitions))
+    total = sum(n for _, _, n in segments)
+    if total == 0 or parts == 1:
+        return [(lo, hi + 1)]
+    share = total / parts
+    ranges, start, acc, cuts = [], lo, 0, 0
+    for _, end, n in sorted(segments):
+        acc += n
+        if acc >= share * (cuts + 1) and cuts < parts - 1 and start < end <= hi:
+            ranges.append((start, end))
+            start, cuts = end, cuts + 1
+    ranges.append((start, hi + 1))
+    return ranges
+
+
+def balanced_ranges(lo: int, hi: int, width: int, counts: dict[int, int], num_partitions: int) -> list[tuple[int, int]]:
+    """Balanced ranges from one bucket histogram (``counts``: bucket -> rows)."""
+    return ranges_from_segments(lo, hi, _segments(lo, hi + 1, width, counts), num_partitions)
+
+
+def plan_balanced(df: DataFrame, key: str, lo: int, hi: int, num_partitions: int, buckets: int = 1024) -> list[tuple[int, int]]:
+    """Balanced ranges for a DataFrame source: histograms by Spark, plan on the driver."""
+
+    def histogram(a: int, b: int, width: int) -> dict[int, int]:
+        return {int(r["bucket"]): int(r["n"]) for r in key_histogram(df, key, a, width, b).collect()}
+
+    segs = balanced_segments(lo, hi, histogram, num_partitions, buckets)
+    return ranges_from_segments(lo, hi, segs, num_partitions)
+
+
 def integer_bounds(key: str, lo, hi) -> tuple[int, int]:
     """Key bounds as integers; a non-numeric key is rejected with a clear message."""
     import decimal
@@ -151,6 +235,31 @@ def read_by_ranges(
     return spark.read.jdbc(src.url, f"({query}) q", predicates=range_predicates(key, ranges), properties=props)
 
 
+def read_balanced(
+    spark: SparkSession,
+    src: JdbcSource,
+    query: str,
+    key: str,
+    *,
+    num_partitions: int,
+    buckets: int = 1024,
+) -> DataFrame:
+    """S7 for skewed or gappy keys: bounds, then bucket histograms computed by
+    the source (aggregates pushed down; at most ~``buckets`` rows come back per
+    histogram), then ``num_partitions`` ranges of about equal row counts."""
+    b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
+    if b is None or b["lo"] is None:
+        return read_query(spark, src, query).limit(0)
+    lo, hi = integer_bounds(key, b["lo"], b["hi"])
+
+    def histogram(a: int, b_excl: int, width: int) -> dict[int, int]:
+        rows = read_query(spark, src, histogram_sql(f"({query}) h", key, a, width, b_excl)).collect()
+        return {int(r["bucket"]): int(r["n"]) for r in rows}
+
+    segs = balanced_segments(lo, hi, histogram, num_partitions, buckets)
+    return read_by_ranges(spark, src, query, key, ranges_from_segments(lo, hi, segs, num_partitions))
+
+
 def read_table_typed(
     spark: SparkSession,
     src: JdbcSource,
@@ -161,13 +270,17 @@ def read_table_typed(
     key: str | None = None,
     num_partitions: int = 1,
     stride: int | None = None,
+    balanced: bool = True,
 ) -> DataFrame:
     """P1 + S3/S7: read one table with its typed projection, in parallel when a key is given.
 
     ``stride`` reads fixed-width key windows (the source jobs used 100000);
-    otherwise ``num_partitions`` equal ranges between the key bounds.
+    otherwise ``num_partitions`` ranges between the key bounds, balanced by a
+    source-side histogram (default) or of equal width.
     """
     query = typed_select_sql(database, table, classes)
+    if key and not stride and balanced and num_partitions > 1:
+        return read_balanced(spark, src, query, key, num_partitions=num_partitions)
     if key and stride:
         b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
         if b is None or b["lo"] is None:

@@ -115,3 +115,38 @@ def test_schema_probe_empty_and_emptiness(spark):
     assert e.schema == df.schema and e.count() == 0
     assert B.is_empty(e) and not B.is_empty(df)
     assert B.preview(df, 3).collect() == B.preview(df.orderBy(df.id.desc()), 3).collect()
+
+
+@settings(max_examples=200, deadline=None)
+@given(counts=st.dictionaries(st.integers(0, 99), st.integers(0, 1000), max_size=60), parts=st.integers(1, 16))
+def test_balanced_ranges_cover_and_balance(counts, parts):
+    lo, width = 1000, 10
+    hi = lo + 100 * width - 1
+    ranges = J.balanced_ranges(lo, hi, width, counts, parts)
+    assert ranges[0][0] == lo and ranges[-1][1] == hi + 1
+    assert all(ranges[i][1] == ranges[i + 1][0] for i in range(len(ranges) - 1))
+    assert all(a < b for a, b in ranges) and len(ranges) <= parts
+    total = sum(counts.values())
+    biggest = max(counts.values(), default=0)
+    for a, b in ranges:
+        rows = sum(n for k, n in counts.items() if a <= lo + k * width < b)
+        assert rows <= total / parts + biggest + 1e-9
+
+
+def test_balanced_plan_splits_dense_keys(spark):
+    # 1000 dense keys, then a sparse tail far away: equal width would put
+    # almost everything in the first range
+    df = spark.range(0, 1000).unionByName(spark.range(10**6, 10**6 + 10**5, 10**4))
+    lo, hi = J.key_bounds(df, "id")
+    ranges = J.plan_balanced(df, "id", lo, hi, num_partitions=4)
+    sizes = [df.filter((df.id >= a) & (df.id < b)).count() for a, b in ranges]
+    assert sum(sizes) == df.count() and max(sizes) <= 260
+    assert "GROUP BY FLOOR((k - 5) / 7)" in J.histogram_sql("t", "k", 5, 7)
+    assert "WHERE k >= 5 AND k < 40" in J.histogram_sql("t", "k", 5, 7, 40)
+
+
+def test_histogram_is_exact_for_large_keys(spark):
+    big = 9_000_000_000_000_000_000
+    df = spark.createDataFrame([(big,), (big + 1,), (big + 2,)], "k bigint")
+    got = {r.bucket: r.n for r in J.key_histogram(df, "k", big, 1).collect()}
+    assert got == {0: 1, 1: 1, 2: 1}
