@@ -73,12 +73,24 @@ def overwrite_merge_schema(spark: SparkSession, df: DataFrame, path: str, fmt: s
 
 
 def export_single_file(df: DataFrame, path: str, *, max_rows: int = 1_000_000, fmt: str = "parquet") -> int:
-    """K3: write ``df`` as one file. Guarded: refuses results above ``max_rows``
-    rather than funnelling a large table through a single task."""
-    n = df.limit(max_rows + 1).count()
+    """K3: write ``df`` as one file, for small results (reports, catalogues).
+
+    The result is computed once, in parallel, into a staging folder; its size
+    is checked from that copy (a parquet count reads only footers); only then
+    is the small staged copy moved through one task into a single file. A
+    result above ``max_rows`` is refused instead of being funnelled through one
+    task, and the upstream plan never runs inside a single task.
+    """
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}__staging"
+    df.write.format(fmt).mode("overwrite").save(staging)
+    staged = spark.read.format(fmt).load(staging)
+    n = staged.count()
     if n > max_rows:
-        raise ValueError(f"refusing single-file export of more than {max_rows} rows")
-    df.coalesce(1).write.format(fmt).mode("overwrite").save(path)
+        raise ValueError(f"refusing single-file export of {n} rows (limit {max_rows})")
+    staged.repartition(1).write.format(fmt).mode("overwrite").save(path)
+    fs, p = hadoop_fs(spark, staging)
+    fs.delete(p, True)
     return n
 
 
