@@ -52,10 +52,22 @@ def _now() -> str:
     return datetime.now().strftime("%Y-%m-%d %H:%M:%S")
 
 
-def keyed_table(spark: SparkSession, warehouse: str, database: str, table_name: str, partition_key: str | None) -> VersionedTable:
+def keyed_table(
+    spark: SparkSession,
+    warehouse: str,
+    database: str,
+    table_name: str,
+    partition_key: str | None,
+    primary_key: str | None = None,
+    buckets: int | None = None,
+) -> VersionedTable:
+    """The keyed table's snapshot store; with ``buckets`` bucketed by the primary
+    key, so change batches too big to broadcast never shuffle the table."""
     return VersionedTable(
         spark, f"{warehouse.rstrip('/')}/{database}/{table_name}", database, table_name,
         partition_by=[partition_key] if partition_key else None,
+        bucket_by=[primary_key] if buckets and primary_key else None,
+        buckets=buckets if buckets and primary_key else None,
     )
 
 
@@ -68,9 +80,11 @@ def full_load_job(
     table_name: str,
     partition_key: str | None = None,
     run_ts: str | None = None,
+    primary_key: str | None = None,
+    buckets: int | None = None,
 ) -> dict:
     """M5: create the table from the full-load files unless it exists already."""
-    t = keyed_table(spark, warehouse, database, table_name, partition_key)
+    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
     if t.current_version() is not None:
         return {"status": "exists", "table": t.name()}
     raw = read_recursive(spark, raw_path)
@@ -93,6 +107,7 @@ def cdc_job(
     order_by: list[str] | None = None,
     run_ts: str | None = None,
     max_files_per_trigger: int | None = None,
+    buckets: int | None = None,
 ) -> list[dict]:
     """ST1 + ST2: apply every change file landed since the last run.
 
@@ -100,7 +115,7 @@ def cdc_job(
     upserts, then all deletes; repeated keys are an error); with it, the last
     change per key wins. Returns one report per applied batch.
     """
-    t = keyed_table(spark, warehouse, database, table_name, partition_key)
+    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
     if t.current_version() is None:
         raise TableMissing(f"{t.name()} has no snapshot yet; run full-load first")
     schema = read_recursive(spark, raw_path).schema  # footers only
@@ -206,8 +221,9 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
         s.add_argument("--table-name", required=True)
         s.add_argument("--partition-key")
         s.add_argument("--run-ts")
+        s.add_argument("--buckets", type=int, help="bucket the table by the primary key into N buckets")
+        s.add_argument("--primary-key", required=(name == "cdc"))
         if name == "cdc":
-            s.add_argument("--primary-key", required=True)
             s.add_argument("--checkpoint")
             s.add_argument("--order-by", help="comma-separated change-order columns (enables latest-wins)")
             s.add_argument("--max-files-per-batch", type=int)
@@ -230,13 +246,14 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
     spark = SparkSession.builder.getOrCreate()
     if args.job == "full-load":
         res = full_load_job(spark, raw_path=args.raw_path, warehouse=args.warehouse, database=args.database,
-                            table_name=args.table_name, partition_key=args.partition_key, run_ts=args.run_ts)
+                            table_name=args.table_name, partition_key=args.partition_key, run_ts=args.run_ts,
+                            primary_key=args.primary_key, buckets=args.buckets)
     elif args.job == "cdc":
         res = cdc_job(spark, raw_path=args.raw_path, warehouse=args.warehouse, database=args.database,
                       table_name=args.table_name, primary_key=args.primary_key, partition_key=args.partition_key,
                       checkpoint=args.checkpoint, run_ts=args.run_ts,
                       order_by=args.order_by.split(",") if args.order_by else None,
-                      max_files_per_trigger=args.max_files_per_batch)
+                      max_files_per_trigger=args.max_files_per_batch, buckets=args.buckets)
     elif args.job == "migrate":
         import os
 

@@ -378,7 +378,9 @@ def q_incremental_cdc_apply(spark, sf_dir):
     t = Tables(spark, sf_dir)
     feed = fx.cdc_many_feed(t)
     base = new_work_dir(spark, "cdc_stream")
-    table = K.VersionedTable(spark, f"{base}/table", CHECK_DB, "user_state_" + base.rsplit("-", 1)[-1])
+    table = K.VersionedTable(
+        spark, f"{base}/table", CHECK_DB, "user_state_" + base.rsplit("-", 1)[-1], bucket_by=["user_id"], buckets=8
+    )
     table.commit(fx.cdc_many_target(t), 0)
     day = F.dayofmonth("ts")
     for i, drop in enumerate([feed.filter(day <= 15), feed.filter(day > 15)]):

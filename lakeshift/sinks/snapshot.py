@@ -113,6 +113,8 @@ def register_table(
     fmt: str = "parquet",
     schema=None,
     partition_by: list[str] | None = None,
+    bucket_by: list[str] | None = None,
+    buckets: int | None = None,
 ) -> str:
     """K6 + K7 + K8: (re)register an external table over ``path`` with generated DDL.
 
@@ -121,6 +123,8 @@ def register_table(
     """
     ensure_database(spark, database)
     name = qualified(database, table)
+    if schema is None and bucket_by:
+        schema = spark.read.format(fmt).load(path).schema  # bucketing needs an explicit column list
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     cols = ""
     if schema is not None:
@@ -128,13 +132,33 @@ def register_table(
     parts = ""
     if partition_by:
         parts = " PARTITIONED BY (" + ", ".join(quote_ident(c) for c in partition_by) + ")"
+    if bucket_by and buckets:
+        keys = ", ".join(quote_ident(c) for c in bucket_by)
+        parts += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets)} BUCKETS"
     spark.sql(f"CREATE TABLE {name}{cols} USING {fmt}{parts} LOCATION {sql_string(path)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
 
 
-def repoint_table(spark: SparkSession, database: str, table: str, path: str, *, fmt: str = "parquet", schema=None) -> str:
+def table_location(spark: SparkSession, name: str) -> str | None:
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if (r[0] or "").strip() == "Location":
+            return (r[1] or "").strip()
+    return None
+
+
+def repoint_table(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    path: str,
+    *,
+    fmt: str = "parquet",
+    schema=None,
+    bucket_by: list[str] | None = None,
+    buckets: int | None = None,
+) -> str:
     """Swap an existing table to a new snapshot folder in one catalog update
     (``ALTER TABLE .. SET LOCATION``), so readers never find the table missing.
     Falls back to drop-and-create when the table is absent or its schema changed."""
@@ -145,7 +169,7 @@ def repoint_table(spark: SparkSession, database: str, table: str, path: str, *,
             spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_string(path)}")
             spark.sql(f"REFRESH TABLE {name}")
             return name
-    return register_table(spark, database, table, path, fmt=fmt, schema=schema)
+    return register_table(spark, database, table, path, fmt=fmt, schema=schema, bucket_by=bucket_by, buckets=buckets)
 
 
 def create_partitioned_table(
@@ -202,6 +226,12 @@ class VersionedTable:
     ``commit(df, version)`` writes ``root/v=<version>`` and repoints the catalog
     table; a version that already finished (``_SUCCESS`` present) is skipped, so
     replaying a stream batch is harmless.
+
+    With ``bucket_by``/``buckets`` every version is written bucketed by the key
+    and read through the catalog (which holds the bucket spec). A key join
+    against the table - the change apply's anti-join when the change set is too
+    big to broadcast - then scans the target by bucket and shuffles only the
+    change side; the bucketed write itself needs no shuffle either.
     """
 
     def __init__(
@@ -212,9 +242,15 @@ class VersionedTable:
         table: str,
         fmt: str = "parquet",
         partition_by: list[str] | None = None,
+        bucket_by: list[str] | None = None,
+        buckets: int | None = None,
     ):
         self.spark, self.root, self.database, self.table, self.fmt = spark, root.rstrip("/"), database, table, fmt
         self.partition_by = list(partition_by or [])
+        self.bucket_by = list(bucket_by or [])
+        self.buckets = int(buckets) if buckets else None
+        if bool(self.bucket_by) != bool(self.buckets):
+            raise ValueError("give both bucket_by and buckets, or neither")
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:09d}"
@@ -257,7 +293,41 @@ class VersionedTable:
         v = self.current_version()
         if v is None:
             raise FileNotFoundError(f"no complete snapshot under {self.root}")
-        return self.spark.read.format(self.fmt).load(self.path(v))
+        if not self.bucket_by:
+            return self.spark.read.format(self.fmt).load(self.path(v))
+        # bucketed: read through the catalog, after making sure it points at
+        # the newest complete version (a crash may have left it one behind)
+        loc = table_location(self.spark, self.name()) if table_exists(self.spark, self.database, self.table) else None
+        if loc is None or loc.rstrip("/").rsplit("/", 1)[-1] != self.path(v).rsplit("/", 1)[-1]:
+            self._point(self.path(v))
+        return self.spark.table(self.name())
+
+    def _point(self, path: str, schema=None) -> None:
+        """Point the catalog table at ``path`` (schema as read back from the files)."""
+        if schema is None:
+            schema = self.spark.read.format(self.fmt).load(path).schema
+        if self.partition_by:
+            register_table(self.spark, self.database, self.table, path, fmt=self.fmt, schema=schema,
+                           partition_by=self.partition_by, bucket_by=self.bucket_by, buckets=self.buckets)
+        else:
+            repoint_table(self.spark, self.database, self.table, path, fmt=self.fmt, schema=schema,
+                          bucket_by=self.bucket_by, buckets=self.buckets)
+
+    def _write(self, df: DataFrame, version: int) -> None:
+        if not self.bucket_by:
+            write_snapshot(df, self.path(version), fmt=self.fmt, partition_by=self.partition_by or None)
+            return
+        # bucketed files can only be written through saveAsTable; write via a
+        # throw-away external table over the version folder, then drop it
+        # (external: the files stay)
+        ensure_database(self.spark, self.database)
+        staging = f"{self.table}__v{version}"
+        w = df.write.format(self.fmt).bucketBy(self.buckets, *self.bucket_by).sortBy(*self.bucket_by)
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        self.spark.sql(f"DROP TABLE IF EXISTS {qualified(self.database, staging)}")
+        w.option("path", self.path(version)).mode("overwrite").saveAsTable(f"{self.database}.{staging}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {qualified(self.database, staging)}")
 
     def commit(self, df: DataFrame, version: int) -> bool:
         """Write version ``version``; False if it already exists (replay)."""
@@ -266,21 +336,15 @@ class VersionedTable:
         cur = self.current_version()
         if cur is not None and version <= cur:
             raise ValueError(f"version {version} is not after current version {cur}")
-        write_snapshot(df, self.path(version), fmt=self.fmt, partition_by=self.partition_by or None)
-        if self.partition_by:
-            register_table(
-                self.spark, self.database, self.table, self.path(version), fmt=self.fmt,
-                schema=df.schema, partition_by=self.partition_by,
-            )
-        else:
-            repoint_table(self.spark, self.database, self.table, self.path(version), fmt=self.fmt)
+        self._write(df, version)
+        self._point(self.path(version))
         return True
 
     def name(self) -> str:
         return qualified(self.database, self.table)
 
 
-def refresh_table(spark: SparkSession, df: DataFrame, root: str, database: str, table: str, fmt: str = "parquet") -> str:
+def refresh_table(spark: SparkSession, df: DataFrame, root: str, database: str, table: str, fmt: str = "parquet") -> str:  # noqa: E501
     """Full refresh as a swap. The new snapshot is written completely, then
     the catalog table is repointed; a failed refresh leaves the old one in place."""
     t = VersionedTable(spark, root, database, table, fmt)

@@ -22,7 +22,8 @@ def test_full_load_then_cdc_batches(spark, workdir):
         jobs.cdc_job(spark, raw_path=f"{raw}/cdc", warehouse=wh, database="lakeshift_jobs", table_name="orders",
                      primary_key="o_orderkey")
     r = jobs.full_load_job(spark, raw_path=f"{raw}/full", warehouse=wh, database="lakeshift_jobs",
-                           table_name="orders", partition_key="o_orderstatus", run_ts="2024-02-01 00:00:00")
+                           table_name="orders", partition_key="o_orderstatus", run_ts="2024-02-01 00:00:00",
+                           primary_key="o_orderkey", buckets=4)
     assert r["status"] == "created"
     assert jobs.full_load_job(spark, raw_path=f"{raw}/full", warehouse=wh, database="lakeshift_jobs",
                               table_name="orders", partition_key="o_orderstatus")["status"] == "exists"
@@ -33,7 +34,7 @@ def test_full_load_then_cdc_batches(spark, workdir):
     feed = fx.cdc_one_feed(t).withColumn("update_ts_dms", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
     feed.write.parquet(f"{raw}/cdc/2024/01/02")
     kw = dict(raw_path=f"{raw}/cdc", warehouse=wh, database="lakeshift_jobs", table_name="orders",
-              primary_key="o_orderkey", partition_key="o_orderstatus", run_ts="2024-02-02 00:00:00")
+              primary_key="o_orderkey", partition_key="o_orderstatus", run_ts="2024-02-02 00:00:00", buckets=4)
     reports = jobs.cdc_job(spark, **kw)
     assert len(reports) == 1 and set(reports[0]["ops"]) == {"I", "U", "D"}
     assert jobs.cdc_job(spark, **kw) == []  # nothing new landed

@@ -126,3 +126,27 @@ def test_backlog_is_applied_in_bounded_batches_in_landing_order(spark, workdir):
                     max_files_per_trigger=1, drop_cols=["Op", "seq"])
     assert t.versions() == [0, 1, 2, 3]
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, "c"), (2, "d")]
+
+
+def test_bucketed_versions_avoid_target_shuffle(spark, workdir):
+    from lakeshift.operators import cdc as C
+
+    t = K.VersionedTable(spark, workdir, "lakeshift_t", "bucketed", bucket_by=["k"], buckets=8)
+    t.commit(spark.range(0, 5000).selectExpr("id AS k", "CAST(id AS STRING) AS v"), 0)
+    feed = spark.range(0, 5000, 7).selectExpr("IF(id % 2 = 0, 'D', 'U') AS Op", "id AS k", "'new' AS v", "id AS seq")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = C.apply_latest(t.read(), feed, "k", ["seq"], drop_cols=["Op", "seq"], broadcast_max_bytes=0)
+        out.write.format("noop").mode("overwrite").save()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        t.commit(out, 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    got = t.read()
+    assert got.count() == 5000 - len(range(0, 5000, 14))
+    assert got.filter("v = 'new'").count() == len([i for i in range(0, 5000, 7) if i % 2])
+    # the catalog pointer is repaired if it lags behind the newest version
+    K.register_table(spark, "lakeshift_t", "bucketed", t.path(0), bucket_by=["k"], buckets=8)
+    assert t.read().count() == got.count()
