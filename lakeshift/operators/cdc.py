@@ -249,7 +249,12 @@ def apply_latest(
     the batch decides, and repeated keys are fine.
     """
     key = _keys(key)
+    order_by = list(order_by)
     known = feed.filter(F.col(op_col).isNotNull())
+    if all(isinstance(c, str) for c in order_by):
+        # bookkeeping columns need not travel through the shuffle
+        early = [c for c in drop_cols if c != op_col and c not in order_by and c not in key]
+        known = known.drop(*early)
     last = latest_changes(known, key, order_by)
     n_keys = last.count()
     if n_keys == 0:
