@@ -83,3 +83,12 @@ def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty frame with ``df``'s schema (no 'limit 1' probe query needed)."""
     return df.limit(0)
+
+
+def filter_equal(df: DataFrame, **equals) -> DataFrame:
+    """Equality predicates as plain filters; Spark pushes them into the
+    source (parquet ``PushedFilters``, JDBC ``WHERE``)."""
+    out = df
+    for c, v in equals.items():
+        out = out.filter(F.col(c) == F.lit(v))
+    return out

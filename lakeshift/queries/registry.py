@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lakeshift.functions import repair as R
 from lakeshift.operators import basic as B
 from lakeshift.operators import cdc
-from lakeshift.operators.projection import select_columns, typed_projection
+from lakeshift.operators.projection import filter_equal, select_columns, typed_projection
 from lakeshift.plans import marts
 from lakeshift.plans.migrate import migrate_tables
 from lakeshift.queries import fixtures as fx
@@ -123,6 +123,11 @@ def q_select_columns(spark, sf_dir):
     return select_columns(Tables(spark, sf_dir).orders, ["o_orderkey", "o_custkey", "o_orderdate"])
 
 
+@register("equality_filter_pushdown", "SELECT * FROM lineitem WHERE l_returnflag = 'R'")
+def q_equality_filter_pushdown(spark, sf_dir):
+    return filter_equal(Tables(spark, sf_dir).lineitem, l_returnflag="R")
+
+
 @register(
     "drop_metadata_columns",
     fx.with_ctes(fx.SQL_CDC_ONE)
