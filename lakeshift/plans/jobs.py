@@ -71,6 +71,20 @@ def keyed_table(
     )
 
 
+def _landed_schema(spark: SparkSession, raw_path: str):
+    """Schema of the landed files (footers only); None while nothing has landed."""
+    from pyspark.errors import AnalysisException
+
+    from lakeshift.session import path_exists
+
+    if not path_exists(spark, raw_path):
+        return None
+    try:
+        return read_recursive(spark, raw_path).schema
+    except AnalysisException:  # folder exists but holds no data files yet
+        return None
+
+
 def full_load_job(
     spark: SparkSession,
     *,
@@ -87,8 +101,9 @@ def full_load_job(
     t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
     if t.current_version() is not None:
         return {"status": "exists", "table": t.name()}
-    raw = read_recursive(spark, raw_path)
-    if raw.isEmpty():
+    schema = _landed_schema(spark, raw_path)
+    raw = read_recursive(spark, raw_path, schema=schema) if schema is not None else None
+    if raw is None or raw.isEmpty():
         return {"status": "no data", "table": t.name()}
     t.commit(stamp_changes(drop_metadata(raw), run_ts or _now()), 0)
     return {"status": "created", "table": t.name(), "version": 0}
@@ -118,7 +133,9 @@ def cdc_job(
     t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
     if t.current_version() is None:
         raise TableMissing(f"{t.name()} has no snapshot yet; run full-load first")
-    schema = read_recursive(spark, raw_path).schema  # footers only
+    schema = _landed_schema(spark, raw_path)
+    if schema is None:
+        return []
     reports: list[dict] = []
     stamp_at = run_ts or _now()
     apply_available(

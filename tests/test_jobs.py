@@ -18,6 +18,8 @@ def test_full_load_then_cdc_batches(spark, workdir):
     full = fx.cdc_one_target(t).select(F.lit("I").alias("Op"), F.lit("tpch").alias("schema_name"),
                                        F.lit("orders").alias("table_name"), *fx.ORDER_COLS, ts)
     full.write.parquet(f"{raw}/full/2024/01/01")
+    assert jobs.full_load_job(spark, raw_path=f"{raw}/nothing", warehouse=wh, database="lakeshift_jobs",
+                              table_name="orders")["status"] == "no data"
     with pytest.raises(jobs.TableMissing):
         jobs.cdc_job(spark, raw_path=f"{raw}/cdc", warehouse=wh, database="lakeshift_jobs", table_name="orders",
                      primary_key="o_orderkey")
@@ -37,6 +39,8 @@ def test_full_load_then_cdc_batches(spark, workdir):
               primary_key="o_orderkey", partition_key="o_orderstatus", run_ts="2024-02-02 00:00:00", buckets=4)
     reports = jobs.cdc_job(spark, **kw)
     assert len(reports) == 1 and set(reports[0]["ops"]) == {"I", "U", "D"}
+    # a run before any change file has landed is a no-op
+    assert jobs.cdc_job(spark, **{**kw, "raw_path": f"{raw}/not_yet"}) == []
     assert jobs.cdc_job(spark, **kw) == []  # nothing new landed
 
     from lakeshift.operators import cdc
