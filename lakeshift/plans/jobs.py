@@ -227,7 +227,7 @@ def marts_job(spark: SparkSession, *, tables, warehouse: str, database: str, tod
     return out
 
 
-def main(argv: list[str] | None = None) -> None:  # pragma: no cover - thin CLI
+def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lakeshift.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
     for name in ("full-load", "cdc"):

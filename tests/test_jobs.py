@@ -89,3 +89,21 @@ def test_business_midnight_is_seoul_day():
     utc = dt.timezone.utc
     assert jobs.business_midnight(dt.datetime(2024, 1, 1, 16, 0, tzinfo=utc)) == "2024-01-02 00:00:00"
     assert jobs.business_midnight(dt.datetime(2024, 1, 1, 14, 59, tzinfo=utc)) == "2024-01-01 00:00:00"
+
+
+def test_command_line_full_load_and_cdc(spark, workdir, capsys):
+    import json
+
+    rows = [("I", "s", "t", 1, "a", "2024-01-01 00:00:00"), ("I", "s", "t", 2, "b", "2024-01-01 00:00:00")]
+    schema = "Op string, schema_name string, table_name string, id bigint, v string, update_ts_dms string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{workdir}/raw/full/x")
+    base = ["--warehouse", f"{workdir}/wh", "--database", "lakeshift_cli", "--table-name", "items",
+            "--run-ts", "2024-02-01 00:00:00"]
+    jobs.main(["full-load", "--raw-path", f"{workdir}/raw/full", "--primary-key", "id", "--buckets", "2", *base])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "created"
+    spark.createDataFrame([("D", "s", "t", 1, None, "2024-01-02 00:00:00"), ("U", "s", "t", 2, "B", "2024-01-02 00:00:00")],
+                          schema).write.parquet(f"{workdir}/raw/cdc/y")
+    jobs.main(["cdc", "--raw-path", f"{workdir}/raw/cdc", "--primary-key", "id", "--buckets", "2", *base])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report[0]["ops"] == {"D": 1, "U": 1}
+    assert [tuple(r) for r in spark.table("lakeshift_cli.items").select("id", "v").collect()] == [(2, "B")]
