@@ -21,6 +21,7 @@ HEADLINE = [
     "typed_projection",
     "cdc_apply",
     "cdc_apply_latest",
+    "cdc_apply_latest_hot_key",
     "dedup_by_key",
     "union_all_chunks",
     "manifest_export",

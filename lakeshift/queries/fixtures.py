@@ -190,6 +190,44 @@ many_feed AS (
   WHERE user_id % 4 <> 0 AND NOT (user_id % 4 = 1 AND event_type = 'error'))"""
 
 
+# -- hot_key_changes: a change feed where ONE key carries a third of all rows ----
+HOT_ORDER = ["changed_at", "partkey", "l_suppkey", "l_linenumber", "quantity", "l_extendedprice", "Op"]
+
+
+def hot_target(t: Tables) -> DataFrame:
+    return t.orders.select(
+        F.col("o_orderkey").alias("k"),
+        F.lit(None).cast("bigint").alias("partkey"),
+        F.lit(0.0).alias("quantity"),
+        F.col("o_orderdate").alias("changed_at"),
+    )
+
+
+def hot_feed(t: Tables) -> DataFrame:
+    k = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_orderkey"))
+    return t.lineitem.select(
+        F.when(F.col("l_returnflag") == "R", "D").otherwise("U").alias("Op"),
+        k.alias("k"),
+        F.col("l_partkey").alias("partkey"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_shipdate").alias("changed_at"),
+        "l_suppkey",
+        "l_linenumber",
+        "l_extendedprice",
+    )
+
+
+SQL_HOT = """hot_target AS (
+  SELECT o_orderkey AS k, CAST(NULL AS BIGINT) AS partkey, CAST(0 AS DOUBLE) AS quantity, o_orderdate AS changed_at
+  FROM orders),
+hot_feed AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 'D' ELSE 'U' END AS Op,
+         CASE WHEN l_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS k,
+         l_partkey AS partkey, l_quantity AS quantity, l_shipdate AS changed_at,
+         l_suppkey, l_linenumber, l_extendedprice
+  FROM lineitem)"""
+
+
 # -- full load as the replication tool lands it ----------------------------------
 def full_load_raw(t: Tables) -> DataFrame:
     txt = F.when(F.col("o_orderkey") % 50 == 0, F.lit("n/a")).otherwise(

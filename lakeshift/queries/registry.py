@@ -217,6 +217,29 @@ def q_cdc_apply_latest(spark, sf_dir):
     return cdc.apply_latest(fx.cdc_many_target(t), fx.cdc_many_feed(t), "user_id", ["ts", "event_id"])
 
 
+_HOT_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in fx.HOT_ORDER)
+_SQL_HOT_LATEST = fx.with_ctes(
+    fx.SQL_HOT,
+    f"""latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_HOT_DESC}) AS rn FROM hot_feed)
+  WHERE rn = 1)""",
+) + """SELECT k, partkey, quantity, changed_at FROM hot_target t
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.k = t.k)
+UNION ALL
+SELECT k, partkey, quantity, changed_at FROM latest WHERE Op <> 'D'"""
+
+
+@register("cdc_apply_latest_hot_key", _SQL_HOT_LATEST)
+def q_cdc_apply_latest_hot_key(spark, sf_dir):
+    """J4 over all of lineitem as a change feed in which key 0 holds a third of
+    the rows: the per-key reduction is partially aggregated before the shuffle."""
+    t = Tables(spark, sf_dir)
+    return cdc.apply_latest(
+        fx.hot_target(t), fx.hot_feed(t), "k", fx.HOT_ORDER,
+        drop_cols=["l_suppkey", "l_linenumber", "l_extendedprice"],
+    )
+
+
 # ---------------------------------------------------------------- A1-A7, L1 ---
 @register(
     "table_row_count",
