@@ -39,9 +39,11 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakeshift") -> SparkSession:
-    """Session for tests and the bench: UI off, AQE on, UTC session zone."""
+    """Session for tests and the bench: UI off, AQE on, UTC session zone, and a
+    private warehouse folder (a local session only; clusters configure theirs)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakeshift-warehouse-"))
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

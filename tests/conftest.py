@@ -11,12 +11,15 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
 
     from lakeshift.session import work_root
 
     s = (
         SparkSession.builder.master("local[*]")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakeshift-warehouse-"))
         .appName("lakeshift-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
