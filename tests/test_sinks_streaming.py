@@ -150,3 +150,12 @@ def test_bucketed_versions_avoid_target_shuffle(spark, workdir):
     # the catalog pointer is repaired if it lags behind the newest version
     K.register_table(spark, "lakeshift_t", "bucketed", t.path(0), bucket_by=["k"], buckets=8)
     assert t.read().count() == got.count()
+
+
+def test_ingest_with_exactly_once_file_sink(spark, workdir):
+    land, sink, ck = f"{workdir}/land", f"{workdir}/sink", f"{workdir}/ck"
+    spark.range(0, 7).write.parquet(f"{land}/a")
+    ingest_available(spark, f"{land}/*", "id bigint", sink, ck, batch_column=None)
+    spark.range(7, 9).write.parquet(f"{land}/b")
+    ingest_available(spark, f"{land}/*", "id bigint", sink, ck, batch_column=None)
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(9))
