@@ -9,6 +9,7 @@ never from code.
 * ``cdc``        newly landed change files -> applied batch by batch
 * ``migrate``    table list + column catalogue + JDBC source -> snapshots + status
 * ``marts``      the four marts, refreshed in order
+* ``daily``      catalogue extract -> migrate -> marts (marts only if every table migrated)
 """
 
 from __future__ import annotations
@@ -227,6 +228,46 @@ def marts_job(spark: SparkSession, *, tables, warehouse: str, database: str, tod
     return out
 
 
+def daily_flow(
+    spark: SparkSession,
+    *,
+    table_list: str,
+    column_catalog: str,
+    warehouse: str,
+    mart_database: str,
+    today: str | None = None,
+    jdbc: JdbcSource | None = None,
+    schema_name: str | None = None,
+    reader: Reader | None = None,
+    parallel_tables: int = 4,
+    num_partitions: int = 1,
+) -> dict:
+    """The daily sequence: (catalogue extract) -> migrate -> refresh marts.
+
+    With ``jdbc`` and ``schema_name`` the catalogue is extracted first into
+    ``column_catalog`` (parquet). Marts are built from the migrated catalog
+    tables of the first database in the table list, and only when every table
+    migrated - a failed table leaves yesterday's marts in place.
+    """
+    catalog_format = "csv"
+    if jdbc is not None and schema_name:
+        catalog_extract_job(spark, jdbc=jdbc, schema_name=schema_name, out_path=column_catalog)
+        catalog_format = "parquet"
+    status = migrate_job(
+        spark, table_list=table_list, column_catalog=column_catalog, warehouse=warehouse,
+        status_path=f"{warehouse.rstrip('/')}/_status/{datetime.now():%Y%m%d%H%M%S}",
+        reader=reader, jdbc=jdbc, catalog_format=catalog_format,
+        parallel_tables=parallel_tables, num_partitions=num_partitions,
+    )
+    summary = status_summary(status).first().asDict()
+    if summary["failed"]:
+        return {"migration": summary, "marts": "skipped: migration had failures"}
+    source_db = status.select("database").first()["database"]
+    marts = marts_job(spark, tables=CatalogTables(spark, source_db), warehouse=warehouse,
+                      database=mart_database, today=today or business_midnight())
+    return {"migration": summary, "marts": marts}
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="lakeshift.plans.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -253,6 +294,14 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--parallel-tables", type=int, default=4)
     m.add_argument("--num-partitions", type=int, default=1)
     m.add_argument("--stride", type=int)
+    d = sub.add_parser("daily")
+    for a in ("--table-list", "--column-catalog", "--warehouse", "--mart-database", "--jdbc-url", "--schema-name"):
+        d.add_argument(a, required=True)
+    d.add_argument("--jdbc-user")
+    d.add_argument("--jdbc-password-env")
+    d.add_argument("--today")
+    d.add_argument("--parallel-tables", type=int, default=4)
+    d.add_argument("--num-partitions", type=int, default=1)
     k = sub.add_parser("marts")
     k.add_argument("--source-database", required=True)
     k.add_argument("--warehouse", required=True)
@@ -271,6 +320,15 @@ def main(argv: list[str] | None = None) -> None:
                       checkpoint=args.checkpoint, run_ts=args.run_ts,
                       order_by=args.order_by.split(",") if args.order_by else None,
                       max_files_per_trigger=args.max_files_per_batch, buckets=args.buckets)
+    elif args.job == "daily":
+        import os
+
+        src = JdbcSource(url=args.jdbc_url, user=args.jdbc_user,
+                         password=os.environ.get(args.jdbc_password_env) if args.jdbc_password_env else None)
+        res = daily_flow(spark, table_list=args.table_list, column_catalog=args.column_catalog,
+                         warehouse=args.warehouse, mart_database=args.mart_database, today=args.today,
+                         jdbc=src, schema_name=args.schema_name, parallel_tables=args.parallel_tables,
+                         num_partitions=args.num_partitions)
     elif args.job == "migrate":
         import os
 

@@ -107,3 +107,28 @@ def test_command_line_full_load_and_cdc(spark, workdir, capsys):
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report[0]["ops"] == {"D": 1, "U": 1}
     assert [tuple(r) for r in spark.table("lakeshift_cli.items").select("id", "v").collect()] == [(2, "B")]
+
+
+def test_daily_flow_migrates_then_builds_marts(spark, workdir):
+    from lakeshift.plans import marts as M
+    from lakeshift.sources.catalog import catalog_from_schema
+
+    t = fx.Tables(spark, SF_SMALL)
+    names = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
+    spark.createDataFrame([("daily_src", n, None) for n in names], "database string, table string, key string") \
+        .coalesce(1).write.option("header", "true").csv(f"{workdir}/tables")
+    cat = None
+    for n in names:
+        c = catalog_from_schema(spark, "daily_src", n, getattr(t, n).schema)
+        cat = c if cat is None else cat.unionByName(c)
+    cat.coalesce(1).write.option("header", "true").csv(f"{workdir}/catalog")
+    from lakeshift.operators.projection import typed_projection
+
+    out = jobs.daily_flow(spark, table_list=f"{workdir}/tables", column_catalog=f"{workdir}/catalog",
+                          warehouse=f"{workdir}/wh", mart_database="daily_marts", today="2000-01-01",
+                          reader=lambda db, tb, cls: typed_projection(getattr(t, tb), cls))
+    assert out["migration"] == {"tables": 6, "failed": 0}
+    got = spark.table(out["marts"]["domestic_settlement"])
+    want = M.domestic_settlement(t)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+    assert spark.table("daily_src.orders").schema["o_orderdate"].dataType.typeName() == "timestamp_ntz"
