@@ -107,6 +107,11 @@ def repair_columns(
     tinyint_cols: list[str] = (),
 ) -> DataFrame:
     """Apply F1/F2/F3 to the named columns in a single projection."""
+    repairs = _repairs(date_cols, datetime_cols, tinyint_cols)
+    return df.withColumns(repairs) if repairs else df
+
+
+def _repairs(date_cols, datetime_cols, tinyint_cols) -> dict[str, Column]:
     repairs: dict[str, Column] = {}
     for c in datetime_cols:
         repairs[c] = repair_zero_datetime(c)
@@ -114,7 +119,7 @@ def repair_columns(
         repairs[c] = repair_zero_date(c)
     for c in tinyint_cols:
         repairs[c] = tinyint_to_int(c)
-    return df.withColumns(repairs) if repairs else df
+    return repairs
 
 
 def repair_observed(
@@ -131,13 +136,7 @@ def repair_observed(
     The metrics are gathered by whatever action runs next (normally the
     snapshot write), so the counts cost no second pass over the data.
     """
-    repairs: dict[str, Column] = {}
-    for c in datetime_cols:
-        repairs[c] = repair_zero_datetime(c)
-    for c in date_cols:
-        repairs[c] = repair_zero_date(c)
-    for c in tinyint_cols:
-        repairs[c] = tinyint_to_int(c)
+    repairs = _repairs(date_cols, datetime_cols, tinyint_cols)
     if not repairs:
         return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("nulled"))
     raw = {f"__raw_{i}": F.col(c) for i, c in enumerate(repairs)}
