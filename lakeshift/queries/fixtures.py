@@ -111,19 +111,15 @@ SQL_CHANGE_TIME_TEXT = """change_time_text AS (
 
 
 # -- cdc_one_change: orders target and a feed touching each key at most once -----
-def _orders_money(t: Tables) -> DataFrame:
-    return t.orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
-
-
 def cdc_one_target(t: Tables) -> DataFrame:
-    return _orders_money(t).filter(F.col("o_orderkey") % 5 != 4).select(*ORDER_COLS)
+    return t.orders.filter(F.col("o_orderkey") % 5 != 4).select(*ORDER_COLS)
 
 
 def cdc_one_feed(t: Tables) -> DataFrame:
     m = F.col("o_orderkey") % 5
-    o = _orders_money(t).filter(m.isin(1, 2, 4))
+    o = t.orders.filter(m.isin(1, 2, 4))
     op = F.when(m == 4, "I").when(m == 1, "U").otherwise("D")
-    price = F.when(m == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast("decimal(12,2)")
+    price = F.when(m == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     return o.select(
         op.alias("Op"),
         F.lit("tpch").alias("schema_name"),
@@ -138,15 +134,13 @@ def cdc_one_feed(t: Tables) -> DataFrame:
 
 
 SQL_CDC_ONE = """cdc_target AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
-         o_orderdate, o_orderpriority
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE o_orderkey % 5 <> 4),
 cdc_feed AS (
   SELECT CASE o_orderkey % 5 WHEN 4 THEN 'I' WHEN 1 THEN 'U' ELSE 'D' END AS Op,
          'tpch' AS schema_name, 'orders' AS table_name,
          o_orderkey, o_custkey, o_orderstatus,
-         CAST(CASE WHEN o_orderkey % 5 = 1 THEN CAST(o_totalprice AS DECIMAL(12,2)) + 1
-                   ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS o_totalprice,
+         CASE WHEN o_orderkey % 5 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
          o_orderdate, o_orderpriority
   FROM orders WHERE o_orderkey % 5 IN (1, 2, 4))"""
 

@@ -79,11 +79,11 @@ def q_zero_datetime_repair(spark, sf_dir):
 @register(
     "tinyint_to_int",
     fx.with_ctes(fx.SQL_TINYINT_FLAGS)
-    + "SELECT o_orderkey, flag_raw, CAST(flag_raw AS INTEGER) AS flag FROM tinyint_flags",
+    + "SELECT o_orderkey, CAST(flag_raw AS INTEGER) AS flag FROM tinyint_flags",
 )
 def q_tinyint_to_int(spark, sf_dir):
     d = fx.tinyint_flags(Tables(spark, sf_dir))
-    return d.withColumn("flag", R.tinyint_to_int("flag_raw"))
+    return d.select("o_orderkey", R.tinyint_to_int("flag_raw").alias("flag"))
 
 
 @register("time_as_string", "SELECT event_id, strftime(ts, '%H:%M:%S') AS event_time FROM events")
@@ -340,7 +340,7 @@ def q_single_file_export(spark, sf_dir):
     files = [f for f in list_files(spark, path) if f.rsplit("/", 1)[-1].startswith("part-")]
     if len(files) != 1:
         raise AssertionError(f"expected one data file, found {len(files)}")
-    return spark.read.parquet(path)
+    return _money_as_double(spark.read.parquet(path))
 
 
 @register(
@@ -512,7 +512,7 @@ def q_migration_status(spark, sf_dir):
 
 # ---------------------------------------------------------------- K13 ---------
 _SQL_DOMESTIC = """SELECT n.n_name, strftime(o.o_orderdate, '%Y-%m') AS order_month,
-       CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(15,2)))) AS DECIMAL(20,4)) AS revenue,
+       CAST(CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(15,2)))) AS DECIMAL(20,4)) AS DOUBLE) AS revenue,
        count(*) AS lines, count(DISTINCT o.o_orderkey) AS orders
 FROM lineitem l
 JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -527,8 +527,8 @@ _SQL_MARTS = {
   SELECT l_suppkey, count(*) AS lines,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))) AS DECIMAL(20,4)) AS revenue
   FROM lineitem GROUP BY l_suppkey)
-SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name, CAST(s.s_acctbal AS DECIMAL(15,2)) AS s_acctbal,
-       CAST(coalesce(p.lines, 0) AS BIGINT) AS lines, coalesce(p.revenue, CAST(0 AS DECIMAL(20,4))) AS revenue
+SELECT s.s_suppkey, s.s_name, n.n_name, r.r_name, CAST(CAST(s.s_acctbal AS DECIMAL(15,2)) AS DOUBLE) AS s_acctbal,
+       CAST(coalesce(p.lines, 0) AS BIGINT) AS lines, CAST(coalesce(p.revenue, CAST(0 AS DECIMAL(20,4))) AS DOUBLE) AS revenue
 FROM supplier s
 LEFT JOIN per p ON p.l_suppkey = s.s_suppkey
 LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey
@@ -540,26 +540,32 @@ LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
   FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name AS nation,
        CAST(coalesce(p.order_count, 0) AS BIGINT) AS order_count,
-       coalesce(p.total_spent, CAST(0 AS DECIMAL(18,2))) AS total_spent,
+       CAST(coalesce(p.total_spent, CAST(0 AS DECIMAL(18,2))) AS DOUBLE) AS total_spent,
        p.first_order_date, p.last_order_date
 FROM customer c
 LEFT JOIN per p ON p.o_custkey = c.c_custkey
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey""",
     "reservation_information": f"""SELECT strftime(o_orderdate, '%Y-%m') AS order_month, o_orderstatus,
-       count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total
+       count(*) AS n_orders, CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS DOUBLE) AS total
 FROM orders WHERE o_orderdate < TIMESTAMP '{fx.MART_TODAY} 00:00:00'
 GROUP BY strftime(o_orderdate, '%Y-%m'), o_orderstatus""",
     "domestic_settlement": _SQL_DOMESTIC,
 }
 
 
+def _money_as_double(df: DataFrame) -> DataFrame:
+    """Exact decimal money presented as double for the cross-engine check (the
+    conversion of an exact decimal is correctly rounded in both engines)."""
+    return df.select([F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+
+
 def _mart_query(name: str) -> Query:
     def run(spark, sf_dir):
         t = Tables(spark, sf_dir)
         fn = marts.MARTS[name]
         df = fn(t, fx.MART_TODAY) if name == "reservation_information" else fn(t)
         root = new_work_dir(spark, "marts")
-        return marts.refresh_mart(spark, df, root, CHECK_DB, name)
+        return _money_as_double(marts.refresh_mart(spark, df, root, CHECK_DB, name))
 
     return run
 
