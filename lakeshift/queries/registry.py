@@ -56,12 +56,13 @@ def register(name: str, sql: str | None = None):
     "zero_date_repair",
     fx.with_ctes(fx.SQL_DIRTY_DATES)
     + """SELECT o_orderkey, order_date_raw,
-       TRY_CAST(replace(replace(order_date_raw, '0000-00-00', '1900-01-01'), '-00', '-01') AS DATE) AS order_date
+       CAST(TRY_CAST(replace(replace(order_date_raw, '0000-00-00', '1900-01-01'), '-00', '-01') AS DATE)
+            AS TIMESTAMP) AS order_date
 FROM dirty_dates""",
 )
 def q_zero_date_repair(spark, sf_dir):
     d = fx.dirty_dates(Tables(spark, sf_dir))
-    return d.withColumn("order_date", R.repair_zero_date("order_date_raw"))
+    return _portable(d.withColumn("order_date", R.repair_zero_date("order_date_raw")))
 
 
 @register(
@@ -340,7 +341,7 @@ def q_single_file_export(spark, sf_dir):
     files = [f for f in list_files(spark, path) if f.rsplit("/", 1)[-1].startswith("part-")]
     if len(files) != 1:
         raise AssertionError(f"expected one data file, found {len(files)}")
-    return _money_as_double(spark.read.parquet(path))
+    return _portable(spark.read.parquet(path))
 
 
 @register(
@@ -536,7 +537,8 @@ LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
     "user_information": """WITH per AS (
   SELECT o_custkey, count(*) AS order_count,
          CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total_spent,
-         min(CAST(o_orderdate AS DATE)) AS first_order_date, max(CAST(o_orderdate AS DATE)) AS last_order_date
+         CAST(min(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS first_order_date,
+         CAST(max(CAST(o_orderdate AS DATE)) AS TIMESTAMP) AS last_order_date
   FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name AS nation,
        CAST(coalesce(p.order_count, 0) AS BIGINT) AS order_count,
@@ -553,10 +555,19 @@ GROUP BY strftime(o_orderdate, '%Y-%m'), o_orderstatus""",
 }
 
 
-def _money_as_double(df: DataFrame) -> DataFrame:
-    """Exact decimal money presented as double for the cross-engine check (the
-    conversion of an exact decimal is correctly rounded in both engines)."""
-    return df.select([F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])
+def _portable(df: DataFrame) -> DataFrame:
+    """Presentation for the cross-engine check only: exact decimals as double
+    (a correctly rounded conversion in both engines) and dates as midnight
+    timestamps, the types every client renders the same way."""
+
+    def show(c: str, t: str):
+        if t.startswith("decimal"):
+            return F.col(c).cast("double").alias(c)
+        if t == "date":
+            return F.col(c).cast("timestamp_ntz").alias(c)
+        return F.col(c)
+
+    return df.select([show(c, t) for c, t in df.dtypes])
 
 
 def _mart_query(name: str) -> Query:
@@ -565,7 +576,7 @@ def _mart_query(name: str) -> Query:
         fn = marts.MARTS[name]
         df = fn(t, fx.MART_TODAY) if name == "reservation_information" else fn(t)
         root = new_work_dir(spark, "marts")
-        return _money_as_double(marts.refresh_mart(spark, df, root, CHECK_DB, name))
+        return _portable(marts.refresh_mart(spark, df, root, CHECK_DB, name))
 
     return run
 
