@@ -301,8 +301,8 @@ def q_parquet_recursive_scan(spark, sf_dir):
     landing = new_work_dir(spark, "landing")
     # land the events in nested day folders, as a replication tool would
     (
-        ev.withColumn("landing_day", F.date_format("ts", "yyyy/MM/dd"))
-        .write.partitionBy("landing_day")
+        ev.withColumns({"y": F.year("ts"), "m": F.month("ts"), "d": F.dayofmonth("ts")})
+        .write.partitionBy("y", "m", "d")  # three folder levels: y=/m=/d=
         .parquet(landing)
     )
     return read_recursive(spark, landing, schema=ev.schema)
