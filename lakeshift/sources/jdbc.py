@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from lakeshift.operators.projection import typed_select_sql
 from lakeshift.sources.catalog import CATALOG_SCHEMA, ColumnClasses, catalog_query_sql
 
-DEFAULT_FETCH_SIZE = 4000
-DEFAULT_QUERY_TIMEOUT = 300
+# --- Fixed values: the source jobs' JDBC read settings. -----------------------
+DEFAULT_FETCH_SIZE = 4000  # rows per round trip
+DEFAULT_QUERY_TIMEOUT = 300  # seconds
+SOURCE_CHUNK_STRIDE = 100000  # key width of one chunk in the source jobs' serial loop
+# ------------------------------------------------------------------------------
 
 
 @dataclass
@@ -274,7 +277,7 @@ def read_table_typed(
 ) -> DataFrame:
     """P1 + S3/S7: read one table with its typed projection, in parallel when a key is given.
 
-    ``stride`` reads fixed-width key windows (the source jobs used 100000);
+    ``stride`` reads fixed-width key windows (the source jobs used ``SOURCE_CHUNK_STRIDE``);
     otherwise ``num_partitions`` ranges between the key bounds, balanced by a
     source-side histogram (default) or of equal width.
     """

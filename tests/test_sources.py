@@ -19,7 +19,7 @@ def test_ranges_cover_exactly_once(lo, span, n):
 
 
 def test_ranges_by_stride_and_empty():
-    assert J.plan_key_ranges(0, 250000, stride=100000) == [(0, 100000), (100000, 200000), (200000, 250001)]
+    assert J.plan_key_ranges(0, 250000, stride=J.SOURCE_CHUNK_STRIDE) == [(0, 100000), (100000, 200000), (200000, 250001)]
     assert J.plan_key_ranges(5, 4, num_partitions=3) == []
     with pytest.raises(TypeError):
         J.plan_key_ranges("a", "z", num_partitions=2)
