@@ -224,7 +224,7 @@ def marts_job(spark: SparkSession, *, tables, warehouse: str, database: str, tod
         fn: Callable = M.MARTS[name]
         df = fn(tables, today) if name == "reservation_information" else fn(tables)
         M.refresh_mart(spark, df, f"{warehouse.rstrip('/')}/marts", database, name)
-        out[name] = f"{database}.bi_{name}"
+        out[name] = f"{database}.{M.MART_TABLE_PREFIX}{name}"
     return out
 
 

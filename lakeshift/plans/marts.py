@@ -120,16 +120,20 @@ def domestic_settlement(t) -> DataFrame:
     return per.join(nation, "nationkey").select("n_name", "order_month", "revenue", "lines", "orders")
 
 
+# --- Fixed values: mart names, their table prefix and refresh order. ----------
+REFRESH_ORDER = ["company_integration", "user_information", "reservation_information", "domestic_settlement"]
+MART_TABLE_PREFIX = "bi_"
+# ------------------------------------------------------------------------------
+
 MARTS: dict[str, Callable] = {
     "company_integration": company_integration,
     "user_information": user_information,
     "reservation_information": reservation_information,
     "domestic_settlement": domestic_settlement,
 }
-REFRESH_ORDER = ["company_integration", "user_information", "reservation_information", "domestic_settlement"]
 
 
 def refresh_mart(spark: SparkSession, df: DataFrame, root: str, database: str, name: str) -> DataFrame:
     """Swap in a freshly computed mart; returns the table as now registered."""
-    table = refresh_table(spark, df, f"{root}/{name}", database, f"bi_{name}")
+    table = refresh_table(spark, df, f"{root}/{name}", database, f"{MART_TABLE_PREFIX}{name}")
     return spark.table(table)
