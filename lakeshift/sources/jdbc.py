@@ -249,7 +249,12 @@ def read_balanced(
 ) -> DataFrame:
     """S7 for skewed or gappy keys: bounds, then bucket histograms computed by
     the source (aggregates pushed down; at most ~``buckets`` rows come back per
-    histogram), then ``num_partitions`` ranges of about equal row counts."""
+    histogram), then ``num_partitions`` ranges of about equal row counts.
+
+    Ranges cannot split one key value: range on a unique key (the primary key).
+    On a non-unique key, a single value holding a large share stays one read
+    task; the migration's REBALANCE still evens out everything after the read.
+    """
     b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
     if b is None or b["lo"] is None:
         return read_query(spark, src, query).limit(0)
