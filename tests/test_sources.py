@@ -150,3 +150,39 @@ def test_histogram_is_exact_for_large_keys(spark):
     df = spark.createDataFrame([(big,), (big + 1,), (big + 2,)], "k bigint")
     got = {r.bucket: r.n for r in J.key_histogram(df, "k", big, 1).collect()}
     assert got == {0: 1, 1: 1, 2: 1}
+
+
+def test_jdbc_read_paths_with_spark_standing_in_for_the_database(spark, workdir, monkeypatch):
+    """The JDBC reader's SQL (bounds, histograms, range predicates) runs as
+    generated - against Spark SQL instead of a database, none may be started here."""
+    from lakeshift.sources.catalog import ColumnClasses
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS jdbc_src")
+    rows = spark.range(0, 2000).selectExpr("id AS id", "CAST(id * 2 AS STRING) AS v") \
+        .unionByName(spark.range(10**7, 10**7 + 50).selectExpr("id AS id", "'far' AS v"))
+    rows.write.mode("overwrite").option("path", f"{workdir}/src").saveAsTable("jdbc_src.items")
+    seen = []
+
+    def fake_query(spark_, src, query):
+        seen.append(query)
+        return spark_.sql(query.replace("`jdbc_src`.`items`", "jdbc_src.items"))
+
+    def fake_ranges(spark_, src, query, key, ranges):
+        seen.append(("ranges", ranges))
+        preds = J.range_predicates(key, ranges)
+        parts = [spark_.sql(f"SELECT * FROM ({query.replace('`jdbc_src`.`items`', 'jdbc_src.items')}) q WHERE {p}")
+                 for p in preds]
+        return J.union_all(parts)
+
+    monkeypatch.setattr(J, "read_query", fake_query)
+    monkeypatch.setattr(J, "read_by_ranges", fake_ranges)
+    src = J.JdbcSource(url="jdbc:none")
+    cls = ColumnClasses("jdbc_src", "items", ["id", "v"])
+    balanced = J.read_table_typed(spark, src, "jdbc_src", "items", cls, key="id", num_partitions=4)
+    assert balanced.count() == 2050
+    ranges = [x for x in seen if isinstance(x, tuple)][-1][1]
+    assert len(ranges) == 4 and ranges[0][0] == 0 and ranges[-1][1] == 10**7 + 50
+    assert any("GROUP BY FLOOR" in q for q in seen if isinstance(q, str))
+    strided = J.read_table_typed(spark, src, "jdbc_src", "items", cls, key="id", stride=J.SOURCE_CHUNK_STRIDE)
+    assert strided.count() == 2050
+    assert sorted(r.id for r in strided.collect()) == sorted(r.id for r in rows.collect())
