@@ -52,6 +52,7 @@ def migrate_table(
     target_database: str | None = None,
     num_files: int | None = None,
     rebalance: bool = True,
+    merge_schema: bool = True,
 ) -> TableStatus:
     """M4: one table end to end; never raises, reports instead (M2).
 
@@ -60,6 +61,8 @@ def migrate_table(
     splits the big ones and merges the small ones, so the per-row repair and
     the write run on even partitions and produce evenly sized files.
     ``num_files`` instead forces an exact partition (file) count.
+    ``merge_schema`` (default, as the source jobs' overwrite) keeps columns that
+    the source no longer has, as nulls, instead of dropping them.
     """
     try:
         df = reader(database, table, classes)
@@ -76,7 +79,8 @@ def migrate_table(
             datetime_cols=[c for c in classes.datetime if types.get(c) == "string"],
             tinyint_cols=[c for c in classes.tinyint if c in types],
         )
-        refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table)
+        refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table,
+                      merge_schema=merge_schema)
         m = obs.get
         return TableStatus(database, table, "ok", int(m["rows"]), int(m["nulled"]), None)
     except Exception as e:  # noqa: BLE001 - isolation is the point

@@ -64,14 +64,23 @@ def overwrite_merge_schema(spark: SparkSession, df: DataFrame, path: str, fmt: s
         write_snapshot(df, path, fmt="delta", merge_schema=True)
         return
     if path_exists(spark, f"{path}/{SUCCESS_MARKER}") or list_files(spark, path):
-        old = spark.read.format(fmt).load(path).schema
-        empty_old = spark.createDataFrame([], old)
-        old_names = [f.name for f in old.fields]
-        aligned = empty_old.unionByName(df, allowMissingColumns=True)
-        df = aligned.select(*old_names, *[c for c in df.columns if c not in old_names])
+        df = align_to_schema(df, spark.read.format(fmt).load(path).schema)
     write_snapshot(df, path, fmt=fmt)
 
 
+def align_to_schema(df: DataFrame, old) -> DataFrame:
+    """Old columns first (missing ones as typed nulls), then new columns: the
+    column set a schema-merging overwrite leaves behind. Pure projection."""
+    from pyspark.sql import functions as F
+
+    have = dict(df.dtypes)
+    cols = [
+        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in old.fields
+    ]
+    old_names = {f.name for f in old.fields}
+    return df.select(*cols, *[c for c in df.columns if c not in old_names])
+
+
 def export_single_file(df: DataFrame, path: str, *, max_rows: int = 1_000_000, fmt: str = "parquet") -> int:
     """K3: write ``df`` as one file, for small results (reports, catalogues).
 
@@ -344,11 +353,24 @@ class VersionedTable:
         return qualified(self.database, self.table)
 
 
-def refresh_table(spark: SparkSession, df: DataFrame, root: str, database: str, table: str, fmt: str = "parquet") -> str:  # noqa: E501
+def refresh_table(
+    spark: SparkSession,
+    df: DataFrame,
+    root: str,
+    database: str,
+    table: str,
+    fmt: str = "parquet",
+    *,
+    merge_schema: bool = False,
+) -> str:
     """Full refresh as a swap. The new snapshot is written completely, then
-    the catalog table is repointed; a failed refresh leaves the old one in place."""
+    the catalog table is repointed; a failed refresh leaves the old one in place.
+    ``merge_schema`` keeps columns of the previous version that the new rows
+    lack (as nulls), like a schema-merging overwrite (K2)."""
     t = VersionedTable(spark, root, database, table, fmt)
     cur = t.current_version()
+    if merge_schema and cur is not None:
+        df = align_to_schema(df, spark.read.format(fmt).load(t.path(cur)).schema)
     t.commit(df, 1 if cur is None else cur + 1)
     return t.name()
 
@@ -356,6 +378,7 @@ def refresh_table(spark: SparkSession, df: DataFrame, root: str, database: str,
 __all__ = [
     "write_snapshot",
     "overwrite_merge_schema",
+    "align_to_schema",
     "export_single_file",
     "ensure_database",
     "table_exists",

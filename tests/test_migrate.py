@@ -24,3 +24,18 @@ def test_failures_are_isolated_and_counted(spark, workdir):
     out = spark.table("lakeshift_m.good")
     assert out.schema["d"].dataType.typeName() == "date"
     assert out.count() == 3
+
+
+def test_remigration_keeps_dropped_source_columns_as_null(spark, workdir):
+    from lakeshift.plans.migrate import migrate_table
+    from lakeshift.sources.catalog import classes_from_schema
+
+    v1 = spark.createDataFrame([(1, "a", "x")], "id bigint, keep string, gone string")
+    v2 = spark.createDataFrame([(2, "b", 7)], "id bigint, keep string, added int")
+    for df in (v1, v2):
+        st = migrate_table(spark, "src", "evolving", classes_from_schema("src", "evolving", df.schema),
+                           lambda db, tb, cls, df=df: df, workdir, target_database="lakeshift_m")
+        assert st.status == "ok", st.error
+    out = spark.table("lakeshift_m.evolving")
+    assert out.columns == ["id", "keep", "gone", "added"]
+    assert [tuple(r) for r in out.collect()] == [(2, "b", None, 7)]
