@@ -98,7 +98,8 @@ def cdc_batch_applier(
     written after the new version is committed; a replayed batch with a marker
     is skipped. A crash between commit and marker re-applies the batch on top
     of its own result, which both J3 and J4 leave unchanged (apply is idempotent).
-    ``on_batch`` receives the batch id and its per-op row counts.
+    ``on_batch`` receives the batch id, its per-op row counts and the table's
+    row count after the apply.
     """
     order_by = list(order_by) if order_by is not None else None
 
@@ -117,7 +118,8 @@ def cdc_batch_applier(
         touch(table.spark, marker)
         if on_batch is not None:
             counts = {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}
-            on_batch(batch_id, {"version": cur + 1, "ops": counts})
+            rows_after = table.read().count()  # parquet: answered from file footers
+            on_batch(batch_id, {"version": cur + 1, "ops": counts, "rows_after": rows_after})
 
     return apply
 

@@ -11,6 +11,12 @@ def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
+def cdc_rows_expected(t):
+    from lakeshift.operators import cdc
+
+    return cdc.apply_changes(fx.cdc_one_target(t), fx.cdc_one_feed(t), "o_orderkey").count()
+
+
 def test_full_load_then_cdc_batches(spark, workdir):
     t = fx.Tables(spark, SF_SMALL)
     raw, wh = f"{workdir}/raw", f"{workdir}/wh"
@@ -39,6 +45,7 @@ def test_full_load_then_cdc_batches(spark, workdir):
               primary_key="o_orderkey", partition_key="o_orderstatus", run_ts="2024-02-02 00:00:00", buckets=4)
     reports = jobs.cdc_job(spark, **kw)
     assert len(reports) == 1 and set(reports[0]["ops"]) == {"I", "U", "D"}
+    assert reports[0]["rows_after"] == cdc_rows_expected(t)
     # a run before any change file has landed is a no-op
     assert jobs.cdc_job(spark, **{**kw, "raw_path": f"{raw}/not_yet"}) == []
     assert jobs.cdc_job(spark, **kw) == []  # nothing new landed
