@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeshift.operators.cdc import drop_metadata, stamp_changes
 from lakeshift.plans import marts as M
 from lakeshift.plans.migrate import Reader, migrate_tables, status_summary
-from lakeshift.sinks.snapshot import VersionedTable, export_single_file
+from lakeshift.sinks.snapshot import VersionedTable, export_single_file, table_report
 from lakeshift.sources.catalog import column_classes, read_column_catalog, read_table_list
 from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import JdbcSource, read_table_typed
@@ -107,7 +107,7 @@ def full_load_job(
     if raw is None or raw.isEmpty():
         return {"status": "no data", "table": t.name()}
     t.commit(stamp_changes(drop_metadata(raw), run_ts or _now()), 0)
-    return {"status": "created", "table": t.name(), "version": 0}
+    return {"status": "created", "version": 0, **table_report(spark, t.name())}
 
 
 def cdc_job(

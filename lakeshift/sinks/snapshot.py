@@ -375,6 +375,20 @@ def refresh_table(
     return t.name()
 
 
+def table_report(spark: SparkSession, name: str, preview_rows: int = 5) -> dict:
+    """K12 as data: DDL, row count and an ordered preview of a registered table
+    (the preview is a top-n by all columns, bounded by ``preview_rows``)."""
+    from lakeshift.operators.basic import preview
+
+    df = spark.table(name)
+    return {
+        "table": name,
+        "ddl": schema_ddl(df.schema),
+        "rows": df.count(),
+        "preview": [r.asDict() for r in preview(df, preview_rows).collect()],
+    }
+
+
 __all__ = [
     "write_snapshot",
     "overwrite_merge_schema",
@@ -389,4 +403,5 @@ __all__ = [
     "read_manifest",
     "VersionedTable",
     "refresh_table",
+    "table_report",
 ]

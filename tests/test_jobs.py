@@ -33,6 +33,8 @@ def test_full_load_then_cdc_batches(spark, workdir):
                            table_name="orders", partition_key="o_orderstatus", run_ts="2024-02-01 00:00:00",
                            primary_key="o_orderkey", buckets=4)
     assert r["status"] == "created"
+    assert r["rows"] == fx.cdc_one_target(t).count() and len(r["preview"]) == 5
+    assert r["preview"][0]["o_orderkey"] == 0 and "o_orderkey" in r["ddl"]
     assert jobs.full_load_job(spark, raw_path=f"{raw}/full", warehouse=wh, database="lakeshift_jobs",
                               table_name="orders", partition_key="o_orderstatus")["status"] == "exists"
     loaded = spark.table("lakeshift_jobs.orders")
