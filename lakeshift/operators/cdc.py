@@ -241,12 +241,19 @@ def apply_latest(
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
     broadcast_max_bytes: int | None = None,
+    stage_dir: str | None = None,
 ) -> DataFrame:
     """Reduce the batch to the last change per key, then apply it once.
 
     A key whose last change is a delete is removed; any other last change
     replaces (or inserts) the row. Unlike :func:`apply_changes`, order within
     the batch decides, and repeated keys are fine.
+
+    With ``stage_dir`` (a folder in shared storage) the reduced changes are
+    written there once and read back: the reduction - a shuffle of the whole
+    batch - runs once instead of twice (key count, then apply), its count comes
+    from parquet footers, and the lineage of the result starts at the staged
+    copy. The caller removes the folder once the result is written.
     """
     key = _keys(key)
     order_by = list(order_by)
@@ -256,6 +263,9 @@ def apply_latest(
         early = [c for c in drop_cols if c != op_col and c not in order_by and c not in key]
         known = known.drop(*early)
     last = latest_changes(known, key, order_by)
+    if stage_dir:
+        last.write.mode("overwrite").parquet(stage_dir)
+        last = last.sparkSession.read.parquet(stage_dir)
     n_keys = last.count()
     if n_keys == 0:
         return target

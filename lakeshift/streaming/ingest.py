@@ -15,7 +15,7 @@ from typing import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_changes, apply_latest, op_counts
-from lakeshift.session import path_exists, touch
+from lakeshift.session import hadoop_fs, path_exists, touch
 from lakeshift.sinks.snapshot import VersionedTable
 
 
@@ -110,12 +110,15 @@ def cdc_batch_applier(
         feed = prepare(batch) if prepare else batch
         current = table.read()
         cur = table.current_version()
+        stage = f"{table.root}/_staging/{stream_id}/{batch_id:012d}"
         if order_by is None:
             new = apply_changes(current, feed, key, op_col=op_col, drop_cols=drop_cols)
         else:
-            new = apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols)
+            new = apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols, stage_dir=stage)
         table.commit(new, cur + 1)
         touch(table.spark, marker)
+        fs, p = hadoop_fs(table.spark, stage)
+        fs.delete(p, True)  # the new version no longer needs the staged changes
         if on_batch is not None:
             counts = {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}
             rows_after = table.read().count()  # parquet: answered from file footers

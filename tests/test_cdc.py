@@ -97,3 +97,13 @@ def test_stamp_changes(spark):
     r = cdc.stamp_changes(f, "2024-02-01 00:00:00").first()
     assert r.update_ts_dms == dt.datetime(2024, 1, 1, 0, 0, 1)
     assert r.last_applied_date == dt.datetime(2024, 2, 1)
+
+
+def test_staged_reduction_gives_the_same_result(spark, workdir):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA_T)
+    f = _feed(spark, [("U", 1, "x", 1, 1), ("U", 1, "y", 2, 2), ("D", 2, None, 1, 3), ("I", 3, "c", 1, 4)])
+    drop = [*cdc.METADATA_COLUMNS, "ts", "seq"]
+    plain = cdc.apply_latest(target, f, "k", ["ts", "seq"], drop_cols=drop)
+    staged = cdc.apply_latest(target, f, "k", ["ts", "seq"], drop_cols=drop, stage_dir=f"{workdir}/stage")
+    assert _rows(staged) == _rows(plain) == [(1, "y"), (3, "c")]
+    assert "stage" in staged._jdf.queryExecution().executedPlan().toString()
