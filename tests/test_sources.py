@@ -186,3 +186,10 @@ def test_jdbc_read_paths_with_spark_standing_in_for_the_database(spark, workdir,
     strided = J.read_table_typed(spark, src, "jdbc_src", "items", cls, key="id", stride=J.SOURCE_CHUNK_STRIDE)
     assert strided.count() == 2050
     assert sorted(r.id for r in strided.collect()) == sorted(r.id for r in rows.collect())
+
+
+def test_table_list_without_key_column(spark, workdir):
+    spark.createDataFrame([("shop", "users")], "database string, table string").coalesce(1).write \
+        .option("header", "true").csv(f"{workdir}/small_list")
+    rows = C.read_table_list(spark, f"{workdir}/small_list").collect()
+    assert [(r.database, r.table, r.key) for r in rows] == [("shop", "users", None)]
