@@ -188,6 +188,7 @@ def migrate_job(
     parallel_tables: int = 4,
     num_partitions: int = 1,
     stride: int | None = None,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """M1 + M2 + K3: migrate every listed table; write the status report as one file."""
     tables = [(r["database"], r["table"], r["key"]) for r in read_table_list(spark, table_list).collect()]
@@ -197,7 +198,7 @@ def migrate_job(
             raise ValueError("migrate_job needs a JDBC source or a reader")
         reader = jdbc_reader(spark, jdbc, {(d, t): k for d, t, k in tables}, num_partitions=num_partitions, stride=stride)
     status = migrate_tables(spark, [(d, t) for d, t, _ in tables], classes, reader, warehouse,
-                            parallel_tables=parallel_tables)
+                            parallel_tables=parallel_tables, skip_empty=skip_empty)
     export_single_file(status, status_path, max_rows=1_000_000)
     return spark.read.parquet(status_path)
 
@@ -294,6 +295,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--parallel-tables", type=int, default=4)
     m.add_argument("--num-partitions", type=int, default=1)
     m.add_argument("--stride", type=int)
+    m.add_argument("--skip-empty", action="store_true", help="leave empty source tables unwritten")
     d = sub.add_parser("daily")
     for a in ("--table-list", "--column-catalog", "--warehouse", "--mart-database", "--jdbc-url", "--schema-name"):
         d.add_argument(a, required=True)
@@ -337,7 +339,7 @@ def main(argv: list[str] | None = None) -> None:
         status = migrate_job(spark, table_list=args.table_list, column_catalog=args.column_catalog,
                              warehouse=args.warehouse, status_path=args.status_path, jdbc=src,
                              catalog_format=args.catalog_format, parallel_tables=args.parallel_tables,
-                             num_partitions=args.num_partitions, stride=args.stride)
+                             num_partitions=args.num_partitions, stride=args.stride, skip_empty=args.skip_empty)
         res = status_summary(status).first().asDict()
     else:
         res = marts_job(spark, tables=CatalogTables(spark, args.source_database), warehouse=args.warehouse,

@@ -53,6 +53,7 @@ def migrate_table(
     num_files: int | None = None,
     rebalance: bool = True,
     merge_schema: bool = True,
+    skip_empty: bool = False,
 ) -> TableStatus:
     """M4: one table end to end; never raises, reports instead (M2).
 
@@ -63,9 +64,14 @@ def migrate_table(
     ``num_files`` instead forces an exact partition (file) count.
     ``merge_schema`` (default, as the source jobs' overwrite) keeps columns that
     the source no longer has, as nulls, instead of dropping them.
+    ``skip_empty`` leaves an empty source table unwritten and unregistered
+    (status ``empty``), as the source jobs did; by default an empty snapshot is
+    written so the table and its schema exist downstream.
     """
     try:
         df = reader(database, table, classes)
+        if skip_empty and df.isEmpty():
+            return TableStatus(database, table, "empty", 0, 0, None)
         if num_files:
             df = df.repartition(num_files)
         elif rebalance:
@@ -99,6 +105,7 @@ def migrate_tables(
     parallel_tables: int = 4,
     num_files: int | None = None,
     rebalance: bool = True,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """M1 + M2: migrate every listed table; returns one status row per table.
 
@@ -112,7 +119,7 @@ def migrate_tables(
             return TableStatus(db, tb, "failed", None, None, f"no catalogue entry for {db}.{tb}")
         return migrate_table(
             spark, db, tb, cls, reader, target_root,
-            target_database=target_database, num_files=num_files, rebalance=rebalance,
+            target_database=target_database, num_files=num_files, rebalance=rebalance, skip_empty=skip_empty,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
@@ -140,5 +147,5 @@ def status_summary(status: DataFrame) -> DataFrame:
     """The error count the source jobs printed, as a one-row frame."""
     return status.agg(
         F.count(F.lit(1)).alias("tables"),
-        F.sum(F.when(F.col("status") != "ok", 1).otherwise(0)).alias("failed"),
+        F.sum(F.when(F.col("status") == "failed", 1).otherwise(0)).alias("failed"),
     )

@@ -39,3 +39,19 @@ def test_remigration_keeps_dropped_source_columns_as_null(spark, workdir):
     out = spark.table("lakeshift_m.evolving")
     assert out.columns == ["id", "keep", "gone", "added"]
     assert [tuple(r) for r in out.collect()] == [(2, "b", None, 7)]
+
+
+def test_empty_tables_written_by_default_or_skipped(spark, workdir):
+    from lakeshift.plans.migrate import migrate_tables
+    from lakeshift.sources.catalog import classes_from_schema
+
+    empty = spark.createDataFrame([], "id bigint, d string")
+    classes = {("src", "none"): classes_from_schema("src", "none", empty.schema)}
+    a = migrate_tables(spark, [("src", "none")], classes, lambda *a: empty, f"{workdir}/a", target_database="lakeshift_e1")
+    assert [(r.status, r.rows_written) for r in a.collect()] == [("ok", 0)]
+    assert spark.table("lakeshift_e1.none").columns == ["id", "d"]
+    b = migrate_tables(spark, [("src", "none")], classes, lambda *a: empty, f"{workdir}/b",
+                       target_database="lakeshift_e2", skip_empty=True)
+    assert [(r.status, r.rows_written) for r in b.collect()] == [("empty", 0)]
+    assert not spark.catalog.tableExists("lakeshift_e2.none")
+    assert status_summary(b).first().failed == 0
