@@ -23,6 +23,7 @@ HEADLINE = [
     "cdc_apply_latest",
     "cdc_apply_latest_hot_key",
     "dedup_by_key",
+    "dedup_hot_copies",
     "union_all_chunks",
     "manifest_export",
     "migrate_tables",

@@ -269,5 +269,13 @@ SQL_DUPLICATE_ROWS = """duplicate_rows AS (
   SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0)"""
 
 
+# -- hot_copies: orders plus, for every line of every third order, a copy of order 0
+#    (one group of identical copies holding about a third of the rows)
+def hot_copies(t: Tables) -> DataFrame:
+    copies_of = t.lineitem.filter(F.col("l_orderkey") % 3 == 0).select(F.lit(0).cast("bigint").alias("o_orderkey"))
+    copies = copies_of.join(t.orders, "o_orderkey")  # equi-join on the constant key, not a cross join
+    return t.orders.unionByName(copies.select(*ORDER_COLS))
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
