@@ -233,8 +233,9 @@ class VersionedTable:
     """A keyed table kept as numbered snapshot folders plus a catalog pointer.
 
     ``commit(df, version)`` writes ``root/v=<version>`` and repoints the catalog
-    table; a version that already finished (``_SUCCESS`` present) is skipped, so
-    replaying a stream batch is harmless.
+    table (one ``ALTER TABLE .. SET LOCATION``; partitioned tables are
+    re-registered instead); a version that already finished (``_SUCCESS``
+    present) is skipped, so replaying a stream batch is harmless.
 
     With ``bucket_by``/``buckets`` every version is written bucketed by the key
     and read through the catalog (which holds the bucket spec). A key join
