@@ -101,3 +101,36 @@ def test_datetime_repair_equals_strict_pattern_parse(spark):
     ).cast("timestamp_ntz")  # session zone is UTC here, so the cast is exact
     rows = df.select(R.repair_zero_datetime("t").alias("a"), strict.alias("b")).collect()
     assert [r.a for r in rows] == [r.b for r in rows]
+
+
+def _model_zero_date(text):
+    """Plain-Python statement of F1 for well-formed YYYY-MM-DD text."""
+    if text is None:
+        return None
+    t = text.replace("0000-00-00", "1900-01-01").replace("-00", "-01")
+    y, m, d = (int(x) for x in t.split("-"))
+    try:
+        return dt.date(y, m, d)
+    except ValueError:
+        return None
+
+
+def test_zero_date_repair_matches_model(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = st.one_of(
+        st.just("0000-00-00"),
+        st.tuples(st.integers(1, 9999), st.integers(0, 13), st.integers(0, 32)).map(
+            lambda p: f"{p[0]:04d}-{p[1]:02d}-{p[2]:02d}"
+        ),
+    )
+
+    @settings(max_examples=5, deadline=None)
+    @given(values=st.lists(texts, min_size=200, max_size=200))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "d string")
+        got = [r[0] for r in df.select(R.repair_zero_date("d")).collect()]
+        assert got == [_model_zero_date(v) for v in values]
+
+    check()
