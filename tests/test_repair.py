@@ -134,3 +134,39 @@ def test_zero_date_repair_matches_model(spark):
         assert got == [_model_zero_date(v) for v in values]
 
     check()
+
+
+def _model_zero_datetime(text):
+    import re
+
+    if text is None:
+        return None
+    t = text.replace("0000-00-00 00:00:00", "1970-01-01 00:00:00")
+    if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}", t):
+        return None
+    y, mo, d, h, mi, s = (int(x) for x in re.split(r"[- :]", t))
+    try:
+        return dt.datetime(y, mo, d, h, mi, s)
+    except ValueError:
+        return None
+
+
+def test_zero_datetime_repair_matches_model(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    parts = st.tuples(st.integers(1, 9999), st.integers(0, 13), st.integers(0, 32),
+                      st.integers(0, 25), st.integers(0, 61), st.integers(0, 61))
+    full = parts.map(lambda p: f"{p[0]:04d}-{p[1]:02d}-{p[2]:02d} {p[3]:02d}:{p[4]:02d}:{p[5]:02d}")
+    texts = st.one_of(
+        st.just("0000-00-00 00:00:00"), full, full.map(lambda s: s + ".5"), full.map(lambda s: s[:10]),
+    )
+
+    @settings(max_examples=5, deadline=None)
+    @given(values=st.lists(texts, min_size=200, max_size=200))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "t string")
+        got = [r[0] for r in df.select(R.repair_zero_datetime("t")).collect()]
+        assert got == [_model_zero_datetime(v) for v in values]
+
+    check()
