@@ -170,3 +170,23 @@ def test_zero_datetime_repair_matches_model(spark):
         assert got == [_model_zero_datetime(v) for v in values]
 
     check()
+
+
+def test_text_transfer_then_repair_round_trips(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.datetimes(min_value=dt.datetime(1, 1, 1), max_value=dt.datetime(9999, 12, 31, 23, 59, 59)).map(
+        lambda x: x.replace(microsecond=0)
+    )
+
+    @settings(max_examples=5, deadline=None)
+    @given(values=st.lists(stamps, min_size=100, max_size=100))
+    def check(values):
+        df = spark.createDataFrame([(v, v.date()) for v in values], "ts timestamp_ntz, d date")
+        out = df.select(
+            R.repair_zero_datetime(R.datetime_text("ts")).alias("ts"), R.repair_zero_date(R.date_text("d")).alias("d")
+        ).collect()
+        assert [(r.ts, r.d) for r in out] == [(v, v.date()) for v in values]
+
+    check()
