@@ -72,19 +72,38 @@ def tinyint_transfer(c: str | Column) -> Column:
     return _col(c).cast(TINYINT_TRANSFER_TYPE)
 
 
-def time_text(c: str | Column) -> Column:
+def _zone_free(dtype: str) -> bool:
+    """NTZ timestamps and dates render as text without any session time zone."""
+    return dtype in ("timestamp_ntz", "date")
+
+
+def time_text(c: str | Column, dtype: str = "timestamp_ntz") -> Column:
     """F6 for time columns: ``HH:mm:ss`` text (strings pass through)."""
     col = _col(c)
+    if dtype == "string":
+        return col
+    if dtype == "timestamp_ntz":
+        return F.substring(col.cast("string"), 12, 8)
     return F.date_format(col, TIME_FORMAT)
 
 
-def datetime_text(c: str | Column) -> Column:
-    """F6 for datetime columns: what ``CONVERT(c, CHAR)`` returns."""
-    return F.date_format(_col(c), DATETIME_FORMAT)
+def datetime_text(c: str | Column, dtype: str = "timestamp_ntz") -> Column:
+    """F6 for datetime columns: what ``CONVERT(c, CHAR)`` returns for a
+    DATETIME, ``yyyy-MM-dd HH:mm:ss``. NTZ values are rendered by a string cast,
+    which involves no time zone, so no wall-clock time moves across a
+    daylight-saving gap; zone-aware timestamps use the session zone."""
+    col = _col(c)
+    if _zone_free(dtype):
+        return F.substring(col.cast("timestamp_ntz").cast("string"), 1, 19)
+    return F.date_format(col, DATETIME_FORMAT)
 
 
-def date_text(c: str | Column) -> Column:
-    return F.date_format(_col(c), DATE_FORMAT)
+def date_text(c: str | Column, dtype: str = "date") -> Column:
+    """F6 for date columns: ``yyyy-MM-dd``."""
+    col = _col(c)
+    if _zone_free(dtype):
+        return F.substring(col.cast("string"), 1, 10)
+    return F.date_format(col, DATE_FORMAT)
 
 
 def change_timestamp(c: str | Column) -> Column:

@@ -49,11 +49,11 @@ def typed_projection(df: DataFrame, classes: ColumnClasses) -> DataFrame:
     types = dict(df.dtypes)
     conv: dict[str, Column] = {}
     for c in classes.datetime:
-        conv[c] = F.col(c) if types.get(c) == "string" else R.datetime_text(c)
+        conv[c] = F.col(c) if types.get(c) == "string" else R.datetime_text(c, types.get(c, "timestamp_ntz"))
     for c in classes.date:
-        conv[c] = F.col(c) if types.get(c) == "string" else R.date_text(c)
+        conv[c] = F.col(c) if types.get(c) == "string" else R.date_text(c, types.get(c, "date"))
     for c in classes.time:
-        conv[c] = F.col(c) if types.get(c) == "string" else R.time_text(c)
+        conv[c] = R.time_text(c, types.get(c, "timestamp_ntz"))
     for c in classes.tinyint:
         conv[c] = R.tinyint_transfer(c)
     cols = classes.all or df.columns

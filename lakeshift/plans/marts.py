@@ -31,6 +31,11 @@ def _money(c: str):
     return F.col(c).cast(MONEY)
 
 
+def _month(c: str):
+    """``yyyy-MM`` of a timestamp_ntz column, rendered without any time zone."""
+    return F.substring(F.col(c).cast("string"), 1, 7)
+
+
 def _line_revenue():
     return _money("l_extendedprice") * (F.lit(1) - _money("l_discount"))
 
@@ -65,7 +70,7 @@ def reservation_information(t, today: str) -> DataFrame:
     """Orders placed before ``today``: count and total per month and status."""
     before = t.orders.filter(F.col("o_orderdate") < F.lit(today).cast("timestamp_ntz"))
     return before.groupBy(
-        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"), "o_orderstatus"
+        _month("o_orderdate").alias("order_month"), "o_orderstatus"
     ).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(_money("o_totalprice")).cast(TOTAL).alias("total"),
@@ -101,7 +106,7 @@ def domestic_settlement(t) -> DataFrame:
     """Revenue per nation and month from lines whose supplier and customer share a nation."""
     orders = t.orders.select(
         F.col("o_orderkey").alias("orderkey"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("order_month"),
+        _month("o_orderdate").alias("order_month"),
         F.col("o_custkey").alias("c_custkey"),
     ).join(t.customer.select("c_custkey", F.col("c_nationkey").alias("nationkey")), "c_custkey")
     lines = t.lineitem.select(

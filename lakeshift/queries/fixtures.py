@@ -33,7 +33,7 @@ class Tables:
 
 # -- dirty_dates: order dates as MySQL might hold them ---------------------------
 def dirty_dates(t: Tables) -> DataFrame:
-    d = F.date_format("o_orderdate", "yyyy-MM-dd")
+    d = F.substring(F.col("o_orderdate").cast("string"), 1, 10)  # zone-free text
     m = F.col("o_orderkey") % 6
     raw = (
         F.when(m == 0, F.lit("0000-00-00"))
@@ -60,7 +60,7 @@ SQL_DIRTY_DATES = """dirty_dates AS (
 
 # -- dirty_datetimes: event times with zero and malformed values ----------------
 def dirty_datetimes(t: Tables) -> DataFrame:
-    s = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    s = F.substring(F.col("ts").cast("string"), 1, 19)  # zone-free text
     m = F.col("event_id") % 5
     raw = (
         F.when(m == 0, F.lit("0000-00-00 00:00:00"))
@@ -99,7 +99,7 @@ SQL_TINYINT_FLAGS = """tinyint_flags AS (
 # -- change-time text ------------------------------------------------------------
 def change_time_text(t: Tables) -> DataFrame:
     txt = F.when(F.col("event_id") % 10 == 0, F.lit("n/a")).otherwise(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        F.col("ts").cast("string")  # zone-free text, fraction included
     )
     return t.events.select("event_id", txt.alias("update_ts_dms"))
 
@@ -225,7 +225,7 @@ hot_feed AS (
 # -- full load as the replication tool lands it ----------------------------------
 def full_load_raw(t: Tables) -> DataFrame:
     txt = F.when(F.col("o_orderkey") % 50 == 0, F.lit("n/a")).otherwise(
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+        F.substring(F.col("o_orderdate").cast("string"), 1, 19)
     )
     return t.orders.select(
         F.lit("I").alias("Op"),

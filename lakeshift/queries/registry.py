@@ -89,7 +89,8 @@ def q_tinyint_to_int(spark, sf_dir):
 
 @register("time_as_string", "SELECT event_id, strftime(ts, '%H:%M:%S') AS event_time FROM events")
 def q_time_as_string(spark, sf_dir):
-    return Tables(spark, sf_dir).events.select("event_id", R.time_text("ts").alias("event_time"))
+    ev = Tables(spark, sf_dir).events
+    return ev.select("event_id", R.time_text("ts", dict(ev.dtypes)["ts"]).alias("event_time"))
 
 
 @register(

@@ -190,3 +190,17 @@ def test_text_transfer_then_repair_round_trips(spark):
         assert [(r.ts, r.d) for r in out] == [(v, v.date()) for v in values]
 
     check()
+
+
+def test_text_transfer_is_zone_free_for_ntz_and_dates(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0, 5), dt.date(999, 12, 31))],
+                                   "ts timestamp_ntz, d date")
+        r = df.select(R.datetime_text("ts").alias("a"), R.time_text("ts").alias("b"), R.date_text("d").alias("c"),
+                      R.repair_zero_datetime(R.datetime_text("ts")).alias("back")).first()
+        assert (r.a, r.b, r.c) == ("2024-03-10 02:30:00", "02:30:00", "0999-12-31")
+        assert r.back == dt.datetime(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
