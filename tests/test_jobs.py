@@ -178,3 +178,24 @@ def test_migrate_job_through_the_jdbc_reader(spark, workdir, monkeypatch):
     want = o.select("o_orderkey", "o_orderdate", F.col("flag").cast("int").alias("flag"))
     assert sorted(tuple(x) for x in got.select("o_orderkey", "o_orderdate", "flag").collect()) == \
         sorted(tuple(x) for x in want.collect())
+
+
+def test_catalog_extract_job_with_spark_standing_in(spark, workdir, monkeypatch):
+    from lakeshift.sources import catalog as C
+    from lakeshift.sources import jdbc as J
+
+    rows = [
+        ("shop", "orders", "id", 1, "NO", "int", "int(11)", "PRI", "auto_increment"),
+        ("shop", "orders", "created", 2, "YES", "datetime", "datetime", "", ""),
+        ("other", "x", "y", 1, "YES", "int", "int(11)", "", ""),
+    ]
+    spark.sql("CREATE DATABASE IF NOT EXISTS information_schema")
+    spark.createDataFrame(rows, C.CATALOG_SCHEMA).write.mode("overwrite") \
+        .option("path", f"{workdir}/is").saveAsTable("information_schema.COLUMNS")
+    monkeypatch.setattr(J, "read_query", lambda s, src, q: s.sql(q))
+    n = jobs.catalog_extract_job(spark, jdbc=J.JdbcSource(url="jdbc:none"), schema_name="shop",
+                                 out_path=f"{workdir}/catalog")
+    assert n == 2
+    cls = C.column_classes(C.read_column_catalog(spark, f"{workdir}/catalog", "parquet"))
+    assert list(cls) == [("shop", "orders")]
+    assert cls[("shop", "orders")].all == ["id", "created"] and cls[("shop", "orders")].datetime == ["created"]
