@@ -2,7 +2,9 @@
 
 Each query is executed in full through the ``noop`` sink (every row computed,
 nothing collected), ``$BENCH_RUNS`` times; the median per query is reported.
-Prints ONE JSON line.
+Prints ONE JSON line. With ``$BENCH_EVENT_LOG`` set to a scratch folder,
+Spark's event log is written there, jobs tagged per query;
+``scripts/stage_times.py`` summarises it.
 """
 
 from __future__ import annotations
@@ -42,7 +44,10 @@ def main() -> None:
     from lakeshift.queries.registry import QUERIES
     from lakeshift.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="lakeshift-bench")
+    event_log = os.environ.get("BENCH_EVENT_LOG")  # a scratch folder; see scripts/stage_times.py
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="lakeshift-bench", event_log_dir=event_log)
     names = only or HEADLINE
     # warm-up: JVM, codegen caches, file listing of every table used
     QUERIES["table_row_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -51,6 +56,7 @@ def main() -> None:
     spread: dict[str, list[float]] = {}
     for name in names:
         times = []
+        spark.sparkContext.setJobGroup(name, name)
         for _ in range(runs):
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -38,7 +38,12 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/lakeshift/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "lakeshift") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "lakeshift",
+    event_log_dir: str | None = None,
+) -> SparkSession:
     """Session for tests and the bench: UI off, AQE on, UTC session zone, and a
     private warehouse folder (a local session only; clusters configure theirs)."""
     spark = (
@@ -52,6 +57,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.eventLog.enabled", "true" if event_log_dir else "false")
+        .config("spark.eventLog.dir", event_log_dir or "")
+        .config("spark.eventLog.compress", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
