@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,8 +123,11 @@ def migrate_tables(
             target_database=target_database, num_files=num_files, rebalance=rebalance, skip_empty=skip_empty,
         )
 
+    # inheritable_thread_target carries the caller's job group, scheduler pool
+    # and other local properties into the pool threads (so cancelling or
+    # accounting for the migration covers every per-table job)
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
-        results = list(pool.map(one, tables))
+        results = list(pool.map(inheritable_thread_target(spark)(one), tables))
     return spark.createDataFrame([r.row() for r in results], STATUS_SCHEMA)
 
 
