@@ -16,7 +16,7 @@ gives an empty result.
 
 from __future__ import annotations
 
-import os
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -25,59 +25,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeshift.llm.bpe import byte_characters
 from lakeshift.llm.common import id_and_text, in_slices, shuffle_partitions, staged
 
-#: Chunks whose ids a Python worker keeps; beyond this number it starts anew.
-CACHE_CHUNKS = 300_000
-
-
 class ByteBpe:
-    """Token ids of a byte-level tokenizer file, by pieces between spaces.
+    """Token ids of a byte-level tokenizer file whose merges are numbered in rank order.
 
-    A single space between two characters that are not white space always begins
-    a new token, and so does a line end between two such characters: text is cut
-    there, and chunks seen before come from a cache.
+    Added tokens found in a text count as such, as the tokenizers library does by default.
     """
 
+    # The fixed split pattern of this kind of tokenizer file.
+    SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs a task per core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
-        self.marks = list({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
-        self.cache: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def cut(self, text: str) -> list[str] | None:
-        """Chunks of a text whose white space is single spaces and line ends; else None."""
-        if any(m in text for m in self.marks) or not text.replace("\n", "").isprintable():
-            return None  # added tokens; white space other than spaces and line ends
-        chunks: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if not (words[0] and words[-1]) or "" in words:
-                return None
-            if k:
-                chunks.append("\n")
-            chunks.append(words[0])
-            chunks += [" " + w for w in words[1:]]
-        return chunks
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        cache = self.cache
-        cut = [self.cut(t) for t in texts]
-        rare = self.whole([t for t, c in zip(texts, cut, strict=True) if c is None])
-        new = [c for c in set().union(*(c for c in cut if c is not None)) if c not in cache]
-        cache.update(zip(new, self.whole(new), strict=True))
-        others = iter(rare)
-        return [next(others) if c is None else b"".join([cache[x] for x in c]) for c in cut]
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocab, byte_of = spec["model"]["vocab"], {c: b for b, c in enumerate(byte_characters())}
+        made = [vocab["".join(m)] for m in spec["model"]["merges"]]
+        if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or made != sorted(made):
+            raise ValueError(f"{path} is not a plain byte-level BPE in rank order")
+        self.encoding = tiktoken.Encoding(
+            path,
+            pat_str=self.SPLIT,
+            mergeable_ranks={bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in {a["content"] for a in spec["added_tokens"]}},
+            special_tokens={a["content"]: a["id"] for a in spec["added_tokens"]},
+        )
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 _loaded: dict[str, ByteBpe] = {}
@@ -101,8 +78,8 @@ def tokenised_pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int,
         bpe, end, dealt = load(tokenizer), np.array([end_id], "<u4").tobytes(), 0
         for rows in in_slices(batches):
             out: list[tuple] = []
-            for doc, ids in zip(rows["doc_id"], bpe.encode_batch(rows["text"]), strict=True):
-                ids += end
+            for doc, text in zip(rows["doc_id"], rows["text"], strict=True):
+                ids = bpe.encode(text).tobytes() + end
                 n = len(ids) // 4
                 at, to, piece = 0, (n - 1) % capacity + 1, 0
                 while at < n:

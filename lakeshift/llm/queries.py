@@ -4,17 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import quality
+from lakeshift.llm import bpe, packing, quality
 from lakeshift.llm.common import documents
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_features(documents(spark, sf_dir)).drop("rejected_by")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op2_packing": op2_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 
