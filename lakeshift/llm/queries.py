@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import bpe, packing, quality
+from lakeshift.llm import bpe, fingerprint, packing, quality
 from lakeshift.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_features(documents(spark, sf_dir)).drop("rejected_by")
 
@@ -26,6 +30,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
+    "op6_fingerprint": op6_fingerprint,
     "op9_quality_rules": op9_quality_rules,
 }
 
