@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import bpe, fingerprint, packing, quality
+from lakeshift.llm import bpe, fingerprint, packing, pii, quality
 from lakeshift.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_features(documents(spark, sf_dir)).drop("rejected_by")
 
@@ -31,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
     "op6_fingerprint": op6_fingerprint,
+    "op7_pii": op7_pii,
     "op9_quality_rules": op9_quality_rules,
 }
 
