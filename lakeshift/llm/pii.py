@@ -165,24 +165,23 @@ def _find_candidates(df: DataFrame) -> DataFrame:
 
 
 def reliabilities(patterns: list[tuple[str, str, int]], steps: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """EM over (kind, votes, count): P(vote | class) of each labeler as
-    [class, labeler, vote], and the posterior of each pattern. The Dirichlet prior
-    holds labelers to be right more often than not, which also settles the case of no data."""
-    index = {"-": 0, "0": 1, "+": 2}
-    v = np.array([[index[c] for c in p[1]] for p in patterns], int).reshape(-1, LABELERS)
+    """EM over (kind, votes, count): P(vote for | class) of each labeler, where it
+    votes, as [class, labeler], and the posterior of each pattern. Abstaining is no
+    evidence. The Beta prior holds labelers to be right more often than not, which
+    also settles the case of no data."""
+    v = np.array([[{"-": -1, "0": 0, "+": 1}[c] for c in p[1]] for p in patterns], int).reshape(-1, LABELERS)
     n = np.array([p[2] for p in patterns], float)
     kind = np.array([KINDS.index(p[0]) for p in patterns], int)
-    prior = np.array([[4.0, 4.0, 1.0], [1.0, 4.0, 4.0]])[:, None, :].repeat(LABELERS, axis=1)
-    table = prior / prior.sum(axis=2, keepdims=True)
-    share = np.full(len(KINDS), 0.5)
-    post = np.full(len(n), 0.5)
-    onehot = np.eye(3)[v]  # pattern, labeler, vote
+    votes_for, votes_against = (v > 0).astype(float), (v < 0).astype(float)
+    prior = np.array([[1.0, 4.0], [4.0, 1.0]])  # class, (for, against)
+    table = np.repeat(prior[:, :1] / prior.sum(axis=1, keepdims=True), LABELERS, axis=1)
+    share, post = np.full(len(KINDS), 0.5), np.full(len(n), 0.5)
     for _ in range(steps):
-        score = np.log(np.stack([1 - share[kind], share[kind]])) + np.einsum("plv,clv->cp", onehot, np.log(table))
+        score = np.log(np.stack([1 - share[kind], share[kind]])) + np.log(table) @ votes_for.T + np.log(1 - table) @ votes_against.T
         post = 1 / (1 + np.exp(np.clip(score[0] - score[1], -50, 50)))
         weight = np.stack([(1 - post) * n, post * n])
-        table = prior + np.einsum("cp,plv->clv", weight, onehot)
-        table /= table.sum(axis=2, keepdims=True)
+        yes, no = prior[:, :1] + weight @ votes_for, prior[:, 1:] + weight @ votes_against
+        table = yes / (yes + no)
         for k in range(len(KINDS)):
             of = kind == k
             share[k] = (2 + (post * n)[of].sum()) / (4 + n[of].sum())
