@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import bpe, fingerprint, html, packing, pii, quality
+from lakeshift.llm import bpe, fingerprint, html, langid, packing, pii, quality
 from lakeshift.llm.common import documents
 
 
@@ -19,6 +19,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -38,6 +42,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
+    "op3_langid": op3_langid,
     "op5_html": op5_html,
     "op6_fingerprint": op6_fingerprint,
     "op7_pii": op7_pii,
