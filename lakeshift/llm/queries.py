@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import bpe, fingerprint, html, langid, packing, pii, quality
+from lakeshift.llm import bpe, fingerprint, html, langid, packing, pii, quality, superminhash
 from lakeshift.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
     "op3_langid": op3_langid,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_html": op5_html,
     "op6_fingerprint": op6_fingerprint,
     "op7_pii": op7_pii,
