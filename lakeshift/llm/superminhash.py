@@ -9,9 +9,10 @@ most documents need one or two rounds.
 Documents with equal shingle sets are one class, so copies are never compared.
 Classes that share a band are compared by way of centers: each bucket compares
 its members with one center; members that end up in the center's component
-need no more tests, and centers leave. Buckets go on, with twice as many
-centers each round, until their members are in one component or all have been
-compared. Every link is confirmed on the full sets.
+need no more tests, and centers leave. Buckets go on, with more centers each
+round, until their members are in one component or all have been
+compared; a comparison reads set sizes and four bits of each slot inside the join,
+so that only likely pairs become rows. Every link is confirmed on the full sets.
 
 Defined cases: null or empty text, and text without words, has an empty set and
 is linked with nothing; fewer than ``k`` words are one shingle; rows with a null
@@ -22,6 +23,7 @@ extra columns are dropped; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +33,18 @@ from pyspark.sql import functions as F
 from lakeshift.llm.common import by_bytes, id_and_text, in_slices, staged
 from lakeshift.llm.shingles import mix, shingles, words
 
-#: Slots of a signature and rows of a band: two sets of similarity 0.8 share no band of 24 x 4 with probability 3e-6, of 0.85 with 2e-8.
-SLOTS, BAND_ROWS = 96, 4
-BANDS = SLOTS // BAND_ROWS
-#: A pair whose estimate is this far below the threshold is not verified (over six standard deviations).
-SLACK = 0.25
+#: Slots of a signature; bits of each slot that estimates use.
+SLOTS, BITS = 192, 4
+#: A pair is verified if its estimate is at most this far below the threshold
+#: (between five and six standard deviations).
+SLACK = 0.15
+#: Columns with the slots' bits: 64 slots of one bit each.
+SKETCH = tuple(f"bits{i}" for i in range(SLOTS // 64 * BITS))
+
+
+def band_rows(percent: int) -> int:
+    """Rows of a band. Sets at the threshold share no band with probability 3e-7 (85: 32 bands of 6; 80: 38 of 5)."""
+    return 6 if percent >= 85 else 5 if percent >= 78 else 4 if percent >= 70 else 3
 
 
 def set_hash(s: np.ndarray) -> bytes:
@@ -84,28 +93,31 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
     return [np.unique(s[bounds[i] : bounds[i + 1]]) for i in range(len(texts))]
 
 
-def _signed(df: DataFrame, k: int) -> DataFrame:
-    """Per document its set size, set hash, bands, and 16 bits of each slot for estimates."""
+def _signed(df: DataFrame, k: int, rows: int) -> DataFrame:
+    """Per document its set size, set hash, bands, and ``BITS`` bits of each slot."""
+    bands = SLOTS // rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in in_slices(by_bytes(batches, "text", 1 << 20)):
-            sets = shingle_sets(rows["text"], k)
-            sig = signatures(sets)
-            mixed = mix(sig)
-            band = mixed.reshape(len(sets), BANDS, BAND_ROWS)
-            band = mix(band[:, :, 0] + band[:, :, 1] * np.uint64(3) + band[:, :, 2] * np.uint64(5) + band[:, :, 3] * np.uint64(7))
+        for cols in in_slices(by_bytes(batches, "text", 1 << 20)):
+            sets = shingle_sets(cols["text"], k)
+            mixed = mix(signatures(sets))
+            band = np.zeros((len(sets), bands), np.uint64)
+            for r in range(rows):
+                band = mix(band + mixed[:, r : bands * rows : rows])
+            planes = [(mixed >> np.uint64(63 - j) & np.uint64(1)).astype(bool) for j in range(BITS)]
+            bits = np.packbits(np.concatenate(planes, axis=1), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(rows["doc_id"], pa.int64()),
+                    pa.array(cols["doc_id"], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) for s in sets], pa.binary()),
                     pa.array(list(band.view(np.int64)), pa.list_(pa.int64())),
-                    pa.array(list((mixed >> np.uint64(48)).astype(np.uint16).view(np.int16)), pa.list_(pa.int16())),
+                    *(pa.array(bits[:, j]) for j in range(len(SKETCH))),
                 ],
-                ["doc_id", "n_shingles", "same", "bands", "slots"],
+                ["doc_id", "n_shingles", "same", "bands", *SKETCH],
             )
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, same binary, bands array<long>, slots array<short>")
+    return df.mapInArrow(run, "doc_id long, n_shingles long, same binary, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def _sets(df: DataFrame, k: int) -> DataFrame:
@@ -124,82 +136,92 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     least neighbour, until every node hangs from its component's least id.
     """
     edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
-    while True:
+    state = None
+    while (now := edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()) != state:
+        state = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
-        before, edges = edges, after
-        if before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty():
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+        edges = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _estimate(a: str, b: str) -> Column:
-    same = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda acc, x: acc + x)
+def _likely(a: str, b: str, percent: int) -> Column:
+    """Whether two sketches can belong to sets at the threshold: sizes exactly, equal slots with a margin."""
 
+    def of(alias: str, c: str) -> Column:
+        return F.col(f"{alias}.{c}")
 
-def _confirmed(pairs: DataFrame, slots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    sizes = (100 * of(a, "n") >= percent * of(b, "n")) & (100 * of(b, "n") >= percent * of(a, "n"))
+    words = SLOTS // 64
+    unequal = F.lit(0)
+    for w in range(words):
+        differ = [of(a, SKETCH[words * j + w]).bitwiseXOR(of(b, SKETCH[words * j + w])) for j in range(BITS)]
+        unequal = unequal + F.bit_count(reduce(Column.bitwiseOR, differ))
+    return sizes & (unequal <= int(SLOTS * (1 - (percent / 100 - SLACK)) * (1 - 2**-BITS)))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the ``pairs`` (a, b) whose full sets have at least ``percent`` of their union in common."""
-    sides = [(c, slots.select(F.col("id").alias(c), F.col("slots").alias(f"slots_{c}"))) for c in "ab"]
-    for c, side in sides:
-        pairs = pairs.join(side, c)
-    likely = pairs.where(_estimate("slots_a", "slots_b") >= int(SLOTS * (percent / 100 - SLACK))).select("a", "b")
     for c in "ab":
-        likely = likely.join(sets.select(F.col("id").alias(c), F.col("s").alias(f"s_{c}")), c)
-    likely = likely.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
+        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("s").alias(f"s_{c}")), c)
+    pairs = pairs.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
     either = F.size("s_a") + F.size("s_b") - F.col("both")
-    return likely.where(100 * F.col("both") >= percent * either).select("a", "b")
+    return pairs.where(100 * F.col("both") >= percent * either).select("a", "b")
 
 
 def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough to connect every component of the full link graph.
 
-    ``classes``: id (of the class's first document), bands, slots.
+    ``classes``: id (of the class's first document), n, bands and the sketch.
     """
     bucket = classes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "id")
     shared = bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("center")).where("n > 1")
     live = staged(bucket.join(shared, "bucket").select("bucket", "id", "center"), "near-buckets")
     ids = live.select("id").distinct()
-    slots = staged(classes.select("id", "slots").join(ids, "id"), "near-slots")
+    sketches = staged(classes.select("id", F.struct("n", *SKETCH).alias("sketch")).join(ids, "id"), "near-sketches")
     sets = staged(_sets(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id"), k), "near-sets")
+
     pairs = live.where("id != center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
-    found = staged(_confirmed(pairs, slots, sets, percent), "near-links")
-    parts = [found]
-    left = live.where("id != center").select("bucket", "id")
-    centers = 2
+    for c in "ab":
+        pairs = pairs.join(sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"sketch_{c}")), c)
+    everything = staged(_confirmed(pairs.where(_likely("sketch_a", "sketch_b", percent)).select("a", "b"), sets, percent), "near-links")
+    of = components(everything)
+    left = live.where("id != center").select("bucket", "id").join(sketches, "id")
+    centers = 32
     while True:
-        everything = parts[0]
-        for p in parts[1:]:
-            everything = everything.unionByName(p)
-        of = components(everything)
-        labelled = left.join(of, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+        labelled = left.join(of, "id", "left").select("bucket", "id", "sketch", F.coalesce("component", "id").alias("component"))
         open_ = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        left = staged(labelled.join(open_.where("lo != hi"), "bucket").select("bucket", "id", "component", "n", "first"), "near-open")
+        left = staged(labelled.join(open_.where("lo != hi"), "bucket").select("bucket", "id", "sketch", "component", "n", "first"), "near-open")
         if left.isEmpty():
             return everything
         chosen = (F.col("id") == F.col("first")) | (F.pmod(F.xxhash64("id", F.lit(centers)), F.col("n")) < centers)
         left = left.withColumn("center", chosen)
-        with_ = left.where("center").select("bucket", F.col("id").alias("c"), F.col("component").alias("c_component"))
-        pairs = left.join(with_, "bucket").where("component != c_component")
-        pairs = pairs.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct()
-        parts.append(staged(_confirmed(pairs, slots, sets, percent), "near-links"))
-        left = left.where("NOT center").select("bucket", "id")
-        centers *= 2
+        member, center = left.alias("m"), left.where("center").alias("c")
+        other = (F.col("m.bucket") == F.col("c.bucket")) & (F.col("m.component") != F.col("c.component"))
+        pairs = member.join(center, other & _likely("m.sketch", "c.sketch", percent))
+        pairs = pairs.select(F.greatest("m.id", "c.id").alias("a"), F.least("m.id", "c.id").alias("b")).distinct()
+        found = staged(_confirmed(pairs, sets, percent), "near-links")
+        if not found.isEmpty():
+            everything = everything.unionByName(found)
+            of = components(everything)
+        left = left.where("NOT center").select("bucket", "id", "sketch")
+        centers *= 16
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its set size, the component's least id, and whether it is that document."""
     docs = id_and_text(df, id_col, text_col)
-    signed = staged(_signed(docs, k), "near-signed")
+    signed = staged(_signed(docs, k, band_rows(percent)), "near-signed")
     able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    first = able.groupBy("same").agg(F.min("doc_id").alias("id"), F.min_by(F.struct("bands", "slots"), "doc_id").alias("sig"), F.count(F.lit(1)).alias("n"))
-    classes = staged(first.select("same", "id", "sig.bands", "sig.slots", "n"), "near-classes")
-    found = components(links(classes.select("id", "bands", "slots"), docs.where("doc_id IS NOT NULL"), k, percent))
+    signature = F.struct("doc_id", "n_shingles", "bands", *SKETCH)
+    first = able.groupBy("same").agg(F.min_by(signature, "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
+    classes = staged(first.select("same", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"), "x.bands", *(f"x.{c}" for c in SKETCH), "copies"), "near-classes")
+    found = components(links(classes, docs.where("doc_id IS NOT NULL"), k, percent))
     # only classes with copies need their documents looked up
-    copies = classes.where("n > 1").select("same", "id")
+    copies = classes.where("copies > 1").select("same", "id")
     member = able.join(copies, "same").select("doc_id", "id").where("doc_id != id").distinct()
     linked = member.join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     linked = linked.unionByName(found.select(F.col("id").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
