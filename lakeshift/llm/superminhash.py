@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def _sets(df: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in in_slices(by_bytes(batches, "text", 1 << 20)):
             sets = shingle_sets(rows["text"], k)
-            yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))], ["id", "s"])
 
     return df.mapInArrow(run, "id long, s array<long>")
 
@@ -163,13 +164,32 @@ def _likely(a: str, b: str, percent: int) -> Column:
     return sizes & (unequal <= int(SLOTS * (1 - (percent / 100 - SLACK)) * (1 - 2**-BITS)))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the ``pairs`` (a, b) whose full sets have at least ``percent`` of their union in common."""
-    for c in "ab":
-        pairs = pairs.join(sets.select(F.col("id").alias(c), F.col("s").alias(f"s_{c}")), c)
-    pairs = pairs.withColumn("both", F.size(F.array_intersect("s_a", "s_b")).cast("long"))
-    either = F.size("s_a") + F.size("s_b") - F.col("both")
-    return pairs.where(100 * F.col("both") >= percent * either).select("a", "b")
+#: Verification cells: sets of two blocks of ids meet in one task, with at most about so many ids and bytes a block.
+BLOCK_IDS, BLOCK_BYTES = 2000, 16 << 20
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, blocks: int, percent: int) -> DataFrame:
+    """Those of the ``pairs`` (a, b) whose full sets have at least ``percent`` of their union in common.
+
+    Ids are dealt into ``blocks``, pairs into cells of two blocks. A set goes once
+    to each cell that needs it, not once to each pair, so a set compared with
+    thousands of others is not copied thousands of times.
+    """
+    cell = F.pmod(F.xxhash64("a"), F.lit(blocks)) * blocks + F.pmod(F.xxhash64("b"), F.lit(blocks))
+    pairs = pairs.withColumn("cell", cell)
+    needs = pairs.select(F.col("cell").alias("in_cell"), F.explode(F.array("a", "b")).alias("id")).distinct()
+
+    def verify(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        s = dict(zip(right["id"], right["s"], strict=True))
+        good = []
+        for a, b in zip(left["a"], left["b"], strict=True):
+            few, many = (s[a], s[b]) if len(s[a]) <= len(s[b]) else (s[b], s[a])
+            at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+            both = int(np.count_nonzero(many[at] == few))
+            good.append(100 * both >= percent * (len(few) + len(many) - both))
+        return left.loc[np.array(good, bool), ["a", "b"]]
+
+    return pairs.groupBy("cell").cogroup(needs.join(sets, "id").groupBy("in_cell")).applyInPandas(verify, "a long, b long")
 
 
 def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -184,10 +204,13 @@ def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     sketches = staged(classes.select("id", F.struct("n", *SKETCH).alias("sketch")).join(ids, "id"), "near-sketches")
     sets = staged(_sets(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id"), k), "near-sets")
 
+    held = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("s")), F.lit(0))).first()
+    blocks = max(1, -(-held[0] // BLOCK_IDS), -(-8 * held[1] // BLOCK_BYTES))
+
     pairs = live.where("id != center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
     for c in "ab":
         pairs = pairs.join(sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"sketch_{c}")), c)
-    everything = staged(_confirmed(pairs.where(_likely("sketch_a", "sketch_b", percent)).select("a", "b"), sets, percent), "near-links")
+    everything = staged(_confirmed(pairs.where(_likely("sketch_a", "sketch_b", percent)).select("a", "b"), sets, blocks, percent), "near-links")
     of = components(everything)
     left = live.where("id != center").select("bucket", "id").join(sketches, "id")
     centers = 32
@@ -203,7 +226,7 @@ def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
         other = (F.col("m.bucket") == F.col("c.bucket")) & (F.col("m.component") != F.col("c.component"))
         pairs = member.join(center, other & _likely("m.sketch", "c.sketch", percent))
         pairs = pairs.select(F.greatest("m.id", "c.id").alias("a"), F.least("m.id", "c.id").alias("b")).distinct()
-        found = staged(_confirmed(pairs, sets, percent), "near-links")
+        found = staged(_confirmed(pairs, sets, blocks, percent), "near-links")
         if not found.isEmpty():
             everything = everything.unionByName(found)
             of = components(everything)
