@@ -27,7 +27,7 @@ from lakeshift.llm.common import by_bytes, in_slices
 #: Bytes of a window, embedding size, filters of each width.
 WINDOW, EMBED, FILTERS = 128, 4, {2: 8, 3: 8, 5: 8}
 #: Documents of the training sample per language, and windows taken from each, spread over its whole text.
-TRAIN_DOCS, TRAIN_WINDOWS = 400, 6
+TRAIN_DOCS, TRAIN_WINDOWS = 800, 6
 WIDEST = max(FILTERS)
 #: Windows that go through the network at a time.
 BATCH = 256
@@ -106,6 +106,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 8, rate: float = 0.
     first = {n: np.zeros_like(getattr(net, n)) for n in names}
     second = {n: np.zeros_like(getattr(net, n)) for n in names}
     step, size = 0, 64
+    total = epochs * -(-len(x) // size) + 1
     for _ in range(epochs):
         order = r.permutation(len(x))
         for at in range(0, len(x), size):
@@ -131,10 +132,11 @@ def train(texts: list[str], labels: list[str], epochs: int = 8, rate: float = 0.
             np.add.at(de, byte[there], dc.reshape(n, f, WIDEST, EMBED)[there])
             grads = {"embed": de, "filters": np.einsum("wf,wfk->kf", dh, under) * mask, "bias": dh.sum(0), "out": active.T @ p, "out_bias": p.sum(0)}
             step += 1
+            slow = rate * 0.5 * (1 + np.cos(np.pi * step / total))
             for k, g in grads.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
-                update = rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                update = slow * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
                 setattr(net, k, (getattr(net, k) - update).astype(np.float32))
     return net
 
