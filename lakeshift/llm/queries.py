@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import bpe, fingerprint, html, langid, packing, pii, quality, superminhash
+from lakeshift.llm import bpe, fingerprint, html, langid, lm, packing, pii, quality, superminhash
 from lakeshift.llm.common import documents
 
 
@@ -43,6 +43,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_features(documents(spark, sf_dir)).drop("rejected_by")
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_packing": op2_packing,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprint": op6_fingerprint,
     "op7_pii": op7_pii,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm": op10_lm,
 }
 
 #: DuckDB forms. ``WORDS`` is the list of words of a text.
