@@ -27,6 +27,14 @@ RANGE_BYTES = 10 << 20
 _zstd = pa.Codec("zstd", compression_level=1)
 
 
+def compress(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + _zstd.compress(raw, asbytes=True)
+
+
+def decompress(data: bytes) -> bytes:
+    return _zstd.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), asbytes=True)
+
+
 def _pack(batches: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
@@ -36,13 +44,13 @@ def _pack(batches: list[pa.RecordBatch]) -> bytes:
 
 
 def unpack(data: bytes) -> pa.Table:
-    """The documents of a block: doc_id, text."""
+    """The documents of a block."""
     return pa.ipc.open_stream(data).read_all()
 
 
 def blocks(df: DataFrame, name: str, size: int = BLOCK_BYTES) -> DataFrame:
-    """``df`` (doc_id, text), written once as rows (block, docs, bytes). Later steps
-    read the written blocks, so a block holds the same documents in every step."""
+    """``df`` (doc_id, text and any others), written once as rows (block, docs, bytes).
+    Later steps read the written blocks, so a block holds the same documents in every step."""
     import pyarrow.compute as pc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,7 +76,7 @@ def blocks(df: DataFrame, name: str, size: int = BLOCK_BYTES) -> DataFrame:
         if held:
             yield out()
 
-    return staged(df.select("doc_id", "text").mapInArrow(run, "block long, docs binary, bytes long"), name)
+    return staged(df.mapInArrow(run, "block long, docs binary, bytes long"), name)
 
 
 def ranges_for(blocked: DataFrame, per: int = RANGE_BYTES) -> int:

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeshift.llm import bpe, fingerprint, html, langid, lm, packing, pii, quality, superminhash
+from lakeshift.llm import bpe, fingerprint, html, langid, lm, packing, pii, quality, suffix, superminhash
 from lakeshift.llm.common import documents
 
 
@@ -39,6 +40,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_features(documents(spark, sf_dir)).drop("rejected_by")
 
@@ -55,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html": op5_html,
     "op6_fingerprint": op6_fingerprint,
     "op7_pii": op7_pii,
+    "op8_repeats": op8_repeats,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm": op10_lm,
 }
