@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.llm import quality
+from lakeshift.llm import packing, pii, quality, suffix, superminhash
 from lakeshift.llm.common import ship_package, staged
 
 
@@ -21,8 +22,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.quality_filter(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: that of least id."""
+    ship_package(spark)
+    return superminhash.first_of_groups(docs, k=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that also begin in a document of smaller id are cut from the text."""
+    ship_package(spark)
+    return suffix.without_repeats(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in brackets."""
+    ship_package(spark)
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document goes in sequences of 2048 tokens."""
+    ship_package(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("personal_data", personal_data),
+    ("packing", pack),
 ]
 
 #: Stages 2 to 5 have no SQL form; the whole is tested against a brute-force version.
@@ -31,7 +60,6 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
