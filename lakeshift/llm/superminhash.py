@@ -7,12 +7,12 @@ correlated offers make estimates less variable than independent minima, and
 most documents need one or two rounds.
 
 Documents with equal shingle sets are one class, so copies are never compared.
-Classes that share a band are compared by way of centers: each bucket compares
-its members with one center; members that end up in the center's component
-need no more tests, and centers leave. Buckets go on, with more centers each
-round, until their members are in one component or all have been
-compared; a comparison reads set sizes and four bits of each slot inside the join,
-so that only likely pairs become rows. Every link is confirmed on the full sets.
+Classes that share a band are first compared with one center of their bucket.
+Buckets whose members are then not all in one component go on: the members of
+buckets that hang together are a cluster, clusters are dealt into cells of two
+bounded blocks, and each cell compares all its members through an inverted
+index. A cell returns only the links that connect components, so no group's
+pairs become rows. Every link is confirmed on the full sets.
 
 Defined cases: null or empty text, and text without words, has an empty set and
 is linked with nothing; fewer than ``k`` words are one shingle; rows with a null
@@ -23,24 +23,18 @@ extra columns are dropped; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm.common import by_bytes, id_and_text, in_slices, staged
 from lakeshift.llm.shingles import mix, shingles, words
 
-#: Slots of a signature; bits of each slot that estimates use.
-SLOTS, BITS = 192, 4
-#: A pair is verified if its estimate is at most this far below the threshold
-#: (between five and six standard deviations).
-SLACK = 0.15
-#: Columns with the slots' bits: 64 slots of one bit each.
-SKETCH = tuple(f"bits{i}" for i in range(SLOTS // 64 * BITS))
+#: Slots of a signature.
+SLOTS = 192
 
 
 def band_rows(percent: int) -> int:
@@ -95,7 +89,7 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
 
 
 def _signed(df: DataFrame, k: int, rows: int) -> DataFrame:
-    """Per document its set size, set hash, bands, and ``BITS`` bits of each slot."""
+    """Per document its set size, set hash and bands."""
     bands = SLOTS // rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,20 +99,17 @@ def _signed(df: DataFrame, k: int, rows: int) -> DataFrame:
             band = np.zeros((len(sets), bands), np.uint64)
             for r in range(rows):
                 band = mix(band + mixed[:, r : bands * rows : rows])
-            planes = [(mixed >> np.uint64(63 - j) & np.uint64(1)).astype(bool) for j in range(BITS)]
-            bits = np.packbits(np.concatenate(planes, axis=1), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(cols["doc_id"], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) for s in sets], pa.binary()),
                     pa.array(list(band.view(np.int64)), pa.list_(pa.int64())),
-                    *(pa.array(bits[:, j]) for j in range(len(SKETCH))),
                 ],
-                ["doc_id", "n_shingles", "same", "bands", *SKETCH],
+                ["doc_id", "n_shingles", "same", "bands"],
             )
 
-    return df.mapInArrow(run, "doc_id long, n_shingles long, same binary, bands array<long>, " + ", ".join(f"{c} long" for c in SKETCH))
+    return df.mapInArrow(run, "doc_id long, n_shingles long, same binary, bands array<long>")
 
 
 def _sets(df: DataFrame, k: int) -> DataFrame:
@@ -149,23 +140,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _likely(a: str, b: str, percent: int) -> Column:
-    """Whether two sketches can belong to sets at the threshold: sizes exactly, equal slots with a margin."""
-
-    def of(alias: str, c: str) -> Column:
-        return F.col(f"{alias}.{c}")
-
-    sizes = (100 * of(a, "n") >= percent * of(b, "n")) & (100 * of(b, "n") >= percent * of(a, "n"))
-    words = SLOTS // 64
-    unequal = F.lit(0)
-    for w in range(words):
-        differ = [of(a, SKETCH[words * j + w]).bitwiseXOR(of(b, SKETCH[words * j + w])) for j in range(BITS)]
-        unequal = unequal + F.bit_count(reduce(Column.bitwiseOR, differ))
-    return sizes & (unequal <= int(SLOTS * (1 - (percent / 100 - SLACK)) * (1 - 2**-BITS)))
-
-
 #: Verification cells: sets of two blocks of ids meet in one task, with at most about so many ids and bytes a block.
 BLOCK_IDS, BLOCK_BYTES = 2000, 16 << 20
+#: Ids and bytes of sets in one block of a cluster; a task holds two blocks.
+CELL_IDS, CELL_BYTES = 1000, 8 << 20
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, blocks: int, percent: int) -> DataFrame:
@@ -192,46 +170,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, blocks: int, percent: int) ->
     return pairs.groupBy("cell").cogroup(needs.join(sets, "id").groupBy("in_cell")).applyInPandas(verify, "a long, b long")
 
 
+def _linked_within(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that connect what belongs together in a cell of two blocks (or of one
+    with itself): every pair across is compared through an inverted index."""
+    x, y = int(rows["x"].iloc[0]), int(rows["y"].iloc[0])
+    rows = rows.sort_values("id").reset_index(drop=True)
+    sizes = rows["s"].map(len).to_numpy()
+    shingle = np.unique(np.concatenate(rows["s"].to_list()), return_inverse=True)[1]
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    others = np.flatnonzero(rows["block"].to_numpy() == y)
+    where = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in others]) if len(others) else np.zeros(0, np.int64)
+    order = np.argsort(shingle[where], kind="stable")
+    holder = np.repeat(np.arange(len(others)), sizes[others])[order]
+    first = np.searchsorted(shingle[where][order], np.arange(shingle.max() + 2))
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while parent.setdefault(i, i) != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    component, ids, out = rows["component"].to_numpy(), rows["id"].to_numpy(), []
+    for i in np.flatnonzero(rows["block"].to_numpy() == x):
+        mine = shingle[bounds[i] : bounds[i + 1]]
+        n = first[mine + 1] - first[mine]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[mine], n)
+        both = np.bincount(holder[at], minlength=len(others))
+        near = 100 * both >= percent * (sizes[i] + sizes[others] - both)
+        for j in others[near & (component[others] != component[i])]:
+            a, b = root(int(component[i])), root(int(component[j]))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((ids[i], ids[j]))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
 def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough to connect every component of the full link graph.
 
-    ``classes``: id (of the class's first document), n, bands and the sketch.
+    ``classes``: id (of the class's first document) and bands.
     """
     bucket = classes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "id")
     shared = bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("center")).where("n > 1")
     live = staged(bucket.join(shared, "bucket").select("bucket", "id", "center"), "near-buckets")
-    ids = live.select("id").distinct()
-    sketches = staged(classes.select("id", F.struct("n", *SKETCH).alias("sketch")).join(ids, "id"), "near-sketches")
-    sets = staged(_sets(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id"), k), "near-sets")
-
+    ids = live.select(F.col("id").alias("doc_id")).distinct()
+    sets = staged(_sets(docs.join(ids, "doc_id"), k), "near-sets")
     held = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("s")), F.lit(0))).first()
     blocks = max(1, -(-held[0] // BLOCK_IDS), -(-8 * held[1] // BLOCK_BYTES))
 
-    pairs = live.where("id != center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
-    for c in "ab":
-        pairs = pairs.join(sketches.select(F.col("id").alias(c), F.col("sketch").alias(f"sketch_{c}")), c)
-    everything = staged(_confirmed(pairs.where(_likely("sketch_a", "sketch_b", percent)).select("a", "b"), sets, blocks, percent), "near-links")
-    of = components(everything)
-    left = live.where("id != center").select("bucket", "id").join(sketches, "id")
-    centers = 32
-    while True:
-        labelled = left.join(of, "id", "left").select("bucket", "id", "sketch", F.coalesce("component", "id").alias("component"))
-        open_ = labelled.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        left = staged(labelled.join(open_.where("lo != hi"), "bucket").select("bucket", "id", "sketch", "component", "n", "first"), "near-open")
-        if left.isEmpty():
-            return everything
-        chosen = (F.col("id") == F.col("first")) | (F.pmod(F.xxhash64("id", F.lit(centers)), F.col("n")) < centers)
-        left = left.withColumn("center", chosen)
-        member, center = left.alias("m"), left.where("center").alias("c")
-        other = (F.col("m.bucket") == F.col("c.bucket")) & (F.col("m.component") != F.col("c.component"))
-        pairs = member.join(center, other & _likely("m.sketch", "c.sketch", percent))
-        pairs = pairs.select(F.greatest("m.id", "c.id").alias("a"), F.least("m.id", "c.id").alias("b")).distinct()
-        found = staged(_confirmed(pairs, sets, blocks, percent), "near-links")
-        if not found.isEmpty():
-            everything = everything.unionByName(found)
-            of = components(everything)
-        left = left.where("NOT center").select("bucket", "id", "sketch")
-        centers *= 16
+    # every member with the center of its buckets
+    members = live.where("id != center")
+    found = staged(_confirmed(members.select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), sets, blocks, percent), "near-links")
+    of = components(found)
+
+    # buckets whose other members are not all in one component: what such buckets connect is a cluster
+    labelled = members.select("bucket", "id").join(of, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    open_ = labelled.groupBy("bucket").agg(F.min("id").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    left = staged(labelled.join(open_, "bucket").select("id", "first", "component").distinct(), "near-open")
+    if left.isEmpty():
+        return found
+    cluster = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")), "near-clusters").withColumnRenamed("component", "cluster")
+    rows = left.select("id", "component").distinct().join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")).join(sets, "id")
+    rows = staged(rows, "near-members")
+    size = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("s")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("n") / CELL_IDS), F.ceil(8 * F.col("bytes") / CELL_BYTES), F.lit(1)).cast("int")
+    rows = rows.join(size.select("cluster", parts.alias("parts")), "cluster")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "s")
+    within = rows.groupBy("cluster", "x", "y").applyInPandas(lambda r: _linked_within(r, percent), "a long, b long")
+    return found.unionByName(staged(within, "near-links"))
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -239,9 +246,8 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     docs = id_and_text(df, id_col, text_col)
     signed = staged(_signed(docs, k, band_rows(percent)), "near-signed")
     able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    signature = F.struct("doc_id", "n_shingles", "bands", *SKETCH)
-    first = able.groupBy("same").agg(F.min_by(signature, "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
-    classes = staged(first.select("same", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"), "x.bands", *(f"x.{c}" for c in SKETCH), "copies"), "near-classes")
+    first = able.groupBy("same").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
+    classes = staged(first.select("same", F.col("x.doc_id").alias("id"), "x.bands", "copies"), "near-classes")
     found = components(links(classes, docs.where("doc_id IS NOT NULL"), k, percent))
     # only classes with copies need their documents looked up
     copies = classes.where("copies > 1").select("same", "id")
