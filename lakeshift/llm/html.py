@@ -174,22 +174,39 @@ def features(nodes: list[Node]) -> np.ndarray:
 
 
 def weak_labels(nodes: list[Node]) -> np.ndarray:
-    """1 main, 0 not, -1 unknown, from the semantics of tags and attribute tokens on the way to the root."""
-    some_main = any(x.tag in MAIN_TAGS for x in nodes)
+    """1 main, 0 not, -1 unknown, from the semantics of tags and attribute tokens on
+    the way to the root. What holds a main element is not main itself."""
     label = np.full(len(nodes), -1)
     for i, x in enumerate(nodes):
         above = label[x.parent] if i else -1
-        if x.tag in SIDE_TAGS and not (x.tag == "header" and above == 1) or x.tokens & SIDE_TOKENS:
-            label[i] = 0
-        elif above == 0:
+        if x.tag in SIDE_TAGS and not (x.tag == "header" and above == 1) or x.tokens & SIDE_TOKENS or above == 0:
             label[i] = 0
         elif above == 1 or x.tag in MAIN_TAGS:
             label[i] = 1
-        elif some_main and i and not x.children:
-            label[i] = 0
+    holds = label == 1
+    for i in range(len(nodes) - 1, 0, -1):
+        holds[nodes[i].parent] |= holds[i]
+    label[holds & (label == -1)] = 0
+    if holds.any():
+        label[(label == -1) & ~holds] = 0
     return label
 
 
+def with_side_blocks(page: str, other: str, k: int) -> str | None:
+    """``page`` with side blocks that hold as much text as an article does, made from
+    the text of another page: in its main element and after it."""
+    end = page.rfind("</article>") if "</article>" in page else page.rfind("</main>")
+    if end < 0:
+        return None
+    said = SPACE.sub(" ", TAG.sub(" ", other))[-1500:]
+    tags, tokens = sorted(SIDE_TAGS), sorted(SIDE_TOKENS)
+    paragraphs = "".join(f"<p>{said[at : at + 500]}</p>" for at in range(0, len(said), 500))
+    inside = f'<div class="{tokens[k % len(tokens)]}">{paragraphs}</div>'
+    after = f"<{tags[k % len(tags)]}>{paragraphs}</{tags[k % len(tags)]}><section id={tokens[7 * k % len(tokens)]}>{paragraphs}</section>"
+    close = page.index(">", end) + 1
+    return page[:end] + inside + page[end:close] + after + page[close:]
+
+
 class Boosted:
     """Gradient-boosted regression trees for log-odds, on features cut into bins."""
 
@@ -242,16 +259,21 @@ class Boosted:
 
 
 def train(pages: list[str]) -> Boosted:
-    """Trees from weakly labelled nodes; a second copy of each has its semantic features hidden."""
+    """Trees from weakly labelled nodes. A second copy of each page has its semantic
+    features hidden; a third has side blocks added that only these tell apart."""
     xs, ys = [np.zeros((0, len(NAMES)))], [np.zeros(0)]
-    for page in pages:
+    for k, page in enumerate(pages):
         nodes, _ = parse(page)
         x, y = features(nodes), weak_labels(nodes)
         hidden = x.copy()
         hidden[:, :SEMANTIC] = 0
-        for part in (x, hidden):
-            xs.append(part[y >= 0])
-            ys.append(y[y >= 0])
+        copies = [(x, y), (hidden, y)]
+        if (more := with_side_blocks(page, pages[k - 1], k)) is not None:
+            nodes, _ = parse(more)
+            copies.append((features(nodes), weak_labels(nodes)))
+        for part, label in copies:
+            xs.append(part[label >= 0])
+            ys.append(label[label >= 0])
     x, y = np.concatenate(xs), np.concatenate(ys)
     if not len(y):
         x, y = np.zeros((2, len(NAMES))), np.array([0.0, 1.0])

@@ -175,7 +175,7 @@ def training_sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, do
     share = {r["lang"]: min(1.0, 3 * docs / r["n"]) for r in count.collect()}
     if not share:
         return [], []
-    limit = F.element_at(F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(int(min(v, 1.0) * (2**63 - 1)))))), F.col("lang"))
+    limit = F.element_at(F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(min(int(v * 2**63), 2**63 - 1))))), F.col("lang"))
     few = hashed.where(F.col("h").bitwiseAND(F.lit(2**63 - 1)) <= limit)
     ranked = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("k") <= docs)
     got = ranked.orderBy("lang", "h", "text").select("text", "lang").collect()
