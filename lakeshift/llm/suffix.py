@@ -40,6 +40,8 @@ WINDOW, GRAM = 50, 24
 LONGEST = 64
 #: Trigger keys keep 48 bits; two triggers under one key only make a range look at more.
 KEY_DROP = 16
+#: Key ranges of the dictionary for each range of triggers: a phrase is larger than its trigger.
+FINER = 5
 #: Bytes hashed at a time.
 PIECE = 1 << 20
 
@@ -150,17 +152,19 @@ def _answer_shared(asked: pa.Table) -> pa.Table:
 class Sent:
     """A block's distinct shared phrases, range by range, and where each occurs."""
 
-    texts: list[bytes]
+    texts: list[bytes]  # by key
+    keys: np.ndarray
     bounds: np.ndarray  # of ranges among them
     occurs: np.ndarray  # phrases (places in Phrases) with a shared trigger
     which: np.ndarray  # their text's index
 
 
 def _shared_phrases(p: Phrases, shared: pa.Table, ranges: int) -> Sent:
+    """``ranges``: key ranges of the dictionary; ``shared`` has answers for a divisor of as many."""
     u = distinct(p.key)
-    at = range_bounds(u, ranges)
+    at = range_bounds(u, ranges // FINER)
     bits = dict(zip(shared.column("range").to_pylist(), shared.column("shared").to_pylist(), strict=True))
-    flag = np.concatenate([np.unpackbits(np.frombuffer(bits[r], np.uint8), count=at[r + 1] - at[r]) for r in range(ranges)]).astype(bool)
+    flag = np.concatenate([np.unpackbits(np.frombuffer(bits[r], np.uint8), count=at[r + 1] - at[r]) for r in range(ranges // FINER)]).astype(bool)
     place = np.searchsorted(u, p.key)
     occurs = np.flatnonzero(flag[place]) if len(u) else np.zeros(0, np.int64)
     occurs = occurs[np.argsort(place[occurs], kind="stable")]  # by key, so by range
@@ -171,7 +175,7 @@ def _shared_phrases(p: Phrases, shared: pa.Table, ranges: int) -> Sent:
         which[k] = index.setdefault(raw[s : s + n], len(index))
     first = np.full(len(index), len(u), np.int64)
     np.minimum.at(first, which, place[occurs])
-    return Sent(list(index), np.searchsorted(first, at), occurs, which)
+    return Sent(list(index), u[first], np.searchsorted(first, range_bounds(u, ranges)), occurs, which)
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
@@ -186,7 +190,7 @@ def unpack_ids(data: bytes) -> np.ndarray:
 #: Stands for a document without id among the least documents: larger than any.
 NOBODY = np.iinfo(np.int64).max
 
-PHRASES = "range int, block long, counts binary, texts binary, docs binary"
+PHRASES = "range int, block long, keys binary, counts binary, texts binary, docs binary"
 
 
 def _ask_phrases(ranges: int):
@@ -204,10 +208,10 @@ def _ask_phrases(ranges: int):
                 if b > a:
                     blob = b"".join(sent.texts[a:b])
                     counts = np.array([len(t) - WINDOW + 1 for t in sent.texts[a:b]], np.uint64)
-                    rows.append((r, block, pack_numbers(counts), compress(blob), pack_ids(least[a:b])))
-        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "block", "counts", "texts", "docs"])
+                    rows.append((r, block, pack_sorted(sent.keys[a:b], KEY_DROP), pack_numbers(counts), compress(blob), pack_ids(least[a:b])))
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "block", "keys", "counts", "texts", "docs"])
 
     return run
 
@@ -231,17 +235,17 @@ def window_ranks(text: np.ndarray) -> np.ndarray:
     return rank
 
 
-def least_documents(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(least document of each window of the dictionary, bounds of each phrase's windows)."""
+def least_documents(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """The least document of each window of the dictionary, phrase by phrase."""
     sizes = np.array([len(t) for t in texts])
     counts = sizes - WINDOW + 1
     bounds = np.concatenate(([0], np.cumsum(counts)))
     phrase = np.repeat(np.arange(len(texts)), counts)
     at = np.arange(bounds[-1]) - bounds[phrase] + (np.cumsum(sizes) - sizes)[phrase]
     rank = window_ranks(np.frombuffer(b"".join(texts), np.uint8))[at]
-    least = np.full(int(rank.max()) + 1 if len(rank) else 0, NOBODY)
+    least = np.full(int(rank.max()) + 1, NOBODY)
     np.minimum.at(least, rank, docs[phrase])
-    return least[rank], bounds
+    return least[rank]
 
 
 FOUND = "block long, range int, runs binary"
@@ -251,20 +255,30 @@ def _answer_phrases(asked: pa.Table) -> pa.Table:
     """For each block's phrases: runs of windows with the same least document in the corpus."""
     index: dict[bytes, int] = {}
     least: list[int] = []
+    trigger: list[int] = []
     mine: list[np.ndarray] = []
-    for counts, blob, docs in zip(asked.column("counts").to_pylist(), asked.column("texts").to_pylist(), asked.column("docs").to_pylist(), strict=True):
+    for keys, counts, blob, docs in zip(*(asked.column(c).to_pylist() for c in ("keys", "counts", "texts", "docs")), strict=True):
         raw = decompress(blob)
         ends = np.cumsum(unpack_numbers(counts).astype(np.int64) + WINDOW - 1).tolist()
         which, at = np.empty(len(ends), np.int64), 0
-        for k, (e, d) in enumerate(zip(ends, unpack_ids(docs).tolist(), strict=True)):
+        for k, (e, d, t) in enumerate(zip(ends, unpack_ids(docs).tolist(), unpack_sorted(keys, KEY_DROP).tolist(), strict=True)):
             i = index.setdefault(raw[at:e], len(index))
             if i == len(least):
                 least.append(d)
+                trigger.append(t)
             elif d < least[i]:
                 least[i] = d
             which[k], at = i, e
         mine.append(which)
-    lowest, bounds = least_documents(list(index), np.array(least, np.int64))
+    texts, docs = list(index), np.array(least, np.int64)
+    counts = np.array([len(t) for t in texts]) - WINDOW + 1
+    bounds = np.concatenate(([0], np.cumsum(counts)))
+    lowest = np.repeat(docs, counts)
+    # only phrases with a trigger in common can have windows in common
+    group, size = np.unique(np.array(trigger, np.uint64), return_inverse=True, return_counts=True)[1:]
+    several = size[group] > 1
+    if several.any():
+        lowest[np.repeat(several, counts)] = least_documents([texts[i] for i in np.flatnonzero(several)], docs[several])
     begins = np.ones(len(lowest), bool)
     begins[1:] = lowest[1:] != lowest[:-1]
     begins[bounds[:-1]] = True
@@ -314,9 +328,10 @@ def removed_bytes(p: Phrases, ids: list[int | None], replies: pa.Table, ranges:
 
 
 def _exchange(blocked: DataFrame) -> tuple[DataFrame, int]:
-    """(all replies for each block, number of key ranges)."""
-    ranges = ranges_for(blocked)
-    shared = staged(_ask_shared(blocked, ranges).groupBy("range").applyInArrow(_answer_shared, SHARED), "repeats-shared")
+    """(all replies for each block, number of the dictionary's key ranges)."""
+    coarse = ranges_for(blocked)
+    ranges = coarse * FINER
+    shared = staged(_ask_shared(blocked, coarse).groupBy("range").applyInArrow(_answer_shared, SHARED), "repeats-shared")
     asked = blocked.select("block", "docs").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_ask_phrases(ranges), PHRASES)
     found = staged(asked.groupBy("range").applyInArrow(_answer_phrases, FOUND), "repeats-found")
     none = F.lit(None).cast("binary")
