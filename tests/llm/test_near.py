@@ -196,7 +196,8 @@ def test_ranks_are_the_order_of_windows():
     raw = text.tobytes()
     windows = [raw[i : i + 50] for i in range(len(raw) - 49)]
     order = {w: k for k, w in enumerate(sorted(set(windows)))}
-    assert [order[w] for w in windows] == rank[: len(windows)].tolist()
+    # places too near the end for a whole window have ranks, too
+    assert [order[w] for w in windows] == np.unique(rank[: len(windows)], return_inverse=True)[1].tolist()
 
 
 def test_without_repeats_keeps_columns(spark):
