@@ -121,23 +121,42 @@ def _sets(df: DataFrame, k: int) -> DataFrame:
     return df.mapInArrow(run, "id long, s array<long>")
 
 
+def _rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Union-find over the edges of one partition: each node with its least node there."""
+    parent: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while (p := parent.setdefault(i, i)) != i:
+            parent[i] = parent[p]
+            i = p
+        return i
+
+    for b in batches:
+        for u, v in zip(b["u"].tolist(), b["v"].tolist(), strict=True):
+            x, y = root(u), root(v)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    pairs = [(i, root(i)) for i in parent]
+    yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["u", "v"], dtype="int64")
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
-    """(id, component): the least id reachable over ``links`` (a, b).
+    """(id, component): the least id reachable over ``links`` (a, b), for ids that are not it.
 
-    Large-star and small-star steps: each node's neighbours are joined to its
-    least neighbour, until every node hangs from its component's least id.
+    Each round deals edges by their larger end, merges those that meet in a
+    partition by union-find, and replaces each node's parent by the parent's
+    parent, until nothing changes. Rounds grow with the logarithm of a chain.
     """
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
     state = None
-    while (now := edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()) != state:
+    while True:
+        rooted = edges.repartition("u").mapInPandas(_rooted, "u long, v long")
+        above = rooted.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("v"), "w")
+        edges = staged(rooted.join(above, "v", "left").select("u", F.coalesce("w", "v").alias("v")), name)
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
+        if now == state:
+            return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
         state = now
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = staged(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
 #: Verification cells: sets of two blocks of ids meet in one task, with at most about so many ids and bytes a block.
@@ -205,8 +224,8 @@ def _linked_within(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough to connect every component of the full link graph.
+def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(id, component) over all links between classes, for ids that are not their component's least.
 
     ``classes``: id (of the class's first document) and bands.
     """
@@ -221,14 +240,14 @@ def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     # every member with the center of its buckets
     members = live.where("id != center")
     found = staged(_confirmed(members.select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), sets, blocks, percent), "near-links")
-    of = components(found)
+    of = staged(components(found), "near-components")
 
     # buckets whose other members are not all in one component: what such buckets connect is a cluster
     labelled = members.select("bucket", "id").join(of, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     open_ = labelled.groupBy("bucket").agg(F.min("id").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     left = staged(labelled.join(open_, "bucket").select("id", "first", "component").distinct(), "near-open")
     if left.isEmpty():
-        return found
+        return of
     cluster = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")), "near-clusters").withColumnRenamed("component", "cluster")
     rows = left.select("id", "component").distinct().join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")).join(sets, "id")
     rows = staged(rows, "near-members")
@@ -238,7 +257,16 @@ def links(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFram
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "s")
     within = rows.groupBy("cluster", "x", "y").applyInPandas(lambda r: _linked_within(r, percent), "a long, b long")
-    return found.unionByName(staged(within, "near-links"))
+    more = staged(within, "near-links")
+    if more.isEmpty():
+        return of
+    # the new links connect components: group these, then carry their members along
+    ends = more
+    for c in "ab":
+        ends = ends.join(of.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")), c, "left").withColumn(c, F.coalesce(f"of_{c}", c)).select("a", "b")
+    moved = staged(components(ends), "near-components")
+    after = of.join(moved.select(F.col("id").alias("component"), F.col("component").alias("least")), "component", "left")
+    return after.select("id", F.coalesce("least", "component").alias("component")).unionByName(moved)
 
 
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,7 +276,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str =
     able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = able.groupBy("same").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
     classes = staged(first.select("same", F.col("x.doc_id").alias("id"), "x.bands", "copies"), "near-classes")
-    found = components(links(classes, docs.where("doc_id IS NOT NULL"), k, percent))
+    found = grouped(classes, docs.where("doc_id IS NOT NULL"), k, percent)
     # only classes with copies need their documents looked up
     copies = classes.where("copies > 1").select("same", "id")
     member = able.join(copies, "same").select("doc_id", "id").where("doc_id != id").distinct()
