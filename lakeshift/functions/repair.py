@@ -25,10 +25,8 @@ ZERO_DATE_PART_REPLACEMENT = "-01"
 # MySQL zero datetime and what it becomes; the only datetime text layout accepted.
 ZERO_DATETIME = "0000-00-00 00:00:00"
 ZERO_DATETIME_REPLACEMENT = "1970-01-01 00:00:00"
-DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATETIME_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
-DATE_FORMAT = "yyyy-MM-dd"
-TIME_FORMAT = "HH:mm:ss"
+DATETIME_SHAPE_WITH_FRACTION = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
 # MySQL ``CAST(x AS DECIMAL)`` has precision 10, scale 0.
 TINYINT_TRANSFER_TYPE = "decimal(10,0)"
 # ------------------------------------------------------------------------------
@@ -49,7 +47,7 @@ def repair_zero_date(c: str | Column) -> Column:
     return F.try_to_date(text)
 
 
-def repair_zero_datetime(c: str | Column) -> Column:
+def repair_zero_datetime(c: str | Column, *, keep_fraction: bool = False) -> Column:
     """datetime text -> timestamp_ntz (MySQL DATETIME has no zone).
 
     The zero datetime becomes 1970-01-01 00:00:00; text not exactly in
@@ -57,9 +55,13 @@ def repair_zero_datetime(c: str | Column) -> Column:
     becomes null - the same results as a strict parse with that pattern.
     Implemented as a shape test plus one cast to NTZ: a single parse per value,
     no session time zone involved (so no daylight-saving shift), never raises.
+
+    ``keep_fraction`` also accepts fractions of a second (``DATETIME(n)``
+    columns); the migration uses it, so that no time value is lost.
     """
     text = F.replace(_col(c).cast("string"), F.lit(ZERO_DATETIME), F.lit(ZERO_DATETIME_REPLACEMENT))
-    return F.when(text.rlike(DATETIME_SHAPE), text.try_cast("timestamp_ntz"))
+    shape = DATETIME_SHAPE_WITH_FRACTION if keep_fraction else DATETIME_SHAPE
+    return F.when(text.rlike(shape), text.try_cast("timestamp_ntz"))
 
 
 def tinyint_to_int(c: str | Column) -> Column:
@@ -78,32 +80,24 @@ def _zone_free(dtype: str) -> bool:
 
 
 def time_text(c: str | Column, dtype: str = "timestamp_ntz") -> Column:
-    """F6 for time columns: ``HH:mm:ss`` text (strings pass through)."""
+    """F6 for time columns: ``HH:mm:ss`` text with the fraction, if any (strings pass through)."""
     col = _col(c)
-    if dtype == "string":
-        return col
-    if dtype == "timestamp_ntz":
-        return F.substring(col.cast("string"), 12, 8)
-    return F.date_format(col, TIME_FORMAT)
+    return col if dtype == "string" else F.substring_index(col.cast("string"), " ", -1)
 
 
 def datetime_text(c: str | Column, dtype: str = "timestamp_ntz") -> Column:
     """F6 for datetime columns: what ``CONVERT(c, CHAR)`` returns for a
-    DATETIME, ``yyyy-MM-dd HH:mm:ss``. NTZ values are rendered by a string cast,
-    which involves no time zone, so no wall-clock time moves across a
-    daylight-saving gap; zone-aware timestamps use the session zone."""
+    DATETIME: ``yyyy-MM-dd HH:mm:ss`` and the fraction of a second, if any. NTZ
+    values are rendered by a string cast, which involves no time zone, so no
+    wall-clock time moves across a daylight-saving gap; zone-aware timestamps
+    use the session zone."""
     col = _col(c)
-    if _zone_free(dtype):
-        return F.substring(col.cast("timestamp_ntz").cast("string"), 1, 19)
-    return F.date_format(col, DATETIME_FORMAT)
+    return (col.cast("timestamp_ntz") if _zone_free(dtype) else col).cast("string")
 
 
 def date_text(c: str | Column, dtype: str = "date") -> Column:
     """F6 for date columns: ``yyyy-MM-dd``."""
-    col = _col(c)
-    if _zone_free(dtype):
-        return F.substring(col.cast("string"), 1, 10)
-    return F.date_format(col, DATE_FORMAT)
+    return _col(c).cast("date").cast("string")
 
 
 def change_timestamp(c: str | Column) -> Column:
@@ -124,16 +118,17 @@ def repair_columns(
     date_cols: list[str] = (),
     datetime_cols: list[str] = (),
     tinyint_cols: list[str] = (),
+    keep_fraction: bool = False,
 ) -> DataFrame:
     """Apply F1/F2/F3 to the named columns in a single projection."""
-    repairs = _repairs(date_cols, datetime_cols, tinyint_cols)
+    repairs = _repairs(date_cols, datetime_cols, tinyint_cols, keep_fraction)
     return df.withColumns(repairs) if repairs else df
 
 
-def _repairs(date_cols, datetime_cols, tinyint_cols) -> dict[str, Column]:
+def _repairs(date_cols, datetime_cols, tinyint_cols, keep_fraction=False) -> dict[str, Column]:
     repairs: dict[str, Column] = {}
     for c in datetime_cols:
-        repairs[c] = repair_zero_datetime(c)
+        repairs[c] = repair_zero_datetime(c, keep_fraction=keep_fraction)
     for c in date_cols:
         repairs[c] = repair_zero_date(c)
     for c in tinyint_cols:
@@ -148,6 +143,7 @@ def repair_observed(
     date_cols: list[str] = (),
     datetime_cols: list[str] = (),
     tinyint_cols: list[str] = (),
+    keep_fraction: bool = False,
 ) -> DataFrame:
     """Repair and attach an ``Observation`` with ``rows`` and ``nulled`` counts.
 
@@ -155,7 +151,7 @@ def repair_observed(
     The metrics are gathered by whatever action runs next (normally the
     snapshot write), so the counts cost no second pass over the data.
     """
-    repairs = _repairs(date_cols, datetime_cols, tinyint_cols)
+    repairs = _repairs(date_cols, datetime_cols, tinyint_cols, keep_fraction)
     if not repairs:
         return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.lit(0).cast("bigint").alias("nulled"))
     raw = {f"__raw_{i}": F.col(c) for i, c in enumerate(repairs)}

@@ -43,8 +43,8 @@ def typed_select_sql(database: str, table: str, classes: ColumnClasses, quote: s
 def typed_projection(df: DataFrame, classes: ColumnClasses) -> DataFrame:
     """P1, DataFrame side: the values the source query above would hand over.
 
-    datetime -> ``yyyy-MM-dd HH:mm:ss`` text, date -> ``yyyy-MM-dd``, time ->
-    ``HH:mm:ss``, tinyint -> decimal(10,0); other columns unchanged, order kept.
+    datetime -> ``yyyy-MM-dd HH:mm:ss[.fraction]`` text, date -> ``yyyy-MM-dd``, time ->
+    ``HH:mm:ss[.fraction]``, tinyint -> decimal(10,0); other columns unchanged, order kept.
     """
     types = dict(df.dtypes)
     conv: dict[str, Column] = {}
@@ -60,19 +60,16 @@ def typed_projection(df: DataFrame, classes: ColumnClasses) -> DataFrame:
     return df.select([conv[c].alias(c) if c in conv else F.col(c) for c in cols])
 
 
-def repair_by_classes(df: DataFrame, classes: ColumnClasses) -> DataFrame:
-    """Undo :func:`typed_projection`'s transfer encodings with the repairs.
-
-    Only columns that arrive as text (dates) or decimal/boolean (tinyint) are
-    touched; time columns stay text, as in the source jobs.
-    """
+def repairs_needed(df: DataFrame, classes: ColumnClasses) -> dict[str, list[str]]:
+    """The columns whose transfer encoding the repairs (F1-F3) undo: those that
+    arrive as text (dates) or decimal/boolean (tinyint). Time columns stay text,
+    as in the source jobs."""
     types = dict(df.dtypes)
-    return R.repair_columns(
-        df,
-        date_cols=[c for c in classes.date if types.get(c) == "string"],
-        datetime_cols=[c for c in classes.datetime if types.get(c) == "string"],
-        tinyint_cols=[c for c in classes.tinyint if c in types],
-    )
+    return {
+        "date_cols": [c for c in classes.date if types.get(c) == "string"],
+        "datetime_cols": [c for c in classes.datetime if types.get(c) == "string"],
+        "tinyint_cols": [c for c in classes.tinyint if c in types],
+    }
 
 
 def select_columns(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.functions.repair import repair_observed
 from lakeshift.operators.cdc import drop_metadata, stamp_changes
+from lakeshift.operators.projection import repairs_needed
 from lakeshift.sinks.snapshot import create_partitioned_table, refresh_table
 from lakeshift.sources.catalog import ColumnClasses
 
@@ -52,22 +53,26 @@ def migrate_table(
     *,
     target_database: str | None = None,
     num_files: int | None = None,
-    rebalance: bool = True,
+    rebalance: bool = False,
     merge_schema: bool = True,
     skip_empty: bool = False,
+    keep_fraction: bool = True,
 ) -> TableStatus:
     """M4: one table end to end; never raises, reports instead (M2).
 
-    ``rebalance`` (default) inserts a REBALANCE right after the read: JDBC key
-    ranges over gappy or skewed keys give very uneven partitions, and AQE then
-    splits the big ones and merges the small ones, so the per-row repair and
-    the write run on even partitions and produce evenly sized files.
+    ``rebalance`` inserts a REBALANCE right after the read, for sources whose
+    partitions are known to be uneven (a non-unique or badly skewed key read in
+    equal-width ranges): AQE then splits the big ones and merges the small ones.
+    It shuffles the table, so it is off by default; balanced key ranges and file
+    scans are even already.
     ``num_files`` instead forces an exact partition (file) count.
     ``merge_schema`` (default, as the source jobs' overwrite) keeps columns that
     the source no longer has, as nulls, instead of dropping them.
     ``skip_empty`` leaves an empty source table unwritten and unregistered
     (status ``empty``), as the source jobs did; by default an empty snapshot is
     written so the table and its schema exist downstream.
+    ``keep_fraction`` (default) keeps fractions of a second; without it, a
+    datetime with one becomes null and is counted, as in the source jobs.
     """
     try:
         df = reader(database, table, classes)
@@ -77,22 +82,14 @@ def migrate_table(
             df = df.repartition(num_files)
         elif rebalance:
             df = df.hint("rebalance")
-        types = dict(df.dtypes)
         obs = Observation(f"migrate_{database}_{table}_{uuid.uuid4().hex[:8]}")
-        repaired = repair_observed(
-            df,
-            obs,
-            date_cols=[c for c in classes.date if types.get(c) == "string"],
-            datetime_cols=[c for c in classes.datetime if types.get(c) == "string"],
-            tinyint_cols=[c for c in classes.tinyint if c in types],
-        )
+        repaired = repair_observed(df, obs, **repairs_needed(df, classes), keep_fraction=keep_fraction)
         refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table,
                       merge_schema=merge_schema)
         m = obs.get
         return TableStatus(database, table, "ok", int(m["rows"]), int(m["nulled"]), None)
     except Exception as e:  # noqa: BLE001 - isolation is the point
-        msg = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
-        return TableStatus(database, table, "failed", None, None, msg[:500])
+        return TableStatus(database, table, "failed", None, None, f"{type(e).__name__}: {e}")
 
 
 def migrate_tables(
@@ -105,22 +102,29 @@ def migrate_tables(
     target_database: str | None = None,
     parallel_tables: int = 4,
     num_files: int | None = None,
-    rebalance: bool = True,
+    rebalance: bool = False,
     skip_empty: bool = False,
+    keep_fraction: bool = True,
 ) -> DataFrame:
     """M1 + M2: migrate every listed table; returns one status row per table.
 
-    A table missing from the catalogue fails alone with a clear message.
+    A table missing from the catalogue fails alone with a clear message, and so
+    do tables of several databases that would become one table of
+    ``target_database``: the second would replace the first.
     """
+    clash = {t for t in {t for _, t in tables} if target_database and len({d for d, n in tables if n == t}) > 1}
 
     def one(dt: tuple[str, str]) -> TableStatus:
         db, tb = dt
         cls = classes.get((db, tb))
+        if tb in clash:
+            return TableStatus(db, tb, "failed", None, None, f"several source databases have a table {tb} for {target_database}.{tb}")
         if cls is None:
             return TableStatus(db, tb, "failed", None, None, f"no catalogue entry for {db}.{tb}")
         return migrate_table(
             spark, db, tb, cls, reader, target_root,
             target_database=target_database, num_files=num_files, rebalance=rebalance, skip_empty=skip_empty,
+            keep_fraction=keep_fraction,
         )
 
     # inheritable_thread_target carries the caller's job group, scheduler pool

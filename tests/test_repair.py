@@ -97,7 +97,7 @@ def test_datetime_repair_equals_strict_pattern_parse(spark):
             "abc", None, "1900-01-01 00:00:00", "-024-01-01 00:00:00"]
     df = spark.createDataFrame([(v,) for v in vals], "t string")
     strict = F.try_to_timestamp(
-        F.replace("t", F.lit(R.ZERO_DATETIME), F.lit(R.ZERO_DATETIME_REPLACEMENT)), F.lit(R.DATETIME_FORMAT)
+        F.replace("t", F.lit(R.ZERO_DATETIME), F.lit(R.ZERO_DATETIME_REPLACEMENT)), F.lit("yyyy-MM-dd HH:mm:ss")
     ).cast("timestamp_ntz")  # session zone is UTC here, so the cast is exact
     rows = df.select(R.repair_zero_datetime("t").alias("a"), strict.alias("b")).collect()
     assert [r.a for r in rows] == [r.b for r in rows]
@@ -199,8 +199,8 @@ def test_text_transfer_is_zone_free_for_ntz_and_dates(spark):
         df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0, 5), dt.date(999, 12, 31))],
                                    "ts timestamp_ntz, d date")
         r = df.select(R.datetime_text("ts").alias("a"), R.time_text("ts").alias("b"), R.date_text("d").alias("c"),
-                      R.repair_zero_datetime(R.datetime_text("ts")).alias("back")).first()
-        assert (r.a, r.b, r.c) == ("2024-03-10 02:30:00", "02:30:00", "0999-12-31")
-        assert r.back == dt.datetime(2024, 3, 10, 2, 30)
+                      R.repair_zero_datetime(R.datetime_text("ts"), keep_fraction=True).alias("back")).first()
+        assert (r.a, r.b, r.c) == ("2024-03-10 02:30:00.000005", "02:30:00.000005", "0999-12-31")
+        assert r.back == dt.datetime(2024, 3, 10, 2, 30, 0, 5)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
