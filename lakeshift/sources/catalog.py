@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLE_LIST_SCHEMA = "database string, table string, key string"
 
+# The column names of MySQL's information_schema.COLUMNS.
 CATALOG_COLUMNS = [
     "table_schema",
     "TABLE_NAME",
@@ -37,6 +38,8 @@ DATETIME_TYPES = ("datetime",)
 DATE_TYPES = ("date",)
 TIME_TYPES = ("time",)
 TINYINT_TYPES = ("tinyint",)
+INTEGER_TYPES = ("tinyint", "smallint", "mediumint", "int", "integer", "bigint")
+PRIMARY_KEY = "PRI"
 # ------------------------------------------------------------------------------
 
 
@@ -48,13 +51,17 @@ def read_table_list(spark: SparkSession, path: str) -> DataFrame:
 def read_column_catalog(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """The extracted catalogue, CSV or parquet, with a fixed schema.
 
-    Files written without ``ORDINAL_POSITION`` get it as null; columns then
-    keep file order within a table.
+    Files written without ``ORDINAL_POSITION`` get it from file order.
     """
     if fmt == "csv":
         raw = spark.read.option("header", "true").csv(path)
     else:
         raw = spark.read.format(fmt).load(path)
+    if "ORDINAL_POSITION" not in raw.columns:
+        # the catalogue is small; ids grow in file order within and across its files
+        raw = raw.withColumn("_at", F.monotonically_increasing_id())
+        order = Window.partitionBy("table_schema", "TABLE_NAME").orderBy("_at")
+        raw = raw.withColumn("ORDINAL_POSITION", F.row_number().over(order))
     cols = []
     for name, typ in [(c.split()[0], c.split()[1]) for c in CATALOG_SCHEMA.split(", ")]:
         if name in raw.columns:
@@ -135,6 +142,7 @@ class ColumnClasses:
     date: list[str] = field(default_factory=list)
     time: list[str] = field(default_factory=list)
     tinyint: list[str] = field(default_factory=list)
+    integer_key: str | None = None  # the primary key, if it is one integer column
 
 
 def column_classes_frame(catalog: DataFrame) -> DataFrame:
@@ -156,6 +164,8 @@ def column_classes_frame(catalog: DataFrame) -> DataFrame:
         names(dt.isin(*DATE_TYPES)).alias("date_cols"),
         names(dt.isin(*TIME_TYPES)).alias("time_cols"),
         names(dt.isin(*TINYINT_TYPES)).alias("tinyint_cols"),
+        names(F.col("COLUMN_KEY") == PRIMARY_KEY).alias("key_cols"),
+        names((F.col("COLUMN_KEY") == PRIMARY_KEY) & dt.isin(*INTEGER_TYPES)).alias("integer_key_cols"),
     )
 
 
@@ -172,11 +182,12 @@ def column_classes(catalog: DataFrame) -> dict[tuple[str, str], ColumnClasses]:
             list(r["date_cols"]),
             list(r["time_cols"]),
             list(r["tinyint_cols"]),
+            r["key_cols"][0] if len(r["key_cols"]) == 1 and r["integer_key_cols"] else None,
         )
     return out
 
 
-def classes_from_schema(schema_name: str, table: str, schema: T.StructType) -> ColumnClasses:
+def classes_from_schema(schema_name: str, table: str, schema: T.StructType, key: str | None = None) -> ColumnClasses:
     """A6 for a table whose catalogue is its own DataFrame schema: the same
     classes :func:`column_classes` would give for :func:`catalog_from_schema`,
     computed on the driver because no data is involved."""
@@ -191,4 +202,6 @@ def classes_from_schema(schema_name: str, table: str, schema: T.StructType) -> C
             cls.time.append(f.name)
         elif data_type in TINYINT_TYPES:
             cls.tinyint.append(f.name)
+        if f.name == key and data_type in INTEGER_TYPES:
+            cls.integer_key = key
     return cls

@@ -26,6 +26,9 @@ DEFAULT_QUERY_TIMEOUT = 300  # seconds
 SOURCE_CHUNK_STRIDE = 100000  # key width of one chunk in the source jobs' serial loop
 # ------------------------------------------------------------------------------
 
+#: Ranges a fixed stride may make: each is a partition of the read, planned on the driver.
+MAX_RANGES = 100_000
+
 
 @dataclass
 class JdbcSource:
@@ -60,9 +63,13 @@ def read_query(spark: SparkSession, src: JdbcSource, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**query_options(src, query)).load()
 
 
+def quoted(name: str, quote: str = "`") -> str:
+    return f"{quote}{name.replace(quote, quote * 2)}{quote}"
+
+
 def bounds_query(table_sql: str, key: str) -> str:
     """Min and max of the key, computed by the source."""
-    return f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table_sql}"
+    return f"SELECT MIN({quoted(key)}) AS lo, MAX({quoted(key)}) AS hi FROM {table_sql}"
 
 
 def key_bounds(df: DataFrame, key: str) -> tuple | None:
@@ -89,6 +96,8 @@ def plan_key_ranges(lo: int, hi: int, *, num_partitions: int | None = None, stri
         stride = max(1, math.ceil(span / n))
     if stride <= 0:
         raise ValueError("stride must be positive")
+    if span > stride * MAX_RANGES:
+        raise ValueError(f"{span // stride} ranges of {stride} keys are more than {MAX_RANGES}; use balanced ranges for sparse keys")
     return [(s, min(s + stride, hi + 1)) for s in range(lo, hi + 1, stride)]
 
 
@@ -98,8 +107,9 @@ def bucket_width(lo: int, hi: int, buckets: int) -> int:
 
 def histogram_sql(table_sql: str, key: str, lo: int, width: int, hi_excl: int | None = None) -> str:
     """Rows per fixed-width key bucket, counted by the source (one row per bucket)."""
-    b = f"FLOOR(({key} - {lo}) / {width})"
-    where = f"{key} IS NOT NULL" if hi_excl is None else f"{key} >= {lo} AND {key} < {hi_excl}"
+    k = quoted(key)
+    b = f"FLOOR(({k} - {lo}) / {width})"
+    where = f"{k} IS NOT NULL" if hi_excl is None else f"{k} >= {lo} AND {k} < {hi_excl}"
     return f"SELECT {b} AS bucket, COUNT(*) AS n FROM {table_sql} WHERE {where} GROUP BY {b}"
 
 
@@ -122,10 +132,11 @@ def _segments(lo: int, hi_excl: int, width: int, counts: dict[int, int]) -> list
 
 
 def balanced_segments(lo: int, hi: int, histogram, num_partitions: int, buckets: int = 1024) -> list[Segment]:
-    """Non-empty key segments with row counts: one histogram over ``lo..hi``,
-    then one finer histogram inside each bucket that alone holds more than a
-    partition's share (at most ``num_partitions`` of them)."""
-    width = bucket_width(lo, hi, buckets)
+    """Non-empty key segments with row counts: one histogram over ``lo..hi`` with
+    at least four buckets for each partition, then one finer histogram inside
+    each bucket that alone holds more than a partition's share - none where keys
+    are even, whatever the number of partitions."""
+    width = bucket_width(lo, hi, max(buckets, 4 * num_partitions))
     segs = _segments(lo, hi + 1, width, histogram(lo, hi + 1, width))
     share = sum(n for _, _, n in segs) / max(1, num_partitions)
     out: list[Segment] = []
@@ -187,8 +198,19 @@ def integer_bounds(key: str, lo, hi) -> tuple[int, int]:
 
 
 def range_predicates(key: str, ranges: list[tuple[int, int]]) -> list[str]:
-    """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``."""
-    return [f"{key} >= {a} AND {key} < {b}" for a, b in ranges]
+    """One WHERE clause per range, for ``spark.read.jdbc(predicates=...)``.
+
+    Together they admit every row: the first range is open below and takes the
+    rows without a key, the last is open above, so that rows which arrive after
+    the bounds were read are not lost.
+    """
+    k, last = quoted(key), len(ranges) - 1
+    out = []
+    for i, (a, b) in enumerate(ranges):
+        parts = ([f"{k} >= {a}"] if i else []) + ([f"{k} < {b}"] if i < last else [])
+        clause = " AND ".join(parts) or "1 = 1"
+        out.append(f"({clause} OR {k} IS NULL)" if i == 0 and last else clause)
+    return out
 
 
 def partitioned_options(src: JdbcSource, query: str, key: str, lo: int, hi: int, num_partitions: int) -> dict[str, str]:
@@ -213,11 +235,12 @@ def read_partitioned(
     num_partitions: int,
     bounds: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """S5 + S7: bounds probe, then one parallel read. Empty table -> empty frame."""
+    """S5 + S7: bounds probe, then one parallel read (Spark's first partition takes
+    null keys and its last is open above). Without any key value: one plain read."""
     if bounds is None:
         b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
         if b is None or b["lo"] is None:
-            return read_query(spark, src, query).limit(0)
+            return read_query(spark, src, query)
         bounds = integer_bounds(key, b["lo"], b["hi"])
     lo, hi = bounds
     return spark.read.format("jdbc").options(**partitioned_options(src, query, key, lo, hi, num_partitions)).load()
@@ -231,9 +254,10 @@ def read_by_ranges(
     ranges: list[tuple[int, int]],
 ) -> DataFrame:
     """S7 with explicit ranges (e.g. a fixed stride): one partition per
-    half-open range, all read in parallel by the executors."""
+    half-open range, all read in parallel by the executors. Without any range
+    (no key value seen): one plain read, which also finds rows without a key."""
     if not ranges:
-        return read_query(spark, src, query).limit(0)
+        return read_query(spark, src, query)
     props = {k: v for k, v in src.options().items() if k != "url"}
     return spark.read.jdbc(src.url, f"({query}) q", predicates=range_predicates(key, ranges), properties=props)
 
@@ -257,7 +281,7 @@ def read_balanced(
     """
     b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
     if b is None or b["lo"] is None:
-        return read_query(spark, src, query).limit(0)
+        return read_query(spark, src, query)
     lo, hi = integer_bounds(key, b["lo"], b["hi"])
 
     def histogram(a: int, b_excl: int, width: int) -> dict[int, int]:
@@ -292,7 +316,7 @@ def read_table_typed(
     if key and stride:
         b = read_query(spark, src, bounds_query(f"({query}) b", key)).first()
         if b is None or b["lo"] is None:
-            return read_query(spark, src, query).limit(0)
+            return read_query(spark, src, query)
         lo, hi = integer_bounds(key, b["lo"], b["hi"])
         return read_by_ranges(spark, src, query, key, plan_key_ranges(lo, hi, stride=stride))
     if key and num_partitions > 1:
@@ -306,13 +330,12 @@ def read_catalog(spark: SparkSession, src: JdbcSource, schema_name: str) -> Data
     return df.select([F.col(c.split()[0]).cast(c.split()[1]) for c in CATALOG_SCHEMA.split(", ")])
 
 
-def read_key_ranges(df: DataFrame, key: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """The range plan applied to a non-JDBC frame: one filtered scan per range
-    (pushed down to the file scan), unioned by name (U1)."""
-    parts = [df.filter((F.col(key) >= a) & (F.col(key) < b)) for a, b in ranges]
-    if not parts:
-        return df.limit(0)
-    return union_all(parts)
+def read_key_ranges(df: DataFrame, key: str, num_partitions: int) -> DataFrame:
+    """The parallel range read for a non-JDBC frame: one scan, dealt into key
+    ranges of about equal size by Spark's own sampling; rows without a key come
+    first. A file scan is parallel already, so there is nothing to gain from one
+    scan per range."""
+    return df.repartitionByRange(num_partitions, F.col(f"`{key}`"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
