@@ -4,16 +4,22 @@ The target is any DataFrame (usually the current snapshot); every apply returns
 the new table contents as a DataFrame, which the caller writes as a new
 snapshot (parquet tables cannot be rewritten in place while being read).
 
+Keys
+----
+A row whose key has a null part is identified by its whole content: it matches
+no other row, an upsert adds it unless it is there already, and a delete finds
+nothing. So no such row is lost, and applying a batch twice equals applying it
+once. Single and composite keys follow the same rule.
+
 Scale notes
 -----------
-* The target is never shuffled when the changed key set is small: the key set
-  is counted first (an action over the change batch only) and broadcast only
-  when ``keys x estimated key width`` is within ``broadcast_max_bytes``
-  (default 64 MiB, session conf ``lakeshift.cdc.broadcastMaxBytes``); above
-  that the anti-join is a shuffle join planned by Catalyst/AQE.
-* "Latest change per key" is an aggregate (``max_by`` over the ordering), not a
-  window: Spark pre-aggregates it on the map side, so one key that carries a
-  third of all changes still leaves each map task as a single row.
+* Each apply is one anti-join of the target with the changed keys. Whether the
+  keys are broadcast is left to the planner and AQE, which know their measured
+  size (``spark.sql.autoBroadcastJoinThreshold``).
+* A batch is reduced to one row per key by an aggregate, not a window: Spark
+  pre-aggregates it on the map side, so one key that carries a third of all
+  changes still leaves each map task as a single row. With ``stage_dir`` the
+  reduced batch is written once and read back, so the feed is read once.
 """
 
 from __future__ import annotations
@@ -33,14 +39,6 @@ CHANGE_TS_COLUMN = "update_ts_dms"
 APPLIED_TS_COLUMN = "last_applied_date"
 # ------------------------------------------------------------------------------
 
-BROADCAST_CONF = "lakeshift.cdc.broadcastMaxBytes"
-DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# bytes per key value in a broadcast hash relation, by type (strings: a guess
-# for short business keys; the row overhead is added per key)
-_KEY_WIDTH = {"bigint": 8, "int": 4, "smallint": 2, "tinyint": 1, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
-_STRING_WIDTH = 48
-_ROW_OVERHEAD = 16
-
 
 class DuplicateKeyError(ValueError):
     """An upsert batch holds a key more than once (a MERGE would reject it)."""
@@ -89,97 +87,51 @@ def conform(rows: DataFrame, target: DataFrame) -> DataFrame:
     return rows.select([F.col(c).cast(t).alias(c) for c, t in target.dtypes])
 
 
-def key_set_bytes(keys: DataFrame, n_keys: int) -> int:
-    """Upper-end size estimate of a broadcast hash relation over ``n_keys`` keys."""
-    width = _ROW_OVERHEAD
-    for _, t in keys.dtypes:
-        width += _KEY_WIDTH.get(t, 16 if t.startswith("decimal") else _STRING_WIDTH)
-    return n_keys * width
-
-
-def _limit(keys: DataFrame, broadcast_max_bytes: int | None) -> int:
-    if broadcast_max_bytes is not None:
-        return broadcast_max_bytes
-    conf = keys.sparkSession.conf.get(BROADCAST_CONF, None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_BYTES
-
-
-def _sized_keys(keys: DataFrame, n_keys: int, broadcast_max_bytes: int | None) -> DataFrame:
-    """Broadcast the key set only when its counted size is within bounds."""
-    return F.broadcast(keys) if key_set_bytes(keys, n_keys) <= _limit(keys, broadcast_max_bytes) else keys
+def _keyless(rows: DataFrame, key: list[str]) -> Column:
+    """Whether any part of a row's key is null."""
+    out = F.col(key[0]).isNull()
+    for k in key[1:]:
+        out = out | F.col(k).isNull()
+    return out
 
 
-def _remove_keys(target: DataFrame, keys: DataFrame, key: list[str], n_keys: int, broadcast_max_bytes: int | None) -> DataFrame:
-    return target.join(_sized_keys(keys, n_keys, broadcast_max_bytes), on=key, how="left_anti")
+def _with_keyless(out: DataFrame, target: DataFrame, upserts: DataFrame, key: list[str]) -> DataFrame:
+    """``out`` plus the upserts without a full key that the target does not hold yet."""
+    rows = conform(upserts.filter(_keyless(upserts, key)), target)
+    if rows.isEmpty():
+        return out
+    return out.unionByName(rows.subtract(target.filter(_keyless(target, key))))
 
 
-def upsert(
-    target: DataFrame,
-    upserts: DataFrame,
-    key: str | Iterable[str],
-    *,
-    n_keys: int | None = None,
-    broadcast_max_bytes: int | None = None,
-) -> DataFrame:
+def upsert(target: DataFrame, upserts: DataFrame, key: str | Iterable[str]) -> DataFrame:
     """Matched keys take the new row whole, unmatched keys are inserted.
 
     ``upserts`` must hold each key at most once (see :func:`apply_changes`).
     """
     key = _keys(key)
-    rows = conform(upserts, target)
-    keys = rows.select(*key)
-    if n_keys is None:
-        n_keys = keys.count()
-    return _remove_keys(target, keys, key, n_keys, broadcast_max_bytes).unionByName(rows)
+    rows = conform(upserts.filter(~_keyless(upserts, key)), target)
+    out = target.join(rows.select(*key), on=key, how="left_anti").unionByName(rows)
+    return _with_keyless(out, target, upserts, key)
 
 
-def delete(
-    target: DataFrame,
-    deletes: DataFrame,
-    key: str | Iterable[str],
-    *,
-    n_keys: int | None = None,
-    broadcast_max_bytes: int | None = None,
-) -> DataFrame:
+def delete(target: DataFrame, deletes: DataFrame, key: str | Iterable[str]) -> DataFrame:
     """Remove target rows whose key appears in ``deletes``."""
     key = _keys(key)
-    keys = deletes.select(*key)
-    if n_keys is None:
-        n_keys = keys.count()
-    return _remove_keys(target, keys, key, n_keys, broadcast_max_bytes)
-
+    return target.join(deletes.select(*key), on=key, how="left_anti")
 
-def _check_unique(upserts: DataFrame, key: list[str]) -> int:
-    """Rows in an upsert batch; raises if a key repeats or is null. One aggregate job."""
-    stats = upserts.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct(*[F.col(k) for k in key]).alias("nd"),
-    ).first()
-    _raise_if_repeated(upserts, key, stats["n"], stats["nd"])
-    return stats["n"]
 
+def _staged(df: DataFrame, stage_dir: str | None) -> DataFrame:
+    if not stage_dir:
+        return df
+    df.write.mode("overwrite").parquet(stage_dir)
+    return df.sparkSession.read.schema(df.schema).parquet(stage_dir)
 
-def _raise_if_repeated(upserts: DataFrame, key: list[str], n: int, nd: int) -> None:
-    if n != nd:
-        dup = upserts.groupBy(*key).count().filter("count > 1").limit(5).collect()
-        raise DuplicateKeyError(
-            f"upsert batch has {n - nd} repeated or null key rows, e.g. {dup}; "
-            "use apply_latest to resolve several changes per key"
-        )
 
-
-def _batch_stats(feed: DataFrame, key: list[str], op_col: str) -> tuple[int, int, int]:
-    """(upsert rows, distinct upsert keys, distinct delete keys) in one pass over the batch."""
-    op = F.col(op_col)
-    k = F.struct(*[F.col(c) for c in key]) if len(key) > 1 else F.col(key[0])
-    nullkey = F.lit(None).cast(feed.select(k.alias("k")).schema["k"].dataType)
-    is_up = op.isNotNull() & (op != OP_DELETE)
-    r = feed.agg(
-        F.count(F.when(is_up, F.lit(1))).alias("n_up"),
-        F.count_distinct(F.when(is_up, k).otherwise(nullkey)).alias("nd_up"),
-        F.count_distinct(F.when(op == OP_DELETE, k).otherwise(nullkey)).alias("nd_del"),
-    ).first()
-    return r["n_up"], r["nd_up"], r["nd_del"]
+def check_unique(upserts: DataFrame, key: list[str]) -> None:
+    """Raise if an upsert batch repeats a key (rows without a full key are no repetition)."""
+    repeated = upserts.filter(~_keyless(upserts, key)).groupBy(*key).count().filter("count > 1").limit(5).collect()
+    if repeated:
+        raise DuplicateKeyError(f"upsert batch repeats keys, e.g. {repeated}; use apply_latest to resolve several changes per key")
 
 
 def apply_changes(
@@ -189,27 +141,34 @@ def apply_changes(
     *,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
-    broadcast_max_bytes: int | None = None,
+    stage_dir: str | None = None,
 ) -> DataFrame:
-    """All upserts (op != D) merged first, then all deletes; each skipped when empty.
+    """All upserts (op != D) merged first, then all deletes.
 
     Same outcome as the two MERGE statements it replaces, including their order:
     a key deleted and re-inserted in one batch ends deleted. Several upserts for
     one key raise :class:`DuplicateKeyError`, as MERGE would.
+
+    The batch becomes one row per key (its upsert, if any, and whether a delete
+    occurs); the target is then joined once, with all changed keys.
     """
-    key = _keys(key)
-    ups, dels = split_changes(feed, op_col)
-    ups = ups.drop(*drop_cols)
-    dels = dels.drop(*drop_cols)
-    out = target
-    n_ups, nd_ups, n_dels = _batch_stats(feed, key, op_col)
-    _raise_if_repeated(ups, key, n_ups, nd_ups)
-    if n_ups > 0:
-        out = upsert(out, ups, key, n_keys=n_ups, broadcast_max_bytes=broadcast_max_bytes)
-    del_keys = dels.select(*key).distinct()
-    if n_dels > 0:
-        out = delete(out, del_keys, key, n_keys=n_dels, broadcast_max_bytes=broadcast_max_bytes)
-    return out
+    key, drop_cols = _keys(key), set(drop_cols)
+    op = F.col(op_col)
+    is_up = op != OP_DELETE  # null for a null op
+    payload = [c for c in feed.columns if c not in key and c not in drop_cols]
+    known = feed.filter(op.isNotNull() & ~_keyless(feed, key))
+    per_key = known.groupBy(*key).agg(
+        F.count_if(is_up).alias("__ups"),
+        F.count_if(~is_up).alias("__dels"),
+        F.any_value(F.when(is_up, F.struct(*payload)) if payload else F.lit(None), True).alias("__row"),
+    )
+    per_key = _staged(per_key, stage_dir)
+    repeated = per_key.filter("__ups > 1").select(*key, "__ups").limit(5).collect()
+    if repeated:
+        raise DuplicateKeyError(f"upsert batch repeats keys, e.g. {repeated}; use apply_latest to resolve several changes per key")
+    rows = per_key.filter("__ups = 1 AND __dels = 0").select(*key, *([F.col("__row")[c].alias(c) for c in payload]))
+    out = target.join(per_key.select(*key), on=key, how="left_anti").unionByName(conform(rows, target))
+    return _with_keyless(out, target, feed.filter(is_up).drop(*drop_cols), key)
 
 
 def latest_changes(
@@ -240,7 +199,6 @@ def apply_latest(
     *,
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
-    broadcast_max_bytes: int | None = None,
     stage_dir: str | None = None,
 ) -> DataFrame:
     """Reduce the batch to the last change per key, then apply it once.
@@ -251,24 +209,21 @@ def apply_latest(
 
     With ``stage_dir`` (a folder in shared storage) the reduced changes are
     written there once and read back: the reduction - a shuffle of the whole
-    batch - runs once instead of twice (key count, then apply), its count comes
-    from parquet footers, and the lineage of the result starts at the staged
-    copy. The caller removes the folder once the result is written.
+    batch - runs once, and the lineage of the result starts at the staged copy.
+    The caller removes the folder once the result is written.
+
+    Order counts within a batch only: a change that arrives in a later batch
+    replaces the row whatever its change time.
     """
     key = _keys(key)
     order_by = list(order_by)
     known = feed.filter(F.col(op_col).isNotNull())
+    keyed = known.filter(~_keyless(feed, key))
     if all(isinstance(c, str) for c in order_by):
         # bookkeeping columns need not travel through the shuffle
         early = [c for c in drop_cols if c != op_col and c not in order_by and c not in key]
-        known = known.drop(*early)
-    last = latest_changes(known, key, order_by)
-    if stage_dir:
-        last.write.mode("overwrite").parquet(stage_dir)
-        last = last.sparkSession.read.parquet(stage_dir)
-    n_keys = last.count()
-    if n_keys == 0:
-        return target
-    kept = _remove_keys(target, last.select(*key), key, n_keys, broadcast_max_bytes)
+        keyed = keyed.drop(*early)
+    last = _staged(latest_changes(keyed, key, order_by), stage_dir)
     rows = last.filter(F.col(op_col) != OP_DELETE).drop(*drop_cols)
-    return kept.unionByName(conform(rows, target))
+    out = target.join(last.select(*key), on=key, how="left_anti").unionByName(conform(rows, target))
+    return _with_keyless(out, target, known.filter(F.col(op_col) != OP_DELETE).drop(*drop_cols), key)

@@ -21,10 +21,11 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshift.operators.cdc import drop_metadata, stamp_changes
+from lakeshift.operators.cdc import METADATA_COLUMNS, drop_metadata, stamp_changes
 from lakeshift.plans import marts as M
 from lakeshift.plans.migrate import Reader, migrate_tables, status_summary
-from lakeshift.sinks.snapshot import VersionedTable, export_single_file, table_report
+from lakeshift.sinks.merge import ROW_LEVEL_PROVIDERS, table_provider
+from lakeshift.sinks.snapshot import VersionedTable, export_single_file, table_exists, table_report
 from lakeshift.sources.catalog import column_classes, read_column_catalog, read_table_list
 from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import JdbcSource, read_table_typed
@@ -124,26 +125,33 @@ def cdc_job(
     run_ts: str | None = None,
     max_files_per_trigger: int | None = None,
     buckets: int | None = None,
+    keep_versions: int = 3,
 ) -> list[dict]:
     """ST1 + ST2: apply every change file landed since the last run.
 
     Without ``order_by`` each batch is applied as the source job did (all
     upserts, then all deletes; repeated keys are an error); with it, the last
-    change per key wins. Returns one report per applied batch.
+    change per key wins. Versions older than the newest ``keep_versions`` are
+    removed. Returns one report per applied batch.
     """
     t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
-    if t.current_version() is None:
+    by_merge = table_exists(spark, database, table_name) and table_provider(spark, t.name()) in ROW_LEVEL_PROVIDERS
+    if not by_merge and t.current_version() is None:
         raise TableMissing(f"{t.name()} has no snapshot yet; run full-load first")
     schema = _landed_schema(spark, raw_path)
     if schema is None:
         return []
+    have = (spark.table(t.name()) if by_merge else t.read()).columns
+    unknown = [c for c in schema.names if c not in have and c not in METADATA_COLUMNS and c not in (order_by or [])]
+    if unknown:
+        raise ValueError(f"landed files have columns {unknown} that {t.name()} lacks; add them to the table first")
     reports: list[dict] = []
     stamp_at = run_ts or _now()
     apply_available(
         spark,
         raw_path,
         schema,
-        t,
+        t.name() if by_merge else t,
         primary_key,
         order_by,
         checkpoint or f"{t.root}/_checkpoint",
@@ -151,6 +159,7 @@ def cdc_job(
         max_files_per_trigger=max_files_per_trigger,
         prepare=lambda b: stamp_changes(b, stamp_at),
         on_batch=lambda bid, info: reports.append({"batch": bid, **info}),
+        **({} if by_merge else {"keep_versions": keep_versions}),
     )
     return reports
 
@@ -159,18 +168,20 @@ def catalog_extract_job(spark: SparkSession, *, jdbc: JdbcSource, schema_name: s
     """S8 + K3: extract the source schema's column catalogue as one parquet file."""
     from lakeshift.sources.jdbc import read_catalog
 
-    return export_single_file(read_catalog(spark, jdbc, schema_name), out_path, max_rows=10_000_000)
+    return export_single_file(read_catalog(spark, jdbc, schema_name), out_path)
 
 
 def jdbc_reader(spark: SparkSession, src: JdbcSource, keys: dict[tuple[str, str], str | None], *,
-                num_partitions: int = 1, stride: int | None = None) -> Reader:
+                num_partitions: int | None = None, stride: int | None = None) -> Reader:
     """Reader for :func:`migrate_tables`: typed projection pushed to the source,
-    split into key ranges when the table list names a key."""
+    split into key ranges. The key is the table list's, or else the table's
+    integer primary key as the catalogue has it; ranges are as many as the
+    cluster has cores unless ``num_partitions`` is given."""
+    parts = num_partitions or spark.sparkContext.defaultParallelism
 
     def read(database: str, table: str, classes) -> DataFrame:
-        key = keys.get((database, table))
-        return read_table_typed(spark, src, database, table, classes, key=key,
-                                num_partitions=num_partitions, stride=stride)
+        key = keys.get((database, table)) or classes.integer_key
+        return read_table_typed(spark, src, database, table, classes, key=key, num_partitions=parts, stride=stride)
 
     return read
 
@@ -186,7 +197,7 @@ def migrate_job(
     jdbc: JdbcSource | None = None,
     catalog_format: str = "csv",
     parallel_tables: int = 4,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
     stride: int | None = None,
     skip_empty: bool = False,
 ) -> DataFrame:
@@ -199,7 +210,7 @@ def migrate_job(
         reader = jdbc_reader(spark, jdbc, {(d, t): k for d, t, k in tables}, num_partitions=num_partitions, stride=stride)
     status = migrate_tables(spark, [(d, t) for d, t, _ in tables], classes, reader, warehouse,
                             parallel_tables=parallel_tables, skip_empty=skip_empty)
-    export_single_file(status, status_path, max_rows=1_000_000)
+    export_single_file(status, status_path)
     return spark.read.parquet(status_path)
 
 
@@ -241,7 +252,7 @@ def daily_flow(
     schema_name: str | None = None,
     reader: Reader | None = None,
     parallel_tables: int = 4,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
 ) -> dict:
     """The daily sequence: (catalogue extract) -> migrate -> refresh marts.
 
@@ -293,7 +304,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     m.add_argument("--catalog-format", default="csv")
     m.add_argument("--parallel-tables", type=int, default=4)
-    m.add_argument("--num-partitions", type=int, default=1)
+    m.add_argument("--num-partitions", type=int, help="key ranges per table (default: one per core)")
     m.add_argument("--stride", type=int)
     m.add_argument("--skip-empty", action="store_true", help="leave empty source tables unwritten")
     d = sub.add_parser("daily")
@@ -303,7 +314,7 @@ def main(argv: list[str] | None = None) -> None:
     d.add_argument("--jdbc-password-env")
     d.add_argument("--today")
     d.add_argument("--parallel-tables", type=int, default=4)
-    d.add_argument("--num-partitions", type=int, default=1)
+    d.add_argument("--num-partitions", type=int, help="key ranges per table (default: one per core)")
     k = sub.add_parser("marts")
     k.add_argument("--source-database", required=True)
     k.add_argument("--warehouse", required=True)

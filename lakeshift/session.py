@@ -99,3 +99,23 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty marker file (parents included)."""
     fs, p = hadoop_fs(spark, path)
     fs.create(p, True).close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file (metadata), replacing what is there."""
+    fs, p = hadoop_fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """What :func:`write_small` wrote; None if there is no such file."""
+    fs, p = hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

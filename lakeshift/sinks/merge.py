@@ -21,7 +21,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakeshift.functions.ddl import quote_ident as q
-from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, OP_DELETE, latest_changes, split_changes, _check_unique
+from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, OP_DELETE, check_unique, latest_changes, split_changes
 
 ROW_LEVEL_PROVIDERS = ("delta", "iceberg")
 
@@ -88,7 +88,8 @@ def merge_changes(
     ups, dels = split_changes(feed, op_col)
     ups, dels = ups.drop(*drop_cols), dels.drop(*drop_cols)
     tag = uuid.uuid4().hex[:8]
-    if _check_unique(ups, key) > 0:
+    check_unique(ups, key)
+    if not ups.isEmpty():
         ups.select(*cols).createOrReplaceTempView(f"upsert_{tag}")
         spark.sql(upsert_merge_sql(table, f"upsert_{tag}", key, cols))
     if not dels.isEmpty():

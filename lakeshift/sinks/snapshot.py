@@ -9,14 +9,18 @@ or the new snapshot, never an empty or half-written one.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakeshift.functions.ddl import quote_ident, schema_ddl
-from lakeshift.session import hadoop_fs, list_dirs, list_files, path_exists
+from lakeshift.session import hadoop_fs, list_dirs, list_files, path_exists, read_small, write_small
 
 SUCCESS_MARKER = "_SUCCESS"
+SCHEMA_FILE = "_schema.json"
 _VERSION_RE = re.compile(r"^v=(\d+)$")
 
 
@@ -29,6 +33,12 @@ def qualified(database: str | None, table: str) -> str:
     return f"{quote_ident(database)}.{quote_ident(table)}" if database else quote_ident(table)
 
 
+def clustered(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows of one partition value together before a partitioned write, so that it
+    makes few files; AQE splits a value that holds too much for one task."""
+    return df.hint("rebalance", *(F.col(f"`{c}`") for c in partition_by))
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
@@ -45,6 +55,8 @@ def write_snapshot(
     """
     if num_files:
         df = df.repartition(num_files)
+    elif partition_by:
+        df = clustered(df, partition_by)
     w = df.write.format(fmt).mode("overwrite")
     if merge_schema:
         w = w.option("mergeSchema", "true")
@@ -81,25 +93,24 @@ def align_to_schema(df: DataFrame, old) -> DataFrame:
     return df.select(*cols, *[c for c in df.columns if c not in old_names])
 
 
-def export_single_file(df: DataFrame, path: str, *, max_rows: int = 1_000_000, fmt: str = "parquet") -> int:
-    """K3: write ``df`` as one file, for small results (reports, catalogues).
+def export_single_file(df: DataFrame, path: str, *, files: int = 1, fmt: str = "parquet") -> int:
+    """K3: write ``df`` as one file (reports, catalogues) and return its rows.
 
-    The result is computed once, in parallel, into a staging folder; its size
-    is checked from that copy (a parquet count reads only footers); only then
-    is the small staged copy moved through one task into a single file. A
-    result above ``max_rows`` is refused instead of being funnelled through one
-    task, and the upstream plan never runs inside a single task.
+    The result is computed once, in parallel, into a staging folder, and the
+    staged copy is then copied into ``files`` files, so the upstream plan never
+    runs inside a single task. For results that grow with the data, ask for more
+    files: each is written by one task. The staging folder is removed either way.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}__staging"
-    df.write.format(fmt).mode("overwrite").save(staging)
-    staged = spark.read.format(fmt).load(staging)
-    n = staged.count()
-    if n > max_rows:
-        raise ValueError(f"refusing single-file export of {n} rows (limit {max_rows})")
-    staged.repartition(1).write.format(fmt).mode("overwrite").save(path)
-    fs, p = hadoop_fs(spark, staging)
-    fs.delete(p, True)
+    try:
+        df.write.format(fmt).mode("overwrite").save(staging)
+        staged = spark.read.schema(df.schema).format(fmt).load(staging)
+        n = staged.count()
+        staged.repartition(files).write.format(fmt).mode("overwrite").save(path)
+    finally:
+        fs, p = hadoop_fs(spark, staging)
+        fs.delete(p, True)
     return n
 
 
@@ -198,10 +209,10 @@ def create_partitioned_table(
     ensure_database(spark, database)
     if table_exists(spark, database, table):
         return False
-    w = df.write.format(fmt).partitionBy(*partition_by).mode("errorifexists")
+    w = clustered(df, partition_by).write.format(fmt).partitionBy(*partition_by).mode("errorifexists")
     if location:
         w = w.option("path", location)
-    w.saveAsTable(f"{database}.{table}")
+    w.saveAsTable(qualified(database, table))
     return True
 
 
@@ -241,7 +252,7 @@ class VersionedTable:
     and read through the catalog (which holds the bucket spec). A key join
     against the table - the change apply's anti-join when the change set is too
     big to broadcast - then scans the target by bucket and shuffles only the
-    change side; the bucketed write itself needs no shuffle either.
+    change side. The bucketed write clusters the rows first: one file a bucket.
     """
 
     def __init__(
@@ -304,7 +315,11 @@ class VersionedTable:
         if v is None:
             raise FileNotFoundError(f"no complete snapshot under {self.root}")
         if not self.bucket_by:
-            return self.spark.read.format(self.fmt).load(self.path(v))
+            schema = self._schema(v)
+            rows = self.spark.read.format(self.fmt)
+            if schema is None:
+                return rows.load(self.path(v))
+            return rows.schema(schema).load(self.path(v)).select([F.col(f"`{c}`") for c in schema.names])
         # bucketed: read through the catalog, after making sure it points at
         # the newest complete version (a crash may have left it one behind)
         loc = table_location(self.spark, self.name()) if table_exists(self.spark, self.database, self.table) else None
@@ -312,10 +327,19 @@ class VersionedTable:
             self._point(self.path(v))
         return self.spark.table(self.name())
 
+    def _schema(self, version: int):
+        """The schema version ``version`` was committed with. Folder names cannot
+        tell the type of a partition value (text "001" would come back as 1)."""
+        text = read_small(self.spark, f"{self.path(version)}/{SCHEMA_FILE}")
+        return StructType.fromJson(json.loads(text)) if text else None
+
+    def _save_schema(self, schema, version: int) -> None:
+        write_small(self.spark, f"{self.path(version)}/{SCHEMA_FILE}", schema.json())
+
     def _point(self, path: str, schema=None) -> None:
-        """Point the catalog table at ``path`` (schema as read back from the files)."""
+        """Point the catalog table at ``path``, with the schema it was committed with."""
         if schema is None:
-            schema = self.spark.read.format(self.fmt).load(path).schema
+            schema = self._schema(int(path.rsplit("=", 1)[-1])) or self.spark.read.format(self.fmt).load(path).schema
         if self.partition_by:
             register_table(self.spark, self.database, self.table, path, fmt=self.fmt, schema=schema,
                            partition_by=self.partition_by, bucket_by=self.bucket_by, buckets=self.buckets)
@@ -332,11 +356,12 @@ class VersionedTable:
         # (external: the files stay)
         ensure_database(self.spark, self.database)
         staging = f"{self.table}__v{version}"
+        df = df.repartition(self.buckets, *(F.col(f"`{c}`") for c in self.bucket_by))  # one file a bucket
         w = df.write.format(self.fmt).bucketBy(self.buckets, *self.bucket_by).sortBy(*self.bucket_by)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         self.spark.sql(f"DROP TABLE IF EXISTS {qualified(self.database, staging)}")
-        w.option("path", self.path(version)).mode("overwrite").saveAsTable(f"{self.database}.{staging}")
+        w.option("path", self.path(version)).mode("overwrite").saveAsTable(qualified(self.database, staging))
         self.spark.sql(f"DROP TABLE IF EXISTS {qualified(self.database, staging)}")
 
     def commit(self, df: DataFrame, version: int) -> bool:
@@ -347,6 +372,8 @@ class VersionedTable:
         if cur is not None and version <= cur:
             raise ValueError(f"version {version} is not after current version {cur}")
         self._write(df, version)
+        nullable = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema])
+        self._save_schema(nullable, version)
         self._point(self.path(version))
         return True
 
@@ -377,16 +404,14 @@ def refresh_table(
 
 
 def table_report(spark: SparkSession, name: str, preview_rows: int = 5) -> dict:
-    """K12 as data: DDL, row count and an ordered preview of a registered table
-    (the preview is a top-n by all columns, bounded by ``preview_rows``)."""
-    from lakeshift.operators.basic import preview
-
+    """K12 as data: DDL, row count and a few rows of a registered table (any rows, as
+    the source jobs showed; ordering a whole table for them would read it all)."""
     df = spark.table(name)
     return {
         "table": name,
         "ddl": schema_ddl(df.schema),
         "rows": df.count(),
-        "preview": [r.asDict() for r in preview(df, preview_rows).collect()],
+        "preview": [r.asDict() for r in df.limit(preview_rows).collect()],
     }
 
 

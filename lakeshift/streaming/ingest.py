@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_changes, apply_latest, op_counts
 from lakeshift.session import hadoop_fs, path_exists, touch
+from lakeshift.sinks.merge import merge_changes, merge_latest
 from lakeshift.sinks.snapshot import VersionedTable
 
 
@@ -88,6 +89,7 @@ def cdc_batch_applier(
     drop_cols: Iterable[str] = METADATA_COLUMNS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     on_batch: Callable[[int, dict], None] | None = None,
+    keep_versions: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """ST2: a ``foreachBatch`` function applying each batch to ``table``.
 
@@ -98,6 +100,8 @@ def cdc_batch_applier(
     written after the new version is committed; a replayed batch with a marker
     is skipped. A crash between commit and marker re-applies the batch on top
     of its own result, which both J3 and J4 leave unchanged (apply is idempotent).
+    Versions older than the newest ``keep_versions`` are removed after each
+    batch (None, the default, keeps all); readers of the current one are not affected.
     ``on_batch`` receives the batch id, its per-op row counts and the table's
     row count after the apply.
     """
@@ -112,13 +116,15 @@ def cdc_batch_applier(
         cur = table.current_version()
         stage = f"{table.root}/_staging/{stream_id}/{batch_id:012d}"
         if order_by is None:
-            new = apply_changes(current, feed, key, op_col=op_col, drop_cols=drop_cols)
+            new = apply_changes(current, feed, key, op_col=op_col, drop_cols=drop_cols, stage_dir=stage)
         else:
             new = apply_latest(current, feed, key, order_by, op_col=op_col, drop_cols=drop_cols, stage_dir=stage)
         table.commit(new, cur + 1)
         touch(table.spark, marker)
         fs, p = hadoop_fs(table.spark, stage)
         fs.delete(p, True)  # the new version no longer needs the staged changes
+        if keep_versions is not None:
+            table.vacuum(keep_versions)
         if on_batch is not None:
             counts = {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}
             rows_after = table.read().count()  # parquet: answered from file footers
@@ -127,6 +133,34 @@ def cdc_batch_applier(
     return apply
 
 
+def merge_batch_applier(
+    spark: SparkSession,
+    table: str,
+    key: str | Iterable[str],
+    order_by: Iterable[str | Column] | None = None,
+    *,
+    op_col: str = OP_COLUMN,
+    drop_cols: Iterable[str] = METADATA_COLUMNS,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    on_batch: Callable[[int, dict], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """ST2 for tables with row-level writes: each batch is one or two MERGE
+    statements, which rewrite only the files that hold changed keys. A replayed
+    batch changes nothing."""
+    order_by = list(order_by) if order_by is not None else None
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        feed = prepare(batch) if prepare else batch
+        if order_by is None:
+            merge_changes(spark, table, feed, key, op_col=op_col, drop_cols=drop_cols)
+        else:
+            merge_latest(spark, table, feed, key, order_by, op_col=op_col)
+        if on_batch is not None:
+            on_batch(batch_id, {"ops": {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}})
+
+    return apply
+
+
 def stream_id_for(checkpoint: str) -> str:
     return hashlib.sha1(checkpoint.encode()).hexdigest()[:16]
 
@@ -135,7 +169,7 @@ def apply_available(
     spark: SparkSession,
     source: str,
     schema,
-    table: VersionedTable,
+    table: VersionedTable | str,
     key: str | Iterable[str],
     order_by: Iterable[str | Column] | None,
     checkpoint: str,
@@ -144,13 +178,17 @@ def apply_available(
     max_files_per_trigger: int | None = None,
     **kw,
 ) -> None:
-    """ST2: apply every newly landed change file to ``table``, batch by batch.
+    """ST2: apply every newly landed change file to ``table``, batch by batch: a
+    snapshot table, or the name of a table with row-level writes.
 
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog
     (first run, or after an outage) is applied as several bounded batches in
     landing order instead of one huge one.
     """
     stream = file_stream(spark, source, schema, recursive=recursive, max_files_per_trigger=max_files_per_trigger)
-    applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id_for(checkpoint), **kw)
+    if isinstance(table, str):
+        applier = merge_batch_applier(spark, table, key, order_by, **kw)
+    else:
+        applier = cdc_batch_applier(table, key, order_by, stream_id=stream_id_for(checkpoint), **kw)
     writer = stream.writeStream.foreachBatch(applier).option("checkpointLocation", checkpoint)
     run_available(writer)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeshift.operators import cdc
 
@@ -77,12 +78,28 @@ def test_broadcast_and_shuffle_paths_agree(spark):
     f = spark.range(0, 500, 7).selectExpr(
         "CASE WHEN id % 2 = 0 THEN 'D' ELSE 'U' END AS Op", "'s' AS schema_name", "'t' AS table_name",
         "id AS k", "'new' AS v")
-    a = cdc.apply_changes(target, f, "k", broadcast_max_bytes=10**9)
-    b = cdc.apply_changes(target, f, "k", broadcast_max_bytes=0)
-    assert _rows(a) == _rows(b)
-    assert "ResolvedHint (strategy=broadcast)" in a._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in b._jdf.queryExecution().analyzed().toString()
-    assert cdc.key_set_bytes(target.select("k"), 1000) == 1000 * 24
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = {}
+    try:
+        for threshold in ("-1", "10m"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            rows[threshold] = _rows(cdc.apply_changes(target, f, "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows["-1"] == rows["10m"]
+
+
+def test_rows_without_a_key_are_neither_lost_nor_doubled(spark):
+    target = spark.createDataFrame([(1, "a", "t"), (None, "b", "old"), (2, None, "u")], "k int, j string, v string")
+    f = spark.createDataFrame(
+        [("U", None, "b", "new"), ("I", None, "b", "old"), ("D", None, "b", None), ("U", 2, None, "w"), ("U", 1, "a", "x"), ("D", 2, None, None)],
+        "Op string, k int, j string, v string").withColumn("seq", F.monotonically_increasing_id())
+    want = [(1, "a", "x"), (2, None, "u"), (2, None, "w"), (None, "b", "new"), (None, "b", "old")]
+    key = lambda r: tuple((x is None, x) for x in r)
+    for apply in (lambda t: cdc.apply_changes(t, f.drop("seq"), ["k", "j"]), lambda t: cdc.apply_latest(t, f, ["k", "j"], ["seq"], drop_cols=["Op", "seq"])):
+        once = apply(target)
+        assert sorted((tuple(r) for r in once.collect()), key=key) == want
+        assert sorted((tuple(r) for r in apply(once).collect()), key=key) == want
 
 
 def test_latest_is_partially_aggregated(spark):

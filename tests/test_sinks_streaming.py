@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeshift.session import list_files
+from lakeshift.session import list_files, path_exists
 from lakeshift.sinks import snapshot as K
 from lakeshift.streaming.ingest import apply_available, cdc_batch_applier, ingest_available
 
@@ -26,11 +26,28 @@ def test_merge_schema_keeps_old_columns(spark, workdir):
     assert sorted(tuple(r) for r in out.collect()) == [(0, None, 1), (1, None, 1)]
 
 
-def test_single_file_export_guard(spark, workdir):
-    assert K.export_single_file(spark.range(10).repartition(4), workdir, max_rows=10) == 10
+def test_single_file_export(spark, workdir):
+    assert K.export_single_file(spark.range(10).repartition(4), workdir) == 10
     assert len([f for f in list_files(spark, workdir) if "part-" in f]) == 1
-    with pytest.raises(ValueError):
-        K.export_single_file(spark.range(11), workdir + "_b", max_rows=10)
+    assert K.export_single_file(spark.range(100), workdir, files=3) == 100
+    assert len([f for f in list_files(spark, workdir) if "part-" in f]) == 3
+    with pytest.raises(Exception):
+        K.export_single_file(spark.range(3).selectExpr("raise_error('x') AS c"), workdir + "_b")
+    assert not path_exists(spark, workdir + "_b__staging")
+
+
+def test_partition_values_keep_their_type(spark, workdir):
+    t = K.VersionedTable(spark, workdir, "lakeshift_t", "dept_text", partition_by=["dept"])
+    for version in (0, 1):
+        t.commit(spark.createDataFrame([("001", 1), ("1", 2), ("x", 3)], "dept string, k int") if not version else t.read(), version)
+        assert sorted(tuple(r) for r in t.read().select("dept", "k").collect()) == [("001", 1), ("1", 2), ("x", 3)]
+        assert sorted(r[0] for r in spark.table(t.name()).select("dept").collect()) == ["001", "1", "x"]
+
+
+def test_bucketed_version_has_a_file_per_bucket(spark, workdir):
+    t = K.VersionedTable(spark, workdir, "lakeshift_t", "few_files", bucket_by=["k"], buckets=4)
+    t.commit(spark.range(0, 1000, numPartitions=8).selectExpr("id AS k"), 0)
+    assert len([f for f in list_files(spark, t.path(0)) if "part-" in f]) == 4
 
 
 def test_versioned_table_skips_replayed_version(spark, workdir):
@@ -137,7 +154,7 @@ def test_bucketed_versions_avoid_target_shuffle(spark, workdir):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = C.apply_latest(t.read(), feed, "k", ["seq"], drop_cols=["Op", "seq"], broadcast_max_bytes=0)
+        out = C.apply_latest(t.read(), feed, "k", ["seq"], drop_cols=["Op", "seq"])
         out.write.format("noop").mode("overwrite").save()
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Bucketed: true" in plan
