@@ -1,7 +1,7 @@
 """Test inputs derived from the driver's tables, each defined twice: as Spark
 DataFrame code and as a DuckDB SQL CTE with the same values.
 
-Every fixture is computed over a whole table; the key arithmetic only decides
+Every fixture is computed over whole tables; the key arithmetic only decides
 *which kind* of dirt or change each row gets (so all kinds occur in fixed
 proportions at any scale), never which rows are kept to make a check cheaper.
 """
@@ -117,10 +117,9 @@ def cdc_one_target(t: Tables) -> DataFrame:
 
 def cdc_one_feed(t: Tables) -> DataFrame:
     m = F.col("o_orderkey") % 5
-    o = t.orders.filter(m.isin(1, 2, 4))
-    op = F.when(m == 4, "I").when(m == 1, "U").otherwise("D")
+    op = F.when(m == 4, "I").when(m == 2, "D").when(m == 0, F.lit(None).cast("string")).otherwise("U")
     price = F.when(m == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return o.select(
+    return t.orders.select(
         op.alias("Op"),
         F.lit("tpch").alias("schema_name"),
         F.lit("orders").alias("table_name"),
@@ -137,22 +136,25 @@ SQL_CDC_ONE = """cdc_target AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders WHERE o_orderkey % 5 <> 4),
 cdc_feed AS (
-  SELECT CASE o_orderkey % 5 WHEN 4 THEN 'I' WHEN 1 THEN 'U' ELSE 'D' END AS Op,
+  SELECT CASE o_orderkey % 5 WHEN 4 THEN 'I' WHEN 2 THEN 'D' WHEN 0 THEN NULL ELSE 'U' END AS Op,
          'tpch' AS schema_name, 'orders' AS table_name,
          o_orderkey, o_custkey, o_orderstatus,
          CASE WHEN o_orderkey % 5 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
          o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderkey % 5 IN (1, 2, 4))"""
+  FROM orders)"""
 
 
 # -- cdc_many_changes: per-user state with many changes per key ------------------
 USER_COLS = ["user_id", "event_id", "event_type", "value", "ts"]
 
 
+UNTOUCHED = 1_000_000_000  # added to a user's id: a row that no change touches
+
+
 def cdc_many_target(t: Tables) -> DataFrame:
+    u = F.col("user_id")
     return (
-        t.events.filter(F.col("user_id") % 3 != 0)
-        .select("user_id")
+        t.events.select(F.when(u % 3 == 0, u + UNTOUCHED).otherwise(u).alias("user_id"))
         .distinct()
         .select(
             "user_id",
@@ -165,23 +167,42 @@ def cdc_many_target(t: Tables) -> DataFrame:
 
 
 def cdc_many_feed(t: Tables) -> DataFrame:
-    u = F.col("user_id")
-    e = t.events.filter((u % 4 != 0) & ~((u % 4 == 1) & (F.col("event_type") == "error")))
-    op = F.when(F.col("event_type") == "signup", "I").when(F.col("event_type") == "error", "D").otherwise("U")
-    return e.select(
+    kind, e = F.col("event_type"), F.col("event_id")
+    op = F.when(e % 97 == 0, F.lit(None).cast("string")).when(e % 89 == 0, "X").when(kind == "signup", "I").when(kind == "error", "D").otherwise("U")
+    return t.events.select(
         op.alias("Op"), F.lit("app").alias("schema_name"), F.lit("user_state").alias("table_name"), *USER_COLS
     )
 
 
-SQL_CDC_MANY = """many_target AS (
-  SELECT user_id, CAST(-1 AS BIGINT) AS event_id, 'seed' AS event_type, CAST(0 AS DOUBLE) AS value,
+SQL_CDC_MANY = f"""many_target AS (
+  SELECT DISTINCT CASE WHEN user_id % 3 = 0 THEN user_id + {UNTOUCHED} ELSE user_id END AS user_id, CAST(-1 AS BIGINT) AS event_id, 'seed' AS event_type, CAST(0 AS DOUBLE) AS value,
          TIMESTAMP '2023-12-31 00:00:00' AS ts
-  FROM events WHERE user_id % 3 <> 0 GROUP BY user_id),
+  FROM events),
 many_feed AS (
-  SELECT CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS Op,
+  SELECT CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'X' WHEN event_type = 'signup' THEN 'I'
+              WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS Op,
          'app' AS schema_name, 'user_state' AS table_name, user_id, event_id, event_type, value, ts
-  FROM events
-  WHERE user_id % 4 <> 0 AND NOT (user_id % 4 = 1 AND event_type = 'error'))"""
+  FROM events)"""
+
+
+# -- null_key_changes: the same changes, every eleventh without a key --------------
+def null_key_feed(t: Tables) -> DataFrame:
+    return cdc_many_feed(t).withColumn("user_id", F.when(F.col("event_id") % 11 != 0, F.col("user_id")))
+
+
+SQL_NULL_KEY = SQL_CDC_MANY + """,
+null_feed AS (
+  SELECT Op, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, event_id, event_type, value, ts FROM many_feed)"""
+
+
+# -- text_partitions: orders in departments named by digits -------------------------
+def text_partition_rows(t: Tables) -> DataFrame:
+    return t.orders.select(*ORDER_COLS, F.lpad((F.col("o_custkey") % 7).cast("string"), 3, "0").alias("dept"))
+
+
+SQL_TEXT_PARTITIONS = """parted AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+         lpad(CAST(o_custkey % 7 AS VARCHAR), 3, '0') AS dept FROM orders)"""
 
 
 # -- hot_key_changes: a change feed where ONE key carries a third of all rows ----
@@ -243,18 +264,19 @@ SQL_FULL_LOAD_RAW = """full_load_raw AS (
   FROM orders)"""
 
 
-# -- gapped_keys: orders with a key gap wider than one chunk ---------------------
+# -- gapped_keys: orders with a key gap wider than one chunk, and rows without a key
 GAP_AT = 7500
 GAP = 1_000_000
 
 
 def gapped_keys(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
-    return t.orders.withColumn("o_orderkey", F.when(k > GAP_AT, k + GAP).otherwise(k))
+    key = F.when(k % 13 == 0, F.lit(None).cast("bigint")).when(k > GAP_AT, k + GAP).otherwise(k)
+    return t.orders.withColumn("o_orderkey", key)
 
 
 SQL_GAPPED_KEYS = f"""gapped_keys AS (
-  SELECT CASE WHEN o_orderkey > {GAP_AT} THEN o_orderkey + {GAP} ELSE o_orderkey END AS o_orderkey,
+  SELECT CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey > {GAP_AT} THEN o_orderkey + {GAP} ELSE o_orderkey END AS o_orderkey,
          o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
   FROM orders)"""
 
@@ -269,12 +291,20 @@ SQL_DUPLICATE_ROWS = """duplicate_rows AS (
   SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0)"""
 
 
-# -- hot_copies: orders plus, for every line of every third order, a copy of order 0
-#    (one group of identical copies holding about a third of the rows)
+# -- hot_copies: orders plus, for every line of every third order, a copy of one row
+#    (one group of identical copies holding more than a third of the rows)
+HOT_ROW = {"o_orderkey": -1, "o_custkey": 7, "o_orderstatus": "O", "o_totalprice": 12.5, "o_orderdate": "1995-01-01 00:00:00", "o_orderpriority": "1-URGENT"}
+
+
 def hot_copies(t: Tables) -> DataFrame:
-    copies_of = t.lineitem.filter(F.col("l_orderkey") % 3 == 0).select(F.lit(0).cast("bigint").alias("o_orderkey"))
-    copies = copies_of.join(t.orders, "o_orderkey")  # equi-join on the constant key, not a cross join
-    return t.orders.unionByName(copies.select(*ORDER_COLS))
+    types = dict(t.orders.dtypes)
+    copies = t.lineitem.filter(F.col("l_orderkey") % 3 == 0).select(*(F.lit(v).cast(types[c]).alias(c) for c, v in HOT_ROW.items()))
+    return t.orders.select(*ORDER_COLS).unionByName(copies)
+
+
+SQL_HOT_COPIES = """hot_row AS (
+  SELECT CAST(-1 AS BIGINT) AS o_orderkey, CAST(7 AS BIGINT) AS o_custkey, 'O' AS o_orderstatus, CAST(12.5 AS DOUBLE) AS o_totalprice,
+         TIMESTAMP '1995-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority)"""
 
 
 def with_ctes(*ctes: str) -> str:

@@ -26,7 +26,7 @@ from lakeshift.session import list_files, new_work_dir
 from lakeshift.sinks import snapshot as K
 from lakeshift.sources.catalog import classes_from_schema, column_classes
 from lakeshift.sources.files import read_recursive
-from lakeshift.sources.jdbc import key_bounds, plan_balanced, read_key_ranges
+from lakeshift.sources.jdbc import bounds_query, key_bounds, plan_balanced, range_predicates, read_key_ranges, union_all
 from lakeshift.streaming.ingest import apply_available, ingest_available
 
 CHECK_DB = "lakeshift_checks"
@@ -87,7 +87,7 @@ def q_tinyint_to_int(spark, sf_dir):
     return d.select("o_orderkey", R.tinyint_to_int("flag_raw").alias("flag"))
 
 
-@register("time_as_string", "SELECT event_id, strftime(ts, '%H:%M:%S') AS event_time FROM events")
+@register("time_as_string", "SELECT event_id, split_part(CAST(ts AS VARCHAR), ' ', 2) AS event_time FROM events")
 def q_time_as_string(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     return ev.select("event_id", R.time_text("ts", dict(ev.dtypes)["ts"]).alias("event_time"))
@@ -112,7 +112,7 @@ def _classes_for(spark, df: DataFrame, table: str):
 @register(
     "typed_projection",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
-       l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate
+       l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
 FROM lineitem""",
 )
 def q_typed_projection(spark, sf_dir):
@@ -219,6 +219,45 @@ def q_cdc_apply_latest(spark, sf_dir):
     return cdc.apply_latest(fx.cdc_many_target(t), fx.cdc_many_feed(t), "user_id", ["ts", "event_id"])
 
 
+_SQL_NULL_KEYS = fx.with_ctes(
+    fx.SQL_NULL_KEY,
+    """latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM null_feed WHERE Op IS NOT NULL AND user_id IS NOT NULL) WHERE rn = 1)""",
+) + """SELECT user_id, event_id, event_type, value, ts FROM many_target t
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.user_id = t.user_id)
+UNION ALL
+SELECT user_id, event_id, event_type, value, ts FROM latest WHERE Op <> 'D'
+UNION ALL
+SELECT DISTINCT user_id, event_id, event_type, value, ts FROM null_feed WHERE user_id IS NULL AND Op <> 'D'"""
+
+
+@register("cdc_apply_null_keys", _SQL_NULL_KEYS)
+def q_cdc_apply_null_keys(spark, sf_dir):
+    """J4 with changes that have no key, applied twice: nothing is lost or doubled."""
+    t = Tables(spark, sf_dir)
+    feed = fx.null_key_feed(t)
+    once = cdc.apply_latest(fx.cdc_many_target(t), feed, "user_id", ["ts", "event_id"])
+    return cdc.apply_latest(once, feed, "user_id", ["ts", "event_id"])
+
+
+@register(
+    "cdc_apply_text_partition",
+    fx.with_ctes(fx.SQL_TEXT_PARTITIONS)
+    + f"SELECT {_ORDER_SELECT}, dept FROM parted WHERE o_orderkey % 5 <> 2",
+)
+def q_cdc_apply_text_partition(spark, sf_dir):
+    """M5 and J4 on a table partitioned by text such as "001": the values stay text."""
+    rows = fx.text_partition_rows(Tables(spark, sf_dir))
+    base = new_work_dir(spark, "parted")
+    table = K.VersionedTable(spark, base, CHECK_DB, "parted_" + base.rsplit("-", 1)[-1], partition_by=["dept"])
+    table.commit(rows.filter("o_orderkey % 5 <> 4").withColumn("o_totalprice", F.col("o_totalprice") - 1), 0)
+    feed = rows.withColumn("Op", F.when(F.col("o_orderkey") % 5 == 2, "D").otherwise("U"))
+    table.commit(cdc.apply_latest(table.read(), feed, "o_orderkey", ["o_orderkey"]), 1)
+    return table.read()
+
+
 _HOT_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in fx.HOT_ORDER)
 _SQL_HOT_LATEST = fx.with_ctes(
     fx.SQL_HOT,
@@ -261,9 +300,56 @@ def q_max_key(spark, sf_dir):
     return B.max_key(Tables(spark, sf_dir).orders, "o_orderkey")
 
 
-@register("key_bounds", "SELECT min(o_orderkey) AS min_key, max(o_orderkey) AS max_key FROM orders")
+_SQL_BOUNDS = "SELECT min(o_orderkey) AS min_key, max(o_orderkey) AS max_key FROM orders"
+
+
+@register("key_bounds", _SQL_BOUNDS)
 def q_key_bounds(spark, sf_dir):
-    return Tables(spark, sf_dir).orders.agg(F.min("o_orderkey").alias("min_key"), F.max("o_orderkey").alias("max_key"))
+    orders = Tables(spark, sf_dir).orders
+    return spark.createDataFrame([key_bounds(orders, "o_orderkey")], "min_key bigint, max_key bigint")
+
+
+@register("key_bounds_at_source", _SQL_BOUNDS)
+def q_key_bounds_at_source(spark, sf_dir):
+    """The statement a source would run (A3), with Spark SQL in its place."""
+    Tables(spark, sf_dir).orders.createOrReplaceTempView("bounds_source")
+    return spark.sql(bounds_query("bounds_source", "o_orderkey")).select(F.col("lo").alias("min_key"), F.col("hi").alias("max_key"))
+
+
+@register("emptiness", "\nUNION ALL\n".join(f"SELECT '{n}' AS table_name, count(*) = 0 AS is_empty FROM {n}" for n in DRIVER_TABLES))
+def q_emptiness(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return spark.createDataFrame([(n, B.is_empty(getattr(t, n))) for n in DRIVER_TABLES], "table_name string, is_empty boolean")
+
+
+@register(
+    "tinyint_transfer",
+    "SELECT o_orderkey, CAST(CAST(o_orderkey % 3 AS DECIMAL(10,0)) AS DOUBLE) AS flag FROM orders",
+)
+def q_tinyint_transfer(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    flags = o.select("o_orderkey", (F.col("o_orderkey") % 3).cast("tinyint").alias("flag"))
+    return _portable(flags.withColumn("flag", R.tinyint_transfer("flag")))
+
+
+@register("table_report_rows", "SELECT 'lineitem' AS table_name, count(*) AS n, 5 AS shown FROM lineitem")
+def q_table_report_rows(spark, sf_dir):
+    """The report's row count and the number of rows it shows."""
+    path = new_work_dir(spark, "reported")
+    K.write_snapshot(Tables(spark, sf_dir).lineitem, path)
+    report = K.table_report(spark, K.register_table(spark, CHECK_DB, "lineitem_" + path.rsplit("-", 1)[-1], path))
+    return spark.createDataFrame([("lineitem", report["rows"], len(report["preview"]))], "table_name string, n bigint, shown int")
+
+
+@register("repartitioned_snapshot", "SELECT * FROM lineitem")
+def q_repartitioned_snapshot(spark, sf_dir):
+    """M3: a snapshot written into an exact number of files."""
+    path = new_work_dir(spark, "files")
+    K.write_snapshot(Tables(spark, sf_dir).lineitem, path, num_files=6)
+    files = [f for f in list_files(spark, path) if f.rsplit("/", 1)[-1].startswith("part-")]
+    if len(files) != 6:
+        raise AssertionError(f"expected 6 files, found {len(files)}")
+    return spark.read.parquet(path)
 
 
 @register(
@@ -275,7 +361,10 @@ def q_dedup_by_key(spark, sf_dir):
     return B.dedup_by_key(fx.duplicate_rows(Tables(spark, sf_dir)), "o_orderkey")
 
 
-@register("dedup_hot_copies", "SELECT * FROM orders")
+@register(
+    "dedup_hot_copies",
+    fx.with_ctes(fx.SQL_HOT_COPIES) + f"SELECT {_ORDER_SELECT} FROM orders UNION ALL SELECT {_ORDER_SELECT} FROM hot_row",
+)
 def q_dedup_hot_copies(spark, sf_dir):
     """A7 where one group of identical copies holds about a third of all rows:
     the first-per-key aggregate is partially applied in every map task, so the
@@ -298,9 +387,18 @@ def q_table_preview(spark, sf_dir):
 @register("union_all_chunks", fx.with_ctes(fx.SQL_GAPPED_KEYS) + "SELECT * FROM gapped_keys")
 def q_union_all_chunks(spark, sf_dir):
     src = fx.gapped_keys(Tables(spark, sf_dir))
-    b = key_bounds(src, "o_orderkey")
-    ranges = plan_balanced(src, "o_orderkey", int(b[0]), int(b[1]), num_partitions=8) if b else []
-    return read_key_ranges(src, "o_orderkey", ranges)
+    without = F.col("o_orderkey").isNull()
+    return union_all([src.filter(without), read_key_ranges(src.filter(~without), "o_orderkey", 8)])
+
+
+@register("range_predicate_reads", fx.with_ctes(fx.SQL_GAPPED_KEYS) + "SELECT * FROM gapped_keys")
+def q_range_predicate_reads(spark, sf_dir):
+    """The WHERE clauses of a balanced range plan, with Spark SQL in the
+    source's place; rows without a key belong to the first."""
+    src = fx.gapped_keys(Tables(spark, sf_dir))
+    lo, hi = key_bounds(src, "o_orderkey")
+    ranges = plan_balanced(src, "o_orderkey", int(lo), int(hi), num_partitions=4)
+    return union_all([src.filter(p) for p in range_predicates("o_orderkey", ranges)])
 
 
 # ---------------------------------------------------------------- S9 ----------
@@ -346,7 +444,7 @@ def q_overwrite_merge_schema(spark, sf_dir):
 def q_single_file_export(spark, sf_dir):
     df = marts.domestic_settlement(Tables(spark, sf_dir))
     path = new_work_dir(spark, "export")
-    K.export_single_file(df, path, max_rows=1_000_000)
+    K.export_single_file(df, path)
     files = [f for f in list_files(spark, path) if f.rsplit("/", 1)[-1].startswith("part-")]
     if len(files) != 1:
         raise AssertionError(f"expected one data file, found {len(files)}")
@@ -461,13 +559,26 @@ def q_migrate_tables(spark, sf_dir):
     return status
 
 
-@register("migrated_table_values", "SELECT * FROM lineitem")
-def q_migrated_table_values(spark, sf_dir):
-    status, db = _migrate_driver_tables(spark, sf_dir, ["lineitem"])
-    row = status.first()
-    if row["status"] != "ok":
-        raise RuntimeError(row["error"])
-    return spark.table(f"{db}.lineitem")
+def _migrated_values(name: str) -> Query:
+    def run(spark, sf_dir):
+        status, db = _migrate_driver_tables(spark, sf_dir, [name])
+        row = status.first()
+        if row["status"] != "ok" or row["values_nulled"]:
+            raise RuntimeError(str(row))
+        out = spark.table(f"{db}.{name}")
+        if name == "embeddings":  # arrays are shown value by value
+            out = out.select("vec_id", F.posexplode("embedding").alias("at", "value"), "label").withColumn("value", F.col("value").cast("double"))
+        return out
+
+    return run
+
+
+for _name in DRIVER_TABLES:
+    if _name == "embeddings":
+        _sql = "SELECT vec_id, CAST(unnest(range(len(embedding))) AS INTEGER) AS at, CAST(unnest(embedding) AS DOUBLE) AS value, label FROM embeddings"
+    else:
+        _sql = f"SELECT * FROM {_name}"
+    register("migrated_table_values" if _name == "lineitem" else f"migrated_{_name}_values", _sql)(_migrated_values(_name))
 
 
 _SQL_MIGRATION_STATUS = (
@@ -479,8 +590,8 @@ _SQL_MIGRATION_STATUS = (
 FROM dirty_dates
 UNION ALL
 SELECT 'legacy', 'dirty_datetimes', 'ok', count(*),
-       CAST(sum(CASE WHEN ts_raw IS NOT NULL AND try_strptime(replace(ts_raw, '0000-00-00 00:00:00',
-            '1970-01-01 00:00:00'), '%Y-%m-%d %H:%M:%S') IS NULL THEN 1 ELSE 0 END) AS BIGINT), NULL
+       CAST(sum(CASE WHEN ts_raw IS NOT NULL AND try_strptime(regexp_replace(replace(ts_raw, '0000-00-00 00:00:00',
+            '1970-01-01 00:00:00'), '[.][0-9]+$', ''), '%Y-%m-%d %H:%M:%S') IS NULL THEN 1 ELSE 0 END) AS BIGINT), NULL
 FROM dirty_datetimes
 UNION ALL
 SELECT 'legacy', 'tinyint_flags', 'ok', count(*), CAST(0 AS BIGINT), NULL FROM tinyint_flags
@@ -516,7 +627,7 @@ def q_migration_status(spark, sf_dir):
         target_database=CHECK_DB,
     )
     report = f"{root}/_status"
-    K.export_single_file(status, report, max_rows=10_000)
+    K.export_single_file(status, report)
     return spark.read.parquet(report)
 
 
@@ -585,6 +696,7 @@ def _mart_query(name: str) -> Query:
         fn = marts.MARTS[name]
         df = fn(t, fx.MART_TODAY) if name == "reservation_information" else fn(t)
         root = new_work_dir(spark, "marts")
+        marts.refresh_mart(spark, df.limit(0), root, CHECK_DB, name)  # an older version, which the refresh replaces
         return _portable(marts.refresh_mart(spark, df, root, CHECK_DB, name))
 
     return run
