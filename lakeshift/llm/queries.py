@@ -95,6 +95,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+#: Links by counting common shingles of all pairs that share any, then what is reachable.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END) AS shingle
+  FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), together AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), half AS (
+  SELECT a, b FROM together JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), link AS (
+  SELECT a, b FROM half UNION ALL SELECT b, a FROM half
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT doc_id, b FROM reach JOIN link ON other = a
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN least USING (doc_id)
+"""
+
+#: Every window of 100 hexadecimal digits, the least document of those that repeat, and the stretches they cover.
+REPEATS_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS i, h FROM d
+), x AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM w
+), r AS (
+  SELECT s, min(doc_id) AS first FROM x GROUP BY s HAVING min(doc_id) < max(doc_id)
+), g AS (
+  SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM x JOIN r USING (s) WHERE first < doc_id
+), m AS (
+  SELECT doc_id, i, step, count(*) FILTER (step IS NULL OR step > 50) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g
+), spans AS (
+  SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b, sum(least(coalesce(step, 50), 50)) AS n FROM m GROUP BY ALL
+), pieces AS (
+  SELECT doc_id, a, n, h[2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1:2 * a] AS piece,
+    h[2 * b + 1:] AS tail, b = max(b) OVER (PARTITION BY doc_id) AS last FROM spans JOIN d USING (doc_id)
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b_minus_a) AS n_removed, string_agg(piece || CASE WHEN last THEN tail ELSE '' END, '' ORDER BY a) AS kept
+  FROM (SELECT p.*, s.b - s.a AS b_minus_a FROM pieces p JOIN spans s USING (doc_id, a)) GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op8_repeats": REPEATS_SQL,
     "op9_quality_rules": QUALITY_SQL,
 }

@@ -2,11 +2,12 @@ import collections
 import random
 import re
 
+import pytest
+
 from lakeshift.llm import quality
-from lakeshift.llm.common import ship_package
-from lakeshift.llm.queries import QUALITY_SQL
+from lakeshift.llm.queries import ORACLE_SQL, QUERIES
 from lakeshift.queries.compare import compare
-from tests.conftest import SF_CHECK
+from tests.conftest import SF_SMALL
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -62,9 +63,7 @@ def test_no_python_in_the_plan(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_query_matches_sql(spark):
-    from lakeshift.llm.queries import QUERIES
-
-    ship_package(spark)
-    r = compare(spark, "op9_quality_rules", QUERIES["op9_quality_rules"], QUALITY_SQL, SF_CHECK)
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    r = compare(spark, name, QUERIES[name], ORACLE_SQL[name], SF_SMALL)
     assert r["ok"], r
