@@ -1,5 +1,5 @@
 from lakeshift.plans.migrate import migrate_tables, status_summary
-from lakeshift.sources.catalog import CATALOG_SCHEMA, column_classes
+from lakeshift.sources.catalog import CATALOG_SCHEMA, ColumnClasses, column_classes
 
 
 def test_failures_are_isolated_and_counted(spark, workdir):
@@ -55,3 +55,11 @@ def test_empty_tables_written_by_default_or_skipped(spark, workdir):
     assert [(r.status, r.rows_written) for r in b.collect()] == [("empty", 0)]
     assert not spark.catalog.tableExists("lakeshift_e2.none")
     assert status_summary(b).first().failed == 0
+
+
+def test_two_databases_never_become_one_table(spark, workdir):
+    classes = {(d, "t"): ColumnClasses(d, "t", ["k"]) for d in ("d1", "d2")}
+    status = migrate_tables(spark, [("d1", "t"), ("d2", "t")], classes, lambda d, t, c: spark.range(3).selectExpr("id AS k"), workdir, target_database="lakeshift_t")
+    assert {r["status"] for r in status.collect()} == {"failed"}
+    status = migrate_tables(spark, [("d1", "t"), ("d2", "t")], classes, lambda d, t, c: spark.range(3).selectExpr("id AS k"), workdir)
+    assert {r["status"] for r in status.collect()} == {"ok"}

@@ -176,3 +176,18 @@ def test_ingest_with_exactly_once_file_sink(spark, workdir):
     spark.range(7, 9).write.parquet(f"{land}/b")
     ingest_available(spark, f"{land}/*", "id bigint", sink, ck, batch_column=None)
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(9))
+
+
+def test_tables_with_row_level_writes_get_merges(spark, workdir, monkeypatch):
+    from lakeshift.streaming import ingest
+
+    seen = []
+    monkeypatch.setattr(ingest, "merge_changes", lambda sp, table, feed, key, **kw: seen.append(("J3", table, key, feed.count())))
+    monkeypatch.setattr(ingest, "merge_latest", lambda sp, table, feed, key, order, **kw: seen.append(("J4", table, key, feed.count())))
+    feed = spark.createDataFrame([("U", 1, 1), ("D", 2, 2)], "Op string, k bigint, seq bigint")
+    feed.write.parquet(f"{workdir}/landing")
+    for order in (None, ["seq"]):
+        reports = []
+        apply_available(spark, f"{workdir}/landing", feed.schema, "db.t", "k", order, f"{workdir}/ckpt{order}", on_batch=lambda i, r: reports.append(r))
+        assert reports == [{"ops": {"U": 1, "D": 1}}]
+    assert seen == [("J3", "db.t", "k", 2), ("J4", "db.t", "k", 2)]
