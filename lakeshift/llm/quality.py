@@ -121,10 +121,12 @@ MORE_RULES = (
 def cascade_order(df: DataFrame, rules: tuple[Rule, ...], text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Rules by rejection per cost, both measured on at most ``sample_rows`` rows.
 
-    The rows come from as few partitions as hold that many, so the sample costs
-    no scan of the table. One unmeasured pass first compiles each plan.
+    ``collect`` of a limit reads partition after partition until it has enough
+    rows, so the sample costs no scan of the table (a cached limit would take
+    that many rows from every partition). One unmeasured pass compiles each plan.
     """
-    sample = df.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).limit(sample_rows).persist()
+    texts = [r[0] for r in df.select(F.coalesce(F.col(text), F.lit(""))).limit(sample_rows).collect()]
+    sample = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, texts)).cast("array<string>")).alias("_text")).persist()
     try:
         n = sample.count()
         if not n:
