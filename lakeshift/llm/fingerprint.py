@@ -1,7 +1,8 @@
 """Document fingerprints: MinHash of five-word shingles by universal hash functions.
 
 The likeness of two fingerprints is the share of equal minima, an estimate of
-the Jaccard similarity of the shingle sets.
+the Jaccard similarity of the shingle sets. ``near_documents`` joins bands of
+the fingerprints and verifies candidates on the full sets.
 
 Defined cases: null or empty text, and text without words, has the fingerprint
 of the empty set (all minima at their maximum), alike only to itself; fewer
@@ -17,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import SLICE_ROWS, by_bytes, id_and_text, shuffle_partitions
-from lakeshift.llm.shingles import shingles, words
+from lakeshift.llm.common import SLICE_ROWS, by_bytes, id_and_text, in_slices, shuffle_partitions
+from lakeshift.llm.shingles import mix, shingles, words
+from lakeshift.llm.superminhash import near_duplicates, set_hash, shingle_sets
 
 WORDS = 5
 HASHES = 64
@@ -160,6 +162,34 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return dealt.select("doc_id", "text", "own").mapInArrow(run, OUT)
 
 
-def bands(signature: Column, bands: int, rows: int) -> Column:
-    """Array of (band, hash of its rows) of a signature given as an array column."""
-    return F.array(*(F.struct(F.lit(b).alias("band"), F.xxhash64(*(signature[b * rows + r] for r in range(rows))).alias("value")) for b in range(bands)))
+#: Rows of a band: documents of similarity 0.8 share none of 21 bands with probability 3e-7.
+BAND_ROWS = 3
+
+
+def _signed(docs: DataFrame, k: int) -> DataFrame:
+    bands = HASHES // BAND_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in in_slices(by_bytes(batches, "text", 1 << 20)):
+            sets = shingle_sets(rows["text"], k)
+            low = np.array([minima(s) for s in sets], np.uint64)
+            band = np.zeros((len(sets), bands), np.uint64)
+            for r in range(BAND_ROWS):
+                band = mix(band + low[:, r : bands * BAND_ROWS : BAND_ROWS])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(rows["doc_id"], pa.int64()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_hash(s) for s in sets], pa.binary()),
+                    pa.array(list(band.view(np.int64)), pa.list_(pa.int64())),
+                ],
+                ["doc_id", "n_shingles", "same", "bands"],
+            )
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, same binary, bands array<long>")
+
+
+def near_documents(df: DataFrame, k: int = WORDS, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Groups of documents whose fingerprints share a band and whose shingle sets,
+    compared in full, are alike: doc_id, n_shingles, component_id, kept."""
+    return near_duplicates(df, k, percent, id_col, text_col, sign=lambda docs: _signed(docs, k))

@@ -22,7 +22,7 @@ extra columns are dropped; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -269,10 +269,20 @@ def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     return after.select("id", F.coalesce("least", "component").alias("component")).unionByName(moved)
 
 
-def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its set size, the component's least id, and whether it is that document."""
+def near_duplicates(
+    df: DataFrame,
+    k: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    sign: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Per document its set size, the component's least id, and whether it is that document.
+
+    ``sign`` makes (doc_id, n_shingles, same, bands) of documents by another kind of signature.
+    """
     docs = id_and_text(df, id_col, text_col)
-    signed = staged(_signed(docs, k, band_rows(percent)), "near-signed")
+    signed = staged(sign(docs) if sign else _signed(docs, k, band_rows(percent)), "near-signed")
     able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = able.groupBy("same").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
     classes = staged(first.select("same", F.col("x.doc_id").alias("id"), "x.bands", "copies"), "near-classes")

@@ -248,3 +248,10 @@ def test_likeness_estimates_jaccard():
         x, y = shingle_set(a, 5), shingle_set(b, 5)
         assert abs(fingerprint.likeness(f[:1], f[1:])[0] - len(x & y) / len(x | y)) < 0.25
     assert (fingerprint.minima(np.zeros(0, np.uint64)) == fingerprint.EMPTY).all()
+
+
+def test_near_documents_equal_brute_force(spark):
+    ship_package(spark)
+    pairs = cases.rows() + group_of_near_copies(60, 3)
+    got = fingerprint.near_documents(cases.frame(spark, pairs)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == components(pairs, 5, 80)
