@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.session import new_work_dir
+from lakeshift.session import hadoop_fs, new_work_dir
 
 #: Rows a Python task handles at a time, so that a task's memory does not follow the Arrow batch size.
 SLICE_ROWS = 256
@@ -85,7 +85,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_work_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Remove what ``staged`` wrote for these frames, once nothing reads it any more."""
+    for df in frames:
+        fs, p = hadoop_fs(df.sparkSession, df._staged_at)
+        fs.delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import id_and_text, in_slices, staged
+from lakeshift.llm.common import drop_staged, id_and_text, in_slices, staged
 
 #: Kinds in the order spans are listed at equal starts.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -264,6 +264,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     """``df`` with the spans masked in its text, and ``length_col``, if there, set to the new length."""
     found = staged(_find_candidates(id_and_text(df, id_col, text_col)).where(F.size("found") > 0), "pii-candidates")
     weights, schema = _learn(found), df.schema
+    drop_staged(found)
     has_length = length_col in df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import by_bytes, id_and_text, in_slices, staged
+from lakeshift.llm.common import by_bytes, drop_staged, id_and_text, in_slices, staged
 from lakeshift.llm.shingles import mix, shingles, words
 
 #: Slots of a signature.
@@ -148,15 +148,19 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     parent, until nothing changes. Rounds grow with the logarithm of a chain.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v")
-    state = None
+    state, before = None, None
     while True:
         rooted = edges.repartition("u").mapInPandas(_rooted, "u long, v long")
         above = rooted.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("v"), "w")
         edges = staged(rooted.join(above, "v", "left").select("u", F.coalesce("w", "v").alias("v")), name)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
+        if before is not None:
+            drop_staged(before)
         if now == state:
-            return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id")
-        state = now
+            out = staged(edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "id"), name)
+            drop_staged(edges)
+            return out
+        state, before = now, edges
 
 
 #: Verification cells: sets of two blocks of ids meet in one task, with at most about so many ids and bytes a block.
@@ -238,19 +242,22 @@ def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     blocks = max(1, -(-held[0] // BLOCK_IDS), -(-8 * held[1] // BLOCK_BYTES))
 
     # every member with the center of its buckets
-    members = live.where("id != center")
-    found = staged(_confirmed(members.select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), sets, blocks, percent), "near-links")
-    of = staged(components(found), "near-components")
+    others = live.where("id != center")
+    found = staged(_confirmed(others.select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), sets, blocks, percent), "near-links")
+    of = components(found)
 
     # buckets whose other members are not all in one component: what such buckets connect is a cluster
-    labelled = members.select("bucket", "id").join(of, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    labelled = others.select("bucket", "id").join(of, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     open_ = labelled.groupBy("bucket").agg(F.min("id").alias("first"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     left = staged(labelled.join(open_, "bucket").select("id", "first", "component").distinct(), "near-open")
     if left.isEmpty():
+        drop_staged(live, sets, found, left)
         return of
-    cluster = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")), "near-clusters").withColumnRenamed("component", "cluster")
+    cluster_ = components(left.select(F.col("id").alias("a"), F.col("first").alias("b")), "near-clusters")
+    cluster = cluster_.withColumnRenamed("component", "cluster")
     rows = left.select("id", "component").distinct().join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")).join(sets, "id")
-    rows = staged(rows, "near-members")
+    rows = members = staged(rows, "near-members")
+    drop_staged(left, cluster_)
     size = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("s")).alias("bytes"))
     parts = F.greatest(F.ceil(F.col("n") / CELL_IDS), F.ceil(8 * F.col("bytes") / CELL_BYTES), F.lit(1)).cast("int")
     rows = rows.join(size.select("cluster", parts.alias("parts")), "cluster")
@@ -258,15 +265,18 @@ def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     rows = rows.select("cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "component", "s")
     within = rows.groupBy("cluster", "x", "y").applyInPandas(lambda r: _linked_within(r, percent), "a long, b long")
     more = staged(within, "near-links")
+    drop_staged(live, sets, found, members)
     if more.isEmpty():
         return of
     # the new links connect components: group these, then carry their members along
     ends = more
     for c in "ab":
         ends = ends.join(of.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")), c, "left").withColumn(c, F.coalesce(f"of_{c}", c)).select("a", "b")
-    moved = staged(components(ends), "near-components")
+    moved = components(ends)
     after = of.join(moved.select(F.col("id").alias("component"), F.col("component").alias("least")), "component", "left")
-    return after.select("id", F.coalesce("least", "component").alias("component")).unionByName(moved)
+    out = staged(after.select("id", F.coalesce("least", "component").alias("component")).unionByName(moved), "near-components")
+    drop_staged(more, moved, of)
+    return out
 
 
 def near_duplicates(
@@ -292,8 +302,11 @@ def near_duplicates(
     member = able.join(copies, "same").select("doc_id", "id").where("doc_id != id").distinct()
     linked = member.join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
     linked = linked.unionByName(found.select(F.col("id").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
-    out = signed.select("doc_id", "n_shingles").join(linked, "doc_id", "left")
+    linked = staged(linked, "near-linked")
+    sizes = staged(signed.select("doc_id", "n_shingles"), "near-sizes")
+    drop_staged(signed, classes, found)
     least = F.coalesce("component", "doc_id")
+    out = sizes.join(linked, "doc_id", "left")
     return out.select("doc_id", "n_shingles", least.alias("component_id"), F.coalesce(F.col("doc_id") == least, F.lit(True)).alias("kept"))
 
 
