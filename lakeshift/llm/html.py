@@ -11,13 +11,18 @@ subtree is excluded.
 
 Defined cases: null or empty html has no text; a null page_id or url stays
 null; repeated rows each get a row; extra columns are dropped; an empty table
-gives an empty result; unclosed and stray tags are closed or ignored.
+gives an empty result; unclosed and stray tags are closed or ignored. A hidden
+element that is not closed hides what is before the next block tag, or before
+the end of the element around it; an unclosed script or style, as in HTML, the
+rest of the page, but not past </head> or <body>. Text of formulas is kept,
+without their annotations.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,8 +41,12 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-SILENT = frozenset("head script style noscript template svg math iframe object canvas audio video select textarea button option datalist title".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+SILENT = frozenset(
+    "script style noscript noframes template svg annotation annotation-xml iframe object canvas audio video select textarea button option datalist title".split()
+)
+RAW = frozenset("script style textarea title noscript noframes iframe template".split())
+#: Tags that can stand in a head besides RAW elements; any other begins the body.
+IN_HEAD = frozenset("head base basefont bgsound link meta".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Tags and attribute tokens that say what an element is for.
@@ -51,6 +60,8 @@ SIDE_TOKENS = frozenset(
 )
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+HEAD_END = re.compile(r"</head(?=[\s/>])|<body(?=[\s/>])", re.I)
 TOKEN = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -68,6 +79,72 @@ class Node:
 
 #: (node, stretch, text): texts of one stretch have no block tag between them.
 Texts = list[tuple[int, int, str]]
+#: (start, end, name, whether an end tag, attributes); no name: nothing to show or to open.
+Tags = list[tuple[int, int, str, bool, str]]
+
+
+def scan(html: str) -> tuple[Tags, dict[int, tuple[int, bool]]]:
+    """Tags of a page, RAW elements as one, and for each start of another hidden
+    element the tag that ends it and whether that is its own end tag."""
+    tags: Tags = []
+    ends: dict[int, tuple[int, bool]] = {}
+    opened: list[tuple[int, str]] = []  # open elements: tag, name
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of a name in opened
+    walls: list[int] = []  # places that an inline end tag does not reach across
+    missing: set[str] = set()  # RAW elements with no end tag in what is left
+
+    def close(place: int) -> None:
+        while len(opened) > place:
+            i, name = opened.pop()
+            places[name].pop()
+            if name in SILENT:
+                ends.setdefault(i, (len(tags), False))
+        while walls and walls[-1] >= place:
+            walls.pop()
+
+    def foreign() -> int:
+        """Place of the innermost svg or math, unless HTML may stand in what it holds open."""
+        inner = max((places[x][-1] for x in ("svg", "math") if places[x]), default=-1)
+        html_in = max((places[x][-1] for x in ("foreignobject", "desc", "annotation-xml") if places[x]), default=-1)
+        return inner if inner > html_in else -1
+
+    at, n = 0, len(html)
+    while at < n and (m := TAG.search(html, at)):
+        start, at = m.start(), m.end()
+        name, attrs = (m[2] or "").lower(), m[3] or ""
+        alone = attrs.endswith("/")
+        if name in RAW and not m[1] and not (alone and foreign() >= 0):
+            end = None if name in missing else RAW_END[name].search(html, at)
+            if end or name in ("script", "style"):
+                rest = end or HEAD_END.search(html, at)
+                at = end.end() if end else rest.start() if rest else n
+                tags.append((start, at, "", False, ""))
+                continue
+            missing.add(name)
+        if not name:
+            pass
+        elif m[1]:
+            found = places[name][-1] if places[name] else -1
+            if found >= 0 and (name in BLOCK or name in SILENT or not walls or found > walls[-1]):
+                if name in SILENT:
+                    ends[opened[found][0]] = (len(tags), True)
+                close(found)
+        else:
+            if name == "body":
+                close(0)
+            elif name in BLOCK:
+                while (found := foreign()) >= 0:
+                    close(found)  # HTML ends the drawing or formula
+            elif name == "button" and places[name]:
+                close(places[name][-1])
+            if name not in VOID and name not in IN_HEAD and name != "html" and not alone:
+                if name in BLOCK or name in SILENT and name != "svg":
+                    walls.append(len(opened))
+                places[name].append(len(opened))
+                opened.append((len(tags), name))
+        tags.append((start, at, name, bool(m[1]), attrs))
+    close(0)
+    return tags, ends
 
 
 def parse(html: str) -> tuple[list[Node], Texts]:
@@ -75,51 +152,55 @@ def parse(html: str) -> tuple[list[Node], Texts]:
     and its texts. Text of inline elements belongs to the block around them."""
     nodes, texts = [Node("html", frozenset(), -1, 0)], []
     stack = [0]
-    silent: list[str] = []  # open elements whose text is never shown
-    in_link, at, stretch, n = 0, 0, 0, len(html)
+    tags, ends = scan(html)
+    in_link, at, stretch = 0, 0, 0
+    in_head = False
+    shown = 0  # tags before this one are within a closed hidden element
+    hidden = -1  # an unclosed hidden element reaches to this tag at most
 
     def say(a: int, b: int) -> None:
-        if b > a and not silent:
+        nonlocal in_head
+        if b > a and hidden < 0:
+            if in_head and html[a:b].isspace():
+                return
+            in_head = False
             node = nodes[stack[-1]]
             texts.append((stack[-1], stretch, html[a:b]))
             node.chars += b - a
             if in_link:
                 node.links += b - a
 
-    while at < n:
-        m = TAG.search(html, at)
-        if not m:
-            say(at, n)
-            break
-        say(at, m.start())
-        at = m.end()
-        name = (m[2] or "").lower()
+    for k, (start, end, name, closes, attrs) in enumerate(tags):
+        if k < shown:
+            continue
+        say(at, start)
+        at = end
         if not name:
             continue
-        if silent:
-            if m[1] and name in silent:
-                while silent.pop() != name:
-                    pass
-            elif not m[1] and name in SILENT and name not in VOID:
-                silent.append(name)
-            if not (name == "body" and not m[1]):
+        if hidden >= 0:
+            if k < hidden and name not in BLOCK and name not in ("head", "body"):
                 continue
-            silent.clear()  # a body begins though the head was not closed
-        if name in SILENT and not m[1]:
-            if name in RAW:
-                end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-                at = end.end() if end else n
-            elif not m[3].endswith("/"):
-                silent.append(name)
+            hidden = -1
+        if name == "head":
+            in_head = not closes
+        elif not closes and name not in IN_HEAD:
+            in_head = False
+        if name in SILENT and not closes:
+            if k in ends:
+                until, closed = ends[k]
+                if closed:
+                    shown, at = until + 1, tags[until][1]
+                else:
+                    hidden = until
             continue
         if name == "a":
-            in_link = 0 if m[1] else 1
+            in_link = 0 if closes else 1
         elif name in ("br", "wbr", "hr"):
             texts.append((stack[-1], stretch, " "))
         if name not in BLOCK or name in VOID or name == "html":
             continue
         stretch += 1
-        if m[1]:
+        if closes:
             if any(nodes[i].tag == name for i in stack[1:]):
                 while nodes[stack.pop()].tag != name:
                     pass
@@ -129,11 +210,12 @@ def parse(html: str) -> tuple[list[Node], Texts]:
             stack.pop()  # a block ends an open paragraph
         elif name in ("li", "dt", "dd", "tr", "td", "th") and nodes[stack[-1]].tag == name:
             stack.pop()
-        tokens = frozenset(t for v in ATTR.findall(m[3]) for t in TOKEN.findall("".join(v).lower())) if m[3] else frozenset()
+        tokens = frozenset(t for v in ATTR.findall(attrs) for t in TOKEN.findall("".join(v).lower())) if attrs else frozenset()
         nodes.append(Node(name, tokens, stack[-1], len(stack)))
         nodes[stack[-1]].children.append(len(nodes) - 1)
-        if not m[3].endswith("/"):
+        if not attrs.endswith("/"):
             stack.append(len(nodes) - 1)
+    say(at, len(html))
     return nodes, texts
 
 

@@ -4,6 +4,7 @@ import html as entities
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -83,6 +84,37 @@ def test_side_blocks_inside_and_around_the_article(spark):
     assert found == "\n\n".join(["Title & more", tidy, f"second one {tidy}", f"last {tidy}"])
 
 
+def shown(page: str) -> str:
+    return " ".join("".join(t for _, _, t in html.parse(page)[1]).split())
+
+
+def test_hidden_elements_hide_no_more_than_themselves():
+    body = "<article><p>one</p>{}<p>two</p></article><p>three</p>"
+    for head in ("<head><title>T</title>", "<head><meta charset=x><link rel=y>", "<head><style>p {}</style>", "<head><title>T", "<head><script>i<n"):
+        if head.endswith(">"):
+            assert shown(f"<html>{head}{body.format('')}").replace(" ", "") == "onetwothree"
+        assert shown(f"<html>{head}</head><body>{body.format('')}").replace(" ", "") == "onetwothree"
+    assert shown("<head><title>T</title>Plain text") == "Plain text"
+    assert shown("<head><script>if (i<n) s = '\\'' + \"it's</p>\";</script></head><body><p>one</p>") == "one"
+    assert shown("<head><noscript><p>no</p></noscript><template><b>no</b></template></head><p>one</p>") == "one"
+    for name in "svg button option object select template canvas datalist noscript textarea iframe".split():
+        assert shown(body.format(f"<{name}>no")).replace(" ", "") == "onetwothree", name
+        assert shown(body.format(f"<div><{name}>no</div>")).replace(" ", "") == "onetwothree", name
+        assert shown(body.format(f"<{name}>no</{name}>")).replace(" ", "") == "onetwothree", name
+    assert shown(body.format("<object><div>no</div><object>no</object>no</object>")).replace(" ", "") == "onetwothree"
+    assert shown("<p>one <span><svg><path d=x></span>two</p>") == "one two"
+    assert shown("<p>one <svg><title/><style/><g><text>no</text></g></svg>two") == "one two"
+    assert shown("<p>one <svg><foreignObject><div>no</div></foreignObject></svg>two") == "one two"
+    assert shown("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> then</p>") == "if x=1 then"
+
+
+def test_many_unclosed_hidden_elements_take_linear_time():
+    page = "<p>one</p>" + "<button><option><svg><iframe><span></b>" * 20000 + "<p>two</p>"
+    began = time.process_time()
+    assert shown(page) == "onetwo"
+    assert time.process_time() - began < 20
+
+
 def test_decoding_never_contradicts():
     r = np.random.default_rng(1)
     for _ in range(200):
