@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,7 +129,8 @@ LABELERS = 5
 
 
 def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
-    """Base spans, and proposals that overlap none of them, each with its votes."""
+    """Base spans, and all proposals that overlap none of them, each with its votes.
+    Proposals may overlap each other."""
     found, failed = base_spans(text)
     more = list(failed)
     if "at]" in text or "at)" in text or "at}" in text:
@@ -142,12 +144,10 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
         taken = sorted((a, b) for _, a, b in found)
         ends = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0, int)
         begins = [a for a, _ in taken]
-        done = 0
         for k, a, b in sorted(more, key=lambda s: (s[1], -s[2])):
             i = int(np.searchsorted(begins, b))  # base spans that begin before its end
-            if a >= done and not (i and ends[i - 1] > a):
+            if not (i and ends[i - 1] > a):
                 out.append((k, a, b, False, votes(k, text, a, b, False)))
-                done = b
     return out
 
 
@@ -221,8 +221,16 @@ def _learn(found: DataFrame) -> np.ndarray:
 
 
 def accepted(found: list[dict], weights: np.ndarray, least: float = 0.5) -> list[Span]:
-    """Base spans and accepted candidates, by start, then kind as listed."""
-    spans = [(f["kind"], f["start"], f["end"]) for f in found if f["base"] or classify(weights, f["kind"], f["votes"]) >= least]
+    """Base spans and accepted candidates, by start, then kind as listed. Of accepted
+    candidates that overlap, the most probable stay."""
+    spans = [(f["kind"], f["start"], f["end"]) for f in found if f["base"]]
+    rated = [(classify(weights, f["kind"], f["votes"]), f["kind"], f["start"], f["end"]) for f in found if not f["base"]]
+    taken: list[tuple[int, int]] = []  # disjoint, by start
+    for p, k, a, b in sorted(rated, key=lambda r: (-r[0], r[2], -r[3], KINDS.index(r[1]))):
+        i = bisect_left(taken, (b, 0))  # those that begin before its end
+        if p >= least and not (i and taken[i - 1][1] > a):
+            taken.insert(i, (a, b))
+            spans.append((k, a, b))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

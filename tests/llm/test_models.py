@@ -205,6 +205,19 @@ def test_redaction(spark):
     assert pii.redact(df.limit(0)).collect() == []
 
 
+def test_overlapping_proposals_are_all_voted_on():
+    for text in ("call 555-123-4567 24/7", "room 12 555-123-4567"):
+        found = [dict(zip(("kind", "start", "end", "base", "votes"), c, strict=True)) for c in pii.candidates(text)]
+        assert {f["kind"] for f in found} == {"card", "phone"}
+        weights = pii.train([(f["kind"], f["votes"], 1000) for f in found])
+        a = text.index("555")
+        assert pii.accepted(found, weights) == [("phone", a, a + 12)]
+    both = [dict(kind=k, start=a, end=b, base=False, votes=v) for k, a, b, v in (("card", 0, 15, "0000+"), ("phone", 3, 15, "0+00+"), ("secret", 15, 20, "0000+"))]
+    weights = pii.train([("phone", "0+00+", 9), ("phone", "00-0-", 9), ("card", "0000+", 9), ("card", "0000-", 9), ("secret", "0000+", 9)])
+    assert pii.classify(weights, "phone", "0+00+") > pii.classify(weights, "card", "0000+") > 0.5
+    assert pii.accepted(both, weights) == [("phone", 3, 15), ("secret", 15, 20)]
+
+
 def test_reliable_labelers_are_recognised():
     r = random.Random(3)
     n = collections.Counter()
