@@ -81,9 +81,10 @@ def base_spans(text: str) -> tuple[list[Span], list[Span]]:
 
 
 # Looser patterns that propose candidates.
-LOOSE_EMAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)|\{at\}) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[A-Za-z0-9-]{1,63})+")
+AT = re.compile(r"\[at\]|\(at\)|\{at\}")
+LOOSE_HOST = re.compile(r" ?[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[A-Za-z0-9-]++)+")
 LOOSE_PHONE = re.compile(r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])")
-SECRET = re.compile(r"(?:[Tt]oken|TOKEN|[Pp]assw(?:or)?d|PASSWORD|[Ss]ecret|SECRET|[Aa]pi[_-]?[Kk]ey|API_?KEY|[Aa]ccess[_-]?[Kk]ey)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9_+/=-]{6,})")
+SECRET = re.compile(r"(?:[Tt]oken|TOKEN|[Pp]assw(?:or)?d|PASSWORD|[Ss]ecret|SECRET|[Aa]pi[_-]?[Kk]ey|API_?KEY|[Aa]ccess[_-]?[Kk]ey)[\"']?\s*+[=:]\s*+[\"']?([A-Za-z0-9_+/=-]{6,}+)")
 
 # Gazetteers: words that announce a kind, in the corpus' languages.
 ANNOUNCE = {
@@ -97,12 +98,43 @@ AGAINST = {"order", "invoice", "isbn", "item", "article", "no", "nr", "nr.", "no
 WORD = re.compile(r"[^\s=:\"'(),;]+")
 
 
-def votes(kind: str, text: str, start: int, end: int, base: bool) -> str:
-    """One character per labeler: ``+`` for, ``-`` against, ``0`` abstains."""
+#: No listed word is longer.
+LONGEST = max(len(w) for ws in (*ANNOUNCE.values(), AGAINST) for w in ws)
+
+
+def loose_emails(text: str) -> Iterator[Span]:
+    """Written-out addresses, found from their marker outwards as ``emails`` does from the @."""
+    done = 0
+    for at in AT.finditer(text):
+        end = at.start() - (at.start() > done and text[at.start() - 1] == " ")
+        start = end
+        while start > done and EMAIL_NAME.match(text[start - 1]):
+            start -= 1
+        if start < end and (m := LOOSE_HOST.match(text, at.end())):
+            yield "email", start, m.end()
+            done = m.end()
+
+
+def words_of(text: str) -> tuple[list[int], list[int]]:
+    """Where the words of ``text`` start and end."""
+    found = [m.span() for m in WORD.finditer(text)]
+    return [a for a, _ in found], [b for _, b in found]
+
+
+def before(text: str, start: int, words: tuple[list[int], list[int]]) -> list[str]:
+    """The last three words before ``start``, the last up to it; empty for words longer than any listed one."""
+    starts, ends = words
+    n = bisect_left(starts, start)
+    spans = [(starts[i], min(ends[i], start)) for i in range(max(0, n - 3), n)]
+    return [text[a:b].lower() if b - a <= LONGEST else "" for a, b in spans]
+
+
+def votes(kind: str, text: str, start: int, end: int, base: bool, words: tuple[list[int], list[int]] | None = None) -> str:
+    """One character per labeler: ``+`` for, ``-`` against, ``0`` abstains.
+    ``words``: those of the text, if known."""
     span = text[start:end]
     digits = [c for c in span if c.isdigit()]
-    before = text[max(0, start - 32) : start]
-    near = [w.lower() for w in WORD.findall(before)][-3:]
+    near = before(text, start, words_of(text) if words is None else words)
     out = []
     # regex: the strict form of the kind, or a card number that fails its checksum
     out.append("+" if base else "-" if kind == "card" else "0")
@@ -110,8 +142,11 @@ def votes(kind: str, text: str, start: int, end: int, base: bool) -> str:
     out.append("+" if any(w in ANNOUNCE[kind] for w in near) else "0")
     out.append("-" if any(w in AGAINST for w in near) else "0")
     # context: assigned or quoted values; a currency or number sign before it
-    tail = before.rstrip(" \"'")
-    out.append("+" if kind == "secret" and tail[-1:] in ("=", ":") else "-" if tail[-1:] in ("#", "$", "€", "£", "№") else "0")
+    at = start
+    while at and text[at - 1] in " \"'":
+        at -= 1
+    sign = text[max(at - 1, 0) : at]
+    out.append("+" if kind == "secret" and sign in ("=", ":") else "-" if sign in ("#", "$", "€", "£", "№") else "0")
     # shape: variety of characters
     if kind == "secret":
         varied = bool(digits) and len(digits) < len(span) and len(set(span)) >= 6
@@ -134,12 +169,13 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
     found, failed = base_spans(text)
     more = list(failed)
     if "at]" in text or "at)" in text or "at}" in text:
-        more += [("email", m.start(), m.end()) for m in LOOSE_EMAIL.finditer(text)]
+        more += loose_emails(text)
     if DIGIT.search(text):
         more += [("phone", m.start(), m.end()) for m in LOOSE_PHONE.finditer(text)]
     if "=" in text or ":" in text:
         more += [("secret", m.start(1), m.end(1)) for m in SECRET.finditer(text)]
-    out = [(k, a, b, True, votes(k, text, a, b, True)) for k, a, b in found]
+    words = words_of(text) if found or more else ([], [])
+    out = [(k, a, b, True, votes(k, text, a, b, True, words)) for k, a, b in found]
     if more:
         taken = sorted((a, b) for _, a, b in found)
         ends = np.maximum.accumulate([b for _, b in taken]) if taken else np.zeros(0, int)
@@ -147,7 +183,7 @@ def candidates(text: str) -> list[tuple[str, int, int, bool, str]]:
         for k, a, b in sorted(more, key=lambda s: (s[1], -s[2])):
             i = int(np.searchsorted(begins, b))  # base spans that begin before its end
             if not (i and ends[i - 1] > a):
-                out.append((k, a, b, False, votes(k, text, a, b, False)))
+                out.append((k, a, b, False, votes(k, text, a, b, False, words)))
     return out
 
 

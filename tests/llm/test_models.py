@@ -218,6 +218,30 @@ def test_overlapping_proposals_are_all_voted_on():
     assert pii.accepted(both, weights) == [("phone", 3, 15), ("secret", 15, 20)]
 
 
+def test_proposals_and_context_have_no_caps():
+    name, label = "n" * 100, "h" * 90
+    for text in (f"to {name} [at] {label}.example (dot) org, x", f"{name}(at){label} . {label}"):
+        got = [c[:4] for c in pii.candidates(text)]
+        a = text.index("n")
+        assert got == [("email", a, text.index(",") if "," in text else len(text), False)]
+    assert [c[:3] for c in pii.candidates("a[at]b[dot]c (at) d.e")] == [("email", 0, 12)]
+    for text in ("password" + " " * 40 + "=" + " " * 40 + "'abc123def456'", "token\t\t\t\t\t\t:\t\t\t\t\t\tabc123def456"):
+        assert [c[:3] for c in pii.candidates(text)] == [("secret", text.index("abc"), text.index("456") + 3)]
+    near = "call " + "x" * 80 + " me 555-123-4567"
+    assert pii.candidates(near)[0][4][1] == "+"
+    assert pii.candidates("call" + " " * 80 + "555-123-4567")[0][4][1] == "+"
+    assert pii.candidates("x" * 20 + "invoice" + " " * 25 + "555-123-4567")[0][4][2] == "0"
+    assert pii.candidates("$" + " " * 60 + "555-123-4567")[0][4][3] == "-"
+
+
+def test_long_texts_take_linear_time():
+    began = time.process_time()
+    for part in ("1.2.3.4|", "a[at]", "token ", "password    ", "a[at]b.c ", "token=abc123 "):
+        pii.candidates(part * 20000)
+    pii.candidates("x" * 200000 + "[at]" + "y" * 200000)
+    assert time.process_time() - began < 30
+
+
 def test_reliable_labelers_are_recognised():
     r = random.Random(3)
     n = collections.Counter()
