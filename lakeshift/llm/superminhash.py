@@ -16,8 +16,10 @@ pairs become rows. Every link is confirmed on the full sets.
 
 Defined cases: null or empty text, and text without words, has an empty set and
 is linked with nothing; fewer than ``k`` words are one shingle; rows with a null
-id are linked with nothing and kept; rows of equal id count as one document;
-extra columns are dropped; an empty table gives an empty result.
+id are linked with nothing and kept; rows of equal id and equal set count as one
+document, rows of equal id and different sets as different ones (of a group's
+rows with the least id, that of the least set hash is kept); extra columns are
+dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, MapType, StructField, StructType
 
 from lakeshift.llm.common import by_bytes, drop_staged, id_and_text, in_slices, staged
 from lakeshift.llm.shingles import mix, shingles, words
@@ -113,12 +116,16 @@ def _signed(df: DataFrame, k: int, rows: int) -> DataFrame:
 
 
 def _sets(df: DataFrame, k: int) -> DataFrame:
+    """(id, s) of the rows whose set has the hash ``same``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in in_slices(by_bytes(batches, "text", 1 << 20)):
             sets = shingle_sets(rows["text"], k)
-            yield pa.RecordBatch.from_arrays([pa.array(rows["doc_id"], pa.int64()), pa.array([np.sort(s.view(np.int64)) for s in sets], pa.list_(pa.int64()))], ["id", "s"])
+            of = [j for j, s in enumerate(sets) if set_hash(s) == rows["same"][j]]
+            ids = [rows["id"][j] for j in of]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([np.sort(sets[j].view(np.int64)) for j in of], pa.list_(pa.int64()))], ["id", "s"])
 
-    return df.mapInArrow(run, "id long, s array<long>")
+    return df.select("id", "same", "text").mapInArrow(run, "id long, s array<long>")
 
 
 def _rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,13 +238,14 @@ def _linked_within(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(id, component) over all links between classes, for ids that are not their component's least.
 
-    ``classes``: id (of the class's first document) and bands.
+    ``classes``: id (of the class's first document, or another number where that is
+    not unique), doc_id (of that document), same (set hash) and bands.
     """
     bucket = classes.select("id", F.posexplode("bands").alias("band", "value")).select(F.xxhash64("band", "value").alias("bucket"), "id")
     shared = bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("center")).where("n > 1")
     live = staged(bucket.join(shared, "bucket").select("bucket", "id", "center"), "near-buckets")
-    ids = live.select(F.col("id").alias("doc_id")).distinct()
-    sets = staged(_sets(docs.join(ids, "doc_id"), k), "near-sets")
+    wanted = classes.select("id", "doc_id", "same").join(live.select("id").distinct(), "id", "left_semi")
+    sets = staged(_sets(docs.join(wanted, "doc_id"), k), "near-sets")
     held = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("s")), F.lit(0))).first()
     blocks = max(1, -(-held[0] // BLOCK_IDS), -(-8 * held[1] // BLOCK_BYTES))
 
@@ -279,6 +287,44 @@ def grouped(classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     return out
 
 
+def _near(df: DataFrame, k: int, percent: int, id_col: str, text_col: str, sign: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, bool]:
+    """``near_duplicates`` with the set hash ``same`` of each row, and whether an id has different sets."""
+    docs = id_and_text(df, id_col, text_col)
+    signed = staged(sign(docs) if sign else _signed(docs, k, band_rows(percent)), "near-signed")
+    able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    first = able.groupBy("same").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
+    classes = staged(first.select("same", F.col("x.doc_id").alias("id"), F.col("x.doc_id").alias("doc_id"), "x.bands", "copies"), "near-classes")
+    held = signed.where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("same").alias("h")).groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    clashing = staged(held.where("lo != hi").select("doc_id"), "near-clashing")
+    if clashing.isEmpty():
+        found = grouped(classes, docs.where("doc_id IS NOT NULL"), k, percent)
+        # only classes with copies need their documents looked up
+        copies = classes.where("copies > 1").select("same", "id")
+        member = able.join(copies, "same").select("doc_id", "id").where("doc_id != id").distinct()
+        linked = member.join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
+        linked = linked.unionByName(found.select(F.col("id").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
+        linked = staged(linked, "near-linked")
+        sizes = staged(signed.select("doc_id", "n_shingles", "same"), "near-sizes")
+        drop_staged(signed, classes, found, clashing)
+        least = F.coalesce("component", "doc_id")
+        out = sizes.join(linked, "doc_id", "left")
+        return out.select("doc_id", "n_shingles", "same", least.alias("component_id"), F.coalesce(F.col("doc_id") == least, F.lit(True)).alias("kept")), False
+    # classes whose id has other sets too go under a hash of both
+    marked = classes.join(clashing.withColumn("clashes", F.lit(True)), "doc_id", "left")
+    apart = staged(marked.select(F.when(F.col("clashes"), F.xxhash64("doc_id", "same")).otherwise(F.col("doc_id")).alias("id"), "doc_id", "same", "bands"), "near-classes")
+    found = grouped(apart, docs.where("doc_id IS NOT NULL"), k, percent)
+    of = apart.select("id", "doc_id", "same").join(found, "id", "left").select("doc_id", "same", F.coalesce("component", "id").alias("group"))
+    of = staged(of, "near-groups")
+    best = of.groupBy("group").agg(F.min(F.struct("doc_id", "same")).alias("best"))
+    linked = staged(of.join(best, "group").select("same", F.col("best.doc_id").alias("component"), F.col("best.same").alias("best")), "near-linked")
+    sizes = staged(signed.select("doc_id", "n_shingles", "same"), "near-sizes")
+    drop_staged(signed, classes, apart, found, of, clashing)
+    out = sizes.join(linked, "same", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    kept = F.col("doc_id").isNull() | F.col("best").isNull() | ((F.col("doc_id") == F.col("component")) & (F.col("same") == F.col("best")))
+    return out.select("doc_id", "n_shingles", "same", component.alias("component_id"), kept.alias("kept")), True
+
+
 def near_duplicates(
     df: DataFrame,
     k: int = 5,
@@ -291,29 +337,37 @@ def near_duplicates(
 
     ``sign`` makes (doc_id, n_shingles, same, bands) of documents by another kind of signature.
     """
-    docs = id_and_text(df, id_col, text_col)
-    signed = staged(sign(docs) if sign else _signed(docs, k, band_rows(percent)), "near-signed")
-    able = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    first = able.groupBy("same").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x"), F.count(F.lit(1)).alias("copies"))
-    classes = staged(first.select("same", F.col("x.doc_id").alias("id"), "x.bands", "copies"), "near-classes")
-    found = grouped(classes, docs.where("doc_id IS NOT NULL"), k, percent)
-    # only classes with copies need their documents looked up
-    copies = classes.where("copies > 1").select("same", "id")
-    member = able.join(copies, "same").select("doc_id", "id").where("doc_id != id").distinct()
-    linked = member.join(found, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component"))
-    linked = linked.unionByName(found.select(F.col("id").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
-    linked = staged(linked, "near-linked")
-    sizes = staged(signed.select("doc_id", "n_shingles"), "near-sizes")
-    drop_staged(signed, classes, found)
-    least = F.coalesce("component", "doc_id")
-    out = sizes.join(linked, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", least.alias("component_id"), F.coalesce(F.col("doc_id") == least, F.lit(True)).alias("kept"))
+    return _near(df, k, percent, id_col, text_col, sign)[0].drop("same")
+
+
+def _hashed(df: DataFrame, k: int, text_col: str) -> DataFrame:
+    """``df`` plus ``_same``: the set hash, or for an empty set the text itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_bytes(batches, text_col, 1 << 20):
+            texts = [t or "" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+            same = [set_hash(s) if len(s) else b"0" + t.encode() for s, t in zip(shingle_sets(texts, k), texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(same, pa.binary())], [*b.schema.names, "_same"])
+
+    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("_same", BinaryType())]))
 
 
 def first_of_groups(df: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay: of each group its document of least id, once; all columns kept."""
-    found = near_duplicates(df, k, percent, id_col, text_col)
-    gone = staged(found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-gone")
-    out = df.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    ids = df.select(F.col(id_col).alias("i")).where("i IS NOT NULL").groupBy("i").count().where("count > 1")
-    return out if ids.isEmpty() else out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
+    """The rows of ``df`` that stay: of each group its document of least id, once; all columns kept.
+
+    Of rows of equal id and equal set the one of least text stays.
+    """
+    found, _ = _near(df, k, percent, id_col, text_col, None)
+    gone = staged(found.where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("same").alias("_set")).distinct(), "near-gone")
+    ids = staged(df.select(F.col(id_col).alias("_twice")).where("_twice IS NOT NULL").groupBy("_twice").count().where("count > 1").select("_twice"), "near-twice")
+    again = F.col(id_col) == F.col("_twice")
+    is_gone = F.col(id_col).cast("long") == F.col("_gone")
+    if ids.isEmpty():
+        return df.join(gone, is_gone, "left_anti")
+    once = df.join(ids, again, "left_anti").join(gone, is_gone, "left_anti")
+    twice = _hashed(df.join(ids, again, "left_semi"), k, text_col)
+    twice = twice.join(gone, is_gone & (F.col("_same") == F.col("_set")), "left_anti")
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    order = F.struct(F.col(text_col), F.xxhash64(*plain))
+    row = F.min_by(F.struct(*df.columns), order).alias("_row")
+    return once.unionByName(twice.groupBy(F.col(id_col).alias("_id"), "_same").agg(row).select("_row.*"))

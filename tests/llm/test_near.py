@@ -120,6 +120,24 @@ def test_one_of_each_group_stays(spark):
     assert superminhash.first_of_groups(df.limit(0)).collect() == []
 
 
+def test_different_texts_under_one_id_are_different_documents(spark):
+    ship_package(spark)
+    a, b, c, d, e = (cases.prose(400 + k, 120) for k in range(5))
+    near = lambda t: t.replace(t.split(" ")[60], "changed", 1)
+    pairs = [(5, a), (5, b), (5, a), (3, b), (7, near(a)), (9, c), (9, near(c)), (9, d), (11, e), (11, e.replace(" ", "  ")), (13, ""), (13, d), (2, "")]
+    df = cases.frame(spark, pairs)
+    got = superminhash.first_of_groups(df, 5, 80)
+    assert got.schema == df.schema
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(kept) == len(set(kept))
+    assert {x for x in kept if x[0] not in (9, 11)} == {(5, a), (3, b), (13, ""), (2, "")}
+    assert len([t for i, t in kept if i == 9]) == 2 and (9, d) in kept
+    assert [t for i, t in kept if i == 11] == [e.replace(" ", "  ")]
+    found = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in superminhash.near_duplicates(df, 5, 80).collect()}
+    n = lambda t: len(shingle_set(t, 5))
+    assert {(5, n(a), 5, True), (5, n(b), 3, False), (3, n(b), 3, True), (7, n(near(a)), 5, False), (13, 0, 13, True), (13, n(d), 9, False)} <= found
+
+
 def test_long_chains_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (201, 200), (200, 203)], "a long, b long")
     got = {r["id"]: r["component"] for r in superminhash.components(edges).collect()}
