@@ -44,6 +44,18 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Hand a file of the driver to the executors; tasks open it by ``shipped_file`` of the name returned."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped_file(name: str) -> str:
+    from pyspark import SparkFiles
+
+    return SparkFiles.get(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
