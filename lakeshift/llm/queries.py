@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm import bpe, bytebpe, fingerprint, html, langid, lm, packing, pii, quality, suffix, superminhash
+from lakeshift.llm import bpe, bytebpe, fingerprint, html, langid, lm, packing, periodic, pii, quality, suffix, superminhash
 from lakeshift.llm.common import documents
 
 
@@ -53,6 +53,10 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(documents(spark, sf_dir))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm": op10_lm,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
