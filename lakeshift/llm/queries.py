@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm import bpe, bytebpe, fingerprint, html, langid, lm, packing, periodic, pii, quality, suffix, superminhash
-from lakeshift.llm.common import documents
+from lakeshift.llm import bpe, bytebpe, fingerprint, html, langid, lm, packing, periodic, pii, pivots, quality, suffix, superminhash
+from lakeshift.llm.common import documents, ship_package
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,11 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return pivots.codes_with_errors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(documents(spark, sf_dir))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm": op10_lm,
+    "op11_vector_codes": op11_vector_codes,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_byte_bpe": op13_byte_bpe,
 }
@@ -161,8 +167,51 @@ SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS
 FROM d LEFT JOIN cut USING (doc_id)
 """
 
+
+
+def vector_codes_sql(parts: int = pivots.PARTS, entries: int = pivots.ENTRIES, rounds: int = pivots.ROUNDS, scale: int = pivots.SCALE) -> str:
+    """Every part against every entry, round by round."""
+    out = [
+        f"""whole AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS k, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT k, m, v[1 + m * (len(v) // {parts}):(m + 1) * (len(v) // {parts})] AS x FROM whole, range({parts}) AS p(m)
+), book0 AS MATERIALIZED (
+  SELECT m, k - 1 AS e, x AS c FROM part WHERE k <= {entries}
+)"""
+    ]
+    for r in range(rounds + 1):
+        out.append(
+            f"""near{r} AS MATERIALIZED (
+  SELECT k, m, min(struct_pack(d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS best
+  FROM part JOIN book{r} USING (m) GROUP BY k, m
+)"""
+        )
+        if r < rounds:
+            out.append(
+                f"""mean{r} AS MATERIALIZED (
+  SELECT m, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT m, best.e AS e, i, count(*) AS n, sum(x[i]) AS s FROM part JOIN near{r} USING (k, m), range(1, len(x) + 1) AS p(i) GROUP BY ALL
+  ) GROUP BY m, e
+), book{r + 1} AS MATERIALIZED (
+  SELECT m, e, coalesce(n.c, o.c) AS c FROM book{r} o LEFT JOIN mean{r} n USING (m, e)
+)"""
+            )
+    return f"""WITH {", ".join(out)}, coded AS (
+  SELECT k, string_agg(printf('%02x', best.e), '' ORDER BY m) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY k
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY m, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN whole USING (k), digest"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op11_vector_codes": vector_codes_sql(),
     "op8_repeats": REPEATS_SQL,
     "op9_quality_rules": QUALITY_SQL,
 }
