@@ -1,10 +1,14 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a boolean Column over the text. On a bounded sample of rows the
-cost (seconds) and the selectivity (share rejected) of each rule are measured;
-rules then run in descending order of rejection per cost, and a document
+Each rule is a boolean Column over the text. On a sample of rows the work of each
+rule (characters read, words compared) and its selectivity (share rejected) are
+counted; rules then run in descending order of rejection per work, and a document
 rejected by one rule is not looked at by the next. The order never changes the
-verdict, only the work.
+verdict, only the work, and the same table gives the same order in every run.
+
+The sample is evaluated where the rows are: the driver gets one row of numbers per
+sampled document, never a text. Windows of three words are compared by 64-bit
+hashes.
 
 Defined cases: null text counts as empty (no words, base failed); a null id is
 kept as null; repeated rows each get their own verdict; extra columns are
@@ -14,7 +18,6 @@ empty result.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -27,25 +30,26 @@ NOT_SYMBOL = r"[^#*$%&|<>]+"
 NOT_UPPER = r"\P{Lu}+"
 NOT_LETTER = r"\P{L}+"
 
-#: Rows of the sample on which rule cost and selectivity are measured.
-SAMPLE_ROWS = 256
-
+#: Rows of the sample, and the share of rows that may be in it (by a hash of the text).
+SAMPLE_ROWS, ONE_IN = 256, 8
 
-WINDOWS = "array<struct<w:struct<w1:string,w2:string,w3:string>,at:int>>"
+WINDOWS = "array<struct<h:bigint,at:int>>"
 
 
 def _sorted_windows() -> Column:
-    """All three-word windows with their positions, sorted by words."""
+    """Hashes of all three-word windows with their positions, sorted by hash."""
     words, n = F.col("_words"), F.size("_words")
-    window = F.arrays_zip(*(F.slice(words, F.lit(k), n - 2).alias(f"w{k}") for k in (1, 2, 3)))
-    placed = F.arrays_zip(window.alias("w"), F.sequence(F.lit(0), n - 3).alias("at"))
+    placed = F.transform(
+        F.slice(words, F.lit(1), n - 2),
+        lambda w, i: F.struct(F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("at")),
+    )
     return F.when(n >= 3, F.sort_array(placed).cast(WINDOWS)).otherwise(F.array().cast(WINDOWS))
 
 
 def _repeat_places() -> Column:
-    """Sorted positions of windows found twice or more: those equal to a neighbour in word order."""
+    """Sorted positions of windows found twice or more: those equal to a neighbour in hash order."""
     s = F.col("_sorted")
-    twice = F.filter(s, lambda x, k: (x["w"] == F.get(s, k - 1)["w"]) | (x["w"] == F.get(s, k + 1)["w"]))
+    twice = F.filter(s, lambda x, k: (x["h"] == F.get(s, k - 1)["h"]) | (x["h"] == F.get(s, k + 1)["h"]))
     return F.sort_array(twice["at"])
 
 
@@ -77,6 +81,25 @@ FEATURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
 }
 
 
+def _work(name: str) -> Column:
+    """Work that the feature column takes by itself, in characters read once. Sorting and
+    comparing an element counts as so many characters; the weights are fixed values."""
+    chars, words = F.length("_text").cast("double"), F.size("_words").cast("double")
+    per_word = {"n_words": 0, "word_chars": 2, "_sorted": 12, "_at": 4, "n_repeat_words": 1}
+    if name in per_word:
+        return per_word[name] * words * (F.log2(words + 2) if name == "_sorted" else F.lit(1.0))
+    return {"_words": 4, "_lines": 2, "n_dup_lines": 1, "_n_lines": 0}.get(name, 1) * chars
+
+
+def _made_of(names: tuple[str, ...]) -> list[str]:
+    """The named features and all they are made from."""
+    out: list[str] = []
+    for name in names:
+        if name in FEATURES and name not in out:
+            out += [x for x in _made_of(FEATURES[name][0]) if x not in out] + [name]
+    return out
+
+
 def _with(df: DataFrame, names: tuple[str, ...], only_where: Column | None = None) -> DataFrame:
     """``df`` plus the named features and what they are made from, each in a step
     of its own so that no array is built twice; null outside ``only_where``."""
@@ -119,34 +142,28 @@ MORE_RULES = (
 
 
 def cascade_order(df: DataFrame, rules: tuple[Rule, ...], text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejection per cost, both measured on at most ``sample_rows`` rows.
+    """Rules by rejection per work, both counted on at most ``sample_rows`` rows; of
+    equal ones the earlier comes first.
 
-    ``collect`` of a limit reads partition after partition until it has enough
-    rows, so the sample costs no scan of the table (a cached limit would take
-    that many rows from every partition). One unmeasured pass compiles each plan.
+    Rows are taken by a hash of their text. ``collect`` of a limit reads partition
+    after partition until it has enough, so the sample costs no scan of the table,
+    and takes them in the table's order, so it is the same in every run.
     """
-    texts = [r[0] for r in df.select(F.coalesce(F.col(text), F.lit(""))).limit(sample_rows).collect()]
-    sample = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, texts)).cast("array<string>")).alias("_text")).persist()
-    try:
-        n = sample.count()
-        if not n:
-            return list(rules)
-        rated = []
-        for rule in rules:
-            measured = _with(sample, rule.needs).agg(F.count_if(rule.fails()).alias("n"))
-            measured.collect()
-            began = time.perf_counter()
-            rejected = measured.collect()[0]["n"]
-            rated.append((rejected / n / max(time.perf_counter() - began, 1e-6), rule))
-        return [rule for _, rule in sorted(rated, key=lambda x: -x[0])]
-    finally:
-        sample.unpersist()
-
-
-def _cascade(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    some = df.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(ONE_IN)) == 0)
+    some = _with(some, ("_words", *(n for rule in rules for n in rule.needs)))
+    rejects = [F.coalesce(rule.fails(), F.lit(False)).alias(f"r{k}") for k, rule in enumerate(rules)]
+    works = [sum((_work(n) for n in _made_of(rule.needs)), F.lit(1.0)).alias(f"w{k}") for k, rule in enumerate(rules)]
+    rows = some.select(*rejects, *works).limit(sample_rows).collect()
+    gain = [sum(r[f"r{k}"] for r in rows) / max(sum(r[f"w{k}"] for r in rows), 1.0) for k in range(len(rules))]
+    return [rules[k] for k in sorted(range(len(rules)), key=lambda k: (-gain[k], k))]
+
+
+def _cascade(df: DataFrame, rules: list[Rule], rejected: Column | None = None) -> DataFrame:
     """``df`` plus ``rejected_by``: the first rule that rejects, null if none. What a
-    rule needs is computed only for rows that no earlier rule rejected."""
-    df = df.withColumn("_by0", F.lit(None).cast("string"))
+    rule needs is computed only for rows that no earlier rule rejected, nor ``rejected``
+    (then ``rejected_by`` is "base")."""
+    start = F.lit(None) if rejected is None else F.when(rejected, F.lit("base"))
+    df = df.withColumn("_by0", start.cast("string"))
     for k, rule in enumerate(rules, 1):
         still_open = F.col(f"_by{k - 1}").isNull()
         df = _with(df, rule.needs, still_open)
@@ -156,15 +173,18 @@ def _cascade(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def quality_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the counts, ``base_failed``, ``kept`` and ``rejected_by``
-    (the first cascade rule that rejects; null if kept or if a base rule failed)."""
+    (the first cascade rule that rejects; null if kept or if a base rule failed).
+
+    All five counts are returned for every row, so the order of the cascade decides
+    only about what they do not need; a row that a base rule rejects does not enter it."""
     order = cascade_order(df, MORE_RULES, text_col)
     out = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     out = _with(out, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
     out = out.withColumn("base_failed", BASE_RULES[0].fails() | BASE_RULES[1].fails())
-    out = _cascade(out, order)
+    out = _cascade(out, order, F.col("base_failed"))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"),
+        F.col("rejected_by").isNull().alias("kept"),
         F.when(~F.col("base_failed"), F.col("rejected_by")).alias("rejected_by"),
     )
 
@@ -172,12 +192,16 @@ def quality_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def quality_filter(df: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``df`` no rule rejects, all columns kept.
 
-    Rejected rows leave through ``explode`` of an empty array, not through a
-    filter: the optimizer would push a filter below the steps and repeat their
-    expressions inside it.
+    The text goes through the steps once, with its other columns under plain names.
+    Rejected rows leave through ``explode`` of a null array, not through a filter: the
+    optimizer would push a filter below the steps and repeat their expressions inside it.
     """
-    order, keep = cascade_order(df, BASE_RULES + MORE_RULES, text_col), df.columns
-    out = df.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    order = cascade_order(df, BASE_RULES + MORE_RULES, text_col)
+    text = F.col(f"`{text_col}`")
+    others = {c: f"_c{k}" for k, c in enumerate(df.columns) if c != text_col}
+    out = df.select(*(F.col(f"`{c}`").alias(k) for c, k in others.items()), text.isNull().alias("_null"), F.coalesce(text, F.lit("")).alias("_text"))
     out = _cascade(out, order)
-    kept = F.when(F.col("rejected_by").isNull(), F.array("_row"))
-    return out.select(F.explode(kept).alias("_row")).select(*(F.col("_row")[c].alias(c) for c in keep))
+    kept = F.when(F.col("rejected_by").isNull(), F.array(F.lit(True)))
+    out = out.select(*others.values(), "_null", "_text", F.explode(kept))
+    whole = F.when(~F.col("_null"), F.col("_text"))
+    return out.select(*((whole if c == text_col else F.col(others[c])).alias(c) for c in df.columns))

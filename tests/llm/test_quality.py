@@ -67,3 +67,16 @@ def test_no_python_in_the_plan(spark):
 def test_query_matches_sql(spark, name):
     r = compare(spark, name, QUERIES[name], ORACLE_SQL[name], SF_SMALL)
     assert r["ok"], r
+
+
+def test_order_is_the_same_in_every_run_and_no_text_reaches_the_driver(spark):
+    rules = quality.BASE_RULES + quality.MORE_RULES
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert len({tuple(quality.cascade_order(docs, rules)) for _ in range(3)}) == 1
+
+
+def test_cascade_passes_over_rows_already_rejected(spark):
+    df = spark.createDataFrame([("A B C",), (None,)], "_text string").withColumn("_text", quality.F.coalesce("_text", quality.F.lit("")))
+    out = quality._cascade(df, list(quality.MORE_RULES), quality.F.lit(True))
+    assert [r["rejected_by"] for r in out.collect()] == ["base", "base"]
+    assert all(r["_n_upper"] is None for r in out.collect())
