@@ -18,8 +18,13 @@ Scale notes
   size (``spark.sql.autoBroadcastJoinThreshold``).
 * A batch is reduced to one row per key by an aggregate, not a window: Spark
   pre-aggregates it on the map side, so one key that carries a third of all
-  changes still leaves each map task as a single row. With ``stage_dir`` the
-  reduced batch is written once and read back, so the feed is read once.
+  changes still leaves each map task as a single row. Changes without a full key
+  go through the same aggregate, one row per content.
+* The feed is read once: both uses of the reduced batch (the keys that leave the
+  target, the rows that enter it) need all its columns, so their plans share one
+  exchange. With ``stage_dir`` the reduced batch is written once and read back.
+  ``apply_latest`` runs no job of its own; ``apply_changes`` runs one, which looks
+  for repeated keys.
 """
 
 from __future__ import annotations
@@ -95,12 +100,30 @@ def _keyless(rows: DataFrame, key: list[str]) -> Column:
     return out
 
 
-def _with_keyless(out: DataFrame, target: DataFrame, upserts: DataFrame, key: list[str]) -> DataFrame:
-    """``out`` plus the upserts without a full key that the target does not hold yet."""
-    rows = conform(upserts.filter(_keyless(upserts, key)), target)
-    if rows.isEmpty():
-        return out
-    return out.unionByName(rows.subtract(target.filter(_keyless(target, key))))
+def _content(cols: list[str], types: dict[str, str]) -> Column:
+    """A row's content as one comparable value (maps are not comparable, their JSON is)."""
+    row = F.struct(*(F.col(f"`{c}`") for c in cols))
+    return F.to_json(row, {"ignoreNullFields": "false"}) if any("map<" in types[c] for c in cols) else row
+
+
+def _with_new_keyless(out: DataFrame, target: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
+    """``out`` plus the rows (without a full key, each content once) that the target does not hold yet."""
+    held = target.filter(_keyless(target, key))
+    types = dict(target.dtypes)
+    held = held.select(_content(target.columns, types).alias("__held"))
+    new = conform(rows, target).withColumn("__content", _content(target.columns, types))
+    new = new.join(held, F.col("__content").eqNullSafe(F.col("__held")), "left_anti").drop("__content")
+    return out.unionByName(new)
+
+
+def _per_key(feed: DataFrame, key: list[str], content: list[str], aggregates: list[Column]) -> DataFrame:
+    """One row per key, and one per content (``__content``) of the rows without a full key."""
+    missing = [c for c in content if c not in feed.columns]
+    if missing:
+        raise ValueError(f"change rows lack target columns {missing}")
+    types = dict(feed.dtypes)
+    own = F.when(_keyless(feed, key), _content(content, types)).alias("__content")
+    return feed.groupBy(*(F.col(f"`{k}`") for k in key), own).agg(*aggregates)
 
 
 def upsert(target: DataFrame, upserts: DataFrame, key: str | Iterable[str]) -> DataFrame:
@@ -111,7 +134,11 @@ def upsert(target: DataFrame, upserts: DataFrame, key: str | Iterable[str]) -> D
     key = _keys(key)
     rows = conform(upserts.filter(~_keyless(upserts, key)), target)
     out = target.join(rows.select(*key), on=key, how="left_anti").unionByName(rows)
-    return _with_keyless(out, target, upserts, key)
+    types = dict(target.dtypes)
+    # one row per content, with what map columns hold
+    without = conform(upserts.filter(_keyless(upserts, key)), target)
+    once = without.groupBy(_content(target.columns, types).alias("__c")).agg(F.first(F.struct(*target.columns)).alias("__row"))
+    return _with_new_keyless(out, target, once.select("__row.*"), key)
 
 
 def delete(target: DataFrame, deletes: DataFrame, key: str | Iterable[str]) -> DataFrame:
@@ -127,13 +154,6 @@ def _staged(df: DataFrame, stage_dir: str | None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stage_dir)
 
 
-def check_unique(upserts: DataFrame, key: list[str]) -> None:
-    """Raise if an upsert batch repeats a key (rows without a full key are no repetition)."""
-    repeated = upserts.filter(~_keyless(upserts, key)).groupBy(*key).count().filter("count > 1").limit(5).collect()
-    if repeated:
-        raise DuplicateKeyError(f"upsert batch repeats keys, e.g. {repeated}; use apply_latest to resolve several changes per key")
-
-
 def apply_changes(
     target: DataFrame,
     feed: DataFrame,
@@ -152,23 +172,43 @@ def apply_changes(
     The batch becomes one row per key (its upsert, if any, and whether a delete
     occurs); the target is then joined once, with all changed keys.
     """
-    key, drop_cols = _keys(key), set(drop_cols)
-    op = F.col(op_col)
-    is_up = op != OP_DELETE  # null for a null op
-    payload = [c for c in feed.columns if c not in key and c not in drop_cols]
-    known = feed.filter(op.isNotNull() & ~_keyless(feed, key))
-    per_key = known.groupBy(*key).agg(
+    key = _keys(key)
+    per_key = _staged(batch_per_key(feed, key, target.columns, op_col=op_col, drop_cols=drop_cols), stage_dir)
+    require_unique(per_key, key)
+    keyed, row = F.col("__content").isNull(), F.col("__row")
+    shown = [*key, *(row[c].alias(c) for c in target.columns if c not in key)]
+    changed = per_key.filter(keyed & (row.isNotNull() | (F.col("__dels") > 0)))  # all of them: see the notes above
+    rows = per_key.filter(keyed & (F.col("__ups") == 1) & (F.col("__dels") == 0)).select(*shown)
+    out = target.join(changed.select(*key), on=key, how="left_anti").unionByName(conform(rows, target))
+    return _with_new_keyless(out, target, per_key.filter(~keyed).select(*shown), key)
+
+
+def batch_per_key(
+    feed: DataFrame,
+    key: str | Iterable[str],
+    columns: list[str],
+    *,
+    op_col: str = OP_COLUMN,
+    drop_cols: Iterable[str] = METADATA_COLUMNS,
+) -> DataFrame:
+    """A feed reduced for J3: ``key``, ``__content`` (null; for an upsert without a full key
+    what its ``columns`` hold), how many upserts and deletes it has, and an upsert's row."""
+    key = _keys(key)
+    is_up = F.col(op_col) != OP_DELETE  # null for a null op
+    payload = [c for c in feed.columns if c not in key and c not in set(drop_cols)]
+    known = feed.filter(F.col(op_col).isNotNull() & (is_up | ~_keyless(feed, key)))  # a delete without a key finds nothing
+    return _per_key(known, key, columns, [
         F.count_if(is_up).alias("__ups"),
         F.count_if(~is_up).alias("__dels"),
-        F.any_value(F.when(is_up, F.struct(*payload)) if payload else F.lit(None), True).alias("__row"),
-    )
-    per_key = _staged(per_key, stage_dir)
-    repeated = per_key.filter("__ups > 1").select(*key, "__ups").limit(5).collect()
+        F.any_value(F.when(is_up, F.struct(*payload) if payload else F.struct(F.lit(1))), True).alias("__row"),
+    ])
+
+
+def require_unique(per_key: DataFrame, key: list[str]) -> None:
+    """Raise if a batch holds several upserts of one key (rows without a full key are no repetition)."""
+    repeated = per_key.filter(F.col("__content").isNull() & (F.col("__ups") > 1)).select(*key, "__ups").limit(5).collect()
     if repeated:
         raise DuplicateKeyError(f"upsert batch repeats keys, e.g. {repeated}; use apply_latest to resolve several changes per key")
-    rows = per_key.filter("__ups = 1 AND __dels = 0").select(*key, *([F.col("__row")[c].alias(c) for c in payload]))
-    out = target.join(per_key.select(*key), on=key, how="left_anti").unionByName(conform(rows, target))
-    return _with_keyless(out, target, feed.filter(is_up).drop(*drop_cols), key)
 
 
 def latest_changes(
@@ -183,12 +223,34 @@ def latest_changes(
     Implemented as ``max_by`` so it is partially aggregated before the shuffle.
     """
     key = _keys(key)
+    return feed.groupBy(*key).agg(_last(feed, key, order_by)).select(*key, "__last.*")
+
+
+def _last(feed: DataFrame, key: list[str], order_by: Iterable[str | Column]) -> Column:
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     payload = [c for c in feed.columns if c not in key]
-    picked = feed.groupBy(*key).agg(
-        F.max_by(F.struct(*payload), F.struct(*order)).alias("__last")
-    )
-    return picked.select(*key, "__last.*")
+    return F.max_by(F.struct(*payload), F.struct(*order)).alias("__last")
+
+
+def reduced_changes(
+    feed: DataFrame,
+    key: str | Iterable[str],
+    order_by: Iterable[str | Column],
+    columns: list[str],
+    *,
+    op_col: str = OP_COLUMN,
+    drop_cols: Iterable[str] = METADATA_COLUMNS,
+) -> DataFrame:
+    """A feed reduced for J4: ``key``, ``__content`` (null; for an upsert without a full
+    key what its ``columns`` hold) and ``__last``, the change that counts, as a struct.
+    Changes of unknown kind and deletes without a key are left out."""
+    key, order_by = _keys(key), list(order_by)
+    known = feed.filter(F.col(op_col).isNotNull() & ((F.col(op_col) != OP_DELETE) | ~_keyless(feed, key)))
+    if all(isinstance(c, str) for c in order_by):
+        # bookkeeping columns need not travel through the shuffle
+        early = [c for c in drop_cols if c != op_col and c not in order_by and c not in key and c not in columns]
+        known = known.drop(*early)
+    return _per_key(known, key, columns, [_last(known, key, order_by)])
 
 
 def apply_latest(
@@ -216,14 +278,81 @@ def apply_latest(
     replaces the row whatever its change time.
     """
     key = _keys(key)
-    order_by = list(order_by)
-    known = feed.filter(F.col(op_col).isNotNull())
-    keyed = known.filter(~_keyless(feed, key))
-    if all(isinstance(c, str) for c in order_by):
-        # bookkeeping columns need not travel through the shuffle
-        early = [c for c in drop_cols if c != op_col and c not in order_by and c not in key]
-        keyed = keyed.drop(*early)
-    last = _staged(latest_changes(keyed, key, order_by), stage_dir)
-    rows = last.filter(F.col(op_col) != OP_DELETE).drop(*drop_cols)
-    out = target.join(last.select(*key), on=key, how="left_anti").unionByName(conform(rows, target))
-    return _with_keyless(out, target, known.filter(F.col(op_col) != OP_DELETE).drop(*drop_cols), key)
+    last = _staged(reduced_changes(feed, key, order_by, target.columns, op_col=op_col, drop_cols=drop_cols), stage_dir)
+    return apply_reduced(target, last, key, op_col=op_col)
+
+
+def apply_reduced(target: DataFrame, last: DataFrame, key: str | Iterable[str], *, op_col: str = OP_COLUMN) -> DataFrame:
+    """J4 with what :func:`reduced_changes` made of the feed."""
+    key = _keys(key)
+    keyed, change = F.col("__content").isNull(), F.col("__last")
+    inside = last.schema["__last"].dataType.names
+    rows = last.select("__content", *key, *(change[c].alias(c) for c in inside))
+    upserts = rows.filter(keyed & (F.col(op_col) != OP_DELETE))
+    changed = last.filter(keyed & change.isNotNull())  # always so; it keeps this side's plan equal to the other's
+    out = target.join(changed.select(*key), on=key, how="left_anti").unionByName(conform(upserts, target))
+    return _with_new_keyless(out, target, rows.filter(~keyed), key)
+
+
+# -- J4 across batches ---------------------------------------------------------
+ORDER_COLUMN = "__order"
+DELETED_COLUMN = "__deleted"
+
+
+def with_order(rows: DataFrame, order_by: Iterable[str], types: dict[str, str]) -> DataFrame:
+    """Rows of a plain table as the first state of an ordered one: older than any change.
+    ``types`` are those of the feed's ``order_by`` columns."""
+    order = ", ".join(f"`{c}`: {types[c]}" for c in order_by)
+    return rows.withColumns({ORDER_COLUMN: F.lit(None).cast(f"struct<{order}>"), DELETED_COLUMN: F.lit(False)})
+
+
+def visible(state: DataFrame) -> DataFrame:
+    """The table an ordered state stands for: no tombstones, no bookkeeping."""
+    return state.filter(~F.col(DELETED_COLUMN)).drop(ORDER_COLUMN, DELETED_COLUMN)
+
+
+def apply_ordered(
+    state: DataFrame,
+    feed: DataFrame,
+    key: str | Iterable[str],
+    order_by: Iterable[str],
+    *,
+    op_col: str = OP_COLUMN,
+    drop_cols: Iterable[str] = METADATA_COLUMNS,
+    stage_dir: str | None = None,
+) -> DataFrame:
+    """J4 where the order of changes counts across batches, whatever batch they come in.
+
+    Each row of the state carries the place of its last change (``__order``), and a
+    deleted key stays as a tombstone (``__deleted``, with nulls beside the key). A
+    change that is not later than what the key has loses, so a late older change does
+    nothing, a deleted key does not come back, and a replayed batch changes nothing.
+    Rows without a full key are added unless there, as in :func:`apply_latest`.
+
+    The state is read twice: only key and order of the changed keys to find the
+    changes that win, then once for the result. ``drop_tombstones`` bounds their number.
+    """
+    key, order_by = _keys(key), list(order_by)
+    columns = [c for c in state.columns if c not in (ORDER_COLUMN, DELETED_COLUMN)]
+    last = _staged(reduced_changes(feed, key, order_by, columns, op_col=op_col, drop_cols=drop_cols), stage_dir)
+    keyed, change = F.col("__content").isNull(), F.col("__last")
+    gone = change[op_col] == OP_DELETE
+    place = F.struct(*((F.col(c) if c in key else change[c]).alias(c) for c in order_by))
+    rows = last.select(
+        "__content",
+        *key,
+        *(F.when(~gone, change[c]).alias(c) for c in columns if c not in key),
+        place.alias(ORDER_COLUMN),
+        gone.alias(DELETED_COLUMN),
+    )
+    keyless, rows = rows.filter(~keyed).drop("__content"), rows.filter(keyed).drop("__content")
+    held = state.join(rows.select(*key), key, "left_semi").select(*key, F.col(ORDER_COLUMN).alias("__held"))
+    winners = rows.join(held, key, "left").filter(F.col("__held").isNull() | (F.col("__held") < F.col(ORDER_COLUMN))).drop("__held")
+    out = state.join(winners.select(*key), key, "left_anti").unionByName(conform(winners, state))
+    new = _with_new_keyless(visible(state).limit(0), visible(state), visible(keyless), key)
+    return out.unionByName(conform(with_order(new, order_by, dict(feed.dtypes)), state))
+
+
+def drop_tombstones(state: DataFrame, before: Column) -> DataFrame:
+    """The state without tombstones for which ``before`` (over ``__order``) holds: no change as old as these can still come."""
+    return state.filter(~(F.col(DELETED_COLUMN) & before))

@@ -8,6 +8,11 @@ operators in :mod:`lakeshift.operators.cdc`:
 * ``merge_latest``  - J4: the batch reduced to the last change per key, then a
   single MERGE that deletes, updates or inserts.
 
+Both reduce the batch once, into a staged copy that all statements read. Rows
+without a full key match nothing by key: a statement of their own compares whole
+rows null-safely and inserts what is not there, so that none is lost and a
+replayed batch adds none.
+
 Column lists are spelled out (no ``SET *``) so the feed's op column never
 reaches the table. Neither format's jar is in this environment: the SQL text is
 unit-tested, execution is not (see README).
@@ -19,9 +24,11 @@ import uuid
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeshift.functions.ddl import quote_ident as q
-from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, OP_DELETE, check_unique, latest_changes, split_changes
+from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, OP_DELETE, batch_per_key, reduced_changes, require_unique
+from lakeshift.session import hadoop_fs, new_work_dir
 
 ROW_LEVEL_PROVIDERS = ("delta", "iceberg")
 
@@ -66,6 +73,49 @@ def latest_merge_sql(table: str, source: str, key: list[str], cols: list[str], o
     )
 
 
+def insert_new_sql(table: str, source: str, key: list[str], cols: list[str]) -> str:
+    """Insert rows without a full key unless the table holds them already."""
+    same = " AND ".join(f"t.{q(c)} <=> s.{q(c)}" for c in cols)
+    without = " OR ".join(f"t.{q(k)} IS NULL" for k in key)
+    names = ", ".join(q(c) for c in cols)
+    values = ", ".join(f"s.{q(c)}" for c in cols)
+    return f"MERGE INTO {table} t USING {source} s ON ({without}) AND {same} WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+
+
+def latest_sources(feed: DataFrame, key: list[str], order_by: Iterable[str | Column], cols: list[str], op_col: str = OP_COLUMN) -> DataFrame:
+    """What the J4 statements read: ``cols`` and the op of the last change per key
+    (``__keyed``), and of each distinct upsert without a full key (not ``__keyed``)."""
+    last = reduced_changes(feed, key, order_by, cols, op_col=op_col)
+    shown = [(F.col(c) if c in key else F.col("__last")[c]).alias(c) for c in [*cols, op_col]]
+    return last.select(*shown, F.col("__content").isNull().alias("__keyed"))
+
+
+def change_sources(feed: DataFrame, key: list[str], cols: list[str], op_col: str = OP_COLUMN, drop_cols: Iterable[str] = METADATA_COLUMNS) -> DataFrame:
+    """What the J3 statements read: per key its row and how many upserts and deletes it
+    has; the distinct upserts without a full key are not ``__keyed``."""
+    per_key = batch_per_key(feed, key, cols, op_col=op_col, drop_cols=drop_cols)
+    shown = [(F.col(c) if c in key else F.col("__row")[c]).alias(c) for c in cols]
+    return per_key.select(*shown, "__ups", "__dels", "__content", F.col("__content").isNull().alias("__keyed"))
+
+
+def _staged_sources(df: DataFrame) -> tuple[DataFrame, str]:
+    path = new_work_dir(df.sparkSession, "merge-batch")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _run(spark: SparkSession, rows: DataFrame, statement) -> None:
+    """One statement over ``rows`` as a view; none if there are no rows (the staged copy tells)."""
+    if rows.isEmpty():
+        return
+    view = f"changes_{uuid.uuid4().hex[:8]}"
+    rows.createOrReplaceTempView(view)
+    try:
+        spark.sql(statement(view))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def _require_row_level(spark: SparkSession, table: str) -> None:
     p = table_provider(spark, table)
     if p not in ROW_LEVEL_PROVIDERS:
@@ -81,20 +131,18 @@ def merge_changes(
     op_col: str = OP_COLUMN,
     drop_cols: Iterable[str] = METADATA_COLUMNS,
 ) -> None:
-    """J3 in place: upsert MERGE (skipped when empty), then delete MERGE (skipped when empty)."""
+    """J3 in place: upsert MERGE, delete MERGE, insert of rows without a key (each skipped when it has no rows)."""
     _require_row_level(spark, table)
     key = [key] if isinstance(key, str) else list(key)
     cols = spark.table(table).columns
-    ups, dels = split_changes(feed, op_col)
-    ups, dels = ups.drop(*drop_cols), dels.drop(*drop_cols)
-    tag = uuid.uuid4().hex[:8]
-    check_unique(ups, key)
-    if not ups.isEmpty():
-        ups.select(*cols).createOrReplaceTempView(f"upsert_{tag}")
-        spark.sql(upsert_merge_sql(table, f"upsert_{tag}", key, cols))
-    if not dels.isEmpty():
-        dels.select(*key).distinct().createOrReplaceTempView(f"delete_{tag}")
-        spark.sql(delete_merge_sql(table, f"delete_{tag}", key))
+    rows, path = _staged_sources(change_sources(feed, key, cols, op_col, drop_cols))
+    require_unique(rows, key)
+    keyed = rows.filter("__keyed")
+    _run(spark, keyed.filter("__ups = 1").select(*cols), lambda v: upsert_merge_sql(table, v, key, cols))
+    _run(spark, keyed.filter("__dels > 0").select(*key), lambda v: delete_merge_sql(table, v, key))
+    _run(spark, rows.filter("NOT __keyed").select(*cols), lambda v: insert_new_sql(table, v, key, cols))
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)
 
 
 def merge_latest(
@@ -106,11 +154,12 @@ def merge_latest(
     *,
     op_col: str = OP_COLUMN,
 ) -> None:
-    """J4 in place: one MERGE of the last change per key."""
+    """J4 in place: one MERGE of the last change per key, and an insert of new rows without a key."""
     _require_row_level(spark, table)
     key = [key] if isinstance(key, str) else list(key)
     cols = spark.table(table).columns
-    last = latest_changes(feed.filter(feed[op_col].isNotNull()), key, order_by)
-    view = f"latest_{uuid.uuid4().hex[:8]}"
-    last.select(*cols, op_col).createOrReplaceTempView(view)
-    spark.sql(latest_merge_sql(table, view, key, cols, op_col))
+    rows, path = _staged_sources(latest_sources(feed, key, order_by, cols, op_col))
+    _run(spark, rows.filter("__keyed").select(*cols, op_col), lambda v: latest_merge_sql(table, v, key, cols, op_col))
+    _run(spark, rows.filter("NOT __keyed").select(*cols), lambda v: insert_new_sql(table, v, key, cols))
+    fs, p = hadoop_fs(spark, path)
+    fs.delete(p, True)
