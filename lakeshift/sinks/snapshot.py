@@ -245,8 +245,10 @@ class VersionedTable:
 
     ``commit(df, version)`` writes ``root/v=<version>`` and repoints the catalog
     table (one ``ALTER TABLE .. SET LOCATION``; partitioned tables are
-    re-registered instead); a version that already finished (``_SUCCESS``
-    present) is skipped, so replaying a stream batch is harmless.
+    re-registered instead). The version's schema is written first, then its data:
+    a version is complete with its ``_SUCCESS``, and then has both. Replaying a
+    complete version writes nothing but points the catalog at it if a crash left
+    the catalog behind, so replaying a stream batch is harmless.
 
     With ``bucket_by``/``buckets`` every version is written bucketed by the key
     and read through the catalog (which holds the bucket spec). A key join
@@ -303,8 +305,9 @@ class VersionedTable:
         cutoff = done[-keep]
         removed = [v for v in self._numbered() if v < cutoff]
         for v in removed:
-            fs, p = hadoop_fs(self.spark, self.path(v))
-            fs.delete(p, True)
+            for path in (self.path(v), self._schema_path(v)):
+                fs, p = hadoop_fs(self.spark, path)
+                fs.delete(p, True)
         return removed
 
     def has(self, version: int) -> bool:
@@ -322,19 +325,26 @@ class VersionedTable:
             return rows.schema(schema).load(self.path(v)).select([F.col(f"`{c}`") for c in schema.names])
         # bucketed: read through the catalog, after making sure it points at
         # the newest complete version (a crash may have left it one behind)
-        loc = table_location(self.spark, self.name()) if table_exists(self.spark, self.database, self.table) else None
-        if loc is None or loc.rstrip("/").rsplit("/", 1)[-1] != self.path(v).rsplit("/", 1)[-1]:
-            self._point(self.path(v))
+        self._catch_up(v)
         return self.spark.table(self.name())
 
+    def _catch_up(self, version: int) -> None:
+        """Point the catalog at ``version`` unless it is there."""
+        loc = table_location(self.spark, self.name()) if table_exists(self.spark, self.database, self.table) else None
+        if loc is None or loc.rstrip("/").rsplit("/", 1)[-1] != self.path(version).rsplit("/", 1)[-1]:
+            self._point(self.path(version))
+
+    def _schema_path(self, version: int) -> str:
+        return f"{self.root}/_schemas/v={version:09d}.json"
+
     def _schema(self, version: int):
         """The schema version ``version`` was committed with. Folder names cannot
         tell the type of a partition value (text "001" would come back as 1)."""
-        text = read_small(self.spark, f"{self.path(version)}/{SCHEMA_FILE}")
+        text = read_small(self.spark, self._schema_path(version)) or read_small(self.spark, f"{self.path(version)}/{SCHEMA_FILE}")
         return StructType.fromJson(json.loads(text)) if text else None
 
     def _save_schema(self, schema, version: int) -> None:
-        write_small(self.spark, f"{self.path(version)}/{SCHEMA_FILE}", schema.json())
+        write_small(self.spark, self._schema_path(version), schema.json())
 
     def _point(self, path: str, schema=None) -> None:
         """Point the catalog table at ``path``, with the schema it was committed with."""
@@ -366,14 +376,15 @@ class VersionedTable:
 
     def commit(self, df: DataFrame, version: int) -> bool:
         """Write version ``version``; False if it already exists (replay)."""
+        cur = self.current_version()
         if self.has(version):
+            if version == cur:
+                self._catch_up(version)
             return False
-        cur = self.current_version()
         if cur is not None and version <= cur:
             raise ValueError(f"version {version} is not after current version {cur}")
+        self._save_schema(StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema]), version)
         self._write(df, version)
-        nullable = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema])
-        self._save_schema(nullable, version)
         self._point(self.path(version))
         return True
 
