@@ -24,6 +24,9 @@ from lakeshift.queries import fixtures as fx
 from lakeshift.queries.fixtures import Tables
 from lakeshift.session import list_files, new_work_dir
 from lakeshift.sinks import snapshot as K
+from lakeshift.sinks.buckets import BUCKET, BucketedTable
+from lakeshift.sinks.keyindex import upsert_touched, write_key_index
+from lakeshift.sinks.merge import latest_sources
 from lakeshift.sources.catalog import classes_from_schema, column_classes
 from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import bounds_query, key_bounds, plan_balanced, range_predicates, read_key_ranges, union_all
@@ -258,12 +261,13 @@ def q_cdc_apply_text_partition(spark, sf_dir):
     return table.read()
 
 
-_HOT_DESC = ", ".join(f"{c} DESC NULLS LAST" for c in fx.HOT_ORDER)
+#: The last change is the greatest struct of the order columns: one aggregate, no sort of the hot key's rows.
+_HOT_STRUCT = ", ".join(f'"{c}" := "{c}"' for c in fx.HOT_ORDER)
 _SQL_HOT_LATEST = fx.with_ctes(
     fx.SQL_HOT,
     f"""latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_HOT_DESC}) AS rn FROM hot_feed)
-  WHERE rn = 1)""",
+  SELECT k, last.partkey AS partkey, last.quantity AS quantity, last.changed_at AS changed_at, last."Op" AS Op
+  FROM (SELECT k, max(struct_pack({_HOT_STRUCT})) AS last FROM hot_feed GROUP BY k))""",
 ) + """SELECT k, partkey, quantity, changed_at FROM hot_target t
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.k = t.k)
 UNION ALL
@@ -281,6 +285,93 @@ def q_cdc_apply_latest_hot_key(spark, sf_dir):
     )
 
 
+@register(
+    "merge_source_null_keys",
+    fx.with_ctes(
+        fx.SQL_NULL_KEY,
+        """latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM null_feed WHERE Op IS NOT NULL AND user_id IS NOT NULL) WHERE rn = 1)""",
+    )
+    + """SELECT user_id, event_id, event_type, value, ts, CASE WHEN Op = 'D' THEN 'delete' ELSE 'upsert' END AS statement FROM latest
+UNION ALL
+SELECT DISTINCT user_id, event_id, event_type, value, ts, 'insert_new' FROM null_feed WHERE user_id IS NULL AND Op <> 'D'""",
+)
+def q_merge_source_null_keys(spark, sf_dir):
+    """J4 over MERGE: the rows its statements read, and which of them. Changes without a
+    key are kept one by one; the statement for them inserts only what the table lacks."""
+    t = Tables(spark, sf_dir)
+    cols = fx.cdc_many_target(t).columns
+    rows = latest_sources(fx.null_key_feed(t), ["user_id"], ["ts", "event_id"], cols)
+    statement = F.when(~F.col("__keyed"), "insert_new").when(F.col("Op") == "D", "delete").otherwise("upsert")
+    return rows.select(*cols, statement.alias("statement"))
+
+
+@register("cdc_apply_out_of_order", _SQL_LATEST)
+def q_cdc_apply_out_of_order(spark, sf_dir):
+    """J4 across batches: the latest third of the changes arrives first, the earliest last,
+    one batch twice. Late older changes lose, and deleted keys do not come back."""
+    t = Tables(spark, sf_dir)
+    feed, order_by = fx.cdc_many_feed(t), ["ts", "event_id"]
+    base = new_work_dir(spark, "ordered")
+    table = K.VersionedTable(spark, base, CHECK_DB, "ordered_" + base.rsplit("-", 1)[-1])
+    table.commit(cdc.with_order(fx.cdc_many_target(t), order_by, dict(feed.dtypes)), 0)
+    day = F.dayofmonth("ts")
+    late, middle, early = feed.filter(day > 20), feed.filter((day > 10) & (day <= 20)), feed.filter(day <= 10)
+    for version, batch in enumerate([late, middle, late, early], 1):
+        table.commit(cdc.apply_ordered(table.read(), batch, "user_id", order_by, stage_dir=f"{base}/_staging/{version}"), version)
+    return cdc.visible(table.read())
+
+
+_TOUCHED_KEYS = "o_orderkey > (SELECT max(o_orderkey) * 6 // 10 FROM orders) AND o_orderkey <= (SELECT max(o_orderkey) * 7 // 10 FROM orders)"
+
+
+@register(
+    "cdc_apply_touched_files",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN {_TOUCHED_KEYS} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  o_orderdate, o_orderpriority
+FROM orders WHERE NOT (o_orderkey % 7 = 3 AND {_TOUCHED_KEYS})""",
+)
+def q_cdc_apply_touched_files(spark, sf_dir):
+    """J1, J2 by file: a batch of one key range reads only the files an index of key bounds
+    and Bloom filters leaves; the others stay as they are."""
+    orders = Tables(spark, sf_dir).orders
+    base = new_work_dir(spark, "indexed")
+    data, index = f"{base}/data", f"{base}/index"
+    orders.repartitionByRange(20, "o_orderkey").write.parquet(data)
+    write_key_index(spark, data, index, "o_orderkey")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    batch = orders.filter((F.col("o_orderkey") > top * 6 // 10) & (F.col("o_orderkey") <= top * 7 // 10))
+    changed = batch.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    upserted, read = upsert_touched(spark, index, changed, "o_orderkey", orders.schema)
+    new = cdc.delete(upserted, batch.filter("o_orderkey % 7 = 3"), "o_orderkey")
+    every = spark.read.parquet(f"{index}/files").select("file")
+    in_range = spark.read.parquet(f"{index}/files").filter((F.col("hi") > top * 6 // 10) & (F.col("lo") <= top * 7 // 10))
+    if not read or not set(read) <= {r["file"] for r in in_range.collect()} or 4 * len(read) > every.count():
+        raise AssertionError(f"read {len(read)} files: {read}")
+    untouched = [r["file"] for r in every.collect() if r["file"] not in set(read)]
+    return spark.read.schema(orders.schema).parquet(*untouched).unionByName(new)
+
+
+@register(
+    "replayed_commit_text_partition",
+    fx.with_ctes(fx.SQL_TEXT_PARTITIONS) + f"SELECT {_ORDER_SELECT}, dept FROM parted",
+)
+def q_replayed_commit_text_partition(spark, sf_dir):
+    """K13, ST2: a run that ends between the data of a version and the catalog is replayed:
+    nothing is written twice, partition text such as "001" stays text, the catalog catches up."""
+    rows = fx.text_partition_rows(Tables(spark, sf_dir))
+    base = new_work_dir(spark, "replayed")
+    table = K.VersionedTable(spark, base, CHECK_DB, "replayed_" + base.rsplit("-", 1)[-1], partition_by=["dept"])
+    table.commit(rows.filter("o_orderkey % 5 <> 4"), 0)
+    table._save_schema(rows.schema, 1)
+    table._write(rows, 1)  # here the first run ends
+    if table.commit(rows, 1) or table.read().schema["dept"].dataType.simpleString() != "string":
+        raise AssertionError("a complete version was written again or lost its schema")
+    return spark.table(table.name()).select(*rows.columns)
+
+
 # ---------------------------------------------------------------- A1-A7, L1 ---
 @register(
     "table_row_count",
@@ -525,6 +616,51 @@ def q_incremental_cdc_apply(spark, sf_dir):
     return table.read()
 
 
+def _bucketed(spark, name: str, rows: DataFrame, buckets: int = 16) -> BucketedTable:
+    base = new_work_dir(spark, name)
+    table = BucketedTable(spark, f"{base}/table", CHECK_DB, f"{name}_" + base.rsplit("-", 1)[-1], "user_id", buckets)
+    table.create(rows)
+    return table
+
+
+@register("bucketed_cdc_apply", _SQL_LATEST)
+def q_bucketed_cdc_apply(spark, sf_dir):
+    """ST2 with J4 on a bucketed table, read back through the catalog."""
+    t = Tables(spark, sf_dir)
+    feed = fx.cdc_many_feed(t)
+    table = _bucketed(spark, "bucketed", fx.cdc_many_target(t))
+    base = table.root.rsplit("/", 1)[0]
+    day = F.dayofmonth("ts")
+    for i, drop in enumerate([feed.filter(day <= 15), feed.filter(day > 15)]):
+        drop.write.parquet(f"{base}/landing/drop_{i}")
+        apply_available(spark, f"{base}/landing/*", feed.schema, table, "user_id", ["ts", "event_id"], f"{base}/ckpt")
+    return spark.table(table.name()).drop(BUCKET)
+
+
+@register(
+    "bucketed_apply_touched",
+    fx.with_ctes(fx.SQL_CDC_MANY)
+    + f"""SELECT 16 AS buckets, 1 AS rewritten, 15 AS carried, count(*) + 1 AS n_rows, sum(user_id) + (SELECT max(user_id) FROM events) AS key_sum
+FROM many_target WHERE user_id <> (SELECT max(user_id) FROM events)""",
+)
+def q_bucketed_apply_touched(spark, sf_dir):
+    """ST2: a batch that changes one key rewrites one bucket; the others are carried by reference."""
+    t = Tables(spark, sf_dir)
+    table = _bucketed(spark, "touched", fx.cdc_many_target(t))
+    before = table._state(0)[1]
+    feed = fx.cdc_many_feed(t).filter("Op <> 'D'")
+    top = t.events.agg(F.max("user_id")).first()[0]
+    # all changes, as if they were one user's
+    done = table.apply(feed.withColumn("user_id", F.lit(top)), ["ts", "event_id"])
+    after = table._state(done["version"])[1]
+    if sum(after[b] != before.get(b) for b in after) != 1:
+        raise AssertionError(f"buckets {before} became {after}")
+    rows = table.read()
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("key_sum")).select(
+        F.lit(table.buckets).alias("buckets"), F.lit(done["rewritten"]).alias("rewritten"), F.lit(done["carried"]).alias("carried"), "n_rows", "key_sum"
+    )
+
+
 # ---------------------------------------------------------------- M1/M2/M4 ----
 def _parquet_reader(spark, sf_dir):
     t = Tables(spark, sf_dir)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from lakeshift.operators.cdc import METADATA_COLUMNS, OP_COLUMN, apply_changes, apply_latest, op_counts
 from lakeshift.session import hadoop_fs, path_exists, touch
+from lakeshift.sinks.buckets import BucketedTable
 from lakeshift.sinks.merge import merge_changes, merge_latest
 from lakeshift.sinks.snapshot import VersionedTable
 
@@ -80,7 +81,7 @@ def ingest_available(
 
 
 def cdc_batch_applier(
-    table: VersionedTable,
+    table: VersionedTable | BucketedTable,
     key: str | Iterable[str],
     order_by: Iterable[str | Column] | None = None,
     *,
@@ -94,7 +95,9 @@ def cdc_batch_applier(
     """ST2: a ``foreachBatch`` function applying each batch to ``table``.
 
     With ``order_by`` the batch is applied with J4 (last change per key wins);
-    without, with J3 (all upserts, then all deletes - the source jobs' order).
+    without, with J3 (all upserts, then all deletes - the source jobs' order). A
+    ``VersionedTable`` is written whole per batch, of a ``BucketedTable`` only the
+    buckets that the batch touches.
 
     Each applied batch leaves a marker ``<table root>/_applied/<stream_id>/<batch_id>``
     written after the new version is committed; a replayed batch with a marker
@@ -112,9 +115,18 @@ def cdc_batch_applier(
         if path_exists(table.spark, marker):
             return
         feed = prepare(batch) if prepare else batch
-        current = table.read()
         cur = table.current_version()
         stage = f"{table.root}/_staging/{stream_id}/{batch_id:012d}"
+        if isinstance(table, BucketedTable):
+            done = table.apply(feed, order_by, op_col=op_col, drop_cols=drop_cols, stage_dir=stage)
+            touch(table.spark, marker)
+            if keep_versions is not None:
+                table.vacuum(keep_versions)
+            if on_batch is not None:
+                counts = {r["Op"]: r["n"] for r in op_counts(batch, op_col).collect()}
+                on_batch(batch_id, {**done, "ops": counts, "rows_after": table.read().count()})
+            return
+        current = table.read()
         if order_by is None:
             new = apply_changes(current, feed, key, op_col=op_col, drop_cols=drop_cols, stage_dir=stage)
         else:
@@ -169,7 +181,7 @@ def apply_available(
     spark: SparkSession,
     source: str,
     schema,
-    table: VersionedTable | str,
+    table: VersionedTable | BucketedTable | str,
     key: str | Iterable[str],
     order_by: Iterable[str | Column] | None,
     checkpoint: str,
@@ -179,7 +191,7 @@ def apply_available(
     **kw,
 ) -> None:
     """ST2: apply every newly landed change file to ``table``, batch by batch: a
-    snapshot table, or the name of a table with row-level writes.
+    snapshot table, a bucketed one, or the name of a table with row-level writes.
 
     ``max_files_per_trigger`` bounds each micro-batch, so a large backlog
     (first run, or after an outage) is applied as several bounded batches in
