@@ -19,6 +19,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshift.functions.proof import Proof, differing_columns, observe_proof, observed_proof, proof_of
 from lakeshift.functions.repair import repair_observed
 from lakeshift.operators.cdc import drop_metadata, stamp_changes
 from lakeshift.operators.projection import repairs_needed
@@ -57,9 +58,17 @@ def migrate_table(
     merge_schema: bool = True,
     skip_empty: bool = False,
     keep_fraction: bool = True,
+    prove: bool = False,
+    attempts: int = 2,
 ) -> TableStatus:
     """M4: one table end to end; never raises, reports instead (M2).
 
+    ``prove`` hashes every column as it is read, in the pass that writes it, and then the
+    columns of what was written: a column whose values differ fails the table by name
+    (one more scan, of the target). Repaired columns are hashed as repaired.
+    A table that fails is tried ``attempts`` times in all; each try writes the version
+    anew. The error reported names that of every try.
+
     ``rebalance`` inserts a REBALANCE right after the read, for sources whose
     partitions are known to be uneven (a non-unique or badly skewed key read in
     equal-width ranges): AQE then splits the big ones and merges the small ones.
@@ -74,22 +83,40 @@ def migrate_table(
     ``keep_fraction`` (default) keeps fractions of a second; without it, a
     datetime with one becomes null and is counted, as in the source jobs.
     """
-    try:
-        df = reader(database, table, classes)
-        if skip_empty and df.isEmpty():
-            return TableStatus(database, table, "empty", 0, 0, None)
-        if num_files:
-            df = df.repartition(num_files)
-        elif rebalance:
-            df = df.hint("rebalance")
-        obs = Observation(f"migrate_{database}_{table}_{uuid.uuid4().hex[:8]}")
-        repaired = repair_observed(df, obs, **repairs_needed(df, classes), keep_fraction=keep_fraction)
-        refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table,
-                      merge_schema=merge_schema)
-        m = obs.get
-        return TableStatus(database, table, "ok", int(m["rows"]), int(m["nulled"]), None)
-    except Exception as e:  # noqa: BLE001 - isolation is the point
-        return TableStatus(database, table, "failed", None, None, f"{type(e).__name__}: {e}")
+    errors: list[str] = []
+    for _ in range(max(1, attempts)):
+        try:
+            df = reader(database, table, classes)
+            if skip_empty and df.isEmpty():
+                return TableStatus(database, table, "empty", 0, 0, None)
+            if num_files:
+                df = df.repartition(num_files)
+            elif rebalance:
+                df = df.hint("rebalance")
+            tag = f"{database}_{table}_{uuid.uuid4().hex[:8]}"
+            obs, proof = Observation(f"migrate_{tag}"), Observation(f"proof_{tag}")
+            repaired = repair_observed(df, obs, **repairs_needed(df, classes), keep_fraction=keep_fraction)
+            columns = repaired.columns
+            if prove:
+                repaired = observe_proof(repaired, proof)
+            name = refresh_table(spark, repaired, f"{target_root}/{database}/{table}", target_database or database, table,
+                                 merge_schema=merge_schema)
+            m = obs.get
+            if prove:
+                wrong = unproven_columns(spark.table(name), observed_proof(proof, columns))
+                if wrong:
+                    raise ValueError(f"values written differ from those read in columns {', '.join(wrong)}")
+            return TableStatus(database, table, "ok", int(m["rows"]), int(m["nulled"]), None)
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            text = f"{type(e).__name__}: {e}"
+            if text not in errors:
+                errors.append(text)
+    return TableStatus(database, table, "failed", None, None, "; then ".join(errors))
+
+
+def unproven_columns(written: DataFrame, proof: Proof) -> list[str]:
+    """Columns of a written table that do not hold the values of ``proof``."""
+    return differing_columns(proof, proof_of(written, [c for c in proof if c in written.columns]))
 
 
 def migrate_tables(
@@ -105,6 +132,7 @@ def migrate_tables(
     rebalance: bool = False,
     skip_empty: bool = False,
     keep_fraction: bool = True,
+    prove: bool = False,
 ) -> DataFrame:
     """M1 + M2: migrate every listed table; returns one status row per table.
 
@@ -124,7 +152,7 @@ def migrate_tables(
         return migrate_table(
             spark, db, tb, cls, reader, target_root,
             target_database=target_database, num_files=num_files, rebalance=rebalance, skip_empty=skip_empty,
-            keep_fraction=keep_fraction,
+            keep_fraction=keep_fraction, prove=prove,
         )
 
     # inheritable_thread_target carries the caller's job group, scheduler pool

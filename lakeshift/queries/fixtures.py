@@ -281,6 +281,18 @@ SQL_GAPPED_KEYS = f"""gapped_keys AS (
   FROM orders)"""
 
 
+# -- hot_text: order lines under a text key; one value holds a third of them, some have none
+def hot_text(t: Tables) -> DataFrame:
+    p = F.col("l_partkey")
+    name = F.when(p % 3 == 0, F.lit("Part 'O' \\ hot")).when(p % 31 != 0, F.concat(F.lit("part "), (p % 1000).cast("string")))
+    return t.lineitem.select(name.alias("part_name"), "l_orderkey", "l_linenumber", "l_quantity")
+
+
+SQL_HOT_TEXT = """hot_text AS (
+  SELECT CASE WHEN l_partkey % 3 = 0 THEN 'Part ''O'' \\ hot' WHEN l_partkey % 31 <> 0 THEN 'part ' || CAST(l_partkey % 1000 AS VARCHAR) END AS part_name,
+         l_orderkey, l_linenumber, l_quantity FROM lineitem)"""
+
+
 # -- duplicate_rows: orders with every 100th order landed twice ------------------
 def duplicate_rows(t: Tables) -> DataFrame:
     o = t.orders

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.functions import repair as R
+from lakeshift.functions.proof import observe_proof, observed_proof
 from lakeshift.operators import basic as B
 from lakeshift.operators import cdc
 from lakeshift.operators.projection import filter_equal, select_columns, typed_projection
 from lakeshift.plans import marts
-from lakeshift.plans.migrate import migrate_tables
+from lakeshift.plans.migrate import migrate_tables, unproven_columns
 from lakeshift.queries import fixtures as fx
 from lakeshift.queries.fixtures import Tables
 from lakeshift.session import list_files, new_work_dir
@@ -30,6 +31,7 @@ from lakeshift.sinks.merge import latest_sources
 from lakeshift.sources.catalog import classes_from_schema, column_classes
 from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import bounds_query, key_bounds, plan_balanced, range_predicates, read_key_ranges, union_all
+from lakeshift.sources.splits import range_number, split_points, split_predicates
 from lakeshift.streaming.ingest import apply_available, ingest_available
 
 CHECK_DB = "lakeshift_checks"
@@ -492,6 +494,19 @@ def q_range_predicate_reads(spark, sf_dir):
     return union_all([src.filter(p) for p in range_predicates("o_orderkey", ranges)])
 
 
+@register("split_hot_text_key", fx.with_ctes(fx.SQL_HOT_TEXT) + "SELECT * FROM hot_text")
+def q_split_hot_text_key(spark, sf_dir):
+    """S7 over a text key of which one value holds a third of the rows and some rows have
+    none: ranges over (key, order, line) from a merged sketch, one WHERE clause each."""
+    src = fx.hot_text(Tables(spark, sf_dir))
+    keys, n = ["part_name", "l_orderkey", "l_linenumber"], 8
+    cuts = split_points(src, keys, n)
+    sizes = src.groupBy(range_number(keys, cuts).alias("r")).count().collect()
+    if len(sizes) != n or max(r["count"] for r in sizes) * n > 2 * sum(r["count"] for r in sizes):
+        raise AssertionError(f"uneven ranges: {sizes}")
+    return union_all([src.filter(p) for p in split_predicates(keys, cuts)])
+
+
 # ---------------------------------------------------------------- S9 ----------
 @register("parquet_recursive_scan", "SELECT * FROM events")
 def q_parquet_recursive_scan(spark, sf_dir):
@@ -717,6 +732,34 @@ for _name in DRIVER_TABLES:
     register("migrated_table_values" if _name == "lineitem" else f"migrated_{_name}_values", _sql)(_migrated_values(_name))
 
 
+_PROVED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register(
+    "migration_value_proof",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, {'false' if c == 'o_totalprice' else 'true'} AS proven, count(*) AS n_rows FROM orders" for c in _PROVED
+    ),
+)
+def q_migration_value_proof(spark, sf_dir):
+    """M1, M2: hashes gathered by the write, against the table after one value of one
+    column was raised by a cent: that column, and no other, is named."""
+    orders = Tables(spark, sf_dir).orders
+    path, damaged = new_work_dir(spark, "proof"), new_work_dir(spark, "proof")
+    observed = Observation("proof_" + path.rsplit("-", 1)[-1])
+    observe_proof(orders, observed).write.parquet(path)
+    proof = observed_proof(observed, orders.columns)
+    written = spark.read.parquet(path)
+    if unproven_columns(written, proof):
+        raise AssertionError("an intact copy is reported as damaged")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    cent = F.when(F.col("o_orderkey") == top, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))
+    written.withColumn("o_totalprice", cent).write.parquet(damaged)
+    wrong = unproven_columns(spark.read.parquet(damaged), proof)
+    names = F.explode(F.array(*map(F.lit, orders.columns))).alias("column_name")
+    return spark.read.parquet(damaged).agg(F.count(F.lit(1)).alias("n_rows")).select(names, "n_rows").withColumn("proven", ~F.col("column_name").isin(wrong))
+
+
 _SQL_MIGRATION_STATUS = (
     fx.with_ctes(fx.SQL_DIRTY_DATES, fx.SQL_DIRTY_DATETIMES, fx.SQL_TINYINT_FLAGS)
     + """SELECT 'legacy' AS database, 'dirty_dates' AS table_name, 'ok' AS status, count(*) AS rows_written,
