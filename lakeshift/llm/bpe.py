@@ -23,11 +23,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import normalizers
 
 from lakeshift.llm.common import id_and_text, in_slices
+from lakeshift.llm.merging import Pairs
 
 #: Words whose encoding a Python worker keeps; beyond this number it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+#: Characters up to which words are merged many at a time.
+MERGED_TOGETHER = 64
 #: Stands for the word-end mark while matching: one character that no byte maps to.
 END = "\ue000"
 
@@ -39,11 +43,20 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(spare)) for b in range(256)]
 
 
-def later_characters() -> str:
-    """Letters and digits that are newer than Python's own character tables; the
-    tokenizers library does not know them as such either."""
+def newer_characters() -> str:
+    """Characters that Python's own tables do not have yet."""
     known = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    return "".join(c for c in regex.findall(r"[\p{L}\p{N}]", known) if unicodedata.category(c)[0] not in "LN")
+    return "".join(c for c in regex.findall(r"\P{Cn}", known) if unicodedata.category(c) == "Cn")
+
+
+def later_characters(newer: str) -> str:
+    """Those that are letters or digits to the pattern engine here, but not to that of the
+    tokenizers library, whose tables may be older."""
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    theirs = Split(Regex(r"[\p{L}\p{N}]"), "removed", invert=True).pre_tokenize_str(newer)
+    return "".join(sorted(set(regex.findall(r"[\p{L}\p{N}]", newer)) - {c for piece, _ in theirs for c in piece}))
 
 
 class WordBpe:
@@ -58,6 +71,7 @@ class WordBpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, mark = spec["model"], spec["model"]["end_of_word_suffix"]
+        self.library_normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
         self.tokens: dict[int, str] = {i: t for t, i in model["vocab"].items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.special.items()}
@@ -75,17 +89,19 @@ class WordBpe:
             x, y, z = self.ids[inner(a)], self.ids[inner(b)], self.ids[inner(a + b)]
             self.merges[x, y] = (rank, z)
             self.left[z], self.right[z], self.rank[z] = x, y, rank
-        keys = np.array([x * size + y for x, y in self.merges], np.int64)
-        order = np.argsort(keys)
-        self.size, self.pair_key = size, keys[order]
-        self.pair_rank = np.array([r for r, _ in self.merges.values()], np.int64)[order]
+        x, y, rank, z = np.array([(x, y, r, z) for (x, y), (r, z) in self.merges.items()], np.int64).T
+        self.pairs = Pairs(size, x, y, rank, z)
         self.bytes = byte_characters()
-        later = later_characters()
+        newer = newer_characters()
+        self.newer = np.zeros(0x110000, bool)
+        self.newer[list(map(ord, newer))] = True
+        later = later_characters(newer)
         self.later = set(later)
-        plain = f"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}--[{later}]]+|[\\p{{N}}--[{later}]]|(?:[^\\s\\p{{L}}\\p{{N}}]|[{later}])+"
+        plain = "(?V1)" + self.SPLIT.pattern if not later else f"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\\p{{L}}--[{later}]]+|[\\p{{N}}--[{later}]]|(?:[^\\s\\p{{L}}\\p{{N}}]|[{later}])+"
         self.split_later = regex.compile(plain)
         # a token that merging would not give for its own text is never proposed
-        self.propose = {t: i for t, i in self.ids.items() if self.rank[i] < 0 or self.merge(t) == [i]}
+        own = self.merge_all(list(self.ids))
+        self.propose = {t: i for (t, i), m in zip(self.ids.items(), own, strict=True) if self.rank[i] < 0 or m == [i]}
         self.longest = max(map(len, self.propose))
         self.cache: dict[str, tuple[str, str]] = {}
 
@@ -94,28 +110,25 @@ class WordBpe:
     def symbols(self, word: str) -> list[str]:
         return [*word[:-2], word[-2:]] if word.endswith(END) else list(word)
 
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """Exact merging of each word: always the lowest rank, leftmost first."""
+        out: list[list[int]] = [[] for _ in words]
+        short = [k for k, w in enumerate(words) if len(w) <= MERGED_TOGETHER]
+        first = [[self.ids[s] for s in self.symbols(words[k])] for k in short]
+        if short:
+            merged = self.pairs.merge(np.fromiter((i for f in first for i in f), np.int64), np.fromiter(map(len, first), np.int64, len(first)))
+            for k, ids in zip(short, merged, strict=True):
+                out[k] = np.frombuffer(ids, "<u4").tolist()
+        for k, w in enumerate(words):
+            if len(w) > MERGED_TOGETHER:
+                out[k] = self._merge_long([self.ids[s] for s in self.symbols(w)])
+        return out
+
     def merge(self, word: str) -> list[int]:
-        """Exact merging: always the lowest rank, leftmost first."""
-        at = [self.ids[s] for s in self.symbols(word)]
-        if len(at) > 40:
-            return self._merge_long(at)
-        get, none = self.merges.get, (1 << 60, 0)
-        found = [get(p, none) for p in zip(at, at[1:], strict=False)]
-        while found:
-            best = min(found)
-            if best is none:
-                break
-            i = found.index(best)
-            at[i : i + 2] = [best[1]]
-            del found[i]
-            if i:
-                found[i - 1] = get((at[i - 1], at[i]), none)
-            if i < len(found):
-                found[i] = get((at[i], at[i + 1]), none)
-        return at
+        return self.merge_all([word])[0]
 
     def _merge_long(self, at: list[int]) -> list[int]:
-        """The same through a heap, for words whose length would make scanning for the minimum slow."""
+        """The same through a heap, for words whose length would make a round for each merge slow."""
         n = len(at)
         after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         heap = []
@@ -164,9 +177,8 @@ class WordBpe:
         live = np.arange(len(a))
         while len(live):
             x, y = a[live], b[live]
-            key = x * self.size + y
-            at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-            crosses = (self.pair_key[at] == key) & (self.pair_rank[at] < limit[live])
+            found = self.pairs.rank_of(x, y)
+            crosses = (found < self.pairs.none) & (found < limit[live])
             good[live[crosses]] = False
             rx, ry = self.rank[x], self.rank[y]
             go = ~crosses & ((rx >= 0) | (ry >= 0))
@@ -188,13 +200,16 @@ class WordBpe:
         inside[ends[:-1] - 1] = False  # the pair spans two words
         at = np.flatnonzero(inside)
         bad = at[~self.compatible(flat[at], flat[at + 1])]
-        for w in np.unique(np.searchsorted(ends, bad, side="right")):
-            guesses[w] = self.merge(words[w])
+        failing = np.unique(np.searchsorted(ends, bad, side="right")).tolist()
+        for w, ids in zip(failing, self.merge_all([words[w] for w in failing]), strict=True):
+            guesses[w] = ids
         return guesses
 
     # -- texts ----------------------------------------------------------------
 
     def normal(self, text: str) -> str:
+        if not text.isascii() and self.newer[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
+            text = self.library_normal(text)  # its tables have what Python's lack
         text = unicodedata.normalize("NFC", text)
         return text.replace("Σ", "σ").lower()  # no final form of sigma
 

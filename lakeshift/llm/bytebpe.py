@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm.common import by_bytes, id_and_text, ship_file, shipped_file
+from lakeshift.llm.merging import Pairs
 
 #: Words whose ids a Python worker keeps; beyond this number it starts anew.
 CACHE_WORDS = 400_000
@@ -191,16 +192,15 @@ class ByteRanks:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         size = max(self.ranks.values()) + 1
-        self.size, self.byte_id = size, np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         pairs = [
-            (self.ranks[t[:i]] * size + self.ranks[t[i:]], r)
+            (self.ranks[t[:i]], self.ranks[t[i:]], r)
             for t, r in self.ranks.items()
             for i in range(1, len(t))
             if t[:i] in self.ranks and t[i:] in self.ranks
         ]
-        pairs.sort()
-        self.pair_key = np.array([k for k, _ in pairs], np.int64)
-        self.pair_rank = np.array([r for _, r in pairs], np.int64)
+        left, right, rank = np.array(pairs, np.int64).reshape(-1, 3).T
+        self.pairs = Pairs(size, left, right, rank, rank)
         spelt = {r: t for t, r in self.ranks.items()}
         self.length = np.array([len(spelt.get(i, b"")) for i in range(size)], np.int64)
         self.offset = np.cumsum(self.length) - self.length
@@ -209,64 +209,21 @@ class ByteRanks:
 
     # -- merging --------------------------------------------------------------
 
-    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of each pair's merged token, ``size`` if there is none."""
-        key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-        return np.where(self.pair_key[at] == key, self.pair_rank[at], self.size)
-
     def merge_words(self, words: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each word, all merged together round by round."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        at = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        out: list[bytes] = [b""] * len(words)
-        which = np.arange(len(words))
-        first = np.cumsum(lengths) - lengths
-        # the pair of a place is with the place after it; a word's last place has none
-        rank = np.full(len(at), self.size, np.int64)
-        rank[:-1] = self.rank_of(at[:-1], at[1:])
-        rank[first + lengths - 1] = self.size
-        while len(which):
-            least = np.minimum.reduceat((rank << 32) | np.arange(len(at)), first)
-            done = (least >> 32) == self.size
-            if done.any():
-                ids = at.astype("<u4").tobytes()
-                for w, f, n in zip(which[done].tolist(), first[done].tolist(), lengths[done].tolist(), strict=True):
-                    out[w] = ids[4 * f : 4 * (f + n)]
-                keep = np.repeat(~done, lengths)
-                at, rank = at[keep], rank[keep]
-                which, lengths, least, moved = which[~done], lengths[~done], least[~done], first[~done]
-                first = np.cumsum(lengths) - lengths
-                if not len(which):
-                    break
-                place = (least & 0xFFFFFFFF) - moved + first
-            else:
-                place = least & 0xFFFFFFFF
-            at[place] = least >> 32
-            keep = np.ones(len(at), bool)
-            keep[place + 1] = False
-            last = place + 1 == first + lengths - 1  # the merged token ends its word
-            at, rank = at[keep], rank[keep]
-            place -= np.arange(len(place))  # one place is gone in each word before
-            lengths = lengths - 1
-            first = np.cumsum(lengths) - lengths
-            rank[place[last]] = self.size
-            go = place[~last]
-            rank[go] = self.rank_of(at[go], at[go + 1])
-            back = place[place > first]
-            rank[back - 1] = self.rank_of(at[back - 1], at[back])
-        return out
+        return self.pairs.merge(self.byte_id[np.frombuffer(b"".join(words), np.uint8)], lengths) if words else []
 
     def merge_long(self, word: bytes) -> bytes:
         """The same for one long word, through a heap of (rank, place) in one number."""
         at = self.byte_id[np.frombuffer(word, np.uint8)]
         n = len(at)
-        rank = self.rank_of(at[:-1], at[1:])
-        has = np.flatnonzero(rank < self.size)
+        rank = self.pairs.rank_of(at[:-1], at[1:])
+        has = np.flatnonzero(rank < self.pairs.none)
         heap = ((rank[has] << 32) | has).tolist()
         heapq.heapify(heap)
         at, after, before = at.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
-        spelt, ranks, none = self.spelt, self.ranks, self.size
+        spelt, ranks = self.spelt, self.ranks
         while heap:
             top = heapq.heappop(heap)
             r, i = top >> 32, top & 0xFFFFFFFF
@@ -277,10 +234,10 @@ class ByteRanks:
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (s := ranks.get(spelt(r) + spelt(at[k]), none)) != none:
+                if (s := ranks.get(spelt(r) + spelt(at[k]))) is not None:
                     heapq.heappush(heap, (s << 32) | i)
             h = before[i]
-            if h >= 0 and (s := ranks.get(spelt(at[h]) + spelt(r), none)) != none:
+            if h >= 0 and (s := ranks.get(spelt(at[h]) + spelt(r))) is not None:
                 heapq.heappush(heap, (s << 32) | h)
         return np.array([t for t in at if t >= 0], "<u4").tobytes()
 
