@@ -17,6 +17,7 @@ gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,6 +29,10 @@ from pyspark.sql import functions as F
 from lakeshift.llm.bpe import byte_characters
 from lakeshift.llm.common import id_and_text, in_slices, shuffle_partitions, staged
 
+#: Characters of white space in a row that are cut out before the split pattern.
+LONG_SPACE = 5000
+
+
 class ByteBpe:
     """Token ids of a byte-level tokenizer file whose merges are numbered in rank order.
 
@@ -37,6 +42,8 @@ class ByteBpe:
     # The fixed split pattern of this kind of tokenizer file.
     SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+    LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
+
     def __init__(self, path: str):
         import tiktoken
 
@@ -46,6 +53,7 @@ class ByteBpe:
         made = [vocab["".join(m)] for m in spec["model"]["merges"]]
         if spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["normalizer"] or made != sorted(made):
             raise ValueError(f"{path} is not a plain byte-level BPE in rank order")
+        self.special = [a["content"] for a in spec["added_tokens"]]
         self.encoding = tiktoken.Encoding(
             path,
             pat_str=self.SPLIT,
@@ -54,6 +62,19 @@ class ByteBpe:
         )
 
     def encode(self, text: str) -> np.ndarray:
+        """The ids of a text. Of a run of white space, what is before its last blank (or all
+        of it, where the text or a special token follows) is one word; long runs are cut out
+        as such before the pattern, which would run out of stack, sees them."""
+        parts, at = [], 0
+        for run in self.LONG_SPACE.finditer(text) if len(text) > LONG_SPACE else ():
+            begin, end = run.span()
+            if end < len(text) and not any(text.startswith(t, end) for t in self.special):
+                end -= 1
+            parts += [self._plain(text[at:begin]), np.array(self.encoding._encode_single_piece(text[begin:end]), "<u4")]
+            at = end
+        return np.concatenate([*parts, self._plain(text[at:])]) if parts else self._plain(text)
+
+    def _plain(self, text: str) -> np.ndarray:
         return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 

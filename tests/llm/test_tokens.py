@@ -121,3 +121,26 @@ def test_byte_ids_equal_the_library():
     ours, library = packing.ByteBpe(BYTE), Tokenizer.from_file(BYTE)
     for t in odd_texts(2, 3000) + ["<|endoftext|>x <|endoftext|>", " a", "a ", "a\n", "  ", "x" * 3000]:
         assert ours.encode(t).tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_every_code_point_gives_the_library_ids():
+    words, whole = bpe.WordBpe(WORD), Tokenizer.from_file(WORD)
+    bytewise, library = packing.ByteBpe(BYTE), Tokenizer.from_file(BYTE)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20000):
+        texts = [f"a{chr(c)}b {chr(c)}" for c in points[at : at + 20000 : 1 if at < 0x20000 else 7]]
+        want = whole.encode_batch(texts, add_special_tokens=False)
+        for text, (ids, _), e in zip(texts, words.encode_batch(texts), want, strict=True):
+            assert ids == " ".join(map(str, e.ids)), ascii(text)
+        for text, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert bytewise.encode(text).tolist() == e.ids, ascii(text)
+
+
+def test_long_white_space_is_cut_as_the_pattern_cuts_it():
+    ours, library = packing.ByteBpe(BYTE), Tokenizer.from_file(BYTE)
+    for run in (" " * 6000, "\n" * 6000, " \n" * 3000, "\n " * 3000, "\u3000 " * 3000):
+        for text in (run, "a" + run, run + "b", "a" + run + "b " + run + "!", run + "<|endoftext|>", "x" + run + "<|endoftext|> y"):
+            assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    for run in (" " * 3_000_000, "\n" * 2_000_000, " \n" * 1_000_000):
+        ids = ours.encode("a" + run + "b")
+        assert ours.encoding.decode(ids.tolist()) == "a" + run + "b"
