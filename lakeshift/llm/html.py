@@ -384,9 +384,21 @@ def decode(nodes: list[Node], odds: np.ndarray) -> np.ndarray:
     return state == 1
 
 
+def not_side(nodes: list[Node]) -> np.ndarray:
+    """Nodes that neither are side blocks by their tag or attribute tokens, nor are in one, nor hold mostly links."""
+    keep = np.ones(len(nodes), bool)
+    for i, x in enumerate(nodes):
+        keep[i] = (not i or keep[x.parent]) and x.tag not in SIDE_TAGS and not x.tokens & SIDE_TOKENS
+    return keep & np.array([2 * x.links <= x.chars for x in nodes])
+
+
 def main_text(nodes: list[Node], texts: Texts, odds: np.ndarray) -> str:
-    """Text of the main nodes, in page order, one block per stretch."""
-    keep = decode(nodes, odds)
+    """Text of the main nodes, in page order, one block per stretch. Where these have
+    none, all that is no side block is taken as main."""
+    return _shown(texts, decode(nodes, odds)) or _shown(texts, not_side(nodes))
+
+
+def _shown(texts: Texts, keep: np.ndarray) -> str:
     stretches: dict[int, list[str]] = {}
     for i, stretch, text in texts:
         if keep[i]:

@@ -70,6 +70,30 @@ def test_main_text_with_and_without_semantic_tags(spark):
             assert html.main_text(nodes, texts, trees.log_odds(html.features(nodes))) == article(page)
 
 
+def test_pages_without_paragraphs(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/pages.parquet").collect()]
+    trees = html.train(pages[:150])
+
+    def text(page):
+        nodes, texts = html.parse(page)
+        return html.main_text(nodes, texts, trees.log_odds(html.features(nodes)))
+
+    said = [" ".join(cases.prose(k, 60).split()) for k in range(6)]
+    menu = '<nav><a href="/">Home</a> <a href="/a">About us</a></nav>'
+    foot = '<footer>Terms of use, all rights reserved</footer>'
+    comments = '<div class="comments"><p>I agree with this.</p><p>So do I, and more than that.</p></div>'
+    for page in (
+        f'<html><body>{menu}<div id="story">{"<br><br>".join(said)}</div>{foot}</body></html>',
+        f"<html><body>{menu}{'<br><br>'.join(said)}{foot}</body></html>",
+        f"<html><body>{menu}<table>{''.join(f'<tr><td>{x}</td></tr>' for x in said)}</table>{foot}</body></html>",
+        f"<html><body>{menu}<div><p>{' '.join(said)}</p></div>{comments}{foot}</body></html>",
+        " ".join(said),
+    ):
+        got = text(page)
+        assert got.replace("\n\n", " ") == " ".join(said), page
+    assert text(menu + foot) == ""
+
+
 def test_side_blocks_inside_and_around_the_article(spark):
     pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
     trees = html.train(pages)
