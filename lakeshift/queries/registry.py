@@ -9,6 +9,7 @@ work folder and return what a reader of the result would see.
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,12 +21,15 @@ from lakeshift.operators import basic as B
 from lakeshift.operators import cdc
 from lakeshift.operators.projection import filter_equal, select_columns, typed_projection
 from lakeshift.plans import marts
+from lakeshift.plans.restart import RangesFailed, migrate_ranges
 from lakeshift.plans.migrate import migrate_tables, unproven_columns
 from lakeshift.queries import fixtures as fx
 from lakeshift.queries.fixtures import Tables
-from lakeshift.session import list_files, new_work_dir
+from lakeshift.session import hadoop_fs, list_files, new_work_dir
 from lakeshift.sinks import snapshot as K
 from lakeshift.sinks.buckets import BUCKET, BucketedTable
+from lakeshift.sinks.evolve import read_versions
+from lakeshift.sinks.layout import write_clustered
 from lakeshift.sinks.keyindex import upsert_touched, write_key_index
 from lakeshift.sinks.merge import latest_sources
 from lakeshift.sources.catalog import classes_from_schema, column_classes
@@ -33,6 +37,7 @@ from lakeshift.sources.files import read_recursive
 from lakeshift.sources.jdbc import bounds_query, key_bounds, plan_balanced, range_predicates, read_key_ranges, union_all
 from lakeshift.sources.splits import range_number, split_points, split_predicates
 from lakeshift.streaming.ingest import apply_available, ingest_available
+from lakeshift.streaming.ledger import BATCH, FILE, current, set_file_time, take_in
 
 CHECK_DB = "lakeshift_checks"
 DRIVER_TABLES = [
@@ -577,12 +582,33 @@ def q_partitioned_full_load(spark, sf_dir):
     return spark.table(f"{CHECK_DB}.{table}")
 
 
+@register(
+    "full_load_job",
+    fx.with_ctes(fx.SQL_FULL_LOAD_RAW)
+    + f"""SELECT {_ORDER_SELECT}, TRY_CAST(update_ts_dms AS TIMESTAMP) AS update_ts_dms,
+       TIMESTAMP '{fx.RUN_TS}' AS last_applied_date
+FROM full_load_raw""",
+)
+def q_full_load_job(spark, sf_dir):
+    """M5 as the job runs it: landed files to a partitioned table of versions, once."""
+    from lakeshift.plans.jobs import full_load_job
+
+    base = new_work_dir(spark, "full_load_job")
+    fx.full_load_raw(Tables(spark, sf_dir)).write.parquet(f"{base}/raw")
+    args = dict(raw_path=f"{base}/raw", warehouse=f"{base}/warehouse", database=CHECK_DB, table_name="orders_" + base.rsplit("-", 1)[-1], partition_key="o_orderstatus", run_ts=fx.RUN_TS)
+    made, again = full_load_job(spark, **args), full_load_job(spark, **args)
+    if (made["status"], again["status"]) != ("created", "exists"):
+        raise AssertionError(f"{made['status']}, then {again['status']}")
+    return spark.table(made["table"])
+
+
 @register("manifest_export", "SELECT * FROM lineitem")
 def q_manifest_export(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     path = new_work_dir(spark, "manifested")
     K.write_snapshot(li, path)
     K.write_manifest(spark, path, f"{path}_manifest")
+    li.limit(1).write.mode("append").parquet(path)  # a later file is not in the manifest
     return K.read_manifest(spark, f"{path}_manifest")
 
 
@@ -595,6 +621,59 @@ def q_register_external_table(spark, sf_dir):
     return spark.table(name)
 
 
+@register(
+    "evolving_versions",
+    """SELECT o_orderkey AS id, CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(20,4)) AS DOUBLE) AS price, o_orderkey % 3 AS version,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS status,
+  CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS priority,
+  CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS customer, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS old_customer
+FROM orders""",
+)
+def q_evolving_versions(spark, sf_dir):
+    """K2 over three versions: a key and a price widen, a struct gains fields, a column goes. No version is rewritten."""
+    o = Tables(spark, sf_dir).orders
+    base, price = new_work_dir(spark, "evolving"), F.col("o_totalprice").cast("decimal(12,2)")
+    part = [o.filter(F.col("o_orderkey") % 3 == k) for k in range(3)]
+    status, customer = F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("customer")
+    versions = [
+        part[0].select(F.col("o_orderkey").cast("int").alias("id"), price.alias("price"), F.lit(0).alias("version"), F.col("o_custkey").alias("old_customer")),
+        part[1].select(F.col("o_orderkey").cast("int").alias("id"), price.alias("price"), F.lit(1).cast("short").alias("version"), F.struct(status, customer).alias("about")),
+        part[2].select(
+            "o_orderkey", price.cast("decimal(20,4)").alias("price"), F.lit(2).cast("byte").alias("version"),
+            F.struct(F.col("o_orderpriority").alias("priority"), customer, status).alias("about"),
+        ).withColumnRenamed("o_orderkey", "id"),
+    ]
+    for k, v in enumerate(versions):
+        v.write.parquet(f"{base}/v{k}")
+    rows = read_versions(spark, [f"{base}/v{k}" for k in range(3)])
+    if rows.select("id", "price", "version").dtypes != [("id", "bigint"), ("price", "decimal(20,4)"), ("version", "int")]:
+        raise AssertionError(rows.schema)
+    return _portable(rows.select("id", "price", F.col("version").cast("bigint").alias("version"), "about.status", "about.priority", "about.customer", "old_customer"))
+
+
+@register("clustered_files", "SELECT * FROM lineitem")
+def q_clustered_files(spark, sf_dir):
+    """K4, M3: files within twice their target size; a range of either clustering column leaves files out."""
+    li = Tables(spark, sf_dir).lineitem
+    path, plain = new_work_dir(spark, "clustered"), new_work_dir(spark, "plain")
+    li.write.parquet(plain)
+    target = sum(r["bytes"] for r in K.manifest_entries(spark, plain).select("bytes").collect()) // 20
+    write_clustered(li, path, ["l_partkey", "l_shipdate"], target)
+    sizes = [r["bytes"] for r in K.manifest_entries(spark, path).select("bytes").collect()]
+    mean = sum(sizes) / len(sizes)
+    if not target / 2 <= mean <= 2 * target or max(sizes) > 2 * target:
+        raise AssertionError(f"target {target}, sizes {sorted(sizes)}")
+    rows = spark.read.parquet(path)
+    for c in ("l_partkey", "l_shipdate"):
+        bounds = rows.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+        cut = li.agg(F.expr(f"percentile_approx({'unix_date(CAST(l_shipdate AS DATE))' if c == 'l_shipdate' else c}, 0.1)")).first()[0]
+        low = F.unix_date(F.col("lo").cast("date")) if c == "l_shipdate" else F.col("lo")
+        met = bounds.filter(low <= cut).count()
+        if 2 * met > len(sizes):
+            raise AssertionError(f"a tenth of {c} meets {met} of {len(sizes)} files")
+    return rows
+
+
 # ---------------------------------------------------------------- ST1/ST2 -----
 @register(
     "incremental_ingest",
@@ -615,6 +694,33 @@ def q_incremental_ingest(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register("intake_rewritten_and_late", "SELECT * FROM events")
+def q_intake_rewritten_and_late(spark, sf_dir):
+    """ST1 by ledger: a file that is rewritten replaces its rows, one that lands with an old time is not missed."""
+    ev = Tables(spark, sf_dir).events
+    base, day = new_work_dir(spark, "ledger"), F.dayofmonth("ts")
+    landing, sink = f"{base}/landing", f"{base}/sink"
+    drops = [ev.filter(day <= 10), ev.filter((day > 10) & (day <= 20)), ev.filter(day > 20)]
+
+    def land(i, df):
+        df.coalesce(1).write.mode("overwrite").parquet(f"{landing}/drop_{i}")
+        return next(f for f in list_files(spark, f"{landing}/drop_{i}") if f.endswith(".parquet"))
+
+    land(1, drops[1])
+    wrong = land(0, drops[0].withColumn("value", F.col("value") + 1))
+    batches = [take_in(spark, f"{landing}/*/*.parquet", ev.schema, sink)]
+    right = land(2, drops[0])  # the first file again, in place
+    fs, p = hadoop_fs(spark, right)
+    fs.delete(hadoop_fs(spark, wrong)[1], True)
+    fs.rename(p, hadoop_fs(spark, wrong)[1])
+    late = land(2, drops[2])
+    set_file_time(spark, late, dt.datetime(2020, 1, 1))
+    batches += [take_in(spark, f"{landing}/*/*.parquet", ev.schema, sink), take_in(spark, f"{landing}/*/*.parquet", ev.schema, sink)]
+    if batches != [0, 1, None]:
+        raise AssertionError(f"batches {batches}")
+    return current(spark, sink, ev.schema).drop(FILE, BATCH)
+
+
 @register("incremental_cdc_apply", _SQL_LATEST)
 def q_incremental_cdc_apply(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -732,6 +838,34 @@ for _name in DRIVER_TABLES:
     register("migrated_table_values" if _name == "lineitem" else f"migrated_{_name}_values", _sql)(_migrated_values(_name))
 
 
+@register("migration_restart", "SELECT * FROM lineitem")
+def q_migration_restart(spark, sf_dir):
+    """M1, M2: a run that loses its source in the middle, and a rerun that reads only the ranges still missing."""
+    src = Tables(spark, sf_dir).lineitem
+    keys, root = ["l_orderkey", "l_linenumber"], new_work_dir(spark, "restart")
+    read: list[str] = []
+
+    def plan():
+        return split_predicates(keys, split_points(src, keys, 6))
+
+    def reader(predicate, fail=()):
+        read.append(predicate)
+        if len(read) in fail:
+            raise IOError("source went away")
+        return src.filter(predicate)
+
+    try:
+        migrate_ranges(spark, lambda p: reader(p, fail=(3, 5)), plan, root, parallel_ranges=1)
+        raise AssertionError("the first run should have failed")
+    except RangesFailed as e:
+        lost = sorted(e.failed)
+    first, read[:] = list(read), []
+    ledger, again = migrate_ranges(spark, reader, plan, root, parallel_ranges=1)
+    if again != lost or sorted(read) != sorted(first[i] for i in lost):
+        raise AssertionError(f"lost {lost}, read again {again}: {read}")
+    return ledger.read()
+
+
 _PROVED = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 

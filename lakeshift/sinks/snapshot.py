@@ -219,25 +219,38 @@ def create_partitioned_table(
 def write_manifest(spark: SparkSession, data_path: str, manifest_path: str, fmt: str = "parquet") -> int:
     """K5: list the data files of a snapshot in a text manifest for external readers.
 
-    Delta writes its own symlink manifest; for parquet the file list comes from
-    the scan's file index (driver metadata, no data read).
+    Delta writes its own symlink manifest. For parquet the entries are gathered and
+    written by the executors: ``entries`` (parquet) and ``symlink`` (text, one name a
+    line), both in parts. Returns the number of files.
     """
     if fmt == "delta":  # pragma: no cover - needs the Delta jar
         from delta.tables import DeltaTable  # type: ignore
 
         DeltaTable.forPath(spark, data_path).generate("symlink_format_manifest")
         return -1
-    files = spark.read.format(fmt).load(data_path).inputFiles()
-    spark.createDataFrame([(f,) for f in sorted(files)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(manifest_path)
-    return len(files)
+    entries = manifest_entries(spark, data_path, fmt)
+    # executors write their own files' entries, as parts of the manifest
+    entries.write.mode("overwrite").parquet(f"{manifest_path}/entries")
+    kept = spark.read.parquet(f"{manifest_path}/entries")
+    kept.select("file").write.mode("overwrite").text(f"{manifest_path}/symlink")
+    write_small(spark, f"{manifest_path}/_source", data_path)
+    return kept.count()
+
+
+def manifest_entries(spark: SparkSession, data_path: str, fmt: str = "parquet") -> DataFrame:
+    """One row per data file that holds rows: its name, size, time and number of rows. The
+    scan reads no column of the data; for parquet the counts come from the footers."""
+    m = F.col("_metadata")
+    rows = spark.read.format(fmt).load(data_path).select(m.file_path.alias("file"), m.file_size.alias("bytes"), m.file_modification_time.alias("written_at"))
+    return rows.groupBy("file", "bytes", "written_at").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def read_manifest(spark: SparkSession, manifest_path: str, fmt: str = "parquet") -> DataFrame:
-    """Read the files a manifest lists (never the manifest bytes as data)."""
-    files = [r.value for r in spark.read.text(manifest_path).collect() if r.value]
-    return spark.read.format(fmt).load(files)
+    """The rows of the files that a manifest lists; the list stays a
+    DataFrame (files that came later are read and left out: a manifest is for readers elsewhere)."""
+    listed = spark.read.parquet(f"{manifest_path}/entries").select(F.col("file").alias("__listed"))
+    rows = spark.read.format(fmt).load(read_small(spark, f"{manifest_path}/_source"))
+    return rows.withColumn("__file", F.col("_metadata.file_path")).join(listed, F.col("__file") == F.col("__listed"), "left_semi").drop("__file")
 
 
 class VersionedTable:
