@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeshift.operators.cdc import METADATA_COLUMNS, drop_metadata, stamp_changes
 from lakeshift.plans import marts as M
 from lakeshift.plans.migrate import Reader, migrate_tables, status_summary
+from lakeshift.sinks.buckets import BucketedTable
 from lakeshift.sinks.merge import ROW_LEVEL_PROVIDERS, table_provider
 from lakeshift.sinks.snapshot import VersionedTable, export_single_file, table_exists, table_report
 from lakeshift.sources.catalog import column_classes, read_column_catalog, read_table_list
@@ -62,9 +63,15 @@ def keyed_table(
     partition_key: str | None,
     primary_key: str | None = None,
     buckets: int | None = None,
-) -> VersionedTable:
+    touched_buckets: int | None = None,
+) -> VersionedTable | BucketedTable:
     """The keyed table's snapshot store; with ``buckets`` bucketed by the primary
-    key, so change batches too big to broadcast never shuffle the table."""
+    key, so change batches too big to broadcast never shuffle the table; with
+    ``touched_buckets`` of so many buckets, of which a batch rewrites those it touches."""
+    if touched_buckets:
+        if not primary_key or partition_key or buckets:
+            raise ValueError("a table of touched buckets needs a primary key, and is neither partitioned nor bucketed otherwise")
+        return BucketedTable(spark, f"{warehouse.rstrip('/')}/{database}/{table_name}", database, table_name, primary_key, touched_buckets)
     return VersionedTable(
         spark, f"{warehouse.rstrip('/')}/{database}/{table_name}", database, table_name,
         partition_by=[partition_key] if partition_key else None,
@@ -98,16 +105,21 @@ def full_load_job(
     run_ts: str | None = None,
     primary_key: str | None = None,
     buckets: int | None = None,
+    touched_buckets: int | None = None,
 ) -> dict:
     """M5: create the table from the full-load files unless it exists already."""
-    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
+    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets, touched_buckets)
     if t.current_version() is not None:
         return {"status": "exists", "table": t.name()}
     schema = _landed_schema(spark, raw_path)
     raw = read_recursive(spark, raw_path, schema=schema) if schema is not None else None
     if raw is None or raw.isEmpty():
         return {"status": "no data", "table": t.name()}
-    t.commit(stamp_changes(drop_metadata(raw), run_ts or _now()), 0)
+    rows = stamp_changes(drop_metadata(raw), run_ts or _now())
+    if isinstance(t, BucketedTable):
+        t.create(rows)
+    else:
+        t.commit(rows, 0)
     return {"status": "created", "version": 0, **table_report(spark, t.name())}
 
 
@@ -125,6 +137,7 @@ def cdc_job(
     run_ts: str | None = None,
     max_files_per_trigger: int | None = None,
     buckets: int | None = None,
+    touched_buckets: int | None = None,
     keep_versions: int = 3,
 ) -> list[dict]:
     """ST1 + ST2: apply every change file landed since the last run.
@@ -134,7 +147,7 @@ def cdc_job(
     change per key wins. Versions older than the newest ``keep_versions`` are
     removed. Returns one report per applied batch.
     """
-    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets)
+    t = keyed_table(spark, warehouse, database, table_name, partition_key, primary_key, buckets, touched_buckets)
     by_merge = table_exists(spark, database, table_name) and table_provider(spark, t.name()) in ROW_LEVEL_PROVIDERS
     if not by_merge and t.current_version() is None:
         raise TableMissing(f"{t.name()} has no snapshot yet; run full-load first")
@@ -200,6 +213,7 @@ def migrate_job(
     num_partitions: int | None = None,
     stride: int | None = None,
     skip_empty: bool = False,
+    prove: bool = False,
 ) -> DataFrame:
     """M1 + M2 + K3: migrate every listed table; write the status report as one file."""
     tables = [(r["database"], r["table"], r["key"]) for r in read_table_list(spark, table_list).collect()]
@@ -209,7 +223,7 @@ def migrate_job(
             raise ValueError("migrate_job needs a JDBC source or a reader")
         reader = jdbc_reader(spark, jdbc, {(d, t): k for d, t, k in tables}, num_partitions=num_partitions, stride=stride)
     status = migrate_tables(spark, [(d, t) for d, t, _ in tables], classes, reader, warehouse,
-                            parallel_tables=parallel_tables, skip_empty=skip_empty)
+                            parallel_tables=parallel_tables, skip_empty=skip_empty, prove=prove)
     export_single_file(status, status_path)
     return spark.read.parquet(status_path)
 
@@ -292,6 +306,7 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--partition-key")
         s.add_argument("--run-ts")
         s.add_argument("--buckets", type=int, help="bucket the table by the primary key into N buckets")
+        s.add_argument("--touched-buckets", type=int, help="keep the table in N buckets by primary key; a batch rewrites only those it touches")
         s.add_argument("--primary-key", required=(name == "cdc"))
         if name == "cdc":
             s.add_argument("--checkpoint")
@@ -306,6 +321,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--parallel-tables", type=int, default=4)
     m.add_argument("--num-partitions", type=int, help="key ranges per table (default: one per core)")
     m.add_argument("--stride", type=int)
+    m.add_argument("--prove", action="store_true", help="compare the values written with those read, column by column")
     m.add_argument("--skip-empty", action="store_true", help="leave empty source tables unwritten")
     d = sub.add_parser("daily")
     for a in ("--table-list", "--column-catalog", "--warehouse", "--mart-database", "--jdbc-url", "--schema-name"):
@@ -326,13 +342,14 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "full-load":
         res = full_load_job(spark, raw_path=args.raw_path, warehouse=args.warehouse, database=args.database,
                             table_name=args.table_name, partition_key=args.partition_key, run_ts=args.run_ts,
-                            primary_key=args.primary_key, buckets=args.buckets)
+                            primary_key=args.primary_key, buckets=args.buckets, touched_buckets=args.touched_buckets)
     elif args.job == "cdc":
         res = cdc_job(spark, raw_path=args.raw_path, warehouse=args.warehouse, database=args.database,
                       table_name=args.table_name, primary_key=args.primary_key, partition_key=args.partition_key,
                       checkpoint=args.checkpoint, run_ts=args.run_ts,
                       order_by=args.order_by.split(",") if args.order_by else None,
-                      max_files_per_trigger=args.max_files_per_batch, buckets=args.buckets)
+                      max_files_per_trigger=args.max_files_per_batch, buckets=args.buckets,
+                      touched_buckets=args.touched_buckets)
     elif args.job == "daily":
         import os
 
@@ -350,7 +367,8 @@ def main(argv: list[str] | None = None) -> None:
         status = migrate_job(spark, table_list=args.table_list, column_catalog=args.column_catalog,
                              warehouse=args.warehouse, status_path=args.status_path, jdbc=src,
                              catalog_format=args.catalog_format, parallel_tables=args.parallel_tables,
-                             num_partitions=args.num_partitions, stride=args.stride, skip_empty=args.skip_empty)
+                             num_partitions=args.num_partitions, stride=args.stride, skip_empty=args.skip_empty,
+                             prove=args.prove)
         res = status_summary(status).first().asDict()
     else:
         res = marts_job(spark, tables=CatalogTables(spark, args.source_database), warehouse=args.warehouse,

@@ -199,3 +199,23 @@ def test_catalog_extract_job_with_spark_standing_in(spark, workdir, monkeypatch)
     cls = C.column_classes(C.read_column_catalog(spark, f"{workdir}/catalog", "parquet"))
     assert list(cls) == [("shop", "orders")]
     assert cls[("shop", "orders")].all == ["id", "created"] and cls[("shop", "orders")].datetime == ["created"]
+
+
+def test_jobs_on_a_table_of_touched_buckets(spark, workdir):
+    t = fx.Tables(spark, SF_SMALL)
+    raw, wh = f"{workdir}/raw", f"{workdir}/wh"
+    full = fx.cdc_one_target(t).select(F.lit("I").alias("Op"), F.lit("tpch").alias("schema_name"), F.lit("orders").alias("table_name"), *fx.ORDER_COLS)
+    full.write.parquet(f"{raw}/full")
+    kw = dict(warehouse=wh, database="lakeshift_touched", table_name="orders", primary_key="o_orderkey", touched_buckets=8)
+    assert jobs.full_load_job(spark, raw_path=f"{raw}/full", run_ts="2024-02-01 00:00:00", **kw)["rows"] == full.count()
+    assert jobs.full_load_job(spark, raw_path=f"{raw}/full", **kw)["status"] == "exists"
+    fx.cdc_one_feed(t).write.parquet(f"{raw}/cdc")
+    (report,) = jobs.cdc_job(spark, raw_path=f"{raw}/cdc", run_ts="2024-02-02 00:00:00", **kw)
+    assert report["rewritten"] == 8 and report["rows_after"] == cdc_rows_expected(t)
+    some = fx.cdc_one_feed(t).filter("o_orderkey = 1")
+    some.write.mode("append").parquet(f"{raw}/cdc")
+    (report,) = jobs.cdc_job(spark, raw_path=f"{raw}/cdc", run_ts="2024-02-03 00:00:00", **kw)
+    assert report["rewritten"] == 1 and report["carried"] == 7
+    assert spark.table("lakeshift_touched.orders").count() == cdc_rows_expected(t)
+    with pytest.raises(ValueError, match="primary key"):
+        jobs.keyed_table(spark, wh, "d", "t", "part", "k", None, 4)
