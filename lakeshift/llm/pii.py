@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import drop_staged, id_and_text, in_slices, staged
+from lakeshift.llm.common import SLICE_BYTES, by_bytes, drop_staged, id_and_text, in_slices, staged
 
 #: Kinds in the order spans are listed at equal starts.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -312,7 +312,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     has_length = length_col in df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_bytes(batches, text_col, SLICE_BYTES):
             at = b.schema.get_field_index(text_col)
             old = b.column(at).to_pylist()
             new = []
