@@ -318,7 +318,7 @@ class VersionedTable:
         cutoff = done[-keep]
         removed = [v for v in self._numbered() if v < cutoff]
         for v in removed:
-            for path in (self.path(v), self._schema_path(v)):
+            for path in (self.path(v), self._schema_path(v), self._index_path(v)):
                 fs, p = hadoop_fs(self.spark, path)
                 fs.delete(p, True)
         return removed
@@ -347,6 +347,20 @@ class VersionedTable:
         if loc is None or loc.rstrip("/").rsplit("/", 1)[-1] != self.path(version).rsplit("/", 1)[-1]:
             self._point(self.path(version))
 
+    def _index_path(self, version: int) -> str:
+        return f"{self.root}/_index/v={version:09d}"
+
+    def key_index(self, key: str) -> str:
+        """Where the newest version's index of files by key lies (see
+        :mod:`lakeshift.sinks.keyindex`); made on first use, removed with the version."""
+        from lakeshift.sinks.keyindex import write_key_index
+
+        version = self.current_version()
+        path = f"{self._index_path(version)}/{key}"
+        if not path_exists(self.spark, f"{path}/filters/{SUCCESS_MARKER}"):
+            write_key_index(self.spark, self.path(version), path, key)
+        return path
+
     def _schema_path(self, version: int) -> str:
         return f"{self.root}/_schemas/v={version:09d}.json"
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeshift.operators import cdc
+from lakeshift.session import path_exists
 from lakeshift.sinks import keyindex, merge
 from lakeshift.sinks.buckets import BUCKET, BucketedTable
 from lakeshift.sinks.snapshot import VersionedTable
@@ -113,6 +114,19 @@ def test_text_keys(spark, workdir):
     assert len(files) == 1 and left.filter("k = 'key00007'").isEmpty()
 
 
+def test_a_version_keeps_its_index(spark, workdir):
+    t = VersionedTable(spark, workdir, "bucket_tests", "i_" + workdir.rsplit("-", 1)[-1])
+    t.commit(spark.range(0, 400).selectExpr("id AS k", "id % 3 AS v").repartitionByRange(8, "k"), 0)
+    keys = spark.createDataFrame([(5,), (399,)], "k bigint")
+    assert keyindex.touched_files(spark, t.key_index("k"), keys, "k").count() == 2
+    made = t.key_index("k")
+    t.commit(t.read().filter("k < 100"), 1)
+    t.commit(t.read(), 2)
+    assert t.key_index("k") != made and keyindex.touched_files(spark, t.key_index("k"), keys, "k").count() == 1
+    t.vacuum(keep=1)
+    assert not path_exists(spark, made)
+
+
 # -- order across batches ---------------------------------------------------------
 
 
