@@ -761,7 +761,7 @@ def q_bucketed_cdc_apply(spark, sf_dir):
 @register(
     "bucketed_apply_touched",
     fx.with_ctes(fx.SQL_CDC_MANY)
-    + f"""SELECT 16 AS buckets, 1 AS rewritten, 15 AS carried, count(*) + 1 AS n_rows, sum(user_id) + (SELECT max(user_id) FROM events) AS key_sum
+    + f"""SELECT 16 AS buckets, 1 AS rewritten, 15 AS carried, count(*) + 1 AS n_rows, CAST(sum(user_id) + (SELECT max(user_id) FROM events) AS BIGINT) AS key_sum
 FROM many_target WHERE user_id <> (SELECT max(user_id) FROM events)""",
 )
 def q_bucketed_apply_touched(spark, sf_dir):
