@@ -147,6 +147,10 @@ def _rooted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["u", "v"], dtype="int64")
 
 
+#: Copies of a parent among which its children are dealt.
+SALTS = 32
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(id, component): the least id reachable over ``links`` (a, b), for ids that are not it.
 
@@ -159,7 +163,12 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     while True:
         rooted = edges.repartition("u").mapInPandas(_rooted, "u long, v long")
         above = rooted.groupBy("u").agg(F.min("v").alias("w")).select(F.col("u").alias("v"), "w")
-        edges = staged(rooted.join(above, "v", "left").select("u", F.coalesce("w", "v").alias("v")), name)
+        # only parents that have a parent themselves move their children; a star's center has
+        # many, so the few such parents are copied and the children dealt over the copies
+        moved = above.join(rooted.select("v").distinct(), "v", "left_semi")
+        moved = moved.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        dealt = rooted.withColumn("salt", F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int"))
+        edges = staged(dealt.join(moved, ["v", "salt"], "left").select("u", F.coalesce("w", "v").alias("v")), name)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 30)))).first()
         if before is not None:
             drop_staged(before)
