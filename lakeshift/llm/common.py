@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import io
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 
@@ -17,6 +19,7 @@ from lakeshift.session import hadoop_fs, new_work_dir
 
 #: Rows a Python task handles at a time, so that a task's memory does not follow the Arrow batch size.
 SLICE_ROWS = 256
+SLICE_BYTES = 4 << 20
 
 _shipped: set[str] = set()
 
@@ -67,11 +70,17 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[dict[str, list]]:
-    """Arrow batches as small column dicts of Python values."""
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[dict[str, list]]:
+    """Arrow batches as small column dicts of Python values: at most ``rows`` rows, and
+    at most ``size`` bytes of any text column (one row may be longer)."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows).to_pydict()
+        pieces = iter([b])
+        for f in b.schema:
+            if pa.types.is_string(f.type) or pa.types.is_large_string(f.type):
+                pieces = by_bytes(pieces, f.name, size)
+        for p in pieces:
+            for at in range(0, p.num_rows, rows):
+                yield p.slice(at, rows).to_pydict()
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
@@ -109,5 +118,19 @@ def drop_staged(*frames: DataFrame) -> None:
         fs.delete(p, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now: it does so once nothing in the
+    driver refers to their plans, which otherwise waits for its next collection. Python's
+    references go first (they reach the JVM a moment later); the last query's plan is let go
+    by the next one, so a query without work follows."""
+    gc.collect()
+    time.sleep(0.5)
+    spark.range(1).count()
+    gc.collect()
+    time.sleep(0.5)
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

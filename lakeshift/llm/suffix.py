@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm.blocks import blocks, compress, decompress, distinct, pack_numbers, pack_sorted, range_bounds, ranges_for, unpack, unpack_numbers, unpack_sorted
-from lakeshift.llm.common import id_and_text, ship_package, staged
+from lakeshift.llm.common import id_and_text, release_shuffles, ship_package, staged
 from lakeshift.llm.shingles import mix, powers
 
 WINDOW, GRAM = 50, 24
@@ -332,8 +332,10 @@ def _exchange(blocked: DataFrame) -> tuple[DataFrame, int]:
     coarse = ranges_for(blocked)
     ranges = coarse * FINER
     shared = staged(_ask_shared(blocked, coarse).groupBy("range").applyInArrow(_answer_shared, SHARED), "repeats-shared")
+    release_shuffles(blocked.sparkSession)
     asked = blocked.select("block", "docs").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_ask_phrases(ranges), PHRASES)
     found = staged(asked.groupBy("range").applyInArrow(_answer_phrases, FOUND), "repeats-found")
+    release_shuffles(blocked.sparkSession)
     none = F.lit(None).cast("binary")
     return shared.withColumn("runs", none).unionByName(found.withColumn("shared", none)), ranges
 
