@@ -14,7 +14,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.llm import packing, pii, quality, suffix, superminhash
-from lakeshift.llm.common import ship_package, staged
+from lakeshift.llm.common import release_shuffles, ship_package, staged
+
+
+def _begin(spark: SparkSession) -> None:
+    """Before a stage: this package for its workers, and no shuffle files of the stages before it."""
+    ship_package(spark)
+    release_shuffles(spark)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,25 +30,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: that of least id."""
-    ship_package(spark)
+    _begin(spark)
     return superminhash.first_of_groups(docs, k=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that also begin in a document of smaller id are cut from the text."""
-    ship_package(spark)
+    _begin(spark)
     return suffix.without_repeats(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets."""
-    ship_package(spark)
+    _begin(spark)
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes in sequences of 2048 tokens."""
-    ship_package(spark)
+    _begin(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
