@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.llm.blocks import blocks, compress, decompress, distinct, pack_numbers, pack_sorted, range_bounds, ranges_for, unpack, unpack_numbers, unpack_sorted
-from lakeshift.llm.common import id_and_text, release_shuffles, ship_package, staged
+from lakeshift.llm.common import frugal, give_back, id_and_text, release_shuffles, ship_package, staged
 from lakeshift.llm.shingles import mix, powers
 
 WINDOW, GRAM = 50, 24
@@ -42,8 +42,8 @@ LONGEST = 64
 KEY_DROP = 16
 #: Key ranges of the dictionary for each range of triggers: a phrase is larger than its trigger.
 FINER = 5
-#: Bytes hashed at a time.
-PIECE = 1 << 20
+#: Bytes hashed at a time: a task's arrays of eight bytes per byte are this long, not as long as a block.
+PIECE = (1 << 18) - WINDOW
 
 _VALUE = np.random.default_rng(31).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -128,6 +128,8 @@ def _ask_shared(blocked: DataFrame, ranges: int) -> DataFrame:
                 rows = [(pack_sorted(u[at[r] : at[r + 1]], KEY_DROP), np.packbits(several[at[r] : at[r + 1]]).tobytes()) for r in range(ranges)]
                 columns = [pa.array(c, pa.binary()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(ranges, dtype=np.int32)), pa.array(np.full(ranges, block)), *columns], ["range", "block", "keys", "several"])
+                del p, order, key, doc, u, again, several, rows, columns
+                give_back()
 
     return blocked.select("block", "docs").mapInArrow(run, "range int, block long, keys binary, several binary")
 
@@ -152,8 +154,7 @@ def _answer_shared(asked: pa.Table) -> pa.Table:
 class Sent:
     """A block's distinct shared phrases, range by range, and where each occurs."""
 
-    texts: list[bytes]  # by key
-    keys: np.ndarray
+    once: np.ndarray  # one place in Phrases for each distinct text, by key
     bounds: np.ndarray  # of ranges among them
     occurs: np.ndarray  # phrases (places in Phrases) with a shared trigger
     which: np.ndarray  # their text's index
@@ -168,14 +169,25 @@ def _shared_phrases(p: Phrases, shared: pa.Table, ranges: int) -> Sent:
     place = np.searchsorted(u, p.key)
     occurs = np.flatnonzero(flag[place]) if len(u) else np.zeros(0, np.int64)
     occurs = occurs[np.argsort(place[occurs], kind="stable")]  # by key, so by range
-    raw = p.data.tobytes()
-    index: dict[bytes, int] = {}
-    which = np.empty(len(occurs), np.int64)
-    for k, (s, n) in enumerate(zip(p.start[occurs].tolist(), (p.count[occurs] + WINDOW - 1).tolist(), strict=True)):
-        which[k] = index.setdefault(raw[s : s + n], len(index))
-    first = np.full(len(index), len(u), np.int64)
-    np.minimum.at(first, which, place[occurs])
-    return Sent(list(index), u[first], np.searchsorted(first, range_bounds(u, ranges)), occurs, which)
+    which, once, bounds, texts = np.empty(len(occurs), np.int64), [], [0], 0
+    edges = np.searchsorted(place[occurs], range_bounds(u, ranges)).tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        index: dict[bytes, int] = {}  # equal phrases have equal keys, so no two ranges share one
+        here = occurs[a:b]
+        which[a:b] = [index.setdefault(t, len(index)) for t in _phrase_texts(p, here)]
+        first = np.empty(len(index), np.int64)
+        first[which[a:b][::-1]] = here[::-1]
+        which[a:b] += texts
+        texts += len(index)
+        once.append(first)
+        bounds.append(texts)
+    return Sent(np.concatenate(once), np.array(bounds), occurs, which)
+
+
+def _phrase_texts(p: Phrases, places: np.ndarray) -> Iterator[bytes]:
+    raw = p.data.data
+    for s, n in zip(p.start[places].tolist(), (p.count[places] + WINDOW - 1).tolist(), strict=True):
+        yield raw[s : s + n].tobytes()
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
@@ -201,14 +213,14 @@ def _ask_phrases(ranges: int):
             p = parse(texts)
             sent = _shared_phrases(p, right, ranges)
             doc = np.array([NOBODY if i is None else i for i in ids], np.int64)[p.doc[sent.occurs]]
-            least = np.full(len(sent.texts), NOBODY)
+            least = np.full(len(sent.once), NOBODY)
             np.minimum.at(least, sent.which, doc)
             for r in range(ranges):
                 a, b = sent.bounds[r], sent.bounds[r + 1]
                 if b > a:
-                    blob = b"".join(sent.texts[a:b])
-                    counts = np.array([len(t) - WINDOW + 1 for t in sent.texts[a:b]], np.uint64)
-                    rows.append((r, block, pack_sorted(sent.keys[a:b], KEY_DROP), pack_numbers(counts), compress(blob), pack_ids(least[a:b])))
+                    once = sent.once[a:b]
+                    blob = b"".join(_phrase_texts(p, once))
+                    rows.append((r, block, pack_sorted(p.key[once], KEY_DROP), pack_numbers(p.count[once].astype(np.uint64)), compress(blob), pack_ids(least[a:b])))
         kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         columns = list(zip(*rows, strict=True)) or [()] * 6
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["range", "block", "keys", "counts", "texts", "docs"])
@@ -248,6 +260,20 @@ def least_documents(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
     return least[rank]
 
 
+#: Bytes of a dictionary whose suffixes are sorted at a time (phrases of one trigger stay together).
+SORTED = 1 << 20
+
+
+def _whole_groups(phrases: np.ndarray, group: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """``phrases`` (in order of their group) in parts of about ``SORTED`` bytes that divide no group."""
+    if len(phrases):
+        own = group[phrases]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        before = np.cumsum(sizes[phrases]) - sizes[phrases]
+        part = before[first] // SORTED
+        yield from np.split(phrases, first[1:][part[1:] != part[:-1]])
+
+
 FOUND = "block long, range int, runs binary"
 
 
@@ -276,9 +302,11 @@ def _answer_phrases(asked: pa.Table) -> pa.Table:
     lowest = np.repeat(docs, counts)
     # only phrases with a trigger in common can have windows in common
     group, size = np.unique(np.array(trigger, np.uint64), return_inverse=True, return_counts=True)[1:]
-    several = size[group] > 1
-    if several.any():
-        lowest[np.repeat(several, counts)] = least_documents([texts[i] for i in np.flatnonzero(several)], docs[several])
+    several = np.flatnonzero(size[group] > 1)
+    for some in _whole_groups(several[np.argsort(group[several], kind="stable")], group, counts + WINDOW - 1):
+        n = counts[some]
+        at = np.arange(n.sum()) + np.repeat(bounds[some] - (np.cumsum(n) - n), n)
+        lowest[at] = least_documents([texts[i] for i in some], docs[some])
     begins = np.ones(len(lowest), bool)
     begins[1:] = lowest[1:] != lowest[:-1]
     begins[bounds[:-1]] = True
@@ -307,8 +335,8 @@ def removed_bytes(p: Phrases, ids: list[int | None], replies: pa.Table, ranges:
     """Mask over the block's bytes: in a window that also begins in a document of smaller id."""
     kind = replies.column("runs").is_valid().to_numpy(zero_copy_only=False)
     sent = _shared_phrases(p, replies.filter(pa.array(~kind)), ranges)
-    change = np.zeros(len(p.data) + 1, np.int64)
-    if len(sent.texts):
+    change = np.zeros(len(p.data) + 1, np.int32)
+    if len(sent.once):
         answers = replies.filter(pa.array(kind))
         by_range = dict(zip(answers.column("range").to_pylist(), answers.column("runs").to_pylist(), strict=True))
         got = [_runs(by_range[r]) for r in range(ranges) if sent.bounds[r + 1] > sent.bounds[r]]
@@ -324,17 +352,17 @@ def removed_bytes(p: Phrases, ids: list[int | None], replies: pa.Table, ranges:
         begin = p.start[sent.occurs][occurrence[gone]] + before[run[gone]]
         np.add.at(change, begin, 1)
         np.add.at(change, begin + length[run[gone]] + WINDOW - 1, -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32, out=change[:-1]) > 0
 
 
 def _exchange(blocked: DataFrame) -> tuple[DataFrame, int]:
     """(all replies for each block, number of the dictionary's key ranges)."""
     coarse = ranges_for(blocked)
     ranges = coarse * FINER
-    shared = staged(_ask_shared(blocked, coarse).groupBy("range").applyInArrow(_answer_shared, SHARED), "repeats-shared")
+    shared = staged(_ask_shared(blocked, coarse).groupBy("range").applyInArrow(frugal(_answer_shared), SHARED), "repeats-shared")
     release_shuffles(blocked.sparkSession)
-    asked = blocked.select("block", "docs").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_ask_phrases(ranges), PHRASES)
-    found = staged(asked.groupBy("range").applyInArrow(_answer_phrases, FOUND), "repeats-found")
+    asked = blocked.select("block", "docs").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(frugal(_ask_phrases(ranges)), PHRASES)
+    found = staged(asked.groupBy("range").applyInArrow(frugal(_answer_phrases), FOUND), "repeats-found")
     release_shuffles(blocked.sparkSession)
     none = F.lit(None).cast("binary")
     return shared.withColumn("runs", none).unionByName(found.withColumn("shared", none)), ranges
@@ -364,7 +392,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         columns = list(zip(*rows, strict=True)) or [()] * 5
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return blocked.select("block", "docs").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, RESULT)
+    return blocked.select("block", "docs").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(frugal(run), RESULT)
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -402,5 +430,5 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out.append(own)
         return pa.concat_tables(out) if out else pa.table([pa.array([], pa.null())] * 0)
 
-    done = blocked.select("block", "docs").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+    done = blocked.select("block", "docs").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(frugal(run), schema)
     return done.select(*(F.col(k).alias(c) for k, c in names.items()))

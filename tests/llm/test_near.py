@@ -1,10 +1,15 @@
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from lakeshift.llm import fingerprint, shingles, suffix, superminhash
+from lakeshift.llm import blocks, fingerprint, shingles, suffix, superminhash
 from lakeshift.llm.common import ship_package
 from tests.llm import cases
 
@@ -208,6 +213,73 @@ def test_phrases_cover_each_window_once(monkeypatch):
         assert sorted(seen) == want
 
 
+def shared_block() -> tuple[list[bytes], pa.Table]:
+    """A block of 2 MB without copies, and answers that send all of its phrases."""
+    r = random.Random(11)
+    texts = [bytes(r.choices(b"abcdefghij ", k=4000)) for _ in range(500)]
+    u = blocks.distinct(suffix.parse(texts).key)
+    return texts, pa.table({"range": pa.array([0], pa.int32()), "shared": pa.array([b"\xff" * (len(u) // 8 + 1)], pa.binary())})
+
+
+def test_a_block_is_worked_on_in_pieces():
+    """Working memory of the steps on a block, in bytes for each of its bytes."""
+    texts, shared = shared_block()
+    size = sum(map(len, texts))
+    held = {}
+    tracemalloc.start()
+    try:
+        for name, work in (("parse", suffix.parse), ("shared", lambda t: suffix._shared_phrases(suffix.parse(t), shared, suffix.FINER))):
+            work(texts[:1])
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            work(texts)
+            held[name] = (tracemalloc.get_traced_memory()[1] - before) / size
+    finally:
+        tracemalloc.stop()
+    assert held["parse"] < 14 and held["shared"] < 14, held
+
+
+def test_dictionary_is_sorted_by_whole_groups(monkeypatch):
+    group, sizes = np.array([2, 0, 1, 0, 2, 1, 1]), np.array([60, 70, 80, 90, 60, 60, 60])
+    order = np.argsort(group, kind="stable")
+    for most in (1, 161, 1000):
+        monkeypatch.setattr(suffix, "SORTED", most)
+        parts = [p.tolist() for p in suffix._whole_groups(order, group, sizes)]
+        assert sum(parts, []) == order.tolist() and len(parts) == {1: 3, 161: 2, 1000: 1}[most]
+        assert all(not set(group[a]) & set(group[b]) for a in parts for b in parts if a is not b)
+    assert list(suffix._whole_groups(order[:0], group, sizes)) == []
+
+
+def test_answers_do_not_depend_on_the_sort_size(monkeypatch):
+    pairs = group_of_near_copies(30, 5)
+    table = pa.table({"doc_id": [i for i, _ in pairs], "text": [t for _, t in pairs]})
+    u = blocks.distinct(suffix.parse([t.encode() for _, t in pairs]).key)
+    shared = pa.table({"range": pa.array([0], pa.int32()), "shared": pa.array([b"\xff" * (len(u) // 8 + 1)], pa.binary())})
+    docs = pa.table({"block": [0], "docs": pa.array([blocks._pack(table.to_batches())], pa.binary())})
+    asked = suffix._ask_phrases(suffix.FINER)(docs, shared)
+    whole = suffix._answer_phrases(asked).column("runs").to_pylist()
+    monkeypatch.setattr(suffix, "SORTED", 1)
+    assert suffix._answer_phrases(asked).column("runs").to_pylist() == whole
+
+
+def test_freed_memory_goes_back():
+    """A worker that waits for its next group holds no memory of the last."""
+    code = """
+import numpy as np
+from lakeshift.llm.common import frugal
+def held():
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("RssAnon")) >> 10
+def work(table):
+    return [np.ones(10_000) for _ in range(1000)][-1]
+before = held()
+last = frugal(work)(None)
+print(held() - before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True, timeout=60)
+    assert int(out.stdout) < 20
+
+
 def test_ranks_are_the_order_of_windows():
     text = np.frombuffer(cases.prose(8, 300).encode() * 2, np.uint8)
     rank = suffix.window_ranks(text)
