@@ -17,10 +17,12 @@ from lakeshift.operators.cdc import conform
 
 #: Bits of a filter for each key, and bits set for each: about 1 key in 100 passes by chance.
 BITS_PER_KEY, HASHES = 10, 5
-#: Bits in one row of a filter (the size of Spark's bitmap aggregate).
-BITMAP_BITS = 32768
+#: A filter's bits are a multiple of this; a row of it holds the bits of one word.
+FILTER_BITS, WORD = 32768, 64
 #: Slices that the keys' range is cut into, to match batch and files.
 SLICES = 256
+#: Folder of the filters; it comes last, and an index without it is made again.
+FILTERS = "words"
 
 
 def _bit(key: str, k: int, bits: Column) -> Column:
@@ -29,24 +31,28 @@ def _bit(key: str, k: int, bits: Column) -> Column:
 
 def write_key_index(spark: SparkSession, data_path: str, index_path: str, key: str) -> None:
     """Two passes over the key column of all files: counts and bounds, then the filters
-    (partially aggregated; a filter is one row per ``BITMAP_BITS`` bits)."""
+    (partially aggregated; a filter is one row per ``WORD`` bits)."""
     rows = spark.read.parquet(data_path).select(F.col("_metadata.file_path").alias("file"), F.col(f"`{key}`"))
     files = rows.groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"), F.max(key).alias("hi"), F.count_if(F.col(key).isNull()).alias("without")
     )
-    bits = F.ceil(F.greatest(F.col("rows") * BITS_PER_KEY, F.lit(1)) / BITMAP_BITS) * BITMAP_BITS
-    files.withColumn("bits", bits.cast("long")).write.mode("overwrite").parquet(f"{index_path}/files")
-    sizes = spark.read.parquet(f"{index_path}/files").select(F.col("file").alias("of"), "bits")
-    dealt = rows.where(F.col(key).isNotNull()).join(sizes, F.col("file") == F.col("of"))
+    bits = F.ceil(F.greatest(F.col("rows") * BITS_PER_KEY, F.lit(1)) / FILTER_BITS) * FILTER_BITS
+    numbered = files.withColumn("bits", bits.cast("long")).withColumn("id", F.monotonically_increasing_id())
+    numbered.write.mode("overwrite").parquet(f"{index_path}/files")
+    _filters(rows, spark.read.parquet(f"{index_path}/files"), key).write.mode("overwrite").parquet(f"{index_path}/{FILTERS}")
+
+
+def _filters(rows: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """The words of each file's filter that have a bit set. Words are numbers, so they are put together
+    in hash tables as large as the filters; the bits of all keys are never sorted."""
+    dealt = rows.where(F.col(f"`{key}`").isNotNull()).join(files.select(F.col("file").alias("of"), "id", "bits"), F.col("file") == F.col("of"))
     bit = F.explode(F.array(*(_bit(key, k, F.col("bits")) for k in range(HASHES)))).alias("bit")
-    filters = dealt.select("file", bit).groupBy("file", F.floor(F.col("bit") / BITMAP_BITS).alias("part"))
-    filters.agg(F.bitmap_construct_agg(F.col("bit") % BITMAP_BITS).alias("map")).write.mode("overwrite").parquet(f"{index_path}/filters")
+    words = dealt.select("id", bit).groupBy("id", _word("bit").alias("word"))
+    return words.agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(bit % {WORD} AS INT))")).alias("set"))
 
 
-def _has_bit(bitmap: Column, bit: Column) -> Column:
-    """Whether ``bit`` is set; the lowest bit of a byte comes first."""
-    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.floor(byte / F.pow(F.lit(2.0), bit % 8)) % 2 == 1
+def _word(bit: str) -> Column:
+    return F.floor(F.col(bit) / WORD)
 
 
 def _slices(files: DataFrame) -> list:
@@ -74,12 +80,12 @@ def touched_files(spark: SparkSession, index_path: str, keys: DataFrame, key: st
     wanted = keys.select(F.col(f"`{key}`").alias("k")).distinct()
     ranged = files.where("lo IS NOT NULL").withColumn("slice", F.explode(F.sequence(_slice_of(F.col("lo"), cuts), _slice_of(F.col("hi"), cuts))))
     placed = wanted.where("k IS NOT NULL").withColumn("slice", _slice_of(F.col("k"), cuts))
-    near = placed.join(ranged, "slice").where((F.col("k") >= F.col("lo")) & (F.col("k") <= F.col("hi"))).select("file", "bits", "k")
+    near = placed.join(ranged, "slice").where((F.col("k") >= F.col("lo")) & (F.col("k") <= F.col("hi"))).select("id", "bits", "k")
     near = near.withColumn("bit", F.explode(F.array(*(_bit("k", h, F.col("bits")) for h in range(HASHES)))))
-    filters = spark.read.parquet(f"{index_path}/filters").withColumnRenamed("file", "of")
-    on = (F.col("file") == F.col("of")) & (F.floor(F.col("bit") / BITMAP_BITS) == F.col("part"))
-    tested = near.join(filters, on).where(_has_bit(F.col("map"), F.col("bit") % BITMAP_BITS))
-    hit = tested.groupBy("file", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == HASHES).select("file")
+    near = near.withColumn("word", _word("bit"))
+    tested = near.join(spark.read.parquet(f"{index_path}/{FILTERS}"), ["id", "word"]).where(F.getbit("set", F.col("bit") % WORD) == 1)
+    met = tested.groupBy("id", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == HASHES).select("id").distinct()
+    hit = files.join(met, "id", "left_semi").select("file")
     if not wanted.where("k IS NULL").isEmpty():
         hit = hit.unionByName(files.where("without > 0").select("file"))
     return hit.distinct()

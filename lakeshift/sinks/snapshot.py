@@ -353,11 +353,11 @@ class VersionedTable:
     def key_index(self, key: str) -> str:
         """Where the newest version's index of files by key lies (see
         :mod:`lakeshift.sinks.keyindex`); made on first use, removed with the version."""
-        from lakeshift.sinks.keyindex import write_key_index
+        from lakeshift.sinks.keyindex import FILTERS, write_key_index
 
         version = self.current_version()
         path = f"{self._index_path(version)}/{key}"
-        if not path_exists(self.spark, f"{path}/filters/{SUCCESS_MARKER}"):
+        if not path_exists(self.spark, f"{path}/{FILTERS}/{SUCCESS_MARKER}"):
             write_key_index(self.spark, self.path(version), path, key)
         return path
 

@@ -103,6 +103,21 @@ def test_filter_leaves_out_files_whose_range_holds_a_key_they_lack(spark, workdi
     assert files >= 3 and got < files
 
 
+def test_filters_are_made_without_a_sort(spark, workdir):
+    spark.range(0, 8000).selectExpr("id AS k").repartition(4, F.col("k") % 4).write.parquet(f"{workdir}/d")
+    keyindex.write_key_index(spark, f"{workdir}/d", f"{workdir}/i", "k")
+    index = spark.read.parquet(f"{workdir}/i/files")
+    rows = spark.read.parquet(f"{workdir}/d").select(F.col("_metadata.file_path").alias("file"), "k")
+    made = keyindex._filters(rows, index, "k")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    # no more rows than the filters have words, and the bits of every key
+    words = made.agg(F.count(F.lit(1)), F.sum(F.bit_count("set"))).first()
+    assert words[0] <= index.agg(F.sum("bits") / keyindex.WORD).first()[0] and words[1] <= 8000 * keyindex.HASHES
+    got = keyindex.touched_files(spark, f"{workdir}/i", spark.range(0, 8000, 100).withColumnRenamed("id", "k"), "k")
+    assert got.count() == rows.where("k % 100 = 0").select("file").distinct().count()
+
+
 def test_text_keys(spark, workdir):
     spark.range(0, 500).selectExpr("concat('key', lpad(id, 5, '0')) AS k", "id").repartitionByRange(5, "k").write.parquet(f"{workdir}/d")
     keyindex.write_key_index(spark, f"{workdir}/d", f"{workdir}/i", "k")
