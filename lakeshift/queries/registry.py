@@ -45,6 +45,8 @@ DRIVER_TABLES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 SOURCE_DB = "tpch"
+#: Bytes of a file at most, where a query plans its files.
+MOST_FILE_BYTES = 64 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -657,7 +659,8 @@ def q_clustered_files(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     path, plain = new_work_dir(spark, "clustered"), new_work_dir(spark, "plain")
     li.write.parquet(plain)
-    target = sum(r["bytes"] for r in K.manifest_entries(spark, plain).select("bytes").collect()) // 20
+    whole = sum(r["bytes"] for r in K.manifest_entries(spark, plain).select("bytes").collect())
+    target = min(whole // 20, MOST_FILE_BYTES)  # a file is written by one task
     write_clustered(li, path, ["l_partkey", "l_shipdate"], target)
     sizes = [r["bytes"] for r in K.manifest_entries(spark, path).select("bytes").collect()]
     mean = sum(sizes) / len(sizes)

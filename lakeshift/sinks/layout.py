@@ -1,6 +1,7 @@
 """K4/M3: files of a target size, with rows that belong together in several columns.
 
-The size of a file is planned from encoded bytes of a sample, not from a guess. Rows are
+The size of a file is planned from encoded bytes of a sample, not from a guess, and compared
+with what was written: rows that lie together can take less room than the sample's. Rows are
 clustered along a space-filling order of the columns' quantiles, so that a range of any
 one of them lies in few files.
 """
@@ -16,6 +17,8 @@ from lakeshift.session import hadoop_fs, new_work_dir
 
 #: Rows whose encoded size is measured, and bits of each column's quantile in the order.
 SAMPLE_ROWS, ORDER_BITS = 100_000, 8
+#: Files are written again, in a number that follows from their size, if that number is off by this factor.
+OFF = 1.8
 
 
 def _bytes(spark, path: str) -> int:
@@ -25,13 +28,13 @@ def _bytes(spark, path: str) -> int:
 
 def encoded_row_bytes(df: DataFrame, rows: int, sample_rows: int = SAMPLE_ROWS) -> float:
     """Bytes a row takes in parquet, measured on about ``sample_rows`` rows spread over the table
-    and written as one file, as the table's files will be."""
+    and written as one file, as the table's files will be. All tasks take the sample; one gets only its rows."""
     spark = df.sparkSession
     path = new_work_dir(spark, "size-sample")
     share = min(1.0, sample_rows / max(rows, 1))
     some = df if share == 1.0 else df.sample(False, share, seed=11)
     try:
-        some.coalesce(1).write.parquet(path)
+        some.repartition(1).write.parquet(path)
         n = spark.read.parquet(path).count()
         return _bytes(spark, path) / max(n, 1)
     finally:
@@ -39,6 +42,12 @@ def encoded_row_bytes(df: DataFrame, rows: int, sample_rows: int = SAMPLE_ROWS)
         fs.delete(p, True)
 
 
+def files_within(df: DataFrame, most_bytes: int, least: int = 1) -> int:
+    """How many files ``df`` needs so that none is much larger than ``most_bytes``, and at least ``least``."""
+    rows = df.count()
+    return max(least, math.ceil(rows * encoded_row_bytes(df, rows) / most_bytes))
+
+
 def with_place(df: DataFrame, columns: list[str], bits: int = ORDER_BITS) -> DataFrame:
     """``df`` plus ``__place``, where a row lies along a curve through the columns' quantiles:
     their bits, taken in turn, highest first. Nulls come first in their column. Columns:
@@ -90,10 +99,18 @@ def _rank(cuts: list[float], value: Column, steps: Column) -> Column:
 
 def write_clustered(df: DataFrame, path: str, columns: list[str], target_bytes: int) -> int:
     """Write ``df`` in files of about ``target_bytes``, clustered on ``columns``; returns how many were planned."""
-    rows = df.count()
-    files = max(1, math.ceil(rows * encoded_row_bytes(df, rows) / target_bytes))
+    spark = df.sparkSession
+    files = files_within(df, target_bytes)
     placed = with_place(df, columns)
     # rows of one place are told apart by their content, so that no range is larger than a file
     tie = F.xxhash64(*(F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t))
-    placed.repartitionByRange(files, "__place", tie).sortWithinPartitions("__place").drop("__place").write.mode("overwrite").parquet(path)
+
+    def write(files: int) -> None:
+        placed.repartitionByRange(files, "__place", tie).sortWithinPartitions("__place").drop("__place").write.mode("overwrite").parquet(path)
+
+    write(files)
+    needed = max(1, math.ceil(_bytes(spark, path) / target_bytes))
+    if not 1 / OFF <= needed / files <= OFF:
+        files = needed
+        write(files)
     return files

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark import AccumulatorParam, TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +95,44 @@ def test_clustered_files_prune_on_every_column(spark, workdir):
     assert layout.write_clustered(df.limit(0), f"{workdir}/empty", ["a"], 1000) == 1
 
 
+def test_a_size_sample_is_taken_by_all_tasks(spark):
+    class RowsOfTasks(AccumulatorParam):
+        def zero(self, value):
+            return {}
+
+        def addInPlace(self, a, b):
+            return {k: a.get(k, 0) + b.get(k, 0) for k in {*a, *b}}
+
+    read = spark.sparkContext.accumulator({}, RowsOfTasks())
+
+    def through(batches):
+        for b in batches:
+            read.add({TaskContext.get().taskAttemptId(): b.num_rows})
+            yield b
+
+    df = spark.range(0, 8000, 1, 8).mapInArrow(through, "id bigint")
+    assert layout.encoded_row_bytes(df, 8000, 400) > 0
+    assert sum(read.value.values()) == 8000 and max(read.value.values()) == 1000
+
+
+def test_clustered_rows_that_take_less_room_than_the_sample(spark, workdir):
+    df = spark.range(0, 60000).selectExpr("id % 300 AS a", "sha2(CAST(id % 300 AS STRING), 512) AS v", "sha2(CAST(id % 300 + 1 AS STRING), 512) AS w", "id % 7 AS b")
+    wide = df.selectExpr("a", "b", *(f"sha2(concat(v, {k}), 512) AS v{k}" for k in range(4)))
+    sample = layout.encoded_row_bytes(wide, 60000, 1000) * 60000
+    n = layout.write_clustered(wide, f"{workdir}/c", ["a"], int(sample / 40))
+    sizes = [r["bytes"] for r in K.manifest_entries(spark, f"{workdir}/c").collect()]
+    assert abs(len(sizes) - n) <= 1 and n < 40 and sample / 80 <= sum(sizes) / len(sizes)
+    assert spark.read.parquet(f"{workdir}/c").count() == 60000
+
+
+def test_files_within_a_size(spark):
+    df = spark.range(0, 20000).selectExpr("id", "sha2(CAST(id AS STRING), 256) AS v")
+    whole = 20000 * layout.encoded_row_bytes(df, 20000)
+    assert layout.files_within(df, int(whole * 2), least=6) == 6
+    assert layout.files_within(df, int(whole / 9.5), least=6) == 10
+    assert layout.files_within(df.limit(0), 1000) == 1
+
+
 def test_manifest_lists_files_by_parts(spark, workdir):
     spark.range(0, 50).repartition(5).write.parquet(f"{workdir}/d")
     n = K.write_manifest(spark, f"{workdir}/d", f"{workdir}/m")
